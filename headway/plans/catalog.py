@@ -17,7 +17,9 @@ from headway.functions import columns as C
 from headway.operators import batch as B
 from headway.operators import serving as V
 from headway.operators import speed as S
+from headway.sources import feed as FD
 from headway.sources import fixtures as X
+from headway.sources import raw as RW
 
 AS_OF = X.AS_OF
 # The fixture has about one event per route and five minutes, so the
@@ -207,6 +209,47 @@ def q_relative_delay(spark, sf_dir):
     return V.relative_delay(live_snapshots(spark, sf_dir))
 
 
+# -- ingestion ------------------------------------------------------------------
+
+def q_raw_json_scan(spark, sf_dir):
+    return RW.parse_raw_lines(X.raw_lines(spark, sf_dir))
+
+
+def q_archive_route_statistics(spark, sf_dir):
+    raw = RW.parse_raw_lines(X.raw_lines(spark, sf_dir))
+    clean = B.clean_events(raw).filter(F.col("event_ts") < X.ts_literal(X.HISTORY_UNTIL))
+    return B.route_statistics(clean)
+
+
+def _speed_records(lines):
+    recs = RW.parse_speed_records(lines, now=X.ts_literal(AS_OF))
+    return recs.select("event_id", "route_id", "delay_seconds", C.to_ntz("event_ts").alias("event_ts"))
+
+
+def q_coerce_delay(spark, sf_dir):
+    return _speed_records(X.raw_lines(spark, sf_dir))
+
+
+def q_decode_envelope(spark, sf_dir):
+    return _speed_records(RW.decode_envelope(X.envelopes(spark, sf_dir)))
+
+
+def q_malformed_records(spark, sf_dir):
+    return RW.malformed_records(RW.decode_envelope(X.envelopes(spark, sf_dir)))
+
+
+def q_flatten_trip_updates(spark, sf_dir):
+    return FD.flatten_trip_updates(X.feed_messages(spark, sf_dir))
+
+
+def q_flatten_vehicle_positions(spark, sf_dir):
+    return FD.flatten_vehicle_positions(X.feed_messages(spark, sf_dir))
+
+
+def q_ingest_union(spark, sf_dir):
+    return FD.ingest_union(X.feed_messages(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
     "clean_events": q_clean_events,
     "input_counts": q_input_counts,
@@ -239,4 +282,12 @@ QUERIES: dict[str, Query] = {
     "delay_severity": q_delay_severity,
     "delta_label": q_delta_label,
     "relative_delay": q_relative_delay,
+    "raw_json_scan": q_raw_json_scan,
+    "archive_route_statistics": q_archive_route_statistics,
+    "coerce_delay": q_coerce_delay,
+    "decode_envelope": q_decode_envelope,
+    "malformed_records": q_malformed_records,
+    "flatten_trip_updates": q_flatten_trip_updates,
+    "flatten_vehicle_positions": q_flatten_vehicle_positions,
+    "ingest_union": q_ingest_union,
 }

@@ -270,3 +270,73 @@ ORACLE: dict[str, str] = {
                  ELSE 4 END AS INTEGER) AS bar_px
        FROM snap""",
 }
+
+
+# -- ingestion (the derived raw shapes, restated from the event type) ----------
+
+SRC = """src AS (
+  SELECT event_id AS eid, ts, user_id, event_type, value,
+         cast(json_extract_string(props, '$.k') AS INTEGER) AS k,
+         cast(floor(value * 4) - 60 AS INTEGER) AS d,
+         strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') AS iso,
+         'R' || lpad(cast(user_id % 12 AS VARCHAR), 2, '0') AS route_id,
+         'T' || cast(user_id AS VARCHAR) AS trip_id
+  FROM events)"""
+
+RAWSCAN = """rawscan AS (
+  SELECT CASE WHEN event_type = 'signup' THEN NULL WHEN event_type = 'view' THEN 'vp_' || cast(eid AS VARCHAR)
+              ELSE cast(eid AS VARCHAR) END AS event_id,
+         CASE WHEN event_type = 'signup' THEN NULL ELSE iso END AS ingestion_time,
+         CASE WHEN event_type = 'signup' THEN NULL ELSE route_id END AS route_id,
+         CASE WHEN event_type = 'signup' THEN NULL ELSE trip_id END AS trip_id,
+         CASE WHEN event_type IN ('signup', 'view') THEN NULL ELSE k END AS stop_sequence,
+         CASE WHEN event_type IN ('signup', 'view') THEN NULL ELSE 'S' || cast(k AS VARCHAR) END AS stop_id,
+         CASE WHEN event_type = 'click' THEN d END AS delay_seconds,
+         CASE WHEN event_type = 'signup' THEN NULL WHEN event_type = 'view' THEN 'tfi_vehicle_positions'
+              ELSE 'tfi_trip_updates' END AS source
+  FROM src)"""
+
+SPEEDREC = """SELECT cast(eid AS VARCHAR) AS event_id, route_id,
+       CASE WHEN event_type = 'error' THEN cast(trunc(value * 4 - 60) AS INTEGER) ELSE d END AS delay_seconds,
+       ts AS event_ts
+FROM src WHERE event_type IN ('click', 'purchase', 'error')"""
+
+TRIPS = """trips AS (
+  SELECT 'E' || cast(eid AS VARCHAR) || '_' || cast(k AS VARCHAR) AS event_id, iso AS ingestion_time,
+         route_id, trip_id, k AS stop_sequence, 'S' || cast(k AS VARCHAR) AS stop_id,
+         CASE WHEN event_type = 'error' THEN 0 ELSE d END AS delay_seconds,
+         strftime(ts, '%Y%m%d') AS start_date, 0 AS schedule_relationship, 'tfi_trip_updates' AS source
+  FROM src WHERE event_type IN ('click', 'purchase', 'error'))"""
+
+VEHICLES = """vehicles AS (
+  SELECT 'vp_E' || cast(eid AS VARCHAR) AS event_id, iso AS ingestion_time, route_id, trip_id,
+         'V' || cast(user_id AS VARCHAR) AS vehicle_id,
+         cast(53.0 + k / 1000 AS FLOAT) AS latitude, cast(-6.0 - k / 1000 AS FLOAT) AS longitude,
+         cast(k * 3.6::DOUBLE AS FLOAT) AS bearing, cast(value AS FLOAT) AS speed_ms,
+         cast(k % 7 AS INTEGER) AS occupancy_status, 'tfi_vehicle_positions' AS source
+  FROM src WHERE event_type = 'view')"""
+
+ORACLE.update({
+    "raw_json_scan": w(SRC, RAWSCAN) + "SELECT * FROM rawscan",
+    "archive_route_statistics": w(SRC, RAWSCAN) + f"""SELECT route_id, dayname(ts) AS day_of_week,
+       cast(hour(ts) AS INTEGER) AS hour_of_day, avg(delay_seconds) AS avg_delay,
+       max(delay_seconds) AS max_delay, count(*) AS observations
+       FROM (SELECT *, cast(ingestion_time AS TIMESTAMP) AS ts FROM rawscan)
+       WHERE route_id IS NOT NULL AND delay_seconds IS NOT NULL AND ts < {HISTORY_UNTIL}
+       GROUP BY ALL""",
+    "coerce_delay": w(SRC) + SPEEDREC,
+    "decode_envelope": w(SRC) + SPEEDREC,
+    "malformed_records": w(SRC) + """SELECT count(*) AS records,
+       cast(count_if(event_type = 'signup') AS BIGINT) AS malformed,
+       cast(count(*) - count_if(event_type = 'signup') AS BIGINT) AS decoded FROM src""",
+    "flatten_trip_updates": w(SRC, TRIPS) + "SELECT * FROM trips",
+    "flatten_vehicle_positions": w(SRC, VEHICLES) + "SELECT * FROM vehicles",
+    "ingest_union": w(SRC, TRIPS, VEHICLES) + """SELECT *, coalesce(nullif(route_id, ''), 'unknown') AS partition_key
+       FROM (SELECT event_id, ingestion_time, route_id, trip_id, stop_sequence, stop_id, delay_seconds,
+                    start_date, schedule_relationship, source, NULL::VARCHAR AS vehicle_id,
+                    NULL::FLOAT AS latitude, NULL::FLOAT AS longitude, NULL::FLOAT AS bearing,
+                    NULL::FLOAT AS speed_ms, NULL::INTEGER AS occupancy_status FROM trips
+             UNION ALL
+             SELECT event_id, ingestion_time, route_id, trip_id, NULL, NULL, NULL, NULL, NULL, source,
+                    vehicle_id, latitude, longitude, bearing, speed_ms, occupancy_status FROM vehicles)""",
+})

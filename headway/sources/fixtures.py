@@ -80,3 +80,118 @@ def live_events(spark: SparkSession, sf_dir: str, since: datetime = HISTORY_UNTI
     ensure_utc(spark)
     events = table(spark, sf_dir, "events").filter(F.col("ts") >= _ntz_literal(since))
     return events_to_delay_events(events)
+
+
+# -- derived raw inputs ----------------------------------------------------------
+# The same events, in the shapes the pipeline receives them: JSON lines as the
+# log delivers them, base64 envelopes, and decoded nested feed messages. The
+# event type decides the encoding, so every rule of the parsers is exercised
+# at the scale of the table:
+#   click    -> trip update, delay as a JSON integer
+#   purchase -> trip update, delay as JSON text ("45")
+#   error    -> trip update, delay as a JSON fraction (value * 4 - 60)
+#   signup   -> trip update line cut short (malformed JSON)
+#   view     -> vehicle position (no delay)
+
+def _iso(ts: Column) -> Column:
+    return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+
+
+def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One JSON text line per event (column ``value``)."""
+    ensure_utc(spark)
+    ev = table(spark, sf_dir, "events")
+    ts = F.col("ts").cast("timestamp")
+    k = F.get_json_object("props", "$.k").cast("int")
+    d_int = (F.floor(F.col("value") * 4) - 60).cast("int")
+    route = _route(F.col("user_id"))
+    trip = F.concat(F.lit("T"), F.col("user_id").cast("string"))
+    trip_json = F.to_json(F.struct(
+        F.col("event_id").cast("string").alias("event_id"),
+        _iso(ts).alias("ingestion_time"),
+        route.alias("route_id"),
+        trip.alias("trip_id"),
+        k.alias("stop_sequence"),
+        F.concat(F.lit("S"), k.cast("string")).alias("stop_id"),
+        F.date_format(ts, "yyyyMMdd").alias("start_date"),
+        F.lit(0).alias("schedule_relationship"),
+        F.lit(TRIP_UPDATES).alias("source"),
+    ))
+    delay_text = (
+        F.when(F.col("event_type") == "purchase", F.concat(F.lit('"'), d_int.cast("string"), F.lit('"')))
+        .when(F.col("event_type") == "error", (F.col("value") * 4 - 60).cast("string"))
+        .otherwise(d_int.cast("string"))
+    )
+    with_delay = F.concat(
+        F.expr("substring(tj, 1, length(tj) - 1)"), F.lit(',"delay_seconds":'), delay_text, F.lit("}")
+    )
+    vehicle_json = F.to_json(F.struct(
+        F.concat(F.lit("vp_"), F.col("event_id").cast("string")).alias("event_id"),
+        _iso(ts).alias("ingestion_time"),
+        route.alias("route_id"),
+        trip.alias("trip_id"),
+        F.concat(F.lit("V"), F.col("user_id").cast("string")).alias("vehicle_id"),
+        F.lit(VEHICLE_POSITIONS).alias("source"),
+    ))
+    return ev.withColumn("tj", trip_json).select(
+        F.when(F.col("event_type") == "view", vehicle_json)
+        .when(F.col("event_type") == "signup", F.expr("substring(tj, 1, length(tj) - 1)"))
+        .otherwise(with_delay)
+        .alias("value")
+    )
+
+
+def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each JSON line wrapped as a delivered record: ``{"Records":[{"kinesis":{"data":b64}}]}``."""
+    return raw_lines(spark, sf_dir).select(
+        F.to_json(F.struct(F.array(F.struct(F.struct(
+            F.base64(F.encode("value", "UTF-8")).alias("data")).alias("kinesis"))).alias("Records")
+        )).alias("value")
+    )
+
+
+def feed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One decoded feed message per event, with one entity.
+
+    click: departure and arrival present (departure wins); purchase: arrival
+    only; error: departure present with its delay unset (counts as 0);
+    signup: neither (the stop update yields no record); view: vehicle entity.
+    """
+    ensure_utc(spark)
+    ev = table(spark, sf_dir, "events")
+    ts = F.col("ts").cast("timestamp")
+    et = F.col("event_type")
+    k = F.get_json_object("props", "$.k").cast("int")
+    d_int = (F.floor(F.col("value") * 4) - 60).cast("int")
+    delay = lambda c: F.struct(c.alias("delay"))
+    no_delay = F.lit(None).cast("struct<delay:int>")
+    arrival = F.when(et == "click", delay(d_int - 30)).when(et == "purchase", delay(d_int)).otherwise(no_delay)
+    departure = (F.when(et == "click", delay(d_int))
+                 .when(et == "error", delay(F.lit(None).cast("int"))).otherwise(no_delay))
+    route = _route(F.col("user_id"))
+    trip_id = F.concat(F.lit("T"), F.col("user_id").cast("string"))
+    trip_update = F.struct(
+        F.struct(trip_id.alias("trip_id"), route.alias("route_id"),
+                 F.date_format(ts, "yyyyMMdd").alias("start_date"),
+                 F.lit(0).alias("schedule_relationship")).alias("trip"),
+        F.array(F.struct(k.alias("stop_sequence"), F.concat(F.lit("S"), k.cast("string")).alias("stop_id"),
+                         arrival.alias("arrival"), departure.alias("departure"))).alias("stop_time_update"),
+    )
+    vehicle = F.struct(
+        F.struct(route.alias("route_id"), trip_id.alias("trip_id")).alias("trip"),
+        F.struct(F.concat(F.lit("V"), F.col("user_id").cast("string")).alias("id")).alias("vehicle"),
+        F.struct(
+            (F.lit(53.0) + k / 1000).cast("float").alias("latitude"),
+            (F.lit(-6.0) - k / 1000).cast("float").alias("longitude"),
+            (k * 3.6).cast("float").alias("bearing"),
+            F.col("value").cast("float").alias("speed"),
+        ).alias("position"),
+        (k % 7).cast("int").alias("occupancy_status"),
+    )
+    is_view = et == "view"
+    entity = F.struct(
+        F.concat(F.lit("E"), F.col("event_id").cast("string")).alias("id"),
+        F.when(~is_view, trip_update).alias("trip_update"),
+        F.when(is_view, vehicle).alias("vehicle"),
+    )
+    return ev.select(_iso(ts).alias("ingestion_time"), F.array(entity).alias("entity"))
