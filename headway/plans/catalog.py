@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from headway.functions import columns as C
 from headway.operators import batch as B
+from headway.operators import reports as RP
 from headway.operators import serving as V
 from headway.operators import speed as S
 from headway.sources import feed as FD
@@ -250,6 +251,20 @@ def q_ingest_union(spark, sf_dir):
     return FD.ingest_union(X.feed_messages(spark, sf_dir))
 
 
+# -- run-log reports ------------------------------------------------------------
+
+def q_latency_report(spark, sf_dir):
+    return RP.latency_report(X.api_requests(spark, sf_dir))
+
+
+def q_throughput_report(spark, sf_dir):
+    return RP.throughput_report(X.ingest_runs(spark, sf_dir))
+
+
+def q_speedup_report(spark, sf_dir):
+    return RP.speedup_report(X.batch_runs(spark, sf_dir), job=["job_date"])
+
+
 QUERIES: dict[str, Query] = {
     "clean_events": q_clean_events,
     "input_counts": q_input_counts,
@@ -290,4 +305,7 @@ QUERIES: dict[str, Query] = {
     "flatten_trip_updates": q_flatten_trip_updates,
     "flatten_vehicle_positions": q_flatten_vehicle_positions,
     "ingest_union": q_ingest_union,
+    "latency_report": q_latency_report,
+    "throughput_report": q_throughput_report,
+    "speedup_report": q_speedup_report,
 }

@@ -340,3 +340,55 @@ ORACLE.update({
              SELECT event_id, ingestion_time, route_id, trip_id, NULL, NULL, NULL, NULL, NULL, source,
                     vehicle_id, latitude, longitude, bearing, speed_ms, occupancy_status FROM vehicles)""",
 })
+
+
+# -- run-log reports --------------------------------------------------------------
+
+REQ = """req AS (
+  SELECT cast([1, 5, 10, 20][user_id % 4 + 1] AS INTEGER) AS concurrency,
+         CASE WHEN event_type <> 'error' THEN value END AS latency_ms,
+         event_type <> 'error' AS success
+  FROM events)"""
+
+LATENCY = f"""SELECT c.concurrency, c.requests, c.successful, c.requests - c.successful AS failed,
+       {rb('s.mean', 2)} AS avg_latency_ms, {rb('(s.lo + s.hi) / 2', 2)} AS p50_ms,
+       {rb('s.p95', 2)} AS p95_ms, {rb('s.p99', 2)} AS p99_ms
+FROM (SELECT concurrency, count(*) AS requests,
+             cast(count_if(success AND latency_ms IS NOT NULL) AS BIGINT) AS successful
+      FROM req GROUP BY concurrency) c
+LEFT JOIN (
+  SELECT concurrency, any_value(mean) AS mean,
+         max(CASE WHEN rn = floor((n + 1) / 2) THEN latency_ms END) AS lo,
+         max(CASE WHEN rn = floor(n / 2) + 1 THEN latency_ms END) AS hi,
+         max(CASE WHEN rn = least(floor(n * 95 / 100), n - 1) + 1 THEN latency_ms END) AS p95,
+         max(CASE WHEN rn = least(floor(n * 99 / 100), n - 1) + 1 THEN latency_ms END) AS p99
+  FROM (SELECT concurrency, latency_ms,
+               row_number() OVER (PARTITION BY concurrency ORDER BY latency_ms) AS rn,
+               count(*) OVER (PARTITION BY concurrency) AS n,
+               avg(latency_ms) OVER (PARTITION BY concurrency) AS mean
+        FROM req WHERE success AND latency_ms IS NOT NULL)
+  GROUP BY concurrency) s ON c.concurrency = s.concurrency"""
+
+THROUGHPUT = f"""SELECT target_rate, count(*) AS total_records, cast(count_if(success) AS BIGINT) AS success,
+       {rb('count_if(success) / count(*) * 100', 2)} AS success_rate,
+       {rb('CASE WHEN (epoch_us(max(ts)) - epoch_us(min(ts))) > 0 THEN count_if(success) / ((epoch_us(max(ts)) - epoch_us(min(ts))) / 1e6) END', 2)} AS actual_rps
+FROM (SELECT cast([10, 50, 100, 200, 500][user_id % 5 + 1] AS INTEGER) AS target_rate,
+             event_type <> 'error' AS success, ts FROM events)
+GROUP BY target_rate"""
+
+SPEEDUP = f"""SELECT job_date, partitions, state, {rb('time_seconds', 2)} AS time_seconds,
+       {rb("CASE WHEN state = 'COMPLETED' AND base IS NOT NULL THEN base / time_seconds ELSE 0 END", 3)} AS speedup,
+       {rb("CASE WHEN partitions > 0 THEN (CASE WHEN state = 'COMPLETED' AND base IS NOT NULL THEN base / time_seconds ELSE 0 END) / partitions ELSE 0 END", 3)} AS efficiency
+FROM (SELECT *, first_value(CASE WHEN state = 'COMPLETED' THEN time_seconds END IGNORE NULLS)
+                  OVER (PARTITION BY job_date ORDER BY partitions
+                        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS base
+      FROM (SELECT cast(ts AS DATE) AS job_date, cast(pow(2, user_id % 4) AS INTEGER) AS partitions,
+                   CASE WHEN max(value) > 480 THEN 'FAILED' ELSE 'COMPLETED' END AS state,
+                   sum(cast(round(value * 100) AS BIGINT)) / 100 AS time_seconds
+            FROM events GROUP BY ALL))"""
+
+ORACLE.update({
+    "latency_report": w(REQ) + LATENCY,
+    "throughput_report": THROUGHPUT,
+    "speedup_report": SPEEDUP,
+})

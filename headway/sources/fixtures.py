@@ -195,3 +195,49 @@ def feed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(is_view, vehicle).alias("vehicle"),
     )
     return ev.select(_iso(ts).alias("ingestion_time"), F.array(entity).alias("entity"))
+
+
+# -- run logs for the report operators -------------------------------------------
+# Concurrency level, target rate and partition count are taken from the user id;
+# an ``error`` event is a failed request / record.
+
+def api_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Request log: concurrency, latency (ms, NULL on failure), status, success."""
+    ev = table(spark, sf_dir, "events")
+    ok = F.col("event_type") != "error"
+    return ev.select(
+        F.element_at(F.array(*[F.lit(c) for c in (1, 5, 10, 20)]), (F.col("user_id") % 4 + 1).cast("int"))
+        .alias("concurrency"),
+        F.when(ok, F.col("value")).alias("latency_ms"),
+        F.when(ok, F.lit("200")).otherwise(F.lit("500")).alias("status"),
+        ok.alias("success"),
+    )
+
+
+def ingest_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ingest log: target rate of the run, success of the put, time it was sent."""
+    ensure_utc(spark)
+    ev = table(spark, sf_dir, "events")
+    return ev.select(
+        F.element_at(F.array(*[F.lit(r) for r in (10, 50, 100, 200, 500)]),
+                     (F.col("user_id") % 5 + 1).cast("int")).alias("target_rate"),
+        (F.col("event_type") != "error").alias("success"),
+        F.col("ts").cast("timestamp").alias("sent_at"),
+    )
+
+
+def batch_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batch-run log: one run per day (job) and partition count 1/2/4/8.
+
+    The elapsed time is the day's summed event value in exact cents; a run
+    whose largest value exceeds 480 counts as FAILED.
+    """
+    ev = table(spark, sf_dir, "events")
+    cents = F.round(F.col("value") * 100).cast("bigint")
+    return ev.groupBy(
+        F.to_date("ts").alias("job_date"),
+        F.pow(F.lit(2), F.col("user_id") % 4).cast("int").alias("partitions"),
+    ).agg(
+        F.when(F.max("value") > 480, F.lit("FAILED")).otherwise(F.lit("COMPLETED")).alias("state"),
+        (F.sum(cents) / 100).alias("time_seconds"),
+    )
