@@ -88,7 +88,7 @@ def sliding_window_stats(
             F.unix_micros("pane_start").alias("p"),
             F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("i"),
         ).withColumn(
-            "window_start", F.timestamp_micros(F.col("p") - F.col("i") * F.lit(slide_s * 1_000_000))
+            "window_start", F.timestamp_micros(F.col("p") - F.col("i").cast("bigint") * F.lit(slide_s * 1_000_000).cast("bigint"))
         )
         out = fanned.groupBy("route_id", "window_start").agg(
             F.sum("n").alias("event_count"),
@@ -97,7 +97,7 @@ def sliding_window_stats(
             F.sum("l").cast("bigint").alias("late_count"),
         ).withColumn(
             "window_end",
-            F.timestamp_micros(F.unix_micros("window_start") + F.lit(size_s * 1_000_000)),
+            F.timestamp_micros(F.unix_micros("window_start") + F.lit(size_s * 1_000_000).cast("bigint")),
         )
     else:
         out = (
