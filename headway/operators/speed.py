@@ -205,7 +205,7 @@ def top_delayed_n(snapshot_rows: DataFrame, n: int, as_of: datetime | None = Non
 
 
 def speed_with_baseline(windows: DataFrame, baseline: DataFrame,
-                        threshold: float = C.ANOMALY_RATIO) -> DataFrame:
+                        threshold: float = C.ANOMALY_RATIO, keep_exact: bool = False) -> DataFrame:
     """Attach the historical mean of the bucket of ``window_end`` and flag anomalies.
 
     The baseline is (route, 168 buckets) and small; the join carries no hint:
@@ -221,6 +221,7 @@ def speed_with_baseline(windows: DataFrame, baseline: DataFrame,
         "left",
     )
     ratio = C.anomaly_ratio("avg_delay_seconds", "baseline")
+    exact = [F.col("avg_delay_seconds").alias("avg_delay_exact")] if keep_exact else []
     return joined.select(
         "window_start", "window_end", "route_id", "time_bucket", "event_count",
         C.half_even("avg_delay_seconds", 2).alias("avg_delay_seconds"),
@@ -228,6 +229,7 @@ def speed_with_baseline(windows: DataFrame, baseline: DataFrame,
         C.half_even("baseline", 2).alias("batch_baseline_seconds"),
         C.half_even(ratio, 2).alias("anomaly_ratio"),
         C.is_anomaly(ratio, threshold).alias("is_anomaly"),
+        *exact,
     )
 
 

@@ -15,12 +15,14 @@ from pyspark.sql import functions as F
 
 from headway.functions import columns as C
 from headway.operators import batch as B
+from headway.schemas import RAW_SCHEMA
 from headway.operators import reports as RP
 from headway.operators import serving as V
 from headway.operators import speed as S
 from headway.sources import feed as FD
 from headway.sources import fixtures as X
 from headway.sources import raw as RW
+from headway.streaming import replay as SR
 
 AS_OF = X.AS_OF
 # The fixture has about one event per route and five minutes, so the
@@ -265,6 +267,45 @@ def q_speedup_report(spark, sf_dir):
     return RP.speedup_report(X.batch_runs(spark, sf_dir), job=["job_date"])
 
 
+# -- streaming (replays of the streaming jobs with availableNow) ----------------
+
+STREAM_WATERMARK = "1 hour"
+TUMBLE_WATERMARK = "10 minutes"
+
+
+def q_stream_sliding_window(spark, sf_dir):
+    return SR.stream_windows(spark, sf_dir, SIZE, SLIDE, STREAM_WATERMARK)
+
+
+def q_stream_tumbling_window(spark, sf_dir):
+    out = SR.stream_windows(spark, sf_dir, TUMBLE, None, TUMBLE_WATERMARK)
+    return out.select("window_start", "window_end", "route_id", "avg_delay_seconds", "event_count")
+
+
+def q_stream_top_n(spark, sf_dir):
+    return SR.speed_layer(spark, sf_dir, SIZE, SLIDE, STREAM_WATERMARK, TOP_N)[1]
+
+
+def q_stream_anomalies(spark, sf_dir):
+    return SR.speed_layer(spark, sf_dir, SIZE, SLIDE, STREAM_WATERMARK, TOP_N)[0].filter("is_anomaly")
+
+
+def q_microbatch_stats(spark, sf_dir):
+    return SR.microbatch(spark, sf_dir, AS_OF)[0]
+
+
+def q_batch_counters(spark, sf_dir):
+    return SR.microbatch(spark, sf_dir, AS_OF)[1].select("batch_id", "processed", "routes_updated")
+
+
+def q_stream_late_data(spark, sf_dir):
+    return SR.late_arrivals(spark, sf_dir, SIZE, SLIDE, STREAM_WATERMARK)
+
+
+def q_archive_raw(spark, sf_dir):
+    return SR.archive(spark, sf_dir).select(*[f.name for f in RAW_SCHEMA.fields])
+
+
 QUERIES: dict[str, Query] = {
     "clean_events": q_clean_events,
     "input_counts": q_input_counts,
@@ -308,4 +349,12 @@ QUERIES: dict[str, Query] = {
     "latency_report": q_latency_report,
     "throughput_report": q_throughput_report,
     "speedup_report": q_speedup_report,
+    "stream_sliding_window": q_stream_sliding_window,
+    "stream_tumbling_window": q_stream_tumbling_window,
+    "stream_top_n": q_stream_top_n,
+    "stream_anomalies": q_stream_anomalies,
+    "microbatch_stats": q_microbatch_stats,
+    "batch_counters": q_batch_counters,
+    "stream_late_data": q_stream_late_data,
+    "archive_raw": q_archive_raw,
 }

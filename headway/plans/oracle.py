@@ -392,3 +392,40 @@ ORACLE.update({
     "throughput_report": THROUGHPUT,
     "speedup_report": SPEEDUP,
 })
+
+
+# -- streaming replays (batch twins; append mode emits closed windows only) -------
+
+MICRO = f"""SELECT cast(0 AS BIGINT) AS batch_id, m.route_id, m.event_count,
+       {rb('m.avg_delay_seconds', 2)} AS avg_delay_seconds, m.max_delay_seconds, m.late_count,
+       {rb('b.avg_delay_seconds', 2)} AS batch_baseline_seconds,
+       {rb('CASE WHEN b.avg_delay_seconds > 0 THEN m.avg_delay_seconds / b.avg_delay_seconds END', 2)}
+         AS anomaly_ratio,
+       coalesce(CASE WHEN b.avg_delay_seconds > 0 THEN m.avg_delay_seconds / b.avg_delay_seconds END > 2.0,
+                false) AS is_anomaly
+FROM (SELECT route_id, count(*) AS event_count, avg(delay_seconds) AS avg_delay_seconds,
+             max(delay_seconds) AS max_delay_seconds,
+             cast(sum(CASE WHEN delay_seconds > 60 THEN 1 ELSE 0 END) AS BIGINT) AS late_count
+      FROM ({SPEEDREC}) GROUP BY route_id) m
+LEFT JOIN (SELECT * FROM bview WHERE time_bucket = {bucket(AS_OF)}) b ON m.route_id = b.route_id"""
+
+ORACLE.update({
+    "stream_sliding_window": w(EV, SPD) + f"""SELECT * FROM ({sliding('spd')})
+       WHERE window_end <= (SELECT max(event_ts) FROM spd) - INTERVAL 1 HOUR""",
+    "stream_tumbling_window": w(EV, SPD) + """SELECT * FROM (
+         SELECT make_timestamp(epoch_us(event_ts) // 60000000 * 60000000) AS window_start,
+                make_timestamp(epoch_us(event_ts) // 60000000 * 60000000 + 60000000) AS window_end,
+                route_id, avg(delay_seconds) AS avg_delay_seconds, count(*) AS event_count
+         FROM spd GROUP BY ALL)
+       WHERE window_end <= (SELECT max(event_ts) FROM spd) - INTERVAL 10 MINUTE""",
+    "stream_top_n": w(EV, SPD, LIVE, LW, SNAP) + "SELECT * FROM snap",
+    "stream_anomalies": w(*SPEED) + "SELECT * FROM sr WHERE is_anomaly",
+    "microbatch_stats": w(SRC, EV, CLEAN, HIST, STATS, BVIEW) + MICRO,
+    "batch_counters": w(SRC) + """SELECT cast(0 AS BIGINT) AS batch_id, count(*) AS processed,
+       count(DISTINCT CASE WHEN event_type IN ('click', 'purchase', 'error') THEN route_id END)
+         AS routes_updated FROM src""",
+    "stream_late_data": w(EV, SPD, LIVE) + f"""SELECT * FROM ({sliding('livespd')})
+       WHERE window_end <= (SELECT max(event_ts) FROM livespd) - INTERVAL 1 HOUR""",
+    "archive_raw": w(SRC, RAWSCAN) + """SELECT r.* FROM rawscan r
+       WHERE r.event_id IS NOT NULL""",
+})

@@ -100,7 +100,11 @@ def _iso(ts: Column) -> Column:
 def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One JSON text line per event (column ``value``)."""
     ensure_utc(spark)
-    ev = table(spark, sf_dir, "events")
+    return raw_lines_from(table(spark, sf_dir, "events"))
+
+
+def raw_lines_from(ev: DataFrame) -> DataFrame:
+    """:func:`raw_lines` of an ``events``-shaped frame (batch or streaming)."""
     ts = F.col("ts").cast("timestamp")
     k = F.get_json_object("props", "$.k").cast("int")
     d_int = (F.floor(F.col("value") * 4) - 60).cast("int")
@@ -143,7 +147,11 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each JSON line wrapped as a delivered record: ``{"Records":[{"kinesis":{"data":b64}}]}``."""
-    return raw_lines(spark, sf_dir).select(
+    return envelopes_from(raw_lines(spark, sf_dir))
+
+
+def envelopes_from(lines: DataFrame) -> DataFrame:
+    return lines.select(
         F.to_json(F.struct(F.array(F.struct(F.struct(
             F.base64(F.encode("value", "UTF-8")).alias("data")).alias("kinesis"))).alias("Records")
         )).alias("value")
