@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from headway.functions import columns as C
+from headway.session import checkpoint_root
 
 
 def _local_running_counts(group: str, value: str):
@@ -58,6 +59,9 @@ def exact_ranks(df: DataFrame, group: str, value: str, targets: DataFrame,
     fields = [counts.schema[group], counts.schema[value], T.StructField("c", T.LongType()),
               T.StructField("pid", T.IntegerType()), T.StructField("local_cum", T.LongType())]
     local = ranged.mapInPandas(_local_running_counts(group, value), T.StructType(fields))
+    # read twice (task totals, then ranks): computed once, lineage cut
+    checkpoint_root(spark)
+    local = local.checkpoint(eager=True)
     per_task = local.groupBy(group, "pid").agg(F.max("local_cum").alias("task_rows"))
     offsets = per_task.withColumn(
         "offset",
@@ -84,14 +88,15 @@ def latency_report(requests: DataFrame, group: str = "concurrency") -> DataFrame
     the sorted latencies; the median averages the two middle values when n is
     even.
     """
-    ok = requests.filter(F.col("success") & F.col("latency_ms").isNotNull())
-    counts = requests.groupBy(group).agg(
+    good = F.col("success") & F.col("latency_ms").isNotNull()
+    ok = requests.filter(good)
+    stats = requests.groupBy(group).agg(
         F.count(F.lit(1)).alias("requests"),
-        F.count_if(F.col("success") & F.col("latency_ms").isNotNull()).alias("successful"),
+        F.count_if(good).alias("successful"),
+        F.avg(F.when(good, F.col("latency_ms"))).alias("mean"),
     )
-    stats = ok.groupBy(group).agg(F.count(F.lit(1)).alias("n"), F.avg("latency_ms").alias("mean"))
-    n = F.col("n")
-    targets = stats.select(
+    n = F.col("successful")
+    targets = stats.filter(n > 0).select(
         group,
         F.explode(F.array(
             F.struct(F.lit("lo").alias("key"), F.floor((n + 1) / 2).alias("r")),
@@ -103,7 +108,7 @@ def latency_report(requests: DataFrame, group: str = "concurrency") -> DataFrame
     picked = exact_ranks(ok, group, "latency_ms", targets).groupBy(group).pivot(
         "key", ["lo", "hi", "p95", "p99"]
     ).agg(F.first("latency_ms"))
-    out = counts.join(stats, group, "left").join(picked, group, "left")
+    out = stats.join(picked, group, "left")
     return out.select(
         group,
         "requests",

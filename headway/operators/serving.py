@@ -64,17 +64,21 @@ def serving_merge(speed_rows: DataFrame, baseline: DataFrame, as_of: datetime) -
     bucket = C.time_bucket(ts_literal(as_of))
     live = latest_per_route(speed_rows, as_of).select(
         "route_id",
+        bucket.alias("time_bucket"),
         F.col("window_end").alias("speed_window_end"),
         F.col("avg_delay_seconds").alias("live_avg_delay_seconds"),
         F.col("event_count").alias("live_event_count"),
         "is_anomaly",
     )
-    hist = baseline.filter(F.col("time_bucket") == bucket).select(
-        "route_id", F.col("avg_delay_seconds").alias("historical_avg_delay_seconds")
+    hist = baseline.select(
+        "route_id", "time_bucket", F.col("avg_delay_seconds").alias("historical_avg_delay_seconds")
     )
-    merged = _merge(live, hist, ["route_id"])
+    # Keyed on (route, bucket) against the whole baseline and filtered after the
+    # join: the baseline subtree is then the same one the speed rows were joined
+    # with, so its stage is computed once and reused instead of rescanning history.
+    merged = _merge(live, hist, ["route_id", "time_bucket"]).filter(F.col("time_bucket") == bucket)
     return merged.select(
-        "route_id", bucket.alias("time_bucket"), "speed_window_end", "live_avg_delay_seconds",
+        "route_id", "time_bucket", "speed_window_end", "live_avg_delay_seconds",
         "live_event_count", "is_anomaly", "historical_avg_delay_seconds",
         "delta_vs_historical", "verdict",
     )

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from headway.functions import columns as C
 from headway.operators import batch as B
 from headway.schemas import RAW_SCHEMA
+from headway.session import materialize
 from headway.operators import reports as RP
 from headway.operators import serving as V
 from headway.operators import speed as S
@@ -52,8 +53,14 @@ def live_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.sliding_window_stats(X.live_events(spark, sf_dir), SIZE, SLIDE)
 
 
-def speed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return S.speed_with_baseline(live_windows(spark, sf_dir), baseline(spark, sf_dir))
+def baseline_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The batch view written once and read back (for queries that use it twice)."""
+    return materialize(baseline(spark, sf_dir), "batch_view")
+
+
+def speed_rows(spark: SparkSession, sf_dir: str, base: DataFrame | None = None) -> DataFrame:
+    base = base if base is not None else baseline(spark, sf_dir)
+    return S.speed_with_baseline(live_windows(spark, sf_dir), base)
 
 
 def live_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -151,11 +158,13 @@ def q_latest_per_route(spark, sf_dir):
 
 
 def q_serving_merge(spark, sf_dir):
-    return V.serving_merge(speed_rows(spark, sf_dir), baseline(spark, sf_dir), AS_OF)
+    base = baseline_table(spark, sf_dir)
+    return V.serving_merge(speed_rows(spark, sf_dir, base), base, AS_OF)
 
 
 def q_serving_merge_history(spark, sf_dir):
-    return V.serving_merge_history(speed_rows(spark, sf_dir), baseline(spark, sf_dir))
+    base = baseline_table(spark, sf_dir)
+    return V.serving_merge_history(speed_rows(spark, sf_dir, base), base)
 
 
 def q_verdict(spark, sf_dir):
@@ -165,7 +174,8 @@ def q_verdict(spark, sf_dir):
 
 
 def q_route_detail(spark, sf_dir):
-    return V.route_detail(speed_rows(spark, sf_dir), baseline(spark, sf_dir), AS_OF, DETAIL_ROUTE)
+    base = baseline_table(spark, sf_dir)
+    return V.route_detail(speed_rows(spark, sf_dir, base), base, AS_OF, DETAIL_ROUTE)
 
 
 def q_live_summary(spark, sf_dir):

@@ -83,3 +83,18 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A path below the shared checkpoint folder."""
     return os.path.join(checkpoint_root(spark), *parts)
+
+
+def materialize(df, name: str):
+    """Write ``df`` once to a fresh table below the checkpoint root and read it back.
+
+    Cuts lineage (a lost executor re-reads the table instead of recomputing the
+    inputs) and lets several consumers share one computation. The read-back
+    table also carries its true size for the planner's broadcast decision.
+    """
+    import uuid
+
+    spark = df.sparkSession
+    path = scratch_path(spark, "tables", f"{name}-{uuid.uuid4().hex[:12]}")
+    df.write.parquet(path)
+    return spark.read.parquet(path)
