@@ -133,36 +133,44 @@ def anomaly_alerts(anomalies: DataFrame, n: int = 6) -> DataFrame:
     )
 
 
-def live_summary(window: DataFrame, top: DataFrame) -> DataFrame:
-    """One row: routes in the current window, size of the top list, top route.
+def _top_of(avg: str = "avg_delay_seconds", route: str = "route_id"):
+    """Order key of the top list: highest mean first, then route_id (min_by picks rank 1)."""
+    return F.struct((-F.col(avg)).alias("neg_avg"), F.col(route).alias("route"))
 
-    ``window`` is the per-route statistics of the current window and ``top``
-    the ranked list derived from it; both are small (routes, n).
+
+def live_summary(window: DataFrame, n: int = C.TOP_N) -> DataFrame:
+    """One row: routes in the current window, size of the top list, top route and its mean.
+
+    ``window`` is the per-route statistics of the current window; one
+    aggregate computes every field (no join of single-row results).
+    """
+    return window.agg(
+        F.count(F.lit(1)).alias("routes_in_window"),
+        F.least(F.count(F.lit(1)), F.lit(n)).cast("int").alias("top_list_size"),
+        F.min_by("route_id", _top_of()).alias("top_route_id"),
+        C.half_even(F.min_by("avg_delay_seconds", _top_of()), 1).alias("top_route_avg_delay_seconds"),
+    )
+
+
+def kpis(window: DataFrame, anomalies: DataFrame, n: int = C.TOP_N) -> DataFrame:
+    """Dashboard tiles: top route and its delay text, routes tracked, active anomalies.
+
+    Both inputs are stacked and reduced by one aggregate with conditional
+    parts, so the tiles come from a single pass and no join.
     """
-    routes = window.agg(F.count(F.lit(1)).alias("routes_in_window"))
-    head = top.agg(
-        F.count(F.lit(1)).cast("int").alias("top_list_size"),
-        F.min_by("route_id", "rank").alias("top_route_id"),
-        F.min_by("avg_delay_seconds", "rank").alias("top_route_avg_delay_seconds"),
-    )
-    return _one_row_pair(routes, head)
-
-
-def _one_row_pair(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Combine two single-row aggregates side by side (equi-join on a constant key)."""
-    k = "_one"
-    return left.withColumn(k, F.lit(1)).join(right.withColumn(k, F.lit(1)), k).drop(k)
-
-
-def kpis(top: DataFrame, anomalies: DataFrame) -> DataFrame:
-    """Dashboard tiles: top route and its delay text, routes tracked, active anomalies."""
-    head = top.agg(
-        F.min_by("route_id", "rank").alias("top_route_id"),
-        F.min_by("avg_delay_seconds", "rank").alias("top_avg_delay_seconds"),
-        F.count(F.lit(1)).alias("routes_tracked"),
-    ).withColumn("top_delay_label", C.delay_label("top_avg_delay_seconds"))
-    active = anomalies.agg(F.count(F.lit(1)).alias("active_anomalies"))
-    return _one_row_pair(head, active)
+    w = window.select("route_id", "avg_delay_seconds", F.lit(False).alias("_anomaly"))
+    a = anomalies.select("route_id", F.lit(None).cast("double").alias("avg_delay_seconds"),
+                         F.lit(True).alias("_anomaly"))
+    live = ~F.col("_anomaly")
+    top_key = F.when(live, _top_of())
+    head = w.unionByName(a).agg(
+        F.min_by(F.when(live, F.col("route_id")), top_key).alias("top_route_id"),
+        C.half_even(F.min_by(F.when(live, F.col("avg_delay_seconds")), top_key), 1)
+        .alias("top_avg_delay_seconds"),
+        F.least(F.count_if(live), F.lit(n)).alias("routes_tracked"),
+        F.count_if(F.col("_anomaly")).alias("active_anomalies"),
+    )
+    return head.withColumn("top_delay_label", C.delay_label("top_avg_delay_seconds"))
 
 
 def top_delayed_enriched(snapshot_rows: DataFrame, merged: DataFrame,

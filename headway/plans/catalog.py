@@ -179,18 +179,19 @@ def q_route_detail(spark, sf_dir):
 
 
 def q_live_summary(spark, sf_dir):
-    ev = X.delay_events(spark, sf_dir)
-    return V.live_summary(S.window_stats(ev, AS_OF, SIZE), S.top_delayed_live(ev, AS_OF, SIZE, TOP_N))
+    return V.live_summary(S.window_stats(X.delay_events(spark, sf_dir), AS_OF, SIZE), TOP_N)
 
 
 def q_kpis(spark, sf_dir):
-    ev = X.delay_events(spark, sf_dir)
-    return V.kpis(S.top_delayed_live(ev, AS_OF, SIZE, TOP_N),
-                  V.current_anomalies(speed_rows(spark, sf_dir), AS_OF))
+    window = S.window_stats(X.delay_events(spark, sf_dir), AS_OF, SIZE)
+    return V.kpis(window, V.current_anomalies(speed_rows(spark, sf_dir), AS_OF), TOP_N)
 
 
 def q_top_delayed_enriched(spark, sf_dir):
-    return V.top_delayed_enriched(live_snapshots(spark, sf_dir), q_serving_merge(spark, sf_dir), AS_OF)
+    windows = materialize(live_windows(spark, sf_dir), "live_windows")
+    base = baseline_table(spark, sf_dir)
+    merged = V.serving_merge(S.speed_with_baseline(windows, base), base, AS_OF)
+    return V.top_delayed_enriched(S.top_n_snapshot(windows, TOP_N), merged, AS_OF)
 
 
 def q_delay_label(spark, sf_dir):
