@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from headway.functions import columns as C
 from headway.operators import batch as B
 from headway.schemas import RAW_SCHEMA
-from headway.session import materialize
+from headway.session import ensure_utc, materialize
 from headway.operators import reports as RP
 from headway.operators import serving as V
 from headway.operators import speed as S
@@ -317,7 +317,7 @@ def q_archive_raw(spark, sf_dir):
     return SR.archive(spark, sf_dir).select(*[f.name for f in RAW_SCHEMA.fields])
 
 
-QUERIES: dict[str, Query] = {
+_QUERIES: dict[str, Query] = {
     "clean_events": q_clean_events,
     "input_counts": q_input_counts,
     "route_statistics": q_route_statistics,
@@ -369,3 +369,18 @@ QUERIES: dict[str, Query] = {
     "stream_late_data": q_stream_late_data,
     "archive_raw": q_archive_raw,
 }
+
+
+def _utc(q: Query) -> Query:
+    """Every query runs with the session zone pinned to UTC (all clocks are UTC)."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ensure_utc(spark)
+        return q(spark, sf_dir)
+
+    run.__name__ = q.__name__
+    run.__doc__ = q.__doc__
+    return run
+
+
+QUERIES: dict[str, Query] = {name: _utc(q) for name, q in _QUERIES.items()}

@@ -86,3 +86,17 @@ def test_microbatch_single_batch_equals_group_by(spark):
     assert stats.agg(F.sum("event_count")).first()[0] == stats.join(
         counters.select("batch_id"), "batch_id").agg(F.sum("event_count")).first()[0]
     assert stats.count() == c.routes_updated
+
+
+def test_queries_pin_utc(spark):
+    import __spark_entry__ as E
+
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        a = E.queries()["stream_tumbling_window"](spark, SF_SMALL)
+        b = E.queries()["tumbling_window_avg"](spark, SF_SMALL)
+        assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
+        closed = b.join(a.select("window_start", "route_id"), ["window_start", "route_id"], "left_semi")
+        assert _same(a, closed) and a.count() > 0
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
