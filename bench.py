@@ -1,7 +1,7 @@
 """Benchmark the headline queries; prints ONE JSON line on stdout.
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-BENCH_RUNS (timed runs per query after one warm-up, default 3).
+BENCH_RUNS (timed runs per query after two warm-ups, default 5).
 Each run executes the full plan into Spark's ``noop`` sink (no driver
 collect), and the median run is reported.
 """
@@ -33,7 +33,7 @@ HEADLINE = (
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "5"))
     from headway.plans.catalog import QUERIES
     from headway.session import build_session
 
@@ -47,7 +47,8 @@ def main() -> None:
     times: dict[str, float] = {}
     for name in HEADLINE:
         q = QUERIES[name]
-        q(spark, sf_dir).write.format("noop").mode("overwrite").save()  # warm-up
+        for _ in range(2):                                                  # warm-up (JIT, caches)
+            q(spark, sf_dir).write.format("noop").mode("overwrite").save()
         samples = []
         for _ in range(runs):
             t0 = time.perf_counter()

@@ -186,6 +186,21 @@ def top_n_lists(snapshot_rows: DataFrame) -> DataFrame:
     )
 
 
+def top_n_json(snapshot_rows: DataFrame) -> DataFrame:
+    """Snapshot as stored for the dashboard: one row per window, the list as JSON text."""
+    lists = top_n_lists(snapshot_rows)
+    return lists.select("window_end", F.to_json("top_routes").alias("top_routes"))
+
+
+def parse_top_n_json(json_rows: DataFrame) -> DataFrame:
+    """Stored JSON lists back to one row per entry (an empty or missing list gives no row)."""
+    parsed = F.from_json("top_routes", "array<struct<rank:int,route_id:string,avg_delay_seconds:double,"
+                                        "max_delay_seconds:int,event_count:bigint>>")
+    return json_rows.select("window_end", F.explode(parsed).alias("e")).select(
+        "window_end", "e.rank", "e.route_id", "e.avg_delay_seconds", "e.max_delay_seconds",
+        "e.event_count")
+
+
 def latest_snapshot(snapshot_rows: DataFrame, as_of: datetime | None = None) -> DataFrame:
     """Rows of the newest snapshot at or before ``as_of`` (empty if none).
 

@@ -127,6 +127,11 @@ def q_latest_snapshot(spark, sf_dir):
     return S.latest_snapshot(live_snapshots(spark, sf_dir), AS_OF)
 
 
+def q_latest_snapshot_json(spark, sf_dir):
+    stored = S.top_n_json(live_snapshots(spark, sf_dir))
+    return S.latest_snapshot(S.parse_top_n_json(stored), AS_OF)
+
+
 def q_top_delayed_n(spark, sf_dir):
     return S.top_delayed_n(live_snapshots(spark, sf_dir), PREFIX_N, AS_OF)
 
@@ -331,6 +336,7 @@ _QUERIES: dict[str, Query] = {
     "top_delayed_live": q_top_delayed_live,
     "top_n_snapshot": q_top_n_snapshot,
     "latest_snapshot": q_latest_snapshot,
+    "latest_snapshot_json": q_latest_snapshot_json,
     "top_delayed_n": q_top_delayed_n,
     "speed_with_baseline": q_speed_with_baseline,
     "anomaly_windows": q_anomaly_windows,

@@ -225,6 +225,7 @@ ORACLE: dict[str, str] = {
     "top_delayed_live": w(EV, SPD, WS, TOPLIVE) + "SELECT * FROM toplive",
     "top_n_snapshot": w(EV, SPD, LIVE, LW, SNAP) + "SELECT * FROM snap",
     "latest_snapshot": w(EV, SPD, LIVE, LW, SNAP, LATESTSNAP) + "SELECT * FROM latestsnap",
+    "latest_snapshot_json": w(EV, SPD, LIVE, LW, SNAP, LATESTSNAP) + "SELECT * FROM latestsnap",
     "top_delayed_n": w(EV, SPD, LIVE, LW, SNAP, LATESTSNAP) + 'SELECT * FROM latestsnap WHERE "rank" <= 3',
     "speed_with_baseline": w(*SPEED) + "SELECT * FROM sr",
     "anomaly_windows": w(*SPEED) + "SELECT * FROM sr WHERE is_anomaly",

@@ -4,6 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+# The provided ``events`` table (declared, so a scan needs no footer sampling).
+EVENTS = T.StructType(
+    [
+        T.StructField("event_id", T.LongType()),
+        T.StructField("ts", T.TimestampNTZType()),
+        T.StructField("user_id", T.LongType()),
+        T.StructField("event_type", T.StringType()),
+        T.StructField("value", T.DoubleType()),
+        T.StructField("props", T.StringType()),
+    ]
+)
+
 # Flat trip-update record as the poller emits it.
 DELAY_EVENT = T.StructType(
     [

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from headway.functions.columns import TRIP_UPDATES, VEHICLE_POSITIONS
+from headway.schemas import EVENTS
 from headway.session import ensure_utc
 
 # Fixed split of the recorded data into the batch layer's history and the
@@ -25,8 +26,13 @@ AS_OF = datetime(2024, 1, 28, 12, 0, 0)
 ROUTES = 12                      # route_id = 'R' || lpad(user_id % 12, 2, '0')
 
 
+DECLARED = {"events": EVENTS}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    """A provided table; declared schemas skip the footer read at planning time."""
+    reader = spark.read.schema(DECLARED[name]) if name in DECLARED else spark.read
+    return reader.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
 def _route(user_id: Column) -> Column:

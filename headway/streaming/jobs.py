@@ -58,7 +58,9 @@ def file_stream(spark: SparkSession, path: str, fmt: str = "parquet", schema=Non
 
 def event_stream(spark: SparkSession, sf_dir: str, max_files: int | None = None) -> DataFrame:
     """The provided ``events`` table as a stream (one file per trigger by default)."""
-    return file_stream(spark, sf_dir, glob="events.parquet", max_files=max_files or 1)
+    from headway.schemas import EVENTS
+
+    return file_stream(spark, sf_dir, schema=EVENTS, glob="events.parquet", max_files=max_files or 1)
 
 
 # -- windowed statistics ---------------------------------------------------------
@@ -266,6 +268,23 @@ def start_archive(lines: DataFrame, archive_path: str, checkpoint: str,
             .trigger(**(trigger or production_trigger(60))).start())
 
 
+def start_fan_out(lines: DataFrame, archive_path: str, view_path: str, snapshot_path: str,
+                  checkpoint_root: str, baseline: Callable[[SparkSession], DataFrame],
+                  trigger: Trigger | None = None, now: Column | None = None,
+                  **window_args) -> tuple[StreamingQuery, StreamingQuery]:
+    """One log feeds both consumers: the raw archive and the speed layer.
+
+    Two independent streaming queries on the same source, each with its own
+    checkpoint, so either can fail and restart without affecting the other.
+    """
+    archive = start_archive(lines, archive_path, os.path.join(checkpoint_root, "archive"),
+                            trigger or production_trigger(60))
+    records = RW.parse_speed_records(lines, now=now)
+    speed = start_speed_layer(records, view_path, snapshot_path, os.path.join(checkpoint_root, "speed"),
+                              baseline, trigger=trigger or production_trigger(), **window_args)
+    return archive, speed
+
+
 def run_to_completion(query: StreamingQuery, timeout_s: int = 1800) -> None:
     """Wait for an ``availableNow`` query; surface its failure."""
     query.awaitTermination(timeout_s)

@@ -100,3 +100,24 @@ def test_queries_pin_utc(spark):
         assert _same(a, closed) and a.count() > 0
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_fan_out_one_source_two_consumers(spark):
+    from headway.operators import batch as Bt
+    from headway.sources import raw as RWs
+
+    d = tempfile.mkdtemp(prefix="hw-fan-")
+    X.raw_lines(spark, SF_SMALL).write.text(f"{d}/in")
+    lines = spark.readStream.format("text").load(f"{d}/in")
+    baseline = lambda s: Bt.batch_view(Bt.route_statistics(Bt.clean_events(X.history_events(s, SF_SMALL))))
+    now = F.lit("2024-02-01 00:00:00").cast("timestamp")
+    a, s = J.start_fan_out(lines, f"{d}/raw", f"{d}/view", f"{d}/top", f"{d}/ckpt", baseline,
+                           trigger=J.REPLAY, now=now, size="6 hours", slide="1 hour",
+                           watermark="30 days")
+    J.run_to_completion(a)
+    J.run_to_completion(s)
+    decodable = X.raw_lines(spark, SF_SMALL).filter(F.try_parse_json("value").isNotNull()).count()
+    assert RWs.read_raw_json(spark, f"{d}/raw").count() == decodable
+    view = J.read_speed_view(spark, f"{d}/view")
+    speed_recs = RWs.parse_speed_records(X.raw_lines(spark, SF_SMALL), now=now)
+    assert view.agg(F.sum("event_count")).first()[0] == 6 * speed_recs.count()
