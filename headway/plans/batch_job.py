@@ -12,9 +12,10 @@ from __future__ import annotations
 import os
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from headway.functions import columns as C
 from headway.operators import batch as B
 from headway.sources import raw as RW
 
@@ -44,7 +45,7 @@ def write_views(partials: DataFrame, output_path: str, generated_at: str,
 
 def run_batch_job(spark: SparkSession, input_path: str, output_path: str,
                   since: datetime | None = None, until: datetime | None = None,
-                  raw: DataFrame | None = None) -> dict[str, str] | None:
+                  raw: DataFrame | None = None) -> dict | None:
     """Run the batch layer; returns the written paths, or None for an empty input.
 
     ``raw`` may replace the archive scan (any frame with the raw record
@@ -52,13 +53,24 @@ def run_batch_job(spark: SparkSession, input_path: str, output_path: str,
     pruned to ``[since, until)`` when given.
     """
     records = raw if raw is not None else RW.read_raw_json(spark, input_path, since, until)
+    # Input counts ride along with the single scan (no extra count() job).
+    seen = Observation("input_counts")
+    kept = C.batch_filter()
+    records = records.observe(seen, F.count(F.lit(1)).alias("raw_records"),
+                              F.count_if(kept).alias("clean_records"))
     partials_path = _out(output_path, "_route_bucket_partials")
     B.route_bucket_partials(B.clean_events(records)).write.mode("overwrite").parquet(partials_path)
     partials = spark.read.parquet(partials_path)
-    if partials.isEmpty():
+    try:
+        counts = seen.get
+    except Exception:  # noqa: BLE001 - an input the optimizer proved empty reports no metrics
+        counts = {}
+    if not counts.get("clean_records") and partials.isEmpty():
         return None
     generated_at = datetime.now(timezone.utc).replace(tzinfo=None).isoformat()
-    return write_views(partials, output_path, generated_at)
+    paths = write_views(partials, output_path, generated_at)
+    paths["input_counts"] = counts
+    return paths
 
 
 def create_history_table(spark: SparkSession, output_path: str,

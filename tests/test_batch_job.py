@@ -27,6 +27,10 @@ def test_batch_job_over_archive(spark):
     out = tempfile.mkdtemp(prefix="hw-batch-")
     paths = run_batch_job(spark, root, out)
     assert paths is not None
+    raw_all = RW.parse_raw_lines(X.raw_lines(spark, SF_SMALL))
+    decodable = X.raw_lines(spark, SF_SMALL).filter(F.try_parse_json("value").isNotNull()).count()
+    assert paths["input_counts"] == {"raw_records": decodable,
+                                     "clean_records": B.clean_events(raw_all).count()}
     direct = B.clean_events(RW.parse_raw_lines(X.raw_lines(spark, SF_SMALL)))
     stats = spark.read.parquet(paths["route_statistics"])
     assert stats.select("generated_at").distinct().count() == 1
