@@ -107,12 +107,17 @@ def _write_batch(df: DataFrame, path: str, batch_id: int) -> None:
        .partitionBy("dt", "batch_id").parquet(path))
 
 
-def read_speed_view(spark: SparkSession, path: str) -> DataFrame:
+def read_speed_view(spark: SparkSession, path: str, alive_at: Column | None = None) -> DataFrame:
     """Current speed view: the newest written row of every (route_id, window_end).
 
-    ``max_by`` over batch ids is a map-side-combined aggregate.
+    ``max_by`` over batch ids is a map-side-combined aggregate. With
+    ``alive_at`` (a timestamp) rows whose TTL has passed are left out, and
+    the filter on ``dt`` prunes date folders older than the TTL.
     """
     rows = spark.read.parquet(path)
+    if alive_at is not None:
+        rows = rows.filter((F.col("ttl") > F.unix_timestamp(alive_at))
+                           & (F.col("dt") >= F.to_date(alive_at - F.expr(f"INTERVAL {C.TTL_SECONDS} SECONDS"))))
     newest = rows.groupBy("route_id", "window_end").agg(
         F.max_by(F.struct(*[c for c in VIEW_COLUMNS if c not in ("route_id", "window_end")]),
                  "batch_id").alias("r"))
@@ -147,7 +152,9 @@ class SpeedViewWriter:
         batch = batch.persist()
         try:
             rows = S.speed_with_baseline(batch, self.baseline(spark), self.threshold, keep_exact=True)
-            _write_batch(rows.select(*VIEW_COLUMNS, "avg_delay_exact"), self.view_path, batch_id)
+            stored_rows = rows.select(*VIEW_COLUMNS, "avg_delay_exact",
+                                      C.ttl_of(F.col("window_end").cast("timestamp")).alias("ttl"))
+            _write_batch(stored_rows, self.view_path, batch_id)
             # the dates a batch touches are a handful (watermark-bounded): prune on them
             touched_days = [r[0] for r in batch.select(F.to_date("window_end")).distinct().collect()]
             stored = spark.read.parquet(self.view_path).filter(F.col("dt").isin(touched_days))

@@ -50,3 +50,37 @@ def test_batch_job_empty_input(spark):
         X.table(spark, SF_SMALL, "events")).schema)
     out = tempfile.mkdtemp(prefix="hw-batch-empty-")
     assert run_batch_job(spark, "", out, raw=empty) is None
+
+
+def test_archive_partition_pruning(spark):
+    from datetime import datetime
+
+    from headway.schemas import RAW_SCHEMA
+
+    lines = X.raw_lines(spark, SF_SMALL)
+    parsed = RW.parse_raw_lines(lines)
+    t = F.try_to_timestamp("ingestion_time")
+    d = tempfile.mkdtemp(prefix="hw-archive-")
+    # an archive whose flush hour equals the event hour
+    (lines.withColumn("t", F.try_to_timestamp(F.get_json_object("value", "$.ingestion_time")))
+          .filter(F.col("t").isNotNull())
+          .select("value", F.year("t").alias("year"), F.lpad(F.month("t").cast("string"), 2, "0").alias("month"),
+                  F.lpad(F.dayofmonth("t").cast("string"), 2, "0").alias("day"),
+                  F.lpad(F.hour("t").cast("string"), 2, "0").alias("hour"))
+          .write.partitionBy("year", "month", "day", "hour").text(f"{d}/raw"))
+    since, until = datetime(2024, 1, 10, 6), datetime(2024, 1, 12, 18)
+    got = RW.read_raw_json(spark, f"{d}/raw", since, until)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "isnotnull(year" in plan
+    want = parsed.filter((t >= F.lit("2024-01-10 06:00:00").cast("timestamp"))
+                         & (t < F.lit("2024-01-12 18:00:00").cast("timestamp")))
+    cols = [f.name for f in RAW_SCHEMA.fields]
+    assert _same(got.select(*cols), want.select(*cols)) and want.count() > 0
+    # only the hour folders of the range (plus one on each side) are read
+    got.collect()                                   # runs this frame's own plan
+    qe = got._jdf.queryExecution().executedPlan()
+    final = qe.executedPlan() if qe.getClass().getSimpleName() == "AdaptiveSparkPlanExec" else qe
+    scan = final.collectLeaves().apply(0)
+    files_read = scan.metrics().apply("numFiles").value()
+    all_hours = len(got.inputFiles())
+    assert 0 < files_read <= 2 * 24 + 14 < all_hours
