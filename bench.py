@@ -27,6 +27,9 @@ HEADLINE = (
     "serving_merge_history",
     "tumbling_window_avg",
     "clean_events",
+    # streaming replays (availableNow over the whole events table, written and read back)
+    "stream_sliding_window",
+    "microbatch_stats",
 )
 
 

@@ -201,9 +201,11 @@ class MicroBatchWriter:
     def __call__(self, lines: DataFrame, batch_id: int) -> None:
         spark = lines.sparkSession
         now = self.now if self.now is not None else F.current_timestamp()
-        lines = lines.persist()
+        # every delivered line parsed once; reused by the statistics and the counters
+        parsed = RW.speed_candidates(lines).persist()
         try:
-            recs = RW.parse_speed_records(lines, now=now)
+            valid = C.speed_filter()
+            recs = parsed.filter(valid).withColumn("event_ts", C.event_time_or("ingestion_time", now))
             stats = recs.groupBy("route_id").agg(*S._stat_columns())
             base = self.baseline(spark).filter(F.col("time_bucket") == C.time_bucket(now))
             ratio = C.anomaly_ratio("avg_delay_seconds", "baseline")
@@ -218,19 +220,15 @@ class MicroBatchWriter:
             )
             (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                 .partitionBy("batch_id").parquet(self.stats_path))
-            counters = _counters(lines, recs)
+            counters = parsed.agg(
+                F.count(F.lit(1)).alias("processed"),
+                F.count_distinct(F.when(valid, F.col("route_id"))).alias("routes_updated"),
+            )
             (counters.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
                 .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                 .partitionBy("batch_id").parquet(self.counters_path))
         finally:
-            lines.unpersist()
-
-
-def _counters(lines: DataFrame, recs: DataFrame) -> DataFrame:
-    """One row: records delivered, distinct routes updated (both one-row aggregates)."""
-    a = lines.agg(F.count(F.lit(1)).alias("processed")).withColumn("_k", F.lit(1))
-    b = recs.agg(F.count_distinct("route_id").alias("routes_updated")).withColumn("_k", F.lit(1))
-    return a.join(b, "_k").drop("_k")
+            parsed.unpersist()
 
 
 def start_microbatch(lines: DataFrame, stats_path: str, counters_path: str, checkpoint: str,
