@@ -29,7 +29,7 @@ def speed_events(events: DataFrame) -> DataFrame:
     return events.filter(C.speed_filter())
 
 
-def _stat_columns(delay: str = "delay_seconds") -> list[Column]:
+def stat_columns(delay: str = "delay_seconds") -> list[Column]:
     return [
         F.count(F.lit(1)).alias("event_count"),
         F.avg(delay).alias("avg_delay_seconds"),
@@ -52,7 +52,7 @@ def window_stats(events: DataFrame, as_of: datetime, size: str = C.WINDOW_SIZE)
         speed_events(events)
         .filter(inside)
         .groupBy("route_id")
-        .agg(*_stat_columns())
+        .agg(*stat_columns())
         .select(C.to_ntz(end).alias("window_end"), "route_id", "event_count",
                 "avg_delay_seconds", "max_delay_seconds", "late_count")
     )
@@ -102,7 +102,7 @@ def sliding_window_stats(
     else:
         out = (
             ev.groupBy("route_id", F.window("event_ts", size, slide).alias("w"))
-            .agg(*_stat_columns())
+            .agg(*stat_columns())
             .select("*", F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"))
         )
     return out.select(

@@ -73,7 +73,7 @@ def windowed_stats(events: DataFrame, size: str = C.WINDOW_SIZE, slide: str | No
         S.speed_events(events)
         .withWatermark("event_ts", watermark)
         .groupBy(win.alias("w"), "route_id")
-        .agg(*S._stat_columns())
+        .agg(*S.stat_columns())
     )
     return stats.select(
         C.to_ntz("w.start").alias("window_start"), C.to_ntz("w.end").alias("window_end"),
@@ -206,7 +206,7 @@ class MicroBatchWriter:
         try:
             valid = C.speed_filter()
             recs = parsed.filter(valid).withColumn("event_ts", C.event_time_or("ingestion_time", now))
-            stats = recs.groupBy("route_id").agg(*S._stat_columns())
+            stats = recs.groupBy("route_id").agg(*S.stat_columns())
             base = self.baseline(spark).filter(F.col("time_bucket") == C.time_bucket(now))
             ratio = C.anomaly_ratio("avg_delay_seconds", "baseline")
             out = stats.join(base.select("route_id", F.col("avg_delay_seconds").alias("baseline")),
