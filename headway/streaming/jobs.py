@@ -155,9 +155,13 @@ class SpeedViewWriter:
             stored_rows = rows.select(*VIEW_COLUMNS, "avg_delay_exact",
                                       C.ttl_of(F.col("window_end").cast("timestamp")).alias("ttl"))
             _write_batch(stored_rows, self.view_path, batch_id)
-            # the dates a batch touches are a handful (watermark-bounded): prune on them
-            touched_days = [r[0] for r in batch.select(F.to_date("window_end")).distinct().collect()]
-            stored = spark.read.parquet(self.view_path).filter(F.col("dt").isin(touched_days))
+            # Re-read only what can hold the touched windows: their [min, max] range
+            # (one aggregate row) prunes date folders and, through Parquet min/max
+            # statistics, the files of older batches; the semi join keeps it exact.
+            lo, hi = batch.agg(F.min("window_end"), F.max("window_end")).first()
+            stored = spark.read.parquet(self.view_path).filter(
+                F.col("dt").between(F.lit(lo.date()), F.lit(hi.date()))
+                & F.col("window_end").between(_ntz_lit(lo), _ntz_lit(hi)))
             touched = batch.select("window_end").distinct()
             current = _latest(stored).join(touched, "window_end", "left_semi")
             # rank on the exact mean (the stored 2-dp value would round twice)
@@ -168,6 +172,10 @@ class SpeedViewWriter:
             batch.unpersist()
 
 
+def _ntz_lit(t) -> Column:
+    return F.lit(t.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def _latest(stored: DataFrame) -> DataFrame:
     newest = stored.groupBy("route_id", "window_end").agg(F.max("batch_id").alias("batch_id"))
     return stored.join(newest, ["route_id", "window_end", "batch_id"]).select(
