@@ -84,3 +84,16 @@ def test_archive_partition_pruning(spark):
     files_read = scan.metrics().apply("numFiles").value()
     all_hours = len(got.inputFiles())
     assert 0 < files_read <= 2 * 24 + 14 < all_hours
+
+
+def test_command_line_batch_and_query(spark, capsys):
+    from headway.__main__ import main
+
+    lines = X.raw_lines(spark, SF_SMALL)
+    d = tempfile.mkdtemp(prefix="hw-cli-")
+    lines.write.text(f"{d}/raw")
+    assert main(["batch", "--input", f"{d}/raw", "--output", f"{d}/views"]) == 0
+    stats = spark.read.parquet(f"{d}/views/route_statistics")
+    assert _same(stats.drop("generated_at"), B.route_statistics(B.clean_events(RW.parse_raw_lines(lines))))
+    assert main(["query", "top_delayed_live", "--data", SF_SMALL, "--rows", "5"]) == 0
+    assert "R01" in capsys.readouterr().out
