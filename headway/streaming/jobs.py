@@ -147,10 +147,11 @@ class SpeedViewWriter:
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        if batch.isEmpty():          # update mode also fires for empty batches
-            return
+        # cached first: the stateful plan behind ``batch`` then runs once per partition
         batch = batch.persist()
         try:
+            if batch.isEmpty():          # update mode also fires for empty batches
+                return
             rows = S.speed_with_baseline(batch, self.baseline(spark), self.threshold, keep_exact=True)
             stored_rows = rows.select(*VIEW_COLUMNS, "avg_delay_exact",
                                       C.ttl_of(F.col("window_end").cast("timestamp")).alias("ttl"))
