@@ -192,26 +192,46 @@ def top_n_json(snapshot_rows: DataFrame) -> DataFrame:
     return lists.select("window_end", F.to_json("top_routes").alias("top_routes"))
 
 
+TOP_LIST = ("array<struct<rank:int,route_id:string,avg_delay_seconds:double,"
+            "max_delay_seconds:int,event_count:bigint>>")
+
+
 def parse_top_n_json(json_rows: DataFrame) -> DataFrame:
     """Stored JSON lists back to one row per entry (an empty or missing list gives no row)."""
-    parsed = F.from_json("top_routes", "array<struct<rank:int,route_id:string,avg_delay_seconds:double,"
-                                        "max_delay_seconds:int,event_count:bigint>>")
-    return json_rows.select("window_end", F.explode(parsed).alias("e")).select(
+    return _entries(json_rows.select("window_end", F.from_json("top_routes", TOP_LIST).alias("l")), "l")
+
+
+def _newest_list(lists: DataFrame, as_of: datetime | None, value: str) -> DataFrame:
+    """The newest stored list at or before ``as_of`` as one row (none if there is none).
+
+    A global ``max_by`` is combined per task before its single final step, so
+    only one row per task moves, whatever the number of windows.
+    """
+    if as_of is not None:
+        lists = lists.filter(F.col("window_end") <= C.to_ntz(ts_literal(as_of)))
+    newest = lists.agg(F.max_by(F.struct("window_end", value), "window_end").alias("s"))
+    return newest.select(F.col("s.window_end").alias("window_end"), F.col(f"s.{value}").alias(value))
+
+
+def _entries(rows: DataFrame, array: str) -> DataFrame:
+    return rows.select("window_end", F.explode(array).alias("e")).select(
         "window_end", "e.rank", "e.route_id", "e.avg_delay_seconds", "e.max_delay_seconds",
         "e.event_count")
 
 
 def latest_snapshot(snapshot_rows: DataFrame, as_of: datetime | None = None) -> DataFrame:
-    """Rows of the newest snapshot at or before ``as_of`` (empty if none).
+    """Entries of the newest snapshot at or before ``as_of`` (no rows if there is none).
 
-    The newest ``window_end`` is a one-row aggregate joined back on equality,
-    so nothing but that single timestamp is broadcast.
+    One pass: one list per window (at most ``n`` entries), the newest list,
+    then its entries; no join of the snapshot with itself.
     """
-    rows = snapshot_rows
-    if as_of is not None:
-        rows = rows.filter(F.col("window_end") <= C.to_ntz(ts_literal(as_of)))
-    newest = rows.agg(F.max("window_end").alias("window_end"))
-    return rows.join(F.broadcast(newest), "window_end", "inner")
+    return _entries(_newest_list(top_n_lists(snapshot_rows), as_of, "top_routes"), "top_routes")
+
+
+def latest_snapshot_from_json(json_rows: DataFrame, as_of: datetime | None = None) -> DataFrame:
+    """As :func:`latest_snapshot`, from the stored JSON form: newest row, parsed, exploded."""
+    newest = _newest_list(json_rows, as_of, "top_routes")
+    return _entries(newest.select("window_end", F.from_json("top_routes", TOP_LIST).alias("l")), "l")
 
 
 def top_delayed_n(snapshot_rows: DataFrame, n: int, as_of: datetime | None = None) -> DataFrame:

@@ -128,8 +128,7 @@ def q_latest_snapshot(spark, sf_dir):
 
 
 def q_latest_snapshot_json(spark, sf_dir):
-    stored = S.top_n_json(live_snapshots(spark, sf_dir))
-    return S.latest_snapshot(S.parse_top_n_json(stored), AS_OF)
+    return S.latest_snapshot_from_json(S.top_n_json(live_snapshots(spark, sf_dir)), AS_OF)
 
 
 def q_top_delayed_n(spark, sf_dir):
