@@ -58,6 +58,47 @@ def window_stats(events: DataFrame, as_of: datetime, size: str = C.WINDOW_SIZE)
     )
 
 
+def pane_columns() -> list[Column]:
+    """Mergeable statistics of one pane: count, exact sum, max, late count."""
+    return [
+        F.count(F.lit(1)).alias("n"),
+        F.sum(F.col("delay_seconds").cast("bigint")).alias("s"),
+        F.max("delay_seconds").alias("m"),
+        F.sum(C.late_flag("delay_seconds")).cast("bigint").alias("l"),
+    ]
+
+
+def pane_aggregates(events: DataFrame, slide: str) -> DataFrame:
+    """(route_id, pane_start, n, s, m, l) per slide-long pane of the speed events."""
+    return speed_events(events).groupBy(
+        "route_id", F.window("event_ts", slide).start.alias("pane_start")
+    ).agg(*pane_columns())
+
+
+def pane_window_starts(pane_start: Column, size: str, slide: str) -> Column:
+    """Starts of the ``size / slide`` sliding windows that contain a pane (an array)."""
+    k = _seconds(size) // _seconds(slide)
+    step = _seconds(slide) * 1_000_000
+    p = F.unix_micros(pane_start)
+    return F.transform(F.sequence(F.lit(0), F.lit(k - 1)),
+                       lambda i: F.timestamp_micros(p - i.cast("bigint") * F.lit(step).cast("bigint")))
+
+
+def windows_from_panes(panes: DataFrame, size: str, slide: str) -> DataFrame:
+    """Fan pane aggregates out to the windows covering them and merge (exact)."""
+    fanned = panes.select("route_id", "n", "s", "m", "l",
+                          F.explode(pane_window_starts(F.col("pane_start"), size, slide)).alias("window_start"))
+    return fanned.groupBy("route_id", "window_start").agg(
+        F.sum("n").alias("event_count"),
+        (F.sum("s").cast("double") / F.sum("n")).alias("avg_delay_seconds"),
+        F.max("m").alias("max_delay_seconds"),
+        F.sum("l").cast("bigint").alias("late_count"),
+    ).withColumn(
+        "window_end",
+        F.timestamp_micros(F.unix_micros("window_start") + F.lit(_seconds(size) * 1_000_000).cast("bigint")),
+    )
+
+
 def sliding_window_stats(
     events: DataFrame,
     size: str = C.WINDOW_SIZE,
@@ -73,35 +114,11 @@ def sliding_window_stats(
     high event rate removes the ``size / slide`` row expansion from the scan.
     The result is exact: mean = sum / count, max of maxima.
     """
-    size_s, slide_s = _seconds(size), _seconds(slide)
-    ev = speed_events(events)
-    if pre_aggregate and size_s % slide_s == 0:
-        k = size_s // slide_s
-        panes = ev.groupBy("route_id", F.window("event_ts", slide).start.alias("pane_start")).agg(
-            F.count(F.lit(1)).alias("n"),
-            F.sum(F.col("delay_seconds").cast("bigint")).alias("s"),
-            F.max("delay_seconds").alias("m"),
-            F.sum(C.late_flag("delay_seconds")).cast("bigint").alias("l"),
-        )
-        fanned = panes.select(
-            "route_id", "n", "s", "m", "l",
-            F.unix_micros("pane_start").alias("p"),
-            F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("i"),
-        ).withColumn(
-            "window_start", F.timestamp_micros(F.col("p") - F.col("i").cast("bigint") * F.lit(slide_s * 1_000_000).cast("bigint"))
-        )
-        out = fanned.groupBy("route_id", "window_start").agg(
-            F.sum("n").alias("event_count"),
-            (F.sum("s").cast("double") / F.sum("n")).alias("avg_delay_seconds"),
-            F.max("m").alias("max_delay_seconds"),
-            F.sum("l").cast("bigint").alias("late_count"),
-        ).withColumn(
-            "window_end",
-            F.timestamp_micros(F.unix_micros("window_start") + F.lit(size_s * 1_000_000).cast("bigint")),
-        )
+    if pre_aggregate and _seconds(size) % _seconds(slide) == 0:
+        out = windows_from_panes(pane_aggregates(events, slide), size, slide)
     else:
         out = (
-            ev.groupBy("route_id", F.window("event_ts", size, slide).alias("w"))
+            speed_events(events).groupBy("route_id", F.window("event_ts", size, slide).alias("w"))
             .agg(*stat_columns())
             .select("*", F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"))
         )
