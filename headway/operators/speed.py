@@ -16,7 +16,7 @@ from headway.functions import columns as C
 from headway.sources.fixtures import ts_literal
 
 
-def _seconds(duration: str) -> int:
+def duration_seconds(duration: str) -> int:
     """'5 minutes' / '30 seconds' / '6 hours' / '1 day' -> seconds."""
     value, unit = duration.split()
     unit = unit.lower().rstrip("s")
@@ -46,7 +46,7 @@ def window_stats(events: DataFrame, as_of: datetime, size: str = C.WINDOW_SIZE)
     upper bound).
     """
     end = ts_literal(as_of)
-    start = ts_literal(as_of - timedelta(seconds=_seconds(size)))
+    start = ts_literal(as_of - timedelta(seconds=duration_seconds(size)))
     inside = (F.col("event_ts") >= start) & (F.col("event_ts") <= end)
     return (
         speed_events(events)
@@ -77,8 +77,8 @@ def pane_aggregates(events: DataFrame, slide: str) -> DataFrame:
 
 def pane_window_starts(pane_start: Column, size: str, slide: str) -> Column:
     """Starts of the ``size / slide`` sliding windows that contain a pane (an array)."""
-    k = _seconds(size) // _seconds(slide)
-    step = _seconds(slide) * 1_000_000
+    k = duration_seconds(size) // duration_seconds(slide)
+    step = duration_seconds(slide) * 1_000_000
     p = F.unix_micros(pane_start)
     return F.transform(F.sequence(F.lit(0), F.lit(k - 1)),
                        lambda i: F.timestamp_micros(p - i.cast("bigint") * F.lit(step).cast("bigint")))
@@ -95,7 +95,7 @@ def windows_from_panes(panes: DataFrame, size: str, slide: str) -> DataFrame:
         F.sum("l").cast("bigint").alias("late_count"),
     ).withColumn(
         "window_end",
-        F.timestamp_micros(F.unix_micros("window_start") + F.lit(_seconds(size) * 1_000_000).cast("bigint")),
+        F.timestamp_micros(F.unix_micros("window_start") + F.lit(duration_seconds(size) * 1_000_000).cast("bigint")),
     )
 
 
@@ -114,7 +114,7 @@ def sliding_window_stats(
     high event rate removes the ``size / slide`` row expansion from the scan.
     The result is exact: mean = sum / count, max of maxima.
     """
-    if pre_aggregate and _seconds(size) % _seconds(slide) == 0:
+    if pre_aggregate and duration_seconds(size) % duration_seconds(slide) == 0:
         out = windows_from_panes(pane_aggregates(events, slide), size, slide)
     else:
         out = (
@@ -257,7 +257,7 @@ def top_delayed_n(snapshot_rows: DataFrame, n: int, as_of: datetime | None = Non
 
 
 def speed_with_baseline(windows: DataFrame, baseline: DataFrame,
-                        threshold: float = C.ANOMALY_RATIO, keep_exact: bool = False) -> DataFrame:
+                        threshold: float = C.ANOMALY_RATIO) -> DataFrame:
     """Attach the historical mean of the bucket of ``window_end`` and flag anomalies.
 
     The baseline is (route, 168 buckets) and small; the join carries no hint:
@@ -273,7 +273,6 @@ def speed_with_baseline(windows: DataFrame, baseline: DataFrame,
         "left",
     )
     ratio = C.anomaly_ratio("avg_delay_seconds", "baseline")
-    exact = [F.col("avg_delay_seconds").alias("avg_delay_exact")] if keep_exact else []
     return joined.select(
         "window_start", "window_end", "route_id", "time_bucket", "event_count",
         C.half_even("avg_delay_seconds", 2).alias("avg_delay_seconds"),
@@ -281,7 +280,6 @@ def speed_with_baseline(windows: DataFrame, baseline: DataFrame,
         C.half_even("baseline", 2).alias("batch_baseline_seconds"),
         C.half_even(ratio, 2).alias("anomaly_ratio"),
         C.is_anomaly(ratio, threshold).alias("is_anomaly"),
-        *exact,
     )
 
 

@@ -6,12 +6,13 @@ driver) resumes where its last committed batch ended:
 
 * window statistics: event-time windows with a watermark; append mode emits a
   window once the watermark passes its end; late rows are dropped by Spark.
-* speed view: update mode + ``foreachBatch``; each batch's rows are written
-  under ``dt=/batch_id=`` with dynamic partition overwrite, so a retried batch
-  replaces its own output; readers keep the newest batch per key.
-* top-N snapshot: after the upsert, the touched windows are re-ranked over the
-  stored view (a batch holds only the changed groups, so ranking the batch
-  alone would be wrong).
+* speed view: pane state in update mode + ``foreachBatch``; each batch's
+  rows are written under ``dt=/batch_id=`` with dynamic partition overwrite,
+  so a retried batch replaces its own output; readers keep the newest batch
+  per key.
+* top-N snapshot: windows touched by a batch are recomputed for all routes
+  from the stored panes (a batch holds only the changed groups, so ranking
+  the batch alone would be wrong).
 """
 
 from __future__ import annotations
@@ -99,10 +100,10 @@ TOP_COLUMNS = ("window_end", "rank", "route_id", "avg_delay_seconds", "max_delay
                "event_count")
 
 
-def _write_batch(df: DataFrame, path: str, batch_id: int) -> None:
+def _write_batch(df: DataFrame, path: str, batch_id: int, time_col: str = "window_end") -> None:
     """Write one micro-batch under ``dt=/batch_id=``; a retry overwrites only its own folders."""
     (df.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-       .withColumn("dt", F.to_date("window_end"))
+       .withColumn("dt", F.to_date(time_col))
        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
        .partitionBy("dt", "batch_id").parquet(path))
 
@@ -132,71 +133,105 @@ def read_snapshots(spark: SparkSession, path: str) -> DataFrame:
     return rows.join(newest, ["window_end", "batch_id"]).select(*TOP_COLUMNS)
 
 
+def pane_state(events: DataFrame, slide: str = C.WINDOW_SLIDE, watermark: str = "10 minutes") -> DataFrame:
+    """Streaming per-(route, pane) statistics: the only state the speed layer keeps.
+
+    One state row per route and slide-long pane, instead of one per route and
+    window (``size / slide`` times more) with every event expanded into each
+    window it belongs to. The window struct stays the grouping key so the
+    watermark can evict closed panes.
+    """
+    return (
+        S.speed_events(events)
+        .withWatermark("event_ts", watermark)
+        .groupBy("route_id", F.window("event_ts", slide).alias("p"))
+        .agg(*S.pane_columns())
+        .select("route_id", F.col("p.start").alias("pane_start"), "n", "s", "m", "l")
+    )
+
+
 class SpeedViewWriter:
-    """``foreachBatch`` sink of the speed layer.
+    """``foreachBatch`` sink of the speed layer (input: the updated panes of a batch).
+
+    1. the batch's panes are appended to the pane table (``dt=/batch_id=``);
+    2. every window containing an updated pane is recomputed, for all routes,
+       from the newest stored panes within ``size - slide`` of the batch's
+       panes; that range is bounded by the watermark and reaches the Parquet
+       scan as partition and min/max filters;
+    3. the recomputed windows are joined with the baseline and upserted into
+       the speed view, and ranked into the top-N snapshot; they hold every
+       route of their window, so ranking needs no re-read of the view.
 
     ``baseline`` is called once per batch, so a rewritten batch view is picked
     up by the next micro-batch (the live process cached it for ten minutes).
     """
 
-    def __init__(self, view_path: str, snapshot_path: str,
-                 baseline: Callable[[SparkSession], DataFrame], n: int = C.TOP_N,
-                 threshold: float = C.ANOMALY_RATIO):
-        self.view_path, self.snapshot_path = view_path, snapshot_path
-        self.baseline, self.n, self.threshold = baseline, n, threshold
-
-    def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        # cached first: the stateful plan behind ``batch`` then runs once per partition
-        batch = batch.persist()
+    def __init__(self, view_path: str, snapshot_path: str, pane_path: str,
+                 baseline: Callable[[SparkSession], DataFrame], size: str = C.WINDOW_SIZE,
+                 slide: str = C.WINDOW_SLIDE, n: int = C.TOP_N, threshold: float = C.ANOMALY_RATIO):
+        self.view_path, self.snapshot_path, self.pane_path = view_path, snapshot_path, pane_path
+        self.baseline, self.size, self.slide = baseline, size, slide
+        self.n, self.threshold = n, threshold
+
+    def __call__(self, panes: DataFrame, batch_id: int) -> None:
+        spark = panes.sparkSession
+        # cached first: the stateful plan behind ``panes`` then runs once per partition
+        panes = panes.persist()
+        windows = None
         try:
-            if batch.isEmpty():          # update mode also fires for empty batches
+            if panes.isEmpty():          # update mode also fires for empty batches
                 return
-            rows = S.speed_with_baseline(batch, self.baseline(spark), self.threshold, keep_exact=True)
-            stored_rows = rows.select(*VIEW_COLUMNS, "avg_delay_exact",
-                                      C.ttl_of(F.col("window_end").cast("timestamp")).alias("ttl"))
-            _write_batch(stored_rows, self.view_path, batch_id)
-            # Re-read only what can hold the touched windows: their [min, max] range
-            # (one aggregate row) prunes date folders and, through Parquet min/max
-            # statistics, the files of older batches; the semi join keeps it exact.
-            lo, hi = batch.agg(F.min("window_end"), F.max("window_end")).first()
-            stored = spark.read.parquet(self.view_path).filter(
-                F.col("dt").between(F.lit(lo.date()), F.lit(hi.date()))
-                & F.col("window_end").between(_ntz_lit(lo), _ntz_lit(hi)))
-            touched = batch.select("window_end").distinct()
-            current = _latest(stored).join(touched, "window_end", "left_semi")
-            # rank on the exact mean (the stored 2-dp value would round twice)
-            ranked = S.top_n_snapshot(current.withColumn("avg_delay_seconds", F.col("avg_delay_exact")),
-                                      self.n)
-            _write_batch(ranked, self.snapshot_path, batch_id)
+            _write_batch(panes, self.pane_path, batch_id, "pane_start")
+            lo, hi = panes.agg(F.min(F.unix_micros("pane_start")), F.max(F.unix_micros("pane_start"))).first()
+            span = (S.duration_seconds(self.size) - S.duration_seconds(self.slide)) * 1_000_000
+            r_lo = F.timestamp_micros(F.lit(lo - span).cast("bigint"))
+            r_hi = F.timestamp_micros(F.lit(hi + span).cast("bigint"))
+            stored = spark.read.parquet(self.pane_path).filter(
+                F.col("dt").between(F.to_date(r_lo), F.to_date(r_hi))
+                & F.col("pane_start").between(r_lo, r_hi))
+            newest = stored.groupBy("route_id", "pane_start").agg(
+                F.max_by(F.struct("n", "s", "m", "l"), "batch_id").alias("x")
+            ).select("route_id", "pane_start", "x.*")
+            touched = panes.select(
+                F.explode(S.pane_window_starts(F.col("pane_start"), self.size, self.slide)).alias("window_start")
+            ).distinct()
+            windows = (
+                S.windows_from_panes(newest, self.size, self.slide)
+                .join(touched, "window_start", "left_semi")
+                .select(C.to_ntz("window_start").alias("window_start"),
+                        C.to_ntz("window_end").alias("window_end"), "route_id", "event_count",
+                        "avg_delay_seconds", "max_delay_seconds", "late_count")
+                .persist()
+            )
+            rows = S.speed_with_baseline(windows, self.baseline(spark), self.threshold)
+            _write_batch(rows.select(*VIEW_COLUMNS,
+                                     C.ttl_of(F.col("window_end").cast("timestamp")).alias("ttl")),
+                         self.view_path, batch_id)
+            _write_batch(S.top_n_snapshot(windows, self.n), self.snapshot_path, batch_id)
         finally:
-            batch.unpersist()
-
-
-def _ntz_lit(t) -> Column:
-    return F.lit(t.isoformat(sep=" ")).cast("timestamp_ntz")
-
-
-def _latest(stored: DataFrame) -> DataFrame:
-    newest = stored.groupBy("route_id", "window_end").agg(F.max("batch_id").alias("batch_id"))
-    return stored.join(newest, ["route_id", "window_end", "batch_id"]).select(
-        *VIEW_COLUMNS, "avg_delay_exact")
+            if windows is not None:
+                windows.unpersist()
+            panes.unpersist()
 
 
 def start_speed_layer(events: DataFrame, view_path: str, snapshot_path: str, checkpoint: str,
                       baseline: Callable[[SparkSession], DataFrame], size: str = C.WINDOW_SIZE,
                       slide: str = C.WINDOW_SLIDE, watermark: str = "10 minutes",
                       trigger: Trigger | None = None, n: int = C.TOP_N,
-                      threshold: float = C.ANOMALY_RATIO) -> StreamingQuery:
-    """Sliding-window statistics -> speed view upsert -> top-N snapshot."""
-    stats = windowed_stats(events, size, slide, watermark)
-    writer = SpeedViewWriter(view_path, snapshot_path, baseline, n, threshold)
-    return (stats.writeStream.outputMode("update").foreachBatch(writer)
-            .option("checkpointLocation", checkpoint).trigger(**(trigger or production_trigger()))
-            .start())
+                      threshold: float = C.ANOMALY_RATIO, pane_path: str | None = None) -> StreamingQuery:
+    """Pane state -> windows of the updated panes -> speed view upsert + top-N snapshot.
 
+    ``size`` must be a multiple of ``slide``. The pane table defaults to a
+    folder next to the checkpoint (it is state the job owns).
+    """
+    if S.duration_seconds(size) % S.duration_seconds(slide):
+        raise ValueError("window size must be a multiple of the slide")
+    writer = SpeedViewWriter(view_path, snapshot_path, pane_path or os.path.join(checkpoint, "panes"),
+                             baseline, size, slide, n, threshold)
+    return (pane_state(events, slide, watermark).writeStream.outputMode("update").foreachBatch(writer)
+            .option("checkpointLocation", os.path.join(checkpoint, "query"))
+            .trigger(**(trigger or production_trigger())).start())
 
-# -- micro-batch variant ------------------------------------------------------------
 
 class MicroBatchWriter:
     """Per delivered batch: route statistics against the baseline of 'now', and counters."""

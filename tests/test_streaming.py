@@ -121,3 +121,24 @@ def test_fan_out_one_source_two_consumers(spark):
     view = J.read_speed_view(spark, f"{d}/view")
     speed_recs = RWs.parse_speed_records(X.raw_lines(spark, SF_SMALL), now=now)
     assert view.agg(F.sum("event_count")).first()[0] == 6 * speed_recs.count()
+
+
+def test_speed_layer_out_of_order_batches_update_windows(spark):
+    d = tempfile.mkdtemp(prefix="hw-ooo-")
+    ev = X.table(spark, SF_SMALL, "events").filter(F.col("ts") >= F.lit("2024-01-24").cast("timestamp_ntz"))
+    first = F.col("event_type").isin("click", "error")
+    ev.filter(first).write.parquet(os.path.join(d, "in", "a"))
+    src = J.file_stream(spark, os.path.join(d, "in"), schema=ev.schema, max_files=1, recursive=True)
+    baseline = lambda s: B.batch_view(B.route_statistics(B.clean_events(X.history_events(s, SF_SMALL))))
+
+    def run():
+        q = J.start_speed_layer(X.events_to_delay_events(src), f"{d}/view", f"{d}/top", f"{d}/ckpt",
+                                baseline, "6 hours", "1 hour", "30 days", J.REPLAY)
+        J.run_to_completion(q)
+
+    run()
+    ev.filter(~first).write.parquet(os.path.join(d, "in", "b"))   # the rest, same period
+    run()
+    windows = S.sliding_window_stats(X.live_events(spark, SF_SMALL), "6 hours", "1 hour")
+    assert _same(J.read_speed_view(spark, f"{d}/view"), S.speed_with_baseline(windows, baseline(spark)))
+    assert _same(J.read_snapshots(spark, f"{d}/top"), S.top_n_snapshot(windows))
