@@ -68,14 +68,27 @@ def event_stream(spark: SparkSession, sf_dir: str, max_files: int | None = None)
 
 def windowed_stats(events: DataFrame, size: str = C.WINDOW_SIZE, slide: str | None = C.WINDOW_SLIDE,
                    watermark: str = "10 minutes") -> DataFrame:
-    """Per-route statistics of event-time windows; ``slide=None`` gives tumbling windows."""
-    win = F.window("event_ts", size, slide) if slide else F.window("event_ts", size)
-    stats = (
-        S.speed_events(events)
-        .withWatermark("event_ts", watermark)
-        .groupBy(win.alias("w"), "route_id")
-        .agg(*S.stat_columns())
-    )
+    """Per-route statistics of event-time windows (append mode: closed windows only).
+
+    Sliding windows whose size is a multiple of the slide are built in two
+    chained stateful aggregations: events -> slide-long panes -> windows over
+    the panes' event time (``window_time``). Every event then enters one pane
+    instead of being copied into ``size / slide`` windows; the second step
+    fans out pane rows only. ``slide=None`` gives tumbling windows.
+    """
+    ev = S.speed_events(events).withWatermark("event_ts", watermark)
+    panes_ok = slide and slide != size and S.duration_seconds(size) % S.duration_seconds(slide) == 0
+    if panes_ok:
+        panes = ev.groupBy("route_id", F.window("event_ts", slide).alias("p")).agg(*S.pane_columns())
+        stats = panes.groupBy("route_id", F.window(F.window_time("p"), size, slide).alias("w")).agg(
+            F.sum("n").alias("event_count"),
+            (F.sum("s").cast("double") / F.sum("n")).alias("avg_delay_seconds"),
+            F.max("m").alias("max_delay_seconds"),
+            F.sum("l").cast("bigint").alias("late_count"),
+        )
+    else:
+        win = F.window("event_ts", size, slide) if slide else F.window("event_ts", size)
+        stats = ev.groupBy(win.alias("w"), "route_id").agg(*S.stat_columns())
     return stats.select(
         C.to_ntz("w.start").alias("window_start"), C.to_ntz("w.end").alias("window_end"),
         "route_id", "event_count", "avg_delay_seconds", "max_delay_seconds", "late_count",

@@ -3,6 +3,8 @@
 import os
 import tempfile
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from headway.operators import batch as B
@@ -53,15 +55,17 @@ def test_speed_layer_multi_batch_equals_batch_twin(spark):
     assert spark.read.parquet(f"{d}/view").select("batch_id").distinct().count() == batches
 
 
-def test_append_windows_closed_by_watermark(spark):
-    out = SR.stream_windows(spark, SF_SMALL, "6 hours", "1 hour", "1 hour")
+@pytest.mark.parametrize("size,slide,delay", [("6 hours", "1 hour", "1 hour"),
+                                              ("5 minutes", "30 seconds", "10 minutes")])
+def test_append_windows_closed_by_watermark(spark, size, slide, delay):
+    out = SR.stream_windows(spark, SF_SMALL, size, slide, delay)
     ev = X.delay_events(spark, SF_SMALL)
     wm = S.speed_events(ev).agg(F.max("event_ts")).first()[0]
-    twin = S.sliding_window_stats(ev, "6 hours", "1 hour")
+    twin = S.sliding_window_stats(ev, size, slide)
     closed = twin.filter(F.col("window_end").cast("timestamp")
                          <= F.lit(wm.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp")
-                         - F.expr("INTERVAL 1 HOUR"))
-    assert _same(out, closed)
+                         - F.expr(f"INTERVAL {delay}"))
+    assert out.count() > 0 and _same(out, closed)
 
 
 def test_late_history_is_dropped(spark):
