@@ -126,7 +126,7 @@ CURANOM = """curanom AS (
   FROM latest WHERE is_anomaly)"""
 
 
-def merge_select(extra_keys: str = "") -> str:
+def merge_select() -> str:
     """Columns of a full outer merge m(hs, hb, live, hist)."""
     delta = ("CASE WHEN hs AND hb THEN coalesce(live_avg_delay_seconds, 0) "
              "- coalesce(historical_avg_delay_seconds, 0) END")

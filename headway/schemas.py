@@ -195,11 +195,12 @@ API_REQUESTS = T.StructType(
         T.StructField("success", T.BooleanType()),
     ]
 )
+# One row per record sent; a run's elapsed time is the span of its send times.
 INGEST_RUNS = T.StructType(
     [
         T.StructField("target_rate", T.IntegerType()),
         T.StructField("success", T.BooleanType()),
-        T.StructField("elapsed_s", T.DoubleType()),
+        T.StructField("sent_at", T.TimestampType()),
     ]
 )
 BATCH_RUNS = T.StructType(

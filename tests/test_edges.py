@@ -296,3 +296,21 @@ def test_invariants_on_fixture(spark):
     assert bad.count() == 0
     rows = Q.q_speed_with_baseline(spark, SF_SMALL)
     assert rows.filter(F.col("is_anomaly") & ~(F.col("batch_baseline_seconds") > 0)).count() == 0
+
+
+def test_outputs_conform_to_declared_schemas(spark):
+    from headway import schemas as SC
+    from headway.sources import fixtures as X
+    from tests.conftest import SF_SMALL
+
+    def shape(df):
+        return [(f.name, f.dataType.simpleString()) for f in df.schema.fields]
+
+    msgs = X.feed_messages(spark, SF_SMALL)
+    assert shape(FD.flatten_trip_updates(msgs)) == shape(spark.createDataFrame([], SC.DELAY_EVENT))
+    assert shape(FD.flatten_vehicle_positions(msgs)) == shape(spark.createDataFrame([], SC.VEHICLE_POSITION))
+    assert shape(X.api_requests(spark, SF_SMALL)) == shape(spark.createDataFrame([], SC.API_REQUESTS))
+    assert shape(X.ingest_runs(spark, SF_SMALL)) == shape(spark.createDataFrame([], SC.INGEST_RUNS))
+    runs = X.batch_runs(spark, SF_SMALL).drop("job_date")
+    assert sorted(shape(runs)) == sorted(shape(spark.createDataFrame([], SC.BATCH_RUNS)))
+    assert shape(X.table(spark, SF_SMALL, "events")) == shape(spark.read.parquet(f"{SF_SMALL}/events.parquet"))
