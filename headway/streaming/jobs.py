@@ -299,8 +299,14 @@ def start_microbatch(lines: DataFrame, stats_path: str, counters_path: str, chec
 # -- raw archive --------------------------------------------------------------------
 
 def archive_lines(lines: DataFrame) -> DataFrame:
-    """Decodable records with arrival metadata and the flush-time partition columns."""
-    arrival = F.current_timestamp()
+    """Decodable records with arrival metadata and the flush-time partition columns.
+
+    Arrival = when the record reached the log (for a file source, the file's
+    modification time); the sequence names the file and the record. The
+    partition is the flush (processing) time, as the archive is laid out.
+    """
+    flushed = F.current_timestamp()
+    arrival = F.col("_metadata.file_modification_time")
     seq = F.concat(F.col("_metadata.file_name"), F.lit(":"), F.xxhash64("value").cast("string"))
     body = F.expr("substring(value, 1, length(value) - 1)")
     value = F.concat(
@@ -310,10 +316,10 @@ def archive_lines(lines: DataFrame) -> DataFrame:
     good = lines.filter(F.try_parse_json("value").isNotNull())
     return good.select(
         value.alias("value"),
-        F.year(arrival).alias("year"),
-        F.lpad(F.month(arrival).cast("string"), 2, "0").alias("month"),
-        F.lpad(F.dayofmonth(arrival).cast("string"), 2, "0").alias("day"),
-        F.lpad(F.hour(arrival).cast("string"), 2, "0").alias("hour"),
+        F.year(flushed).alias("year"),
+        F.lpad(F.month(flushed).cast("string"), 2, "0").alias("month"),
+        F.lpad(F.dayofmonth(flushed).cast("string"), 2, "0").alias("day"),
+        F.lpad(F.hour(flushed).cast("string"), 2, "0").alias("hour"),
     )
 
 

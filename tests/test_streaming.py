@@ -146,3 +146,18 @@ def test_speed_layer_out_of_order_batches_update_windows(spark):
     windows = S.sliding_window_stats(X.live_events(spark, SF_SMALL), "6 hours", "1 hour")
     assert _same(J.read_speed_view(spark, f"{d}/view"), S.speed_with_baseline(windows, baseline(spark)))
     assert _same(J.read_snapshots(spark, f"{d}/top"), S.top_n_snapshot(windows))
+
+
+def test_archive_records_carry_arrival_metadata(spark):
+    from headway.schemas import ARCHIVE_EXTRAS, RAW_SCHEMA
+    from headway.sources import raw as RWs
+    from pyspark.sql import types as T
+
+    d = tempfile.mkdtemp(prefix="hw-arch-")
+    X.raw_lines(spark, SF_SMALL).write.text(f"{d}/in")
+    q = J.start_archive(spark.readStream.format("text").load(f"{d}/in"), f"{d}/raw", f"{d}/ckpt", J.REPLAY)
+    J.run_to_completion(q)
+    schema = T.StructType(RAW_SCHEMA.fields + ARCHIVE_EXTRAS.fields)
+    rows = RWs.read_raw_json(spark, f"{d}/raw", schema=schema)
+    assert rows.filter(F.col("_kinesis_sequence").isNull() | F.col("_kinesis_arrival").isNull()).count() == 0
+    assert rows.select("_kinesis_sequence").distinct().count() == rows.count()
