@@ -144,8 +144,3 @@ def ingest_union(messages: DataFrame) -> DataFrame:
     rows = messages.select("ingestion_time", F.explode("entity").alias("e")).select(
         F.explode(records).alias("r")).select("r.*")
     return rows.withColumn("partition_key", partition_key("route_id"))
-
-
-def route_partitioned(records: DataFrame, partitions: int) -> DataFrame:
-    """Hash-partition records by their log key (what the producer's put does)."""
-    return records.repartition(partitions, partition_key("route_id"))

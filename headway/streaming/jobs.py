@@ -361,7 +361,3 @@ def run_to_completion(query: StreamingQuery, timeout_s: int = 1800) -> None:
         raise TimeoutError(f"streaming query {query.name or query.id} did not finish")
     if query.exception() is not None:
         raise RuntimeError(str(query.exception()))
-
-
-def path_join(*parts: str) -> str:
-    return os.path.join(*parts)

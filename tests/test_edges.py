@@ -314,3 +314,12 @@ def test_outputs_conform_to_declared_schemas(spark):
     runs = X.batch_runs(spark, SF_SMALL).drop("job_date")
     assert sorted(shape(runs)) == sorted(shape(spark.createDataFrame([], SC.BATCH_RUNS)))
     assert shape(X.table(spark, SF_SMALL, "events")) == shape(spark.read.parquet(f"{SF_SMALL}/events.parquet"))
+
+
+def test_snapshot_json_roundtrip(spark):
+    from headway.plans import catalog as Q
+    from tests.conftest import SF_SMALL
+
+    rows = Q.live_snapshots(spark, SF_SMALL)
+    back = S.parse_top_n_json(S.top_n_json(rows))
+    assert back.exceptAll(rows).count() == 0 and rows.exceptAll(back).count() == 0
