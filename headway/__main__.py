@@ -1,4 +1,4 @@
-"""Command line: ``python -m headway <batch|speed|archive|query> ...`` (use with spark-submit)."""
+"""Command line: ``python -m headway <batch|speed|archive|merge|query> ...`` (use with spark-submit)."""
 
 from __future__ import annotations
 
@@ -40,6 +40,14 @@ def main(argv: list[str] | None = None) -> int:
     a.add_argument("--every", type=int, default=60)
     a.add_argument("--max-files", type=int, default=100)
 
+    m = sub.add_parser("merge", help="verdict per route from the published batch and speed views")
+    m.add_argument("--batch-view", required=True)
+    m.add_argument("--view", required=True)
+    m.add_argument("--as-of", help="ISO time, default now (UTC)")
+    m.add_argument("--route")
+    m.add_argument("--ttl", action="store_true", help="ignore speed rows older than their TTL")
+    m.add_argument("--output", help="write Parquet here instead of printing")
+
     q = sub.add_parser("query", help="run one registered query on a data folder")
     q.add_argument("name")
     q.add_argument("--data", required=True)
@@ -57,6 +65,19 @@ def main(argv: list[str] | None = None) -> int:
         print("no input records" if paths is None else paths)
         return 0 if paths is not None else 1
 
+    if args.cmd == "merge":
+        from datetime import timezone
+
+        from headway.plans.serving_job import route_verdicts
+
+        as_of = _ts(args.as_of) or datetime.now(timezone.utc).replace(tzinfo=None)
+        out = route_verdicts(spark, args.view, args.batch_view, as_of, args.route, args.ttl)
+        if args.output:
+            out.write.mode("overwrite").parquet(args.output)
+        else:
+            out.show(50, truncate=False)
+        return 0
+
     if args.cmd == "query":
         from headway.plans.catalog import QUERIES
 

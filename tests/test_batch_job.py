@@ -97,3 +97,30 @@ def test_command_line_batch_and_query(spark, capsys):
     assert _same(stats.drop("generated_at"), B.route_statistics(B.clean_events(RW.parse_raw_lines(lines))))
     assert main(["query", "top_delayed_live", "--data", SF_SMALL, "--rows", "5"]) == 0
     assert "R01" in capsys.readouterr().out
+
+
+def test_three_layers_through_their_jobs(spark):
+    """Batch job -> batch view; speed layer -> speed view; serving merge over both tables."""
+    from headway.__main__ import main
+    from headway.plans import catalog as Q
+    from headway.plans.serving_job import route_verdicts
+    from headway.streaming import jobs as J
+
+    d = tempfile.mkdtemp(prefix="hw-lambda-")
+    paths = run_batch_job(spark, "", f"{d}/views", raw=X.history_events(spark, SF_SMALL))
+    ev = X.table(spark, SF_SMALL, "events").filter(F.col("ts") >= F.lit("2024-01-24").cast("timestamp_ntz"))
+    ev.write.parquet(f"{d}/live")
+    src = J.file_stream(spark, f"{d}/live", schema=ev.schema)
+    q = J.start_speed_layer(X.events_to_delay_events(src), f"{d}/view", f"{d}/top", f"{d}/ckpt",
+                            lambda s: s.read.parquet(paths["batch_view"]), "6 hours", "1 hour", "1 hour",
+                            J.REPLAY)
+    J.run_to_completion(q)
+    merged = route_verdicts(spark, f"{d}/view", paths["batch_view"], X.AS_OF)
+    assert merged.count() > 0 and _same(merged, Q.QUERIES["serving_merge"](spark, SF_SMALL))
+    one = route_verdicts(spark, f"{d}/view", paths["batch_view"], X.AS_OF, route_id="R05")
+    assert _same(one, Q.QUERIES["route_detail"](spark, SF_SMALL))
+    alive = route_verdicts(spark, f"{d}/view", paths["batch_view"], X.AS_OF, apply_ttl=True)
+    assert alive.filter(F.col("speed_window_end") < F.lit("2024-01-28 11:00:01").cast("timestamp_ntz")).count() == 0
+    assert main(["merge", "--batch-view", paths["batch_view"], "--view", f"{d}/view",
+                 "--as-of", "2024-01-28T12:00:00", "--output", f"{d}/verdicts"]) == 0
+    assert _same(spark.read.parquet(f"{d}/verdicts"), merged)
