@@ -1,4 +1,4 @@
-"""Command line: ``python -m headway <batch|speed|archive|merge|query> ...`` (use with spark-submit)."""
+"""Command line: ``python -m headway <batch|speed|microbatch|archive|merge|query> ...`` (use with spark-submit)."""
 
 from __future__ import annotations
 
@@ -32,6 +32,20 @@ def main(argv: list[str] | None = None) -> int:
     s.add_argument("--watermark", default="10 minutes")
     s.add_argument("--every", type=int, default=30, help="trigger interval, seconds")
     s.add_argument("--max-files", type=int, default=100)
+    s.add_argument("--once", action="store_true", help="process what is there, then stop")
+
+    s.add_argument("--envelopes", action="store_true",
+                   help="input lines are delivered batches (Records[].kinesis.data, base64)")
+
+    mb = sub.add_parser("microbatch", help="per-delivery route statistics and counters")
+    mb.add_argument("--input", required=True, help="directory of envelope JSON lines")
+    mb.add_argument("--batch-view", required=True)
+    mb.add_argument("--stats", required=True)
+    mb.add_argument("--counters", required=True)
+    mb.add_argument("--checkpoint", required=True)
+    mb.add_argument("--every", type=int, default=60)
+    mb.add_argument("--max-files", type=int, default=100)
+    mb.add_argument("--once", action="store_true", help="process what is there, then stop")
 
     a = sub.add_parser("archive", help="archive JSON-line files by flush hour")
     a.add_argument("--input", required=True)
@@ -39,6 +53,7 @@ def main(argv: list[str] | None = None) -> int:
     a.add_argument("--checkpoint", required=True)
     a.add_argument("--every", type=int, default=60)
     a.add_argument("--max-files", type=int, default=100)
+    a.add_argument("--once", action="store_true", help="process what is there, then stop")
 
     m = sub.add_parser("merge", help="verdict per route from the published batch and speed views")
     m.add_argument("--batch-view", required=True)
@@ -84,20 +99,31 @@ def main(argv: list[str] | None = None) -> int:
         QUERIES[args.name](spark, args.data).show(args.rows, truncate=False)
         return 0
 
+    from headway.sources import raw as RW
     from headway.streaming import jobs as J
 
     lines = spark.readStream.format("text").option("maxFilesPerTrigger", args.max_files).load(args.input)
+
+    def trigger(seconds: int):
+        return J.REPLAY if args.once else J.production_trigger(seconds)
+
     if args.cmd == "archive":
-        J.start_archive(lines, args.output, args.checkpoint, J.production_trigger(args.every))
+        query = J.start_archive(lines, args.output, args.checkpoint, trigger(args.every))
+    elif args.cmd == "microbatch":
+        view_path = args.batch_view
+        query = J.start_microbatch(RW.decode_envelope(lines), args.stats, args.counters, args.checkpoint,
+                                   lambda sp: sp.read.parquet(view_path), trigger=trigger(args.every))
     else:
-        from headway.sources import raw as RW
-
+        if args.envelopes:
+            lines = RW.decode_envelope(lines)
         records = RW.parse_speed_records(lines)       # 'now' for a missing time
         view_path = args.batch_view
-        J.start_speed_layer(records, args.view, args.snapshots, args.checkpoint,
-                            lambda sp: sp.read.parquet(view_path), args.size, args.slide,
-                            args.watermark, J.production_trigger(args.every))
-    spark.streams.awaitAnyTermination()
+        query = J.start_speed_layer(records, args.view, args.snapshots, args.checkpoint,
+                                    lambda sp: sp.read.parquet(view_path), args.size, args.slide,
+                                    args.watermark, trigger(args.every))
+    query.awaitTermination()            # runs until stopped, or until done with --once
+    if query.exception() is not None:
+        raise RuntimeError(str(query.exception()))
     return 0
 
 

@@ -124,3 +124,25 @@ def test_three_layers_through_their_jobs(spark):
     assert main(["merge", "--batch-view", paths["batch_view"], "--view", f"{d}/view",
                  "--as-of", "2024-01-28T12:00:00", "--output", f"{d}/verdicts"]) == 0
     assert _same(spark.read.parquet(f"{d}/verdicts"), merged)
+
+
+def test_command_line_streaming_jobs_once(spark):
+    from headway.__main__ import main
+
+    d = tempfile.mkdtemp(prefix="hw-cli-stream-")
+    run_batch_job(spark, "", f"{d}/views", raw=X.history_events(spark, SF_SMALL))
+    X.raw_lines(spark, SF_SMALL).write.text(f"{d}/lines")
+    X.envelopes(spark, SF_SMALL).write.text(f"{d}/envelopes")
+    assert main(["microbatch", "--input", f"{d}/envelopes", "--batch-view", f"{d}/views/batch_view",
+                 "--stats", f"{d}/mb_stats", "--counters", f"{d}/mb_counters", "--checkpoint", f"{d}/mb_ckpt",
+                 "--once"]) == 0
+    counters = spark.read.parquet(f"{d}/mb_counters").agg(F.sum("processed")).first()[0]
+    assert counters == X.table(spark, SF_SMALL, "events").count()
+    assert main(["speed", "--input", f"{d}/envelopes", "--envelopes", "--batch-view", f"{d}/views/batch_view",
+                 "--view", f"{d}/view", "--snapshots", f"{d}/top", "--checkpoint", f"{d}/sp_ckpt",
+                 "--size", "6 hours", "--slide", "1 hour", "--watermark", "30 days", "--once"]) == 0
+    assert spark.read.parquet(f"{d}/view").count() > 0
+    assert main(["archive", "--input", f"{d}/lines", "--output", f"{d}/raw", "--checkpoint", f"{d}/ar_ckpt",
+                 "--once"]) == 0
+    decodable = X.raw_lines(spark, SF_SMALL).filter(F.try_parse_json("value").isNotNull()).count()
+    assert RW.read_raw_json(spark, f"{d}/raw").count() == decodable
