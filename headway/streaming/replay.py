@@ -64,7 +64,11 @@ def microbatch(spark: SparkSession, sf_dir: str, as_of: datetime) -> tuple[DataF
     q = J.start_microbatch(lines, f"{d}/stats", f"{d}/counters", f"{d}/ckpt", _baseline(sf_dir),
                            now=X.ts_literal(as_of), trigger=J.REPLAY)
     J.run_to_completion(q)
-    return spark.read.parquet(f"{d}/stats"), spark.read.parquet(f"{d}/counters")
+    # the batch id is a folder name: discovery would read it back as INT
+    def read(path):
+        return spark.read.parquet(path).withColumn("batch_id", F.col("batch_id").cast("bigint"))
+
+    return read(f"{d}/stats"), read(f"{d}/counters")
 
 
 def archive(spark: SparkSession, sf_dir: str) -> DataFrame:
