@@ -48,6 +48,18 @@ def norm(v):
     return v
 
 
+SPARK_TO_DUCK = {"string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE",
+                 "float": "FLOAT", "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "date": "DATE"}
+
+
+def type_diff(df, con, sql):
+    """Columns whose Spark type does not map to the DuckDB type of the oracle."""
+    s = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+         for f in df.schema.fields}
+    d = {r[0]: r[1] for r in con.execute(f"DESCRIBE {sql}").fetchall()}
+    return {k: (v, d.get(k)) for k, v in s.items() if v != d.get(k)}
+
+
 def canon(cols, rows):
     order = sorted(range(len(cols)), key=lambda i: cols[i])
     return sorted((tuple(norm(r[i]) for i in order) for r in rows), key=repr)
@@ -85,8 +97,11 @@ def compare(spark, sf_dir: str, names=None, verbose=True) -> dict[str, str]:
             if verbose:
                 print(name, out[name], flush=True)
             continue
+        types = type_diff(df, con, sql[name]) if sorted(s_cols) == sorted(d_cols) else {}
         if sorted(s_cols) != sorted(d_cols):
             out[name] = f"COLUMNS spark={sorted(s_cols)} duck={sorted(d_cols)}"
+        elif types:
+            out[name] = f"TYPES {types}"
         elif len(s_rows) != len(d_rows):
             out[name] = f"ROWCOUNT spark={len(s_rows)} duck={len(d_rows)}"
         else:
