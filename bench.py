@@ -1,7 +1,9 @@
 """Benchmark the headline queries; prints ONE JSON line on stdout.
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-BENCH_RUNS (timed runs per query after two warm-ups, default 5).
+BENCH_RUNS (timed runs per query after two warm-ups, default 5),
+BENCH_EVENT_LOG (optional folder: Spark writes its event log there, for stage
+and task times without the UI).
 Each run executes the full plan into Spark's ``noop`` sink (no driver
 collect), and the median run is reported.
 """
@@ -40,10 +42,12 @@ def main() -> None:
     from headway.plans.catalog import QUERIES
     from headway.session import build_session
 
-    spark = build_session(
-        "headway-bench", master=f"local[{cpus}]", shuffle_partitions=cpus,
-        extra={"spark.driver.memory": "8g"},
-    )
+    extra = {"spark.driver.memory": "8g"}
+    event_log = os.environ.get("BENCH_EVENT_LOG")
+    if event_log:
+        os.makedirs(event_log, exist_ok=True)
+        extra.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": event_log})
+    spark = build_session("headway-bench", master=f"local[{cpus}]", shuffle_partitions=cpus, extra=extra)
     spark.sparkContext.setLogLevel("ERROR")
     events_rows = spark.read.parquet(os.path.join(sf_dir, "events.parquet")).count()
 
