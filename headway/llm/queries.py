@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headway.llm import bpe, topk
+from headway.llm import bpe, topk, toxicity
 from headway.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,14 @@ def op2_bpe_forced_boundary(spark, sf_dir):
     return bpe_digests(table(spark, sf_dir, "documents"))
 
 
+def op6_toxic_segments(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select(
+        "doc_id", toxicity.held_out().alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"), F.size("segments").alias("n_segments"))
+
+
 def op7_threshold_top_k(spark, sf_dir):
     v = topk.quantised(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", 1024)
     return topk.top_k(v, v.where(F.col("id") % 100 == 0), 10)
@@ -39,6 +47,7 @@ def op7_threshold_top_k(spark, sf_dir):
 
 QUERIES: dict[str, Query] = {
     "op2_bpe_forced_boundary": op2_bpe_forced_boundary,
+    "op6_toxic_segments": op6_toxic_segments,
     "op7_threshold_top_k": op7_threshold_top_k,
 }
 

@@ -1,0 +1,86 @@
+import itertools
+import random
+import zlib
+
+import pytest
+
+from headway.llm import toxicity as X
+from headway.llm.common import table
+from headway.llm.queries import QUERIES
+
+SF = "/root/testdata/sf0.01"
+
+
+def brute_segments(scores):
+    """All maximal segments by their recursive definition: the best one, then left and right of it."""
+    if not any(s > 0 for s in scores):
+        return []
+    best = max(((round(sum(scores[a:b]), 9), -(b - a), -a) for a, b in itertools.combinations(range(len(scores) + 1), 2)))
+    a = -best[2]
+    b = a - best[1]
+    return (brute_segments(scores[:a]) + [(a, b - 1, best[0])]
+            + [(x + b, y + b, s) for x, y, s in brute_segments(scores[b:])])
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_linear_scan_equals_definition(seed):
+    rng = random.Random(seed)
+    other = -0.37
+    hits = {i: rng.choice([1.13, 2.01, 0.77, -1.21]) for i in range(14) if rng.random() < 0.5}
+    scores = [hits.get(i, other) for i in range(14)]
+    got = X.maximal_segments(sorted(hits.items()), other)
+    assert [(a, b, round(s, 9)) for a, b, s in got] == brute_segments(scores)
+
+
+def test_beginnings():
+    assert X.beginnings("ab") == ["ab$"]
+    assert X.beginnings("abcdef") == ["abcd", "abcde", "abcdef$"]
+    assert X.beginnings("abcdefg") == ["abcd", "abcde", "abcdef"]
+
+
+def corpus(n=400):
+    rng = random.Random(5)
+    words = ["alpha", "beta", "gamma", "delta", "omega", "sigma", "kappa"]
+    rows, labels = [], []
+    for i in range(n):
+        text = [rng.choice(words) + rng.choice(["", "s", "ing"]) for _ in range(rng.randint(5, 60))]
+        toxic = int(i % 5 == 0)
+        if toxic:
+            text[rng.randrange(len(text))] = rng.choice(["Vilest!", "scummy", "vilest"])
+        rows.append((i, " ".join(text)))
+        if i % 3 != 0:
+            labels.append((i, 1, toxic))
+    return rows, labels
+
+
+def test_held_out_accuracy_nulls_repeats_and_clashing_columns(spark, docs_of):
+    rows, labels = corpus()
+    rows += [(9001, None), (9002, ""), (9003, "x" * 200_000), (5, rows[5][1]), (None, "alpha beta")]
+    docs = docs_of(rows)
+    lab = spark.createDataFrame(labels + [(None, 1, 1), (3, 1, None)], "doc_id long, quality int, toxic int")
+    model = X.fit(docs, lab)
+    got = X.score(docs.withColumnRenamed("source", "score"), model).collect()
+    assert len(got) == len(rows)
+    by = {r.doc_id: r for r in got}
+    assert by[9001].score == by[9002].score == by[9003].score == 0.0 and by[9001].segments == []
+    held = [i for i, _, _ in labels if zlib.crc32(str(i).encode()) % 5 == 0]
+    assert len(held) > 30
+    assert all((by[i].score >= 0.5) == (i % 5 == 0) for i in held)
+    passage = by[held[0]] if by[held[0]].segments else next(r for r in got if r.segments)
+    s = passage.segments[0]
+    assert any(w in passage.text[s.start:s.end].lower() for w in ("vilest", "scummy"))
+
+
+def test_no_labels_and_empty_tables(spark, docs_of):
+    docs, lab = docs_of([(1, "a b c")]), spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    assert [r.score for r in X.score(docs, X.fit(docs, lab)).collect()] == [0.0]
+    empty = docs.limit(0)
+    assert X.score(empty, X.fit(empty, lab)).collect() == []
+
+
+def test_registered_query(spark):
+    got = {r.doc_id: r for r in QUERIES["op6_toxic_segments"](spark, SF).collect()}
+    assert len(got) == table(spark, SF, "documents").count()
+    labels = table(spark, SF, "labels").collect()
+    assert all(got[r.doc_id].held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in labels)
+    assert sum(got[r.doc_id].predicted == r.toxic for r in labels) >= 0.94 * len(labels)
