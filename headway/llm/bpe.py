@@ -20,6 +20,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
@@ -46,14 +47,16 @@ class Encoder:
         self.models = (Tokenizer(BPE(model["vocab"], [tuple(m) for m in model["merges"]])), Tokenizer(whole.model))
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.special_re = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
-        self.token = [whole.id_to_token(i) for i in range(whole.get_vocab_size())]
+        self.token = pa.array([whole.id_to_token(i) for i in range(whole.get_vocab_size())])
         self.joined = np.zeros((BYTE_CHARS, BYTE_CHARS), bool)      # byte pairs inside some token
         for token in model["vocab"]:
             codes = [ord(c) for c in (token.removesuffix(suffix) if suffix else token)]
             self.joined[codes[:-1], codes[1:]] = True
-        self.chunks: dict[str, tuple[bytes, str]] = {
-            t: (np.int32(i).tobytes(), t) for t, i in self.special.items()}
-        self.empty = dict(self.chunks)
+        self.forget()
+
+    def forget(self) -> None:
+        """Start with the special tokens only."""
+        self.ids: dict[str, bytes] = {t: np.int32(i).tobytes() for t, i in self.special.items()}
 
     def split(self, text: str) -> list[str]:
         """Chunks between white space; special tokens are chunks of their own."""
@@ -69,15 +72,15 @@ class Encoder:
         return text.split()
 
     def learn(self, new: list[str]) -> None:
-        """Encode chunks and remember their ids (int32 bytes) and joined tokens."""
+        """Encode chunks and remember their ids (int32 bytes)."""
         normal = self.normalizer.normalize_str(" ".join(new))
         starts = np.cumsum([0, *(len(c) + 1 for c in normal.split(" "))])
         assert len(starts) == len(new) + 1
-        pieces = self.pre_tokenizer.pre_tokenize_str(normal)
-        chunk = np.searchsorted(starts, [p[1][0] for p in pieces], "right") - 1
-        text = "".join([p[0] for p in pieces])
+        pieces, spans = zip(*self.pre_tokenizer.pre_tokenize_str(normal))
+        chunk = np.searchsorted(starts, [s[0] for s in spans], "right") - 1
+        text = "".join(pieces)
         codes = np.frombuffer(text.encode("utf-16-le"), np.uint16)
-        piece_end = np.cumsum([len(p[0]) for p in pieces])
+        piece_end = np.cumsum(list(map(len, pieces)))
         # certain cuts: byte pairs inside no token, and the ends of pieces
         cut = np.append(~self.joined[codes[:-1], codes[1:]], True)
         cut[piece_end - 1] = True
@@ -94,27 +97,30 @@ class Encoder:
                 ids.append(np.array(got.ids, np.int32))
                 fragment.append(own[np.array(got.word_ids)])
         fragment = np.concatenate(fragment)
-        order = np.argsort(fragment, kind="stable")
-        ids = np.concatenate(ids)[order]
-        ends = np.cumsum(np.bincount(chunk[piece[fragment]], minlength=len(new))).tolist()
-        raw, tokens, begin = ids.tobytes(), [self.token[i] for i in ids.tolist()], 0
+        ids = np.concatenate(ids)[np.argsort(fragment, kind="stable")]
+        ends = (4 * np.cumsum(np.bincount(chunk[piece[np.sort(fragment)]], minlength=len(new)))).tolist()
+        raw, begin = ids.tobytes(), 0
         for c, end in zip(new, ends):
-            self.chunks[c] = (raw[4 * begin:4 * end], " ".join(tokens[begin:end]))
+            self.ids[c] = raw[begin:end]
             begin = end
 
-    def encode(self, texts: list[str]) -> list[tuple[bytes, str]]:
-        """Ids (int32 bytes) and decoded text of each text."""
+    def encode(self, texts: list[str]) -> pa.ListArray:
+        """Token ids of each text."""
         split = [self.split(t) for t in texts]
-        if len(self.chunks) > CACHE_CHUNKS:
-            self.chunks = dict(self.empty)
-        new = set().union(*split).difference(self.chunks)
+        if len(self.ids) > CACHE_CHUNKS:
+            self.forget()
+        new = set().union(*split).difference(self.ids)
         if new:
-            self.learn(sorted(new))
-        out = []
-        for chunks in split:
-            got = [self.chunks[c] for c in chunks]
-            out.append((b"".join([g[0] for g in got]), " ".join([g[1] for g in got])))
-        return out
+            self.learn(list(new))
+        known = self.ids
+        ids = [b"".join([known[c] for c in chunks]) for chunks in split]
+        ends = np.cumsum([0, *(len(i) // 4 for i in ids)])
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(ids), np.int32)))
+
+    def decode(self, ids: pa.ListArray) -> pa.Array:
+        """Decoded texts: the vocabulary has no decoder, so tokens are joined by spaces."""
+        tokens = pa.ListArray.from_arrays(ids.offsets, self.token.take(ids.values))
+        return pc.binary_join(tokens, " ")
 
 
 @lru_cache(maxsize=2)
@@ -141,13 +147,9 @@ def encode_decode(df: DataFrame, vocab_path: str, text_col: str = "text",
                     part.append(texts[end].as_py() or "")
                     size += len(part[-1])
                     end += 1
-                encoded = enc.encode(part)
-                ids, decoded = [e[0] for e in encoded], [e[1] for e in encoded]
-                lengths = np.cumsum([0, *(len(i) // 4 for i in ids)])
-                values = pa.array(np.frombuffer(b"".join(ids), np.int32))
+                ids = enc.encode(part)
                 arrays = [batch.column(batch.schema.get_field_index(n)).slice(at, end - at) for n in names]
-                arrays += [pa.ListArray.from_arrays(pa.array(lengths, pa.int32()), values),
-                           pa.array(decoded, pa.string())]
+                arrays += [ids, enc.decode(ids)]
                 yield pa.RecordBatch.from_arrays(arrays, names=[*names, ids_col, decoded_col])
                 at = end
 
