@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headway.llm import bpe, line_dedup, topk, toxicity
+from headway.llm import bpe, chosen_path, line_dedup, topk, toxicity
 from headway.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,6 +45,10 @@ def op7_threshold_top_k(spark, sf_dir):
     return topk.top_k(v, v.where(F.col("id") % 100 == 0), 10)
 
 
+def op8_chosen_path_join(spark, sf_dir):
+    return chosen_path.class_table(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op9_line_dedup(spark, sf_dir):
     return line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -53,6 +57,7 @@ QUERIES: dict[str, Query] = {
     "op2_bpe_forced_boundary": op2_bpe_forced_boundary,
     "op6_toxic_segments": op6_toxic_segments,
     "op7_threshold_top_k": op7_threshold_top_k,
+    "op8_chosen_path_join": op8_chosen_path_join,
     "op9_line_dedup": op9_line_dedup,
 }
 
