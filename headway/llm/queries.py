@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headway.llm import bpe, chosen_path, line_dedup, topk, toxicity
+from headway.llm import bpe, chosen_path, decontaminate, line_dedup, secret_scan, topk, toxicity
 from headway.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,24 @@ def op2_bpe_forced_boundary(spark, sf_dir):
     return bpe_digests(table(spark, sf_dir, "documents"))
 
 
+def _same(kind: str):
+    return lambda k: F.when(k == kind, k)
+
+
+def op3_trigram_secrets(spark, sf_dir):
+    found = secret_scan.scan(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["kind"].isin(*[r.kind for r in secret_scan.BASE]))
+    kinds = F.transform("spans", lambda s: s["kind"])
+    counts = [F.size(F.array_compact(F.transform(kinds, _same(r.kind)))).cast("long").alias(f"n_{r.kind}")
+              for r in secret_scan.BASE]
+    return found.select("doc_id", *counts, F.sha2(secret_scan.joined(base), 256).alias("base_sha256"),
+                        secret_scan.joined(F.col("spans")).alias("spans"))
+
+
+def op4_latent_decontamination(spark, sf_dir):
+    return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_toxic_segments(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
@@ -55,6 +73,8 @@ def op9_line_dedup(spark, sf_dir):
 
 QUERIES: dict[str, Query] = {
     "op2_bpe_forced_boundary": op2_bpe_forced_boundary,
+    "op3_trigram_secrets": op3_trigram_secrets,
+    "op4_latent_decontamination": op4_latent_decontamination,
     "op6_toxic_segments": op6_toxic_segments,
     "op7_threshold_top_k": op7_threshold_top_k,
     "op8_chosen_path_join": op8_chosen_path_join,
