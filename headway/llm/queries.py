@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headway.llm import bpe, chosen_path, decontaminate, line_dedup, secret_scan, topk, toxicity
+from headway.llm import bpe, chosen_path, decontaminate, html_text, line_dedup, secret_scan, topk, toxicity
 from headway.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,6 +50,10 @@ def op4_latent_decontamination(spark, sf_dir):
     return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op5_host_path_text(spark, sf_dir):
+    return html_text.main_text(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op6_toxic_segments(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
@@ -75,6 +79,7 @@ QUERIES: dict[str, Query] = {
     "op2_bpe_forced_boundary": op2_bpe_forced_boundary,
     "op3_trigram_secrets": op3_trigram_secrets,
     "op4_latent_decontamination": op4_latent_decontamination,
+    "op5_host_path_text": op5_host_path_text,
     "op6_toxic_segments": op6_toxic_segments,
     "op7_threshold_top_k": op7_threshold_top_k,
     "op8_chosen_path_join": op8_chosen_path_join,
