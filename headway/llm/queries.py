@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headway.llm import bpe, chosen_path, decontaminate, html_text, line_dedup, secret_scan, topk, toxicity
+from headway.llm import bpe, chosen_path, decontaminate, html_text, line_dedup, revisits, secret_scan, topk, toxicity
 from headway.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -75,6 +75,11 @@ def op9_line_dedup(spark, sf_dir):
     return line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op10_revisit_resolution(spark, sf_dir):
+    found = revisits.resolve(revisits.records_of(table(spark, sf_dir, "pages")))
+    return found.withColumn("headers", revisits.header_text(F.col("headers")))
+
+
 QUERIES: dict[str, Query] = {
     "op2_bpe_forced_boundary": op2_bpe_forced_boundary,
     "op3_trigram_secrets": op3_trigram_secrets,
@@ -84,6 +89,7 @@ QUERIES: dict[str, Query] = {
     "op7_threshold_top_k": op7_threshold_top_k,
     "op8_chosen_path_join": op8_chosen_path_join,
     "op9_line_dedup": op9_line_dedup,
+    "op10_revisit_resolution": op10_revisit_resolution,
 }
 
 ORACLE: dict[str, str] = {
@@ -98,5 +104,52 @@ s AS (
   FROM v q JOIN v c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id AND len(c.v) = len(q.v)),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
 SELECT query_id, cast(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 10
+""",
+    "op10_revisit_resolution": r"""
+WITH base AS (
+  SELECT page_id AS i, url, 1704067200 + page_id * 60 AS t0, cast(length(html) AS VARCHAR) AS size,
+         '"' || substr(md5(html), 1, 16) || '"' AS tag, sha256(html) AS digest
+  FROM pages WHERE page_id IS NOT NULL),
+resp AS (
+  SELECT i * 8 AS record_id, url AS uri, t0 AS date, tag AS etag, cast(t0 - 86400 AS VARCHAR) AS lm, size, digest
+  FROM base WHERE url IS NOT NULL),
+rev AS (
+  SELECT i * 8 + k AS record_id,
+         CASE k WHEN 1 THEN regexp_replace(url, '^http:', 'https:') WHEN 2 THEN url || '#again'
+                ELSE regexp_replace(url, '^([a-z]+://)', '\1www.') END AS uri,
+         t0 + k * k * 1000 - CASE WHEN i % 13 = 0 THEN 1000000 ELSE 0 END AS date,
+         CASE WHEN i % 7 = 0 THEN NULL WHEN i % 11 = 0 THEN '"stale"' WHEN k = 2 THEN 'W/' || tag ELSE tag END AS etag,
+         CASE WHEN k <> 3 THEN cast(t0 - 86400 AS VARCHAR) END AS lm, k
+  FROM base, (SELECT unnest([1, 2, 3]) AS k) WHERE k <= i % 4),
+u AS (
+  SELECT *, regexp_replace(uri, '#.*$', '') AS plain FROM (
+    SELECT record_id, uri, date, etag, lm, size, digest, NULL AS k FROM resp
+    UNION ALL SELECT record_id, uri, date, etag, lm, NULL, NULL, k FROM rev)),
+c AS (
+  SELECT *, regexp_replace(regexp_replace(lower(regexp_extract(plain, '^[A-Za-z]+://([^/?]*)', 1)), '^(www|m)\.', ''), ':(80|443)$', '')
+         || regexp_replace(regexp_extract(plain, '^[A-Za-z]+://[^/?]*([^?]*)', 1), '/+$', '')
+         || CASE WHEN len(q) > 0 THEN '?' || array_to_string(list_sort(q), '&') ELSE '' END AS url
+  FROM (SELECT *, [p FOR p IN string_split(regexp_extract(plain, '\?(.*)$', 1), '&')
+                   IF p <> '' AND NOT regexp_matches(p, '^(utm_[a-z]+|ref|fbclid|gclid)(=|$)')] AS q FROM u)),
+j AS (
+  SELECT *, last_value(CASE WHEN k IS NULL THEN {'id': record_id, 'date': date, 'etag': etag, 'lm': lm, 'size': size, 'digest': digest} END
+                       IGNORE NULLS) OVER (PARTITION BY url ORDER BY date, record_id
+                       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS r
+  FROM c),
+o AS (
+  SELECT *, CASE WHEN r IS NULL OR url IS NULL THEN 'no_response'
+                 WHEN coalesce(replace(etag, 'W/', '') = r.etag, lm = r.lm) THEN 'resolved'
+                 WHEN NOT coalesce(replace(etag, 'W/', '') = r.etag, lm = r.lm) THEN 'mismatch' ELSE 'unvalidated' END AS outcome
+  FROM j WHERE k IS NOT NULL)
+SELECT record_id, date, url, outcome, CASE WHEN url IS NOT NULL THEN r.id END AS response_id,
+       CASE WHEN outcome IN ('resolved', 'unvalidated')
+            THEN 'cache-control: max-age=' || k || chr(10) || 'content-length: ' || r.size || chr(10) || 'content-type: text/html'
+                 || chr(10) || 'date: ' || date || chr(10) || 'etag: ' || coalesce(etag, r.etag) || chr(10) || 'last-modified: ' || r.lm
+                 || chr(10) || 'server: httpd'
+            ELSE 'cache-control: max-age=' || k || chr(10) || 'content-length: 0' || chr(10) || 'date: ' || date
+                 || coalesce(chr(10) || 'etag: ' || etag, '') || coalesce(chr(10) || 'last-modified: ' || lm, '')
+                 || chr(10) || 'server: proxy' END AS headers,
+       CASE WHEN outcome IN ('resolved', 'unvalidated') THEN r.digest END AS payload_digest
+FROM o
 """,
 }
