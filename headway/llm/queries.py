@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headway.llm import bpe, chosen_path, decontaminate, html_text, line_dedup, revisits, secret_scan, topk, toxicity
+from headway.llm import (
+    bpe, chosen_path, decontaminate, html_text, line_dedup, revisits, secret_scan, surrogates, topk, toxicity,
+)
 from headway.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +21,14 @@ def default_vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+#: Key of the registered query; a deployment passes its own secret.
+SURROGATE_KEY = b"registered-query"
+
+
+def op1_pii_surrogates(spark, sf_dir):
+    return surrogates.replace_entities(table(spark, sf_dir, "documents").select("doc_id", "text"), SURROGATE_KEY)
+
+
 def bpe_digests(docs: DataFrame) -> DataFrame:
     """Counts and digests of the ids and of the decoded text of each document."""
     enc = bpe.encode_decode(docs.select("doc_id", "text"), default_vocabulary())
@@ -81,6 +91,7 @@ def op10_revisit_resolution(spark, sf_dir):
 
 
 QUERIES: dict[str, Query] = {
+    "op1_pii_surrogates": op1_pii_surrogates,
     "op2_bpe_forced_boundary": op2_bpe_forced_boundary,
     "op3_trigram_secrets": op3_trigram_secrets,
     "op4_latent_decontamination": op4_latent_decontamination,
