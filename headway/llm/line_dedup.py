@@ -1,133 +1,172 @@
 """Line deduplication by a deletion-neighbourhood join, in DataFrame operations only.
 
-A line is its words between white space; the edit bound is one word inserted,
-deleted or replaced, for lines of at least ``MIN_WORDS`` words (shorter ones
-match only exactly). The variants of a line are itself and itself less one
-word. Two lines are within the bound if a variant of one equals the other, or
-if both less the word at the same place are equal. Equal variants are joined by
-hashed keys, the pair is verified word by word, and a line stays only if no
-earlier line (by document id, text key and place) equals it or is within the
-bound of it.
-
-Variants are emitted only for lines that can have a neighbour: of two lines
-within one edit, the first half or the rest of the words is equal, so lines that
-share neither half with any other are left out without loss.
-
-No group is gathered: each key keeps the earliest line, which is joined back.
+A line is trimmed and its words are what single spaces part. The edit bound is
+one word inserted, deleted or replaced, for lines of at least ``MIN_WORDS`` words
+(shorter ones match only exactly). The variants of a line are itself and itself
+less one word. Two lines are within the bound if a variant of one equals the
+other, or if both less the word at the same place are equal. Variants are joined
+by hashed keys, pairs are verified word by word, and a line stays only if no
+earlier line (by document id, then place) equals it or is within the bound of it.
+
+A variant's key is the exclusive or of its words' hashes with their places, so all
+variants of a line come from running sums over its words. Variants are emitted
+only for lines that can have a neighbour: of two lines within one edit, the first
+half or the rest of the words is equal, so a line that shares neither half with
+any other is left out without loss. Such lines are fetched through a bitmap of
+their hashes of at most ``MAX_BITS`` bits; it only spares moving other lines.
+
+No group is gathered and no pairs of a group are listed: each key keeps its
+earliest line, and the others are compared with that one.
 
 Defined results: blank lines are never removed; a NULL or empty text stays as it
 is; a document all of whose non-blank lines are removed gets an empty text and
-``n_kept`` 0; a NULL id is the earliest id; rows with equal id and text are one
-document, whose copies all keep the same lines; other columns pass through, and
-input columns named like an output column are replaced.
+``n_kept`` 0; a NULL id is the earliest id; of rows with one id, equal lines at the
+same place all stay; rows with equal id and text keep the same lines; other
+columns pass through, and input columns named like an output column are replaced.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from headway.llm.common import stored, text_key, text_of
 
 MIN_WORDS = 8
+MAX_BITS = 2 ** 27          # 16 MB: bound on the broadcast bitmap
+BITS_A_LINE = 16
+BITMAP_BITS = 32_768        # bits of one row of bitmap_construct_agg
 ROW = ("id0", "t")          # a document's id (never NULL) and text key
-PLACE = (*ROW, "pos")
-LINE = ("h1", "h2")         # 128-bit key of a line's words
+LINE = ("h1", "h2")         # 128-bit key of a line
+HALVES = ("a1", "a2", "b1", "b2")
 
 
 def row_key(id_col: str, text_col: str) -> list[Column]:
     return [F.coalesce(F.col(id_col), F.lit(-2 ** 63)).alias("id0"), text_key(text_col).alias("t")]
 
 
-def words_of(line: Column) -> Column:
-    return F.filter(F.split(line, r"\s+"), lambda w: w != "")
+def trimmed(line: Column) -> Column:
+    return F.btrim(line, F.lit(" \t\r"))
 
 
 def lines_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """One row for each non-blank line: place, words and the key of the words."""
-    w = F.col("w")
+    """One row for each non-blank line: row, place, text, key and its order among all lines."""
+    order = F.col("id0").cast("decimal(20,0)") * F.lit(2 ** 32).cast("decimal(10,0)") + F.col("pos")
     return (docs.select(*row_key(id_col, text_col), F.posexplode(F.split(text_of(text_col), "\n")).alias("pos", "line"))
-            .select(*PLACE, words_of(F.col("line")).alias("w")).where(F.size("w") > 0)
-            .select(*PLACE, "w", F.xxhash64(w).alias("h1"), F.xxhash64(F.lit(1), w).alias("h2")))
+            .withColumn("line", trimmed(F.col("line"))).where("line <> ''")
+            .select(*ROW, "pos", "line", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"),
+                    order.cast("decimal(38,0)").alias("place")))
 
 
-def halves(w: Column, n: Column) -> Column:
-    """Keys of the halves that a neighbour shares, for pairs whose shorter line has n or n - 1 words."""
-    def of(shorter: Column) -> list[Column]:
-        first = F.floor(shorter / 2).cast("int")
-        return [F.xxhash64(shorter, F.lit(0), F.slice(w, F.lit(1), first)),
-                F.xxhash64(shorter, F.lit(1), F.slice(w, n - (shorter - first) + 1, shorter - first))]
+def part_of(line: Column, words: Column) -> Column:
+    """The first words of a line, or the last ones if the number is negative."""
+    return F.call_function("substring_index", line, F.lit(" "), words)
 
-    return (F.when(n > MIN_WORDS, F.array(*of(n), *of(n - 1)))
-            .when(n == MIN_WORDS, F.array(*of(n))).otherwise(F.array().cast("array<bigint>")))
+
+def half_keys(line: Column, n: Column) -> list[Column]:
+    """Keys of the halves that a neighbour shares, for pairs whose shorter line has n, then n - 1 words."""
+    out = []
+    for shorter in (n, n - 1):
+        first = F.floor(shorter / 2).cast("int")
+        able = shorter >= MIN_WORDS
+        out += [F.when(able, F.xxhash64(shorter, F.lit(0), part_of(line, first))),
+                F.when(able, F.xxhash64(shorter, F.lit(1), part_of(line, first - shorter)))]
+    return [c.alias(name) for c, name in zip(out, HALVES)]
 
 
 def distinct_lines(lines: DataFrame) -> DataFrame:
-    """(h1, h2, first, halves): one row for each different line, with its earliest place."""
-    w = F.col("w")
-    return (lines.select(*LINE, F.struct(*PLACE).alias("place"), halves(w, F.size(w)).alias("halves"))
-            .groupBy(*LINE).agg(F.min("place").alias("first"), F.first("halves").alias("halves")))
+    """(h1, h2, first, halves): one row for each different line, with the place of its earliest."""
+    n = F.length("line") - F.length(F.replace("line", F.lit(" "))) + 1
+    return (lines.select(*LINE, "place", "line", n.alias("n")).select(*LINE, "place", *half_keys(F.col("line"), F.col("n")))
+            .groupBy(*LINE).agg(F.min("place").alias("first"), *[F.min(c).alias(c) for c in HALVES]))
 
 
 def near_candidates(distinct: DataFrame) -> DataFrame:
-    """Earliest places of the lines that share a half with another line."""
-    half = distinct.select("first", F.explode("halves").alias("half"))
+    """(h1): hashes of the lines that share a half with another line."""
+    half = distinct.select("h1", F.explode(F.array_compact(F.array(*HALVES))).alias("half"))
     shared = half.groupBy("half").agg(F.count("*").alias("n")).where("n > 1").select("half")
-    return half.join(shared, "half").select("first.*").distinct()
+    return half.join(shared, "half").select("h1").distinct()
+
+
+def in_bitmap(lines: DataFrame, hashes: DataFrame) -> DataFrame:
+    """Lines whose hash may be among ``hashes``: a bitmap of bounded size drops most of the others."""
+    bits = min(MAX_BITS, max(BITMAP_BITS, 1 << (BITS_A_LINE * hashes.count()).bit_length()))
+
+    def bit(h: str) -> Column:
+        return F.pmod(F.col(h), F.lit(bits))
+
+    rows = (hashes.groupBy(F.bitmap_bucket_number(bit("h1")).alias("bucket"))
+            .agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit("h1"))).alias("bitmap")))
+    at = F.bitmap_bit_position(bit("h1")).cast("int")
+    byte = F.conv(F.hex(F.substring(F.col("bitmap"), F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return (lines.withColumn("bucket", F.bitmap_bucket_number(bit("h1"))).join(F.broadcast(rows), "bucket")
+            .where(byte.bitwiseAND(F.call_function("shiftleft", F.lit(1), (at % 8).cast("int"))) != 0).drop("bucket", "bitmap"))
+
+
+def words_of(line: Column) -> Column:
+    return F.split(line, " ")
+
+
+def whole_key(words: Column) -> Column:
+    return F.aggregate(F.transform(words, lambda w, i: F.xxhash64(w, i)), F.lit(0).cast("long"),
+                       lambda acc, h: acc.bitwiseXOR(h))
 
 
 def variants(candidates: DataFrame) -> DataFrame:
-    """(v1, v2, size, cut, place): hashed variants of each line; cut is the removed word's index, -1 for none."""
-    w = F.col("w")
-    cuts = F.sequence(F.lit(-1), F.size(w) - 1)
-    cut = (candidates.select(F.struct(*PLACE).alias("place"), "w", F.explode(cuts).alias("cut"))
-           .select("place", "cut", F.when(F.col("cut") < 0, w).otherwise(
-               F.concat(F.slice(w, F.lit(1), F.greatest("cut", F.lit(0))),
-                        F.slice(w, F.col("cut") + 2, F.size(w)))).alias("v")))
-    return cut.select("place", "cut", F.size("v").alias("size"), F.xxhash64("v").alias("v1"),
-                      F.xxhash64(F.lit(1), "v").alias("v2"))
-
-
-def near_pairs(cut: DataFrame) -> DataFrame:
-    """(place, cut, other, other_cut): a line and the earliest line that an equal variant joins it to."""
-    key = ("size", "v1", "v2")
-    by_cut = cut.groupBy(*key, "cut").agg(F.min(F.struct("place", "cut")).alias("m"))
-    by_key = by_cut.groupBy(*key).agg(
-        F.min(F.when(F.col("cut") < 0, F.col("m"))).alias("whole"),
-        F.min(F.when(F.col("cut") >= 0, F.col("m"))).alias("less"))
-    same = cut.where("cut >= 0").join(by_cut, [*key, "cut"]).select("place", "cut", "m")
-    other = cut.join(by_key, [*key]).select(
-        "place", "cut", F.when(F.col("cut") < 0, F.col("less")).otherwise(F.col("whole")).alias("m"))
-    return (same.unionByName(other).where(F.col("m.place") < F.col("place"))
-            .select("place", "cut", F.col("m.place").alias("other"), F.col("m.cut").alias("other_cut")).distinct())
-
-
-def less(w: Column, cut: Column) -> Column:
-    return F.when(cut < 0, w).otherwise(F.concat(F.slice(w, F.lit(1), F.greatest(cut, F.lit(0))),
-                                                 F.slice(w, cut + 2, F.size(w))))
-
-
-def verified(pairs: DataFrame, candidates: DataFrame) -> DataFrame:
-    """Places of the lines whose words are within one edit of an earlier line's."""
-    words = candidates.select(F.struct(*PLACE).alias("place"), "w")
-    both = (pairs.join(words, "place")
-            .join(words.select(F.col("place").alias("other"), F.col("w").alias("ow")), "other"))
-    equal = less(F.col("w"), F.col("cut")) == less(F.col("ow"), F.col("other_cut"))
-    bound = (F.col("cut") == F.col("other_cut")) | (F.least("cut", "other_cut") < 0)
-    return both.where(equal & bound).select("place.*").distinct()
+    """(h1, size, v, cut): key of each line less the word at place ``cut``."""
+    words = (candidates.repartition(*LINE).withColumn("w", words_of(F.col("line")))
+             .select(*LINE, F.size("w").alias("n"), F.posexplode("w").alias("i", "w"))
+             .select(*LINE, "n", "i", F.xxhash64("w", "i").alias("same"), F.xxhash64("w", F.col("i") - 1).alias("moved")))
+    line = Window.partitionBy(*LINE)
+    upto = line.orderBy("i").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    same, moved = F.bit_xor("same").over(upto), F.bit_xor("moved").over(upto)
+    key = same.bitwiseXOR(F.col("same")).bitwiseXOR(moved).bitwiseXOR(F.bit_xor("moved").over(line))
+    return words.select("h1", (F.col("n") - 1).alias("size"), key.alias("v"), F.col("i").alias("cut"))
+
+
+def less(line: Column, cut: Column) -> Column:
+    """Words of the line without the one at ``cut`` (-1: all)."""
+    w = words_of(line)
+    return F.when(cut < 0, w).otherwise(F.concat(F.slice(w, F.lit(1), F.greatest(cut, F.lit(0))), F.slice(w, cut + 2, F.size(w))))
+
+
+def near_lines(candidates: DataFrame, cut: DataFrame) -> DataFrame:
+    """(h1, h2) of the candidates that are within one edit of an earlier line."""
+    key = ["size", "v", "cut"]
+    shared = cut.join(cut.groupBy(*key).agg(F.count("*").alias("n")).where("n > 1").select(*key), key)
+    member = shared.join(candidates, "h1").select(*key, *LINE, "first", "line")
+    earliest = member.groupBy(*key).agg(F.min(F.struct("first", "line")).alias("m"))
+    replaced = (member.join(earliest, key)
+                .select(*LINE, "line", "cut", "first", F.col("m.first").alias("of"), F.col("m.line").alias("other"),
+                        F.col("cut").alias("other_cut")))
+    w = words_of(F.col("line"))
+    whole = candidates.select(F.size(w).alias("size"), whole_key(w).alias("v"), F.struct(*LINE, "first", "line").alias("whole"))
+    meets = cut.join(whole, ["size", "v"]).join(candidates, "h1").select(
+        "cut", "whole", F.struct(*LINE, "first", "line").alias("long"))
+    # the later of the two is the redundant one
+    longer = meets.where(F.col("whole.first") < F.col("long.first")).select(
+        "long.h1", "long.h2", "long.line", "cut", "long.first", F.col("whole.first").alias("of"),
+        F.col("whole.line").alias("other"), F.lit(-1).alias("other_cut"))
+    shorter = meets.where(F.col("long.first") < F.col("whole.first")).select(
+        "whole.h1", "whole.h2", "whole.line", F.lit(-1).alias("cut"), "whole.first", F.col("long.first").alias("of"),
+        F.col("long.line").alias("other"), F.col("cut").alias("other_cut"))
+    pairs = replaced.unionByName(longer).unionByName(shorter)
+    equal = less(F.col("line"), F.col("cut")) == less(F.col("other"), F.col("other_cut"))
+    return pairs.where((F.col("of") < F.col("first")) & equal).select(*LINE).distinct()
 
 
 def removed_places(lines: DataFrame) -> DataFrame:
-    """Places of all lines that an earlier line makes redundant."""
+    """(id0, t, pos) of all lines that an earlier line makes redundant."""
     distinct = stored(distinct_lines(lines), "lines-distinct")
-    picked = near_candidates(distinct)
-    candidates = stored(lines.where(F.size("w") >= MIN_WORDS).join(picked, [*PLACE], "left_semi")
-                        .select(*PLACE, "w").dropDuplicates([*PLACE]), "lines-candidates")
-    near = verified(near_pairs(variants(candidates)), candidates).select(
-        F.struct(*PLACE).alias("first"), F.lit(True).alias("near"))
-    decided = distinct.select(*LINE, "first").join(near, "first", "left")
-    return (lines.select(*PLACE, *LINE).join(decided, [*LINE])
-            .where((F.col("first") != F.struct(*PLACE)) | F.col("near")).select(*PLACE))
+    picked = stored(near_candidates(distinct), "lines-picked")
+    # an inner join, as a semi join would be moved below the bitmap; the hashes are distinct
+    candidates = stored(in_bitmap(lines.select(*LINE, "place", "line"), picked).join(picked, "h1")
+                        .groupBy(*LINE, "line").agg(F.min("place").alias("first"))
+                        .where(F.size(words_of(F.col("line"))) >= MIN_WORDS), "lines-candidates")
+    near = near_lines(candidates, stored(variants(candidates), "lines-variants")).withColumn("near", F.lit(True))
+    decided = distinct.select(*LINE, "first").join(near, [*LINE], "left")
+    return (lines.select(*ROW, "pos", *LINE, "place").join(decided, [*LINE])
+            .where((F.col("first") != F.col("place")) | F.col("near")).select(*ROW, "pos"))
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -138,11 +177,10 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     old = [c for c in docs.columns if c not in ("n_lines", "n_kept")]
     id0, t = row_key(id_col, text_col)
     both = docs.select(*old, id0.alias("_id0"), t.alias("_t")).join(gone, ["_id0", "_t"], "left")
-    lines = F.split(F.col(text_col), "\n")
-    full = F.size(F.filter(F.split(text_of(text_col), "\n"), lambda x: F.size(words_of(x)) > 0)).cast("long")
+    full = F.size(F.filter(F.split(text_of(text_col), "\n"), lambda x: trimmed(x) != "")).cast("long")
     both = (both.withColumn("n_lines", full)
             .withColumn("n_kept", F.col("n_lines") - F.coalesce(F.size("_gone"), F.lit(0))))
-    left = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains("_gone", i)), "\n")
+    left = F.array_join(F.filter(F.split(F.col(text_col), "\n"), lambda x, i: ~F.array_contains("_gone", i)), "\n")
     out = [F.when(F.col("_gone").isNull(), F.col(c)).when(F.col("n_kept") == 0, F.lit("")).otherwise(left).alias(c)
            if c == text_col else F.col(c) for c in old]
     return both.select(*out, "n_lines", "n_kept")
