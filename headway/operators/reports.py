@@ -1,83 +1,45 @@
 """Run-log reports: request latency percentiles, ingest throughput, batch speedup.
 
 Exact order statistics are computed without putting a group into one task:
-duplicates are first collapsed map-side to (group, value, count); the rows are
-then range-partitioned on (group, value), so a group holding a third of all
-rows is spread over a third of the tasks; each task numbers its rows with a
-running count, and a tiny per-task offset table turns that into the exact
-global rank. Only (group, value) rows that hold a wanted rank survive.
+values are first collapsed map-side to (group, value, count) and to a histogram
+of (group, value bucket); the running total over a group's few buckets finds the
+bucket that holds each wanted rank, and only the values of those buckets are
+numbered.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from headway.functions import columns as C
-from headway.session import checkpoint_root
 
+BUCKET_MS = 1.0     # width of a histogram bucket of latencies
 
-def _local_running_counts(group: str, value: str):
-    """Per task: running count of rows within each group, in (group, value) order."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from pyspark import TaskContext
-
-        pid = TaskContext.get().partitionId()
-        carry: dict = {}
-        for b in batches:
-            if b.empty:
-                continue
-            cum = b.groupby(group, sort=False, dropna=False)["c"].cumsum()
-            base = b[group].map(carry).fillna(0).astype("int64")
-            b = b.assign(pid=pid, local_cum=(cum + base).astype("int64"))
-            last = b.groupby(group, sort=False, dropna=False)["local_cum"].last()
-            carry.update(last.to_dict())
-            yield b[[group, value, "c", "pid", "local_cum"]]
-
-    return run
-
-
-def exact_ranks(df: DataFrame, group: str, value: str, targets: DataFrame,
-                partitions: int | None = None) -> DataFrame:
+def exact_ranks(df: DataFrame, group: str, value: str, targets: DataFrame, width: float = BUCKET_MS) -> DataFrame:
     """Value at each wanted 1-based rank of its group.
 
     ``targets`` has columns (``group``, ``key``, ``r``): for each group the
     ranks to fetch, each under a label ``key``. Returns (group, key, value).
     NULL values are ignored (they have no rank).
     """
-    spark = df.sparkSession
-    n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    bucket = F.floor(F.col(value) / F.lit(width))
     counts = df.filter(F.col(value).isNotNull()).groupBy(group, value).agg(
         F.count(F.lit(1)).alias("c")
-    )
-    ranged = counts.repartitionByRange(n_parts, group, value).sortWithinPartitions(group, value)
-    fields = [counts.schema[group], counts.schema[value], T.StructField("c", T.LongType()),
-              T.StructField("pid", T.IntegerType()), T.StructField("local_cum", T.LongType())]
-    local = ranged.mapInPandas(_local_running_counts(group, value), T.StructType(fields))
-    # read twice (task totals, then ranks): computed once, lineage cut
-    checkpoint_root(spark)
-    local = local.checkpoint(eager=True)
-    per_task = local.groupBy(group, "pid").agg(F.max("local_cum").alias("task_rows"))
-    offsets = per_task.withColumn(
-        "offset",
-        F.coalesce(F.sum("task_rows").over(
-            Window.partitionBy(group).orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)
-        ), F.lit(0)),
-    ).select(group, "pid", "offset")
-    ranked = local.join(offsets, [group, "pid"]).select(
-        group, value, (F.col("offset") + F.col("local_cum")).alias("cum"), "c"
-    )
-    # Each wanted rank matches exactly one (group, value) row; targets are
-    # (groups x ranks) rows, measured by AQE before it picks a broadcast.
-    hit = ranked.join(targets, group).filter(
-        (F.col("cum") - F.col("c") < F.col("r")) & (F.col("r") <= F.col("cum"))
-    )
-    return hit.select(group, "key", value)
+    ).withColumn("b", bucket)
+    upto = Window.partitionBy(group).orderBy("b")
+    histogram = counts.groupBy(group, "b").agg(F.sum("c").alias("n")).withColumn("upto", F.sum("n").over(upto))
+    wanted = histogram.join(targets, group).filter(
+        (F.col("upto") - F.col("n") < F.col("r")) & (F.col("r") <= F.col("upto"))
+    ).select(group, "b", "key", "r", (F.col("upto") - F.col("n")).alias("before"))
+    inside = Window.partitionBy(group, "key").orderBy(value)
+    cum = F.col("before") + F.sum("c").over(inside)
+    hit = counts.join(wanted, [group, "b"]).withColumn("cum", cum)
+    return hit.filter((F.col("cum") - F.col("c") < F.col("r")) & (F.col("r") <= F.col("cum"))).select(
+        group, "key", value)
 
 
 def latency_report(requests: DataFrame, group: str = "concurrency") -> DataFrame:
@@ -140,7 +102,7 @@ def throughput_report(runs: DataFrame) -> DataFrame:
     )
 
 
-def speedup_report(runs: DataFrame, job: Sequence[str] = ()) -> DataFrame:
+def speedup_report(runs: DataFrame, job: Sequence[str]) -> DataFrame:
     """Speedup and efficiency of each run against the first completed run.
 
     Runs are taken in partition order; the baseline is the elapsed time of the

@@ -58,8 +58,7 @@ def _merge(speed: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
 def serving_merge(speed_rows: DataFrame, baseline: DataFrame, as_of: datetime) -> DataFrame:
     """One merged row per route: its newest live window against the current bucket.
 
-    Both inputs are aggregated by ``route_id`` upstream, so the full outer
-    join on ``route_id`` reuses their hash partitioning.
+    Only the current bucket of the baseline is read, 1/168 of it.
     """
     bucket = C.time_bucket(ts_literal(as_of))
     live = latest_per_route(speed_rows, as_of).select(
@@ -70,13 +69,11 @@ def serving_merge(speed_rows: DataFrame, baseline: DataFrame, as_of: datetime) -
         F.col("event_count").alias("live_event_count"),
         "is_anomaly",
     )
-    hist = baseline.select(
+    # one bucket of the baseline, filtered at its scan
+    hist = baseline.filter(F.col("time_bucket") == bucket).select(
         "route_id", "time_bucket", F.col("avg_delay_seconds").alias("historical_avg_delay_seconds")
     )
-    # Keyed on (route, bucket) against the whole baseline and filtered after the
-    # join: the baseline subtree is then the same one the speed rows were joined
-    # with, so its stage is computed once and reused instead of rescanning history.
-    merged = _merge(live, hist, ["route_id", "time_bucket"]).filter(F.col("time_bucket") == bucket)
+    merged = _merge(live, hist, ["route_id", "time_bucket"])
     return merged.select(
         "route_id", "time_bucket", "speed_window_end", "live_avg_delay_seconds",
         "live_event_count", "is_anomaly", "historical_avg_delay_seconds",

@@ -1,7 +1,8 @@
 """Named queries over a data directory: ``name -> (spark, sf_dir) -> DataFrame``.
 
 Each query reads the provided tables (through the fixed feed mapping in
-``headway.sources.fixtures``) and runs over all of their rows. Parameters
+``headway.sources.fixtures``) and runs over all of their rows; only where live
+rows meet a baseline are they split in time into history and live part. Parameters
 (evaluation instant, window sizes) are fixed here so the SQL oracle in
 ``headway.plans.oracle`` can state the same query.
 """
@@ -19,7 +20,7 @@ from headway.operators import reports as RP
 from headway.operators import serving as V
 from headway.operators import speed as S
 from headway.schemas import RAW_SCHEMA
-from headway.session import ensure_utc, materialize
+from headway.session import ensure_utc
 from headway.sources import feed as FD
 from headway.sources import fixtures as X
 from headway.sources import raw as RW
@@ -41,7 +42,13 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # -- shared building blocks ---------------------------------------------------
 
+def statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batch statistics of the whole table."""
+    return B.route_statistics(B.clean_events(X.delay_events(spark, sf_dir)))
+
+
 def history_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batch statistics of what lies before the live part: the baseline that live rows meet."""
     return B.route_statistics(B.clean_events(X.history_events(spark, sf_dir)))
 
 
@@ -53,9 +60,15 @@ def live_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.sliding_window_stats(X.live_events(spark, sf_dir), SIZE, SLIDE)
 
 
-def baseline_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The batch view written once and read back (for queries that use it twice)."""
-    return materialize(baseline(spark, sf_dir), "batch_view")
+def newest_rows(spark: SparkSession, sf_dir: str, base: DataFrame | None = None) -> DataFrame:
+    """Speed-view row of each route's newest window at AS_OF.
+
+    Events after AS_OF are not read, and the baseline meets one row for each route
+    instead of every window.
+    """
+    events = X.live_events(spark, sf_dir).filter(F.col("event_ts") < X.ts_literal(AS_OF))
+    newest = V.latest_per_route(S.sliding_window_stats(events, SIZE, SLIDE), AS_OF)
+    return S.speed_with_baseline(newest, base if base is not None else baseline(spark, sf_dir))
 
 
 def speed_rows(spark: SparkSession, sf_dir: str, base: DataFrame | None = None) -> DataFrame:
@@ -63,8 +76,9 @@ def speed_rows(spark: SparkSession, sf_dir: str, base: DataFrame | None = None)
     return S.speed_with_baseline(live_windows(spark, sf_dir), base)
 
 
-def live_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return S.top_n_snapshot(live_windows(spark, sf_dir), TOP_N)
+def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Top-N snapshots of every window of the whole table."""
+    return S.top_n_snapshot(S.sliding_window_stats(X.delay_events(spark, sf_dir), SIZE, SLIDE), TOP_N)
 
 
 # -- batch layer ----------------------------------------------------------------
@@ -82,15 +96,15 @@ def q_input_counts(spark, sf_dir):
 
 
 def q_route_statistics(spark, sf_dir):
-    return history_statistics(spark, sf_dir)
+    return statistics(spark, sf_dir)
 
 
 def q_top_delayed_routes(spark, sf_dir):
-    return B.top_delayed_routes(B.clean_events(X.history_events(spark, sf_dir)))
+    return B.top_delayed_routes(B.clean_events(X.delay_events(spark, sf_dir)))
 
 
 def q_batch_view(spark, sf_dir):
-    return baseline(spark, sf_dir)
+    return B.batch_view(statistics(spark, sf_dir))
 
 
 def q_time_bucket(spark, sf_dir):
@@ -98,7 +112,7 @@ def q_time_bucket(spark, sf_dir):
 
 
 def q_batch_delay_history(spark, sf_dir):
-    return B.batch_delay_history(history_statistics(spark, sf_dir))
+    return B.batch_delay_history(statistics(spark, sf_dir))
 
 
 # -- speed layer ----------------------------------------------------------------
@@ -120,19 +134,19 @@ def q_top_delayed_live(spark, sf_dir):
 
 
 def q_top_n_snapshot(spark, sf_dir):
-    return live_snapshots(spark, sf_dir)
+    return snapshots(spark, sf_dir)
 
 
 def q_latest_snapshot(spark, sf_dir):
-    return S.latest_snapshot(live_snapshots(spark, sf_dir), AS_OF)
+    return S.latest_snapshot(snapshots(spark, sf_dir), AS_OF)
 
 
 def q_latest_snapshot_json(spark, sf_dir):
-    return S.latest_snapshot_from_json(S.top_n_json(live_snapshots(spark, sf_dir)), AS_OF)
+    return S.latest_snapshot_from_json(S.top_n_json(snapshots(spark, sf_dir)), AS_OF)
 
 
 def q_top_delayed_n(spark, sf_dir):
-    return S.top_delayed_n(live_snapshots(spark, sf_dir), PREFIX_N, AS_OF)
+    return S.top_delayed_n(snapshots(spark, sf_dir), PREFIX_N, AS_OF)
 
 
 def q_speed_with_baseline(spark, sf_dir):
@@ -144,11 +158,11 @@ def q_anomaly_windows(spark, sf_dir):
 
 
 def q_anomalies(spark, sf_dir):
-    return V.current_anomalies(speed_rows(spark, sf_dir), AS_OF)
+    return V.current_anomalies(newest_rows(spark, sf_dir), AS_OF)
 
 
 def q_anomaly_alerts(spark, sf_dir):
-    return V.anomaly_alerts(V.current_anomalies(speed_rows(spark, sf_dir), AS_OF))
+    return V.anomaly_alerts(V.current_anomalies(newest_rows(spark, sf_dir), AS_OF))
 
 
 def q_speed_view_live(spark, sf_dir):
@@ -158,16 +172,16 @@ def q_speed_view_live(spark, sf_dir):
 # -- serving layer --------------------------------------------------------------
 
 def q_latest_per_route(spark, sf_dir):
-    return V.latest_per_route(speed_rows(spark, sf_dir), AS_OF)
+    return V.latest_per_route(newest_rows(spark, sf_dir), AS_OF)
 
 
 def q_serving_merge(spark, sf_dir):
-    base = baseline_table(spark, sf_dir)
-    return V.serving_merge(speed_rows(spark, sf_dir, base), base, AS_OF)
+    base = baseline(spark, sf_dir)
+    return V.serving_merge(newest_rows(spark, sf_dir, base), base, AS_OF)
 
 
 def q_serving_merge_history(spark, sf_dir):
-    base = baseline_table(spark, sf_dir)
+    base = baseline(spark, sf_dir)
     return V.serving_merge_history(speed_rows(spark, sf_dir, base), base)
 
 
@@ -178,8 +192,8 @@ def q_verdict(spark, sf_dir):
 
 
 def q_route_detail(spark, sf_dir):
-    base = baseline_table(spark, sf_dir)
-    return V.route_detail(speed_rows(spark, sf_dir, base), base, AS_OF, DETAIL_ROUTE)
+    base = baseline(spark, sf_dir)
+    return V.route_detail(newest_rows(spark, sf_dir, base), base, AS_OF, DETAIL_ROUTE)
 
 
 def q_live_summary(spark, sf_dir):
@@ -188,13 +202,13 @@ def q_live_summary(spark, sf_dir):
 
 def q_kpis(spark, sf_dir):
     window = S.window_stats(X.delay_events(spark, sf_dir), AS_OF, SIZE)
-    return V.kpis(window, V.current_anomalies(speed_rows(spark, sf_dir), AS_OF), TOP_N)
+    return V.kpis(window, V.current_anomalies(newest_rows(spark, sf_dir), AS_OF), TOP_N)
 
 
 def q_top_delayed_enriched(spark, sf_dir):
-    windows = materialize(live_windows(spark, sf_dir), "live_windows")
-    base = baseline_table(spark, sf_dir)
-    merged = V.serving_merge(S.speed_with_baseline(windows, base), base, AS_OF)
+    windows = live_windows(spark, sf_dir)
+    base = baseline(spark, sf_dir)
+    merged = V.serving_merge(newest_rows(spark, sf_dir, base), base, AS_OF)
     return V.top_delayed_enriched(S.top_n_snapshot(windows, TOP_N), merged, AS_OF)
 
 
@@ -224,7 +238,7 @@ def q_delta_label(spark, sf_dir):
 
 
 def q_relative_delay(spark, sf_dir):
-    return V.relative_delay(live_snapshots(spark, sf_dir))
+    return V.relative_delay(snapshots(spark, sf_dir))
 
 
 # -- ingestion ------------------------------------------------------------------
@@ -235,8 +249,7 @@ def q_raw_json_scan(spark, sf_dir):
 
 def q_archive_route_statistics(spark, sf_dir):
     raw = RW.parse_raw_lines(X.raw_lines(spark, sf_dir))
-    clean = B.clean_events(raw).filter(F.col("event_ts") < X.ts_literal(X.HISTORY_UNTIL))
-    return B.route_statistics(clean)
+    return B.route_statistics(B.clean_events(raw))
 
 
 def _speed_records(lines):
@@ -298,7 +311,7 @@ def q_stream_tumbling_window(spark, sf_dir):
 
 
 def q_stream_top_n(spark, sf_dir):
-    return SR.speed_layer(spark, sf_dir, SIZE, SLIDE, STREAM_WATERMARK, TOP_N)[1]
+    return SR.speed_layer(spark, sf_dir, SIZE, SLIDE, STREAM_WATERMARK, TOP_N, live_only=False)[1]
 
 
 def q_stream_anomalies(spark, sf_dir):

@@ -45,6 +45,8 @@ CLEAN = """clean AS (
 
 HIST = f"hist AS (SELECT * FROM clean WHERE event_ts < {HISTORY_UNTIL})"
 
+WHOLE = "hist AS (SELECT * FROM clean)"
+
 STATS = """stats AS (
   SELECT route_id, day_of_week, hour_of_day, avg(delay_seconds) AS avg_delay,
          max(delay_seconds) AS max_delay, count(*) AS observations
@@ -80,6 +82,8 @@ def sliding(src: str) -> str:
 
 LW = f"lw AS ({sliding('livespd')})"
 
+ALLW = f"lw AS ({sliding('spd')})"
+
 SR = f"""sr AS (
   SELECT w.window_start, w.window_end, w.route_id, w.tb AS time_bucket, w.event_count,
          {rb("w.avg_delay_seconds", 2)} AS avg_delay_seconds, w.max_delay_seconds, w.late_count,
@@ -204,13 +208,13 @@ ORACLE: dict[str, str] = {
        cast(count_if(route_id IS NOT NULL AND delay_seconds IS NOT NULL) AS BIGINT) AS clean_records,
        cast(count(*) - count_if(route_id IS NOT NULL AND delay_seconds IS NOT NULL) AS BIGINT)
          AS dropped_records FROM ev""",
-    "route_statistics": w(EV, CLEAN, HIST, STATS) + "SELECT * FROM stats",
-    "top_delayed_routes": w(EV, CLEAN, HIST) + """SELECT route_id, avg(delay_seconds) AS average_delay,
+    "route_statistics": w(EV, CLEAN, WHOLE, STATS) + "SELECT * FROM stats",
+    "top_delayed_routes": w(EV, CLEAN, WHOLE) + """SELECT route_id, avg(delay_seconds) AS average_delay,
        count(*) AS records FROM hist GROUP BY route_id ORDER BY average_delay DESC, route_id LIMIT 20""",
-    "batch_view": w(*BASE) + "SELECT * FROM bview",
+    "batch_view": w(EV, CLEAN, WHOLE, STATS, BVIEW) + "SELECT * FROM bview",
     "time_bucket": w(EV, CLEAN) + f"""SELECT event_id, route_id, event_ts, {bucket('event_ts')} AS time_bucket
        FROM clean""",
-    "batch_delay_history": w(EV, CLEAN, HIST, STATS) + """SELECT route_id,
+    "batch_delay_history": w(EV, CLEAN, WHOLE, STATS) + """SELECT route_id,
        cast(NULL AS VARCHAR) AS route_short_name,
        day_of_week || '_' || lpad(cast(hour_of_day AS VARCHAR), 2, '0') AS time_bucket,
        avg_delay AS avg_delay_seconds, cast(max_delay AS DOUBLE) AS max_delay_seconds,
@@ -223,10 +227,10 @@ ORACLE: dict[str, str] = {
        route_id, avg(delay_seconds) AS avg_delay_seconds, count(*) AS event_count
        FROM spd GROUP BY ALL""",
     "top_delayed_live": w(EV, SPD, WS, TOPLIVE) + "SELECT * FROM toplive",
-    "top_n_snapshot": w(EV, SPD, LIVE, LW, SNAP) + "SELECT * FROM snap",
-    "latest_snapshot": w(EV, SPD, LIVE, LW, SNAP, LATESTSNAP) + "SELECT * FROM latestsnap",
-    "latest_snapshot_json": w(EV, SPD, LIVE, LW, SNAP, LATESTSNAP) + "SELECT * FROM latestsnap",
-    "top_delayed_n": w(EV, SPD, LIVE, LW, SNAP, LATESTSNAP) + 'SELECT * FROM latestsnap WHERE "rank" <= 3',
+    "top_n_snapshot": w(EV, SPD, ALLW, SNAP) + "SELECT * FROM snap",
+    "latest_snapshot": w(EV, SPD, ALLW, SNAP, LATESTSNAP) + "SELECT * FROM latestsnap",
+    "latest_snapshot_json": w(EV, SPD, ALLW, SNAP, LATESTSNAP) + "SELECT * FROM latestsnap",
+    "top_delayed_n": w(EV, SPD, ALLW, SNAP, LATESTSNAP) + 'SELECT * FROM latestsnap WHERE "rank" <= 3',
     "speed_with_baseline": w(*SPEED) + "SELECT * FROM sr",
     "anomaly_windows": w(*SPEED) + "SELECT * FROM sr WHERE is_anomaly",
     "anomalies": w(*SPEED, LATEST, CURANOM) + "SELECT * FROM curanom",
@@ -264,7 +268,7 @@ ORACLE: dict[str, str] = {
        FROM sr""",
     "delta_label": w(*SPEED, HISTMERGE) + f"""SELECT route_id, time_bucket, window_end, delta_vs_historical,
        {delta_text('delta_vs_historical')} AS delta_label FROM hmo""",
-    "relative_delay": w(EV, SPD, LIVE, LW, SNAP) + """SELECT window_end, "rank", route_id, avg_delay_seconds,
+    "relative_delay": w(EV, SPD, ALLW, SNAP) + """SELECT window_end, "rank", route_id, avg_delay_seconds,
        cast(CASE WHEN max(coalesce(avg_delay_seconds, 0)) OVER (PARTITION BY window_end) > 0
                  THEN floor(avg_delay_seconds
                             / max(coalesce(avg_delay_seconds, 0)) OVER (PARTITION BY window_end) * 120 + 0.5)
@@ -323,7 +327,7 @@ ORACLE.update({
        cast(hour(ts) AS INTEGER) AS hour_of_day, avg(delay_seconds) AS avg_delay,
        max(delay_seconds) AS max_delay, count(*) AS observations
        FROM (SELECT *, cast(ingestion_time AS TIMESTAMP) AS ts FROM rawscan)
-       WHERE route_id IS NOT NULL AND delay_seconds IS NOT NULL AND ts < {HISTORY_UNTIL}
+       WHERE route_id IS NOT NULL AND delay_seconds IS NOT NULL
        GROUP BY ALL""",
     "coerce_delay": w(SRC) + SPEEDREC,
     "decode_envelope": w(SRC) + SPEEDREC,
@@ -419,7 +423,7 @@ ORACLE.update({
                 route_id, avg(delay_seconds) AS avg_delay_seconds, count(*) AS event_count
          FROM spd GROUP BY ALL)
        WHERE window_end <= (SELECT max(event_ts) FROM spd) - INTERVAL 10 MINUTE""",
-    "stream_top_n": w(EV, SPD, LIVE, LW, SNAP) + "SELECT * FROM snap",
+    "stream_top_n": w(EV, SPD, ALLW, SNAP) + "SELECT * FROM snap",
     "stream_anomalies": w(*SPEED) + "SELECT * FROM sr WHERE is_anomaly",
     "microbatch_stats": w(SRC, EV, CLEAN, HIST, STATS, BVIEW) + MICRO,
     "batch_counters": w(SRC) + """SELECT cast(0 AS BIGINT) AS batch_id, count(*) AS processed,

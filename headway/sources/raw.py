@@ -24,14 +24,17 @@ PARTITIONS = ("year", "month", "day", "hour")
 
 
 def read_raw_json(spark: SparkSession, path: str, since: datetime | None = None,
-                  until: datetime | None = None, schema=RAW_SCHEMA) -> DataFrame:
+                  until: datetime | None = None, schema=RAW_SCHEMA, max_lag: timedelta | None = None,
+                  clock_skew: timedelta = timedelta(hours=1)) -> DataFrame:
     """Scan the JSON-lines archive with the declared schema (PERMISSIVE).
 
     Below ``path`` the archive is laid out as ``year=/month=/day=/hour=``, so
-    the scan also yields those integer columns and a ``since``/``until`` bound
-    prunes whole directories. Directories are named by flush time, which runs
-    up to one flush interval behind event time, so the bound is widened by an
-    hour on each side and the exact event-time bound is applied afterwards.
+    the scan also yields those integer columns. Directories are named by flush
+    time, which is never before event time by more than ``clock_skew``: a
+    ``since`` bound prunes the directories before it. A record may be flushed any
+    time later, so ``until`` prunes only if ``max_lag`` states how late. The exact
+    event-time bounds are applied afterwards; a record whose time can't be parsed
+    is kept, as an unbounded read keeps it.
     """
     df = spark.read.schema(schema).option("mode", "PERMISSIVE").json(path)
     if not set(PARTITIONS) <= set(df.columns) or (since is None and until is None):
@@ -42,14 +45,14 @@ def read_raw_json(spark: SparkSession, path: str, since: datetime | None = None,
         return t.year * 1_000_000 + t.month * 10_000 + t.day * 100 + t.hour
 
     if since is not None:
-        df = df.filter(key >= hour_key(since - timedelta(hours=1)))
-    if until is not None:
-        df = df.filter(key <= hour_key(until + timedelta(hours=1)))
+        df = df.filter(key >= hour_key(since - clock_skew))
+    if until is not None and max_lag is not None:
+        df = df.filter(key <= hour_key(until + max_lag))
     ts = C.parse_event_time("ingestion_time")
     if since is not None:
-        df = df.filter(ts >= ts_literal(since))
+        df = df.filter((ts >= ts_literal(since)) | ts.isNull())
     if until is not None:
-        df = df.filter(ts < ts_literal(until))
+        df = df.filter((ts < ts_literal(until)) | ts.isNull())
     return df
 
 
@@ -112,9 +115,14 @@ def speed_candidates(lines: DataFrame, text: str = "value") -> DataFrame:
         "delay_seconds", coerce_delay(F.col("delay_seconds")))
 
 
+def is_record(text: str = "value") -> Column:
+    """Whether a line is a JSON object, as a record must be."""
+    return F.coalesce(F.schema_of_variant(F.try_parse_json(F.col(text))).startswith("OBJECT"), F.lit(False))
+
+
 def malformed_records(lines: DataFrame, text: str = "value") -> DataFrame:
-    """One row: lines read, lines that are not valid JSON, lines decoded."""
-    bad = F.count_if(F.try_parse_json(F.col(text)).isNull())
+    """One row: lines read, lines that are not JSON objects, lines decoded."""
+    bad = F.count_if(~is_record(text))
     return lines.agg(
         F.count(F.lit(1)).alias("records"),
         bad.alias("malformed"),

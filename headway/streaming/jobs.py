@@ -58,10 +58,14 @@ def file_stream(spark: SparkSession, path: str, fmt: str = "parquet", schema=Non
 
 
 def event_stream(spark: SparkSession, sf_dir: str, max_files: int | None = None) -> DataFrame:
-    """The provided ``events`` table as a stream (one file per trigger by default)."""
+    """The provided ``events`` table as a stream: one file or a folder of part files.
+
+    The path is a pattern that matches the table only, so a streaming source takes
+    a single file as well. ``max_files`` bounds a micro-batch; a replay leaves it open.
+    """
     from headway.schemas import EVENTS
 
-    return file_stream(spark, sf_dir, schema=EVENTS, glob="events.parquet", max_files=max_files or 1)
+    return file_stream(spark, os.path.join(sf_dir, "events.parque[t]"), schema=EVENTS, max_files=max_files)
 
 
 # -- windowed statistics ---------------------------------------------------------
@@ -299,21 +303,30 @@ def start_microbatch(lines: DataFrame, stats_path: str, counters_path: str, chec
 # -- raw archive --------------------------------------------------------------------
 
 def archive_lines(lines: DataFrame) -> DataFrame:
-    """Decodable records with arrival metadata and the flush-time partition columns.
+    """Decodable records (JSON objects) with arrival metadata and the flush-time partition columns.
 
-    Arrival = when the record reached the log (for a file source, the file's
-    modification time); the sequence names the file and the record. The
-    partition is the flush (processing) time, as the archive is laid out.
+    A log source carries ``partition``, ``offset`` and ``timestamp``: they name the
+    record and its arrival. For a file source arrival is the file's modification
+    time, and a record's sequence is the file's name and a unique part, as equal
+    lines of a file are different records. The partition is the flush (processing)
+    time, as the archive is laid out.
     """
     flushed = F.current_timestamp()
-    arrival = F.col("_metadata.file_modification_time")
-    seq = F.concat(F.col("_metadata.file_name"), F.lit(":"), F.xxhash64("value").cast("string"))
-    body = F.expr("substring(value, 1, length(value) - 1)")
-    value = F.concat(
-        body, F.lit(',"_kinesis_sequence":"'), seq, F.lit('","_kinesis_arrival":"'),
+    if {"partition", "offset", "timestamp"} <= set(lines.columns):
+        arrival = F.col("timestamp")
+        seq = F.concat_ws(":", F.col("partition").cast("string"), F.col("offset").cast("string"))
+        lines = lines.withColumn("value", F.col("value").cast("string"))
+    else:
+        arrival = F.col("_metadata.file_modification_time")
+        seq = F.concat(F.col("_metadata.file_name"), F.lit(":"), F.uuid())
+    fields = F.concat(
+        F.lit('"_kinesis_sequence":"'), seq, F.lit('","_kinesis_arrival":"'),
         F.date_format(arrival, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit('"}'),
     )
-    good = lines.filter(F.try_parse_json("value").isNotNull())
+    # the object's text up to its closing brace, and a comma unless it has no fields
+    body = F.regexp_replace("value", r"\s*\}\s*$", "")
+    value = F.concat(body, F.when(body.rlike(r"^\s*\{$"), F.lit("")).otherwise(F.lit(",")), fields)
+    good = lines.filter(RW.is_record("value"))
     return good.select(
         value.alias("value"),
         F.year(flushed).alias("year"),
@@ -353,9 +366,12 @@ def start_fan_out(lines: DataFrame, archive_path: str, view_path: str, snapshot_
     return archive, speed
 
 
-def run_to_completion(query: StreamingQuery, timeout_s: int = 1800) -> None:
-    """Wait for an ``availableNow`` query; surface its failure."""
-    query.awaitTermination(timeout_s)
+def run_to_completion(query: StreamingQuery, timeout_s: int | None = None) -> None:
+    """Wait for an ``availableNow`` query, without limit unless one is given; surface its failure."""
+    if timeout_s is None:
+        query.awaitTermination()
+    else:
+        query.awaitTermination(timeout_s)
     if query.isActive:
         query.stop()
         raise TimeoutError(f"streaming query {query.name or query.id} did not finish")

@@ -29,9 +29,10 @@ def _ntz(t: datetime):
     return F.lit(t.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
 
 
-def _baseline(sf_dir: str):
-    """Batch view of the history, re-derived whenever a batch asks for it."""
-    return lambda spark: B.batch_view(B.route_statistics(B.clean_events(X.history_events(spark, sf_dir))))
+def _baseline(spark: SparkSession, sf_dir: str, path: str):
+    """Batch view of the history, written once for a replay; each micro-batch reads it."""
+    B.batch_view(B.route_statistics(B.clean_events(X.history_events(spark, sf_dir)))).write.parquet(path)
+    return lambda spark: spark.read.parquet(path)
 
 
 def stream_windows(spark: SparkSession, sf_dir: str, size: str, slide: str | None,
@@ -46,12 +47,14 @@ def stream_windows(spark: SparkSession, sf_dir: str, size: str, slide: str | Non
 
 
 def speed_layer(spark: SparkSession, sf_dir: str, size: str, slide: str, watermark: str,
-                n: int) -> tuple[DataFrame, DataFrame]:
-    """Speed layer over the live part of the log: (speed view, top-N snapshots)."""
+                n: int, live_only: bool = True) -> tuple[DataFrame, DataFrame]:
+    """Speed layer over the live part of the log, or all of it: (speed view, top-N snapshots)."""
     d = _run_dir(spark, "speed")
-    raw = J.event_stream(spark, sf_dir).filter(F.col("ts") >= _ntz(X.HISTORY_UNTIL))
+    raw = J.event_stream(spark, sf_dir)
+    if live_only:
+        raw = raw.filter(F.col("ts") >= _ntz(X.HISTORY_UNTIL))
     events = X.events_to_delay_events(raw)
-    q = J.start_speed_layer(events, f"{d}/view", f"{d}/top", f"{d}/ckpt", _baseline(sf_dir),
+    q = J.start_speed_layer(events, f"{d}/view", f"{d}/top", f"{d}/ckpt", _baseline(spark, sf_dir, f"{d}/batch_view"),
                             size, slide, watermark, J.REPLAY, n)
     J.run_to_completion(q)
     return J.read_speed_view(spark, f"{d}/view"), J.read_snapshots(spark, f"{d}/top")
@@ -61,7 +64,8 @@ def microbatch(spark: SparkSession, sf_dir: str, as_of: datetime) -> tuple[DataF
     """Micro-batch variant over the delivered envelopes: (route stats, counters)."""
     d = _run_dir(spark, "microbatch")
     lines = RW.decode_envelope(X.envelopes_from(X.raw_lines_from(J.event_stream(spark, sf_dir))))
-    q = J.start_microbatch(lines, f"{d}/stats", f"{d}/counters", f"{d}/ckpt", _baseline(sf_dir),
+    q = J.start_microbatch(lines, f"{d}/stats", f"{d}/counters", f"{d}/ckpt",
+                           _baseline(spark, sf_dir, f"{d}/batch_view"),
                            now=X.ts_literal(as_of), trigger=J.REPLAY)
     J.run_to_completion(q)
     # the batch id is a folder name: discovery would read it back as INT

@@ -53,7 +53,7 @@ def test_batch_job_empty_input(spark):
 
 
 def test_archive_partition_pruning(spark):
-    from datetime import datetime
+    from datetime import datetime, timedelta
 
     from headway.schemas import RAW_SCHEMA
 
@@ -69,7 +69,7 @@ def test_archive_partition_pruning(spark):
                   F.lpad(F.hour("t").cast("string"), 2, "0").alias("hour"))
           .write.partitionBy("year", "month", "day", "hour").text(f"{d}/raw"))
     since, until = datetime(2024, 1, 10, 6), datetime(2024, 1, 12, 18)
-    got = RW.read_raw_json(spark, f"{d}/raw", since, until)
+    got = RW.read_raw_json(spark, f"{d}/raw", since, until, max_lag=timedelta(hours=1))
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [" in plan and "isnotnull(year" in plan
     want = parsed.filter((t >= F.lit("2024-01-10 06:00:00").cast("timestamp"))
@@ -86,6 +86,19 @@ def test_archive_partition_pruning(spark):
     assert 0 < files_read <= 2 * 24 + 14 < all_hours
 
 
+def test_records_flushed_late_and_unparsable_times_are_kept(spark):
+    from datetime import datetime
+
+    d = tempfile.mkdtemp(prefix="hw-late-")
+    rows = [('{"event_id":"a","ingestion_time":"2024-01-10T10:30:00"}', 15), ('{"event_id":"b","ingestion_time":"x"}', 11),
+            ('{"event_id":"c","ingestion_time":"2024-01-10T12:30:00"}', 12), ('{"event_id":"d","ingestion_time":"2024-01-10T09:59:00"}', 10)]
+    df = spark.createDataFrame(rows, "value string, hour int").withColumn("hour", F.lpad(F.col("hour").cast("string"), 2, "0"))
+    df = df.select("value", F.lit("2024").alias("year"), F.lit("01").alias("month"), F.lit("10").alias("day"), "hour")
+    df.write.partitionBy("year", "month", "day", "hour").text(f"{d}/raw")
+    got = RW.read_raw_json(spark, f"{d}/raw", datetime(2024, 1, 10, 10), datetime(2024, 1, 10, 11))
+    assert sorted(r.event_id for r in got.collect()) == ["a", "b"]
+
+
 def test_command_line_batch_and_query(spark, capsys):
     from headway.__main__ import main
 

@@ -32,7 +32,8 @@ def test_time_bounds_reach_the_scan(plans):
     def pushed(plan):
         return " ".join(re.findall(r"PushedFilters: \[[^\n]*", plan))
 
-    assert "LessThan(ts,2024-01-24T00:00)" in pushed(plans["route_statistics"])
+    assert "LessThan(ts,2024-01-24T00:00)" in pushed(plans["speed_with_baseline"])
+    assert "LessThan(ts,2024-01-28T12:00)" in pushed(plans["serving_merge"])
     assert "GreaterThanOrEqual(ts,2024-01-28T06:00)" in pushed(plans["window_stats"])
     assert "LessThanOrEqual(ts,2024-01-28T12:00)" in pushed(plans["window_stats"])
     assert "GreaterThanOrEqual(ts,2024-01-24T00:00)" in pushed(plans["speed_with_baseline"])
@@ -45,7 +46,7 @@ def test_columns_pruned_at_the_scan(plans):
 
 @pytest.mark.parametrize("name,scans,exchanges", [
     ("route_statistics", 1, 1), ("window_stats", 1, 1), ("top_delayed_routes", 1, 1),
-    ("sliding_window_stats", 1, 2), ("latest_snapshot", 1, 4), ("serving_merge", 1, 5),
+    ("sliding_window_stats", 1, 2), ("latest_snapshot", 1, 4), ("serving_merge", 3, 8),
     ("ingest_union", 1, 0), ("coerce_delay", 1, 0),
 ])
 def test_scan_and_shuffle_budget(plans, name, scans, exchanges):

@@ -161,3 +161,45 @@ def test_archive_records_carry_arrival_metadata(spark):
     rows = RWs.read_raw_json(spark, f"{d}/raw", schema=schema)
     assert rows.filter(F.col("_kinesis_sequence").isNull() | F.col("_kinesis_arrival").isNull()).count() == 0
     assert rows.select("_kinesis_sequence").distinct().count() == rows.count()
+
+
+def test_archive_keeps_every_object_whole(spark):
+    import json
+
+    lines = ['{"route_id":"R1"} ', '{"route_id":"R1"}\t', "{}", " { } ", "[1]", "42", '"x"', "null", "not json", "",
+             '{"a":{"b":{}}}', '{"route_id":"R1"}', '{"route_id":"R1"}', '{"t":"ends }"}']
+    d = tempfile.mkdtemp(prefix="hw-arch-")
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(f"{d}/in")
+    q = J.start_archive(spark.readStream.format("text").load(f"{d}/in"), f"{d}/raw", f"{d}/ckpt", J.REPLAY)
+    J.run_to_completion(q)
+    got = [json.loads(r.value) for r in spark.read.text(f"{d}/raw").select("value").collect()]
+    assert len(got) == 8 and len({r.pop("_kinesis_sequence") for r in got}) == 8
+    assert all(r.pop("_kinesis_arrival") for r in got)
+    want = [{"route_id": "R1"}] * 4 + [{}, {}, {"a": {"b": {}}}, {"t": "ends }"}]
+    assert sorted(map(json.dumps, got)) == sorted(map(json.dumps, want))
+
+
+def test_archive_takes_sequence_and_arrival_from_a_log(spark):
+    import json
+
+    rows = spark.createDataFrame([(b'{"a":1}', 0, 7, "2024-01-10 10:00:00"), (b'{"a":1}', 0, 8, "2024-01-10 10:00:01")],
+                                 "value binary, partition int, offset long, timestamp string")
+    out = J.archive_lines(rows.withColumn("timestamp", F.col("timestamp").cast("timestamp"))).collect()
+    assert sorted((json.loads(r.value)["_kinesis_sequence"], json.loads(r.value)["_kinesis_arrival"]) for r in out) == [
+        ("0:7", "2024-01-10T10:00:00.000000"), ("0:8", "2024-01-10T10:00:01.000000")]
+
+
+@pytest.mark.parametrize("name", ["stream_sliding_window", "stream_tumbling_window", "stream_top_n", "stream_anomalies",
+                                  "microbatch_stats", "batch_counters", "archive_raw"])
+def test_a_folder_of_parts_gives_the_same_result(spark, name, events_folder):
+    from headway.plans.catalog import QUERIES
+
+    one, many = QUERIES[name](spark, SF_SMALL), QUERIES[name](spark, events_folder)
+    assert one.count() > 0 and _same(one, many)
+
+
+@pytest.fixture(scope="module")
+def events_folder(spark):
+    d = tempfile.mkdtemp(prefix="hw-parts-")
+    X.table(spark, SF_SMALL, "events").repartition(4).write.parquet(f"{d}/events.parquet")
+    return d
