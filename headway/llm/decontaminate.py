@@ -34,7 +34,7 @@ WINDOW = 32                 # words of a window; windows start every half window
 RANK = 128                  # latent dimensions
 OVERSAMPLE = 8
 POWER = 2                   # power iterations
-MIN_COSINE = 0.4
+MIN_COSINE = 0.45
 SURE = 0.8
 PARAPHRASE = 0.6
 ANSWER = 0.5
@@ -132,6 +132,7 @@ class Space:
         self.item = [[ids[w] for w in words(t)] for _, t, _ in items]
         self.answer = [Counter([ids.get(w, -1) for w in words(a)]) if a and words(a) else Counter(x[-(-2 * len(x) // 3):])
                        for x, (_, _, a) in zip(self.item, items)]
+        self.count = [Counter(x) for x in self.item]
         self.term = np.vstack([terms * idf[:, None], np.zeros((1, terms.shape[1]))]).astype(np.float32)
         vectors = np.stack([weighted(t, ids, idf)[1] @ terms[weighted(t, ids, idf)[0]] for _, t, _ in items])
         self.vector = (vectors / np.maximum(1e-12, np.linalg.norm(vectors, axis=1, keepdims=True))).astype(np.float32)
@@ -141,13 +142,13 @@ class Space:
         half = WINDOW // 2
         blocks = [max(1, -(-len(d) // half)) for d in docs]
         first = np.cumsum([0, *blocks])
-        at = np.concatenate([first[i] + np.arange(len(d)) // half for i, d in enumerate(docs)])
-        flat = np.concatenate(docs)
-        at, flat = at[flat >= 0], flat[flat >= 0]
-        dense = np.zeros((int(first[-1]) + 1, self.term.shape[1]), np.float32)
-        if len(at):
-            starts = np.concatenate([[0], np.nonzero(np.diff(at))[0] + 1])
-            dense[at[starts]] = np.add.reduceat(self.term[flat], starts, axis=0)
+        padded = np.full(int(first[-1] + 1) * half, -1)     # -1 is a term of weight nought
+        for d, b in zip(docs, first.tolist()):
+            padded[b * half:b * half + len(d)] = d
+        padded = padded.reshape(-1, half)
+        dense = self.term[padded[:, 0]]
+        for j in range(1, half):
+            dense += self.term[padded[:, j]]
         window = dense[:-1].copy()
         inner = np.ones(len(window), bool)
         inner[first[1:] - 1] = False                    # the last half window of a document stands alone
@@ -167,6 +168,10 @@ class Space:
         """Shares of the passage and of its answer found around the window, and the verdict."""
         item, n = self.item[i], len(self.item[i])
         near = [x for x in doc[max(0, at - n):at + WINDOW + n].tolist() if x >= 0]
+        near_words = set(near)
+        # a subsequence has no more of the passage's words than stand there at all
+        if sum([k for x, k in self.count[i].items() if x in near_words]) < PARAPHRASE * n:
+            return 0.0, 0.0, False
         lcs = common_length(item, near) / n
         have = Counter(near)
         need = self.answer[i]
