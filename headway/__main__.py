@@ -90,7 +90,9 @@ def main(argv: list[str] | None = None) -> int:
         if args.output:
             out.write.mode("overwrite").parquet(args.output)
         else:
+            total = out.count()
             out.show(50, truncate=False)
+            print(f"{min(total, 50)} of {total} routes shown; --output writes all")
         return 0
 
     if args.cmd == "query":

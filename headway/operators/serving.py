@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from headway.functions import columns as C
+from headway.functions.columns import ts_literal
 from headway.operators.speed import latest_snapshot
-from headway.sources.fixtures import ts_literal
 
 SPEED_FIELDS = (
     "window_start", "window_end", "event_count", "avg_delay_seconds", "max_delay_seconds",

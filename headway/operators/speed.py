@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from headway.functions import columns as C
-from headway.sources.fixtures import ts_literal
+from headway.functions.columns import ts_literal
 
 
 def duration_seconds(duration: str) -> int:

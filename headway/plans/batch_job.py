@@ -12,6 +12,8 @@ from __future__ import annotations
 import os
 from datetime import datetime, timezone
 
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -63,7 +65,7 @@ def run_batch_job(spark: SparkSession, input_path: str, output_path: str,
     partials = spark.read.parquet(partials_path)
     try:
         counts = seen.get
-    except Exception:  # noqa: BLE001 - an input the optimizer proved empty reports no metrics
+    except (PySparkException, Py4JError):       # an input the optimizer proved empty reports no metrics
         counts = {}
     if not counts.get("clean_records") and partials.isEmpty():
         return None

@@ -13,8 +13,8 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from headway.functions.columns import ts_literal
 from headway.operators import serving as V
-from headway.sources.fixtures import ts_literal
 from headway.streaming.jobs import read_speed_view
 
 

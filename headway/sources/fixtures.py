@@ -15,7 +15,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headway.functions.columns import TRIP_UPDATES, VEHICLE_POSITIONS
+from headway.functions.columns import TRIP_UPDATES, VEHICLE_POSITIONS, ts_literal
 from headway.schemas import EVENTS
 from headway.session import ensure_utc
 
@@ -61,11 +61,6 @@ def delay_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events_to_delay_events(table(spark, sf_dir, "events"))
 
 
-def ts_literal(when: datetime) -> Column:
-    """A UTC instant as a TIMESTAMP literal (independent of the Python zone)."""
-    return F.lit(when.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp")
-
-
 def _ntz_literal(when: datetime) -> Column:
     return F.lit(when.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
 

@@ -17,8 +17,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from headway.functions import columns as C
+from headway.functions.columns import ts_literal
 from headway.schemas import ENVELOPE, RAW_SCHEMA
-from headway.sources.fixtures import ts_literal
 
 PARTITIONS = ("year", "month", "day", "hour")
 
