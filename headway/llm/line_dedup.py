@@ -1,9 +1,9 @@
 """Line deduplication by a deletion-neighbourhood join, in DataFrame operations only.
 
-A line is trimmed and its words are what single spaces part. The edit bound is
-one word inserted, deleted or replaced, for lines of at least ``MIN_WORDS`` words
-(shorter ones match only exactly). The variants of a line are itself and itself
-less one word. Two lines are within the bound if a variant of one equals the
+A line is its words between runs of white space. The edit bound is one word
+inserted, deleted or replaced, for lines of at least ``MIN_WORDS`` words (shorter
+ones match only exactly). The variants of a line are itself and itself less one
+word. Two lines are within the bound if a variant of one equals the
 other, or if both less the word at the same place are equal. Variants are joined
 by hashed keys, pairs are verified word by word, and a line stays only if no
 earlier line (by document id, then place) equals it or is within the bound of it.
@@ -45,15 +45,16 @@ def row_key(id_col: str, text_col: str) -> list[Column]:
     return [F.coalesce(F.col(id_col), F.lit(-2 ** 63)).alias("id0"), text_key(text_col).alias("t")]
 
 
-def trimmed(line: Column) -> Column:
-    return F.btrim(line, F.lit(" \t\r"))
+def squeezed(text: Column) -> Column:
+    """The text with each run of white space in a line as one space."""
+    return F.regexp_replace(text, r" [^\S\n]+|[^\S \n][^\S\n]*", " ")     # single spaces are left as they are
 
 
 def lines_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """One row for each non-blank line: row, place, text, key and its order among all lines."""
     order = F.col("id0").cast("decimal(20,0)") * F.lit(2 ** 32).cast("decimal(10,0)") + F.col("pos")
-    return (docs.select(*row_key(id_col, text_col), F.posexplode(F.split(text_of(text_col), "\n")).alias("pos", "line"))
-            .withColumn("line", trimmed(F.col("line"))).where("line <> ''")
+    return (docs.select(*row_key(id_col, text_col), F.posexplode(F.split(squeezed(text_of(text_col)), "\n")).alias("pos", "line"))
+            .withColumn("line", F.trim("line")).where("line <> ''")
             .select(*ROW, "pos", "line", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"),
                     order.cast("decimal(38,0)").alias("place")))
 
@@ -177,7 +178,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     old = [c for c in docs.columns if c not in ("n_lines", "n_kept")]
     id0, t = row_key(id_col, text_col)
     both = docs.select(*old, id0.alias("_id0"), t.alias("_t")).join(gone, ["_id0", "_t"], "left")
-    full = F.size(F.filter(F.split(text_of(text_col), "\n"), lambda x: trimmed(x) != "")).cast("long")
+    full = F.size(F.filter(F.split(text_of(text_col), "\n"), lambda x: x.rlike(r"\S"))).cast("long")
     both = (both.withColumn("n_lines", full)
             .withColumn("n_kept", F.col("n_lines") - F.coalesce(F.size("_gone"), F.lit(0))))
     left = F.array_join(F.filter(F.split(F.col(text_col), "\n"), lambda x, i: ~F.array_contains("_gone", i)), "\n")

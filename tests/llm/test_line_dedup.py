@@ -24,14 +24,14 @@ def brute(rows):
     for i, text in sorted(set(rows), key=lambda r: (r[0] is not None, r[0])):
         kept, had = [], False
         for line in (text or "").split("\n"):
-            w = tuple(line.strip(" \t\r").split(" ")) if line.strip(" \t\r") else ()
+            w = tuple(line.split())
             had |= bool(w)
             gone = w and any(w == e or within_one(w, e) for e in earlier)
             if w and w not in earlier:
                 earlier.append(w)
             if not gone:
                 kept.append(line)
-        out[i] = None if text is None else "" if had and not any(k.strip(" \t\r") for k in kept) else "\n".join(kept)
+        out[i] = None if text is None else "" if had and not any(k.split() for k in kept) else "\n".join(kept)
     return out
 
 
@@ -47,12 +47,22 @@ def test_small_cases(spark, docs_of):
     rows = [(1, f"short line\n\n{LONG}\n \n"), (2, f"short line\nshort lines\n{LONG}"),
             (3, " ".join(w[:4] + ["X"] + w[5:]) + "\nkept"), (4, " ".join(w[1:]) + "\nkept too"),
             (5, LONG + " eleven"), (6, "\n"), (7, ""), (8, None), (9, " ".join(w[:4] + ["X", "Y"] + w[6:])),
-            (10, LONG), (None, "first of all\nx"), (11, " first of all\t"), (12, "first  of all"), (13, "x" * 70_000 + " y" * 3_000)]
+            (10, LONG), (None, "first of all\nx"), (11, " first of all\t"), (12, "first  of all"), (13, "x" * 70_000 + " y" * 3_000),
+            (14, "first  of all ")]
     got = run(docs_of(rows))
     assert got == brute(rows)
     assert got[4] == "kept too" and got[5] == "" and got[8] is None and got[6] == "\n" and got[10] == ""
 
 
+def test_white_space_within_lines_makes_no_difference(spark, docs_of):
+    w = LONG.split()
+    rows = [(1, f"a  b\n{LONG}"), (2, "a b\n\f \x0b\nkept"), (3, "\ta\t\tb\r\nkept too"), (4, "  ".join(w)),
+            (5, "\t ".join(w[:4] + ["X"] + w[5:]) + "\r"), (6, " \f".join(w[1:])), (7, " \t\n"), (8, "a b c")]
+    got = run(docs_of(rows))
+    assert got == brute(rows)
+    assert got[2] == "\f \x0b\nkept" and got[3] == "kept too" and got[4] == got[5] == got[6] == ""
+
+
 def test_equals_brute_force_on_random_lines(spark, docs_of):
     rng = random.Random(11)
     words = "a b c d e f".split()
