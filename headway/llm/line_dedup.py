@@ -6,7 +6,8 @@ ones match only exactly). The variants of a line are itself and itself less one
 word. Two lines are within the bound if a variant of one equals the
 other, or if both less the word at the same place are equal. Variants are joined
 by hashed keys, pairs are verified word by word, and a line stays only if no
-earlier line (by document id, then place) equals it or is within the bound of it.
+earlier line (by document id, then place, then text key) equals it or is within the
+bound of it.
 
 A variant's key is the exclusive or of its words' hashes with their places, so all
 variants of a line come from running sums over its words. Variants are emitted
@@ -20,9 +21,10 @@ earliest line, and the others are compared with that one.
 
 Defined results: blank lines are never removed; a NULL or empty text stays as it
 is; a document all of whose non-blank lines are removed gets an empty text and
-``n_kept`` 0; a NULL id is the earliest id; of rows with one id, equal lines at the
-same place all stay; rows with equal id and text keep the same lines; other
-columns pass through, and input columns named like an output column are replaced.
+``n_kept`` 0; a NULL id is the earliest id; of different texts with one id (or none),
+one keeps a line that they hold at the same place; rows with equal id and text keep the
+same lines; other columns pass through, and input columns named like an output column
+are replaced.
 """
 
 from __future__ import annotations
@@ -50,13 +52,25 @@ def squeezed(text: Column) -> Column:
     return F.regexp_replace(text, r" [^\S\n]+|[^\S \n][^\S\n]*", " ")     # single spaces are left as they are
 
 
+def place_of() -> Column:
+    """Order of a line among all: 64 bits of id, 31 of its position, the upper 32 of the text key (below 10 ** 38)."""
+    def shifted(c: Column, bits: int) -> Column:
+        return (c * F.lit(2 ** bits).cast("decimal(10,0)")).cast("decimal(38,0)")
+
+    upper = F.shiftrightunsigned("t", 32).cast("decimal(10,0)")
+    return (shifted(shifted(F.col("id0").cast("decimal(20,0)"), 31) + F.col("pos"), 32) + upper).cast("decimal(38,0)")
+
+
+def lower_key() -> Column:
+    """The rest of the text key, which parts lines of one place."""
+    return F.col("t").bitwiseAND(F.lit(2 ** 32 - 1))
+
+
 def lines_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """One row for each non-blank line: row, place, text, key and its order among all lines."""
-    order = F.col("id0").cast("decimal(20,0)") * F.lit(2 ** 32).cast("decimal(10,0)") + F.col("pos")
+    """One row for each non-blank line: row, position, text and key."""
     return (docs.select(*row_key(id_col, text_col), F.posexplode(F.split(squeezed(text_of(text_col)), "\n")).alias("pos", "line"))
             .withColumn("line", F.trim("line")).where("line <> ''")
-            .select(*ROW, "pos", "line", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"),
-                    order.cast("decimal(38,0)").alias("place")))
+            .select(*ROW, "pos", "line", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2")))
 
 
 def part_of(line: Column, words: Column) -> Column:
@@ -76,10 +90,11 @@ def half_keys(line: Column, n: Column) -> list[Column]:
 
 
 def distinct_lines(lines: DataFrame) -> DataFrame:
-    """(h1, h2, first, halves): one row for each different line, with the place of its earliest."""
+    """(h1, h2, first, rest, halves): one row for each different line, with the place and lower text key of its earliest."""
     n = F.length("line") - F.length(F.replace("line", F.lit(" "))) + 1
-    return (lines.select(*LINE, "place", "line", n.alias("n")).select(*LINE, "place", *half_keys(F.col("line"), F.col("n")))
-            .groupBy(*LINE).agg(F.min("place").alias("first"), *[F.min(c).alias(c) for c in HALVES]))
+    return (lines.select(*LINE, place_of().alias("place"), lower_key().alias("rest"), "line", n.alias("n"))
+            .select(*LINE, "place", "rest", *half_keys(F.col("line"), F.col("n")))
+            .groupBy(*LINE).agg(F.min("place").alias("first"), F.min_by("rest", "place").alias("rest"), *[F.min(c).alias(c) for c in HALVES]))
 
 
 def near_candidates(distinct: DataFrame) -> DataFrame:
@@ -131,6 +146,10 @@ def less(line: Column, cut: Column) -> Column:
     return F.when(cut < 0, w).otherwise(F.concat(F.slice(w, F.lit(1), F.greatest(cut, F.lit(0))), F.slice(w, cut + 2, F.size(w))))
 
 
+def earlier(first: str, line: str, than_first: str, than_line: str) -> Column:
+    return (F.col(first) < F.col(than_first)) | ((F.col(first) == F.col(than_first)) & (F.col(line) < F.col(than_line)))
+
+
 def near_lines(candidates: DataFrame, cut: DataFrame) -> DataFrame:
     """(h1, h2) of the candidates that are within one edit of an earlier line."""
     key = ["size", "v", "cut"]
@@ -144,16 +163,16 @@ def near_lines(candidates: DataFrame, cut: DataFrame) -> DataFrame:
     whole = candidates.select(F.size(w).alias("size"), whole_key(w).alias("v"), F.struct(*LINE, "first", "line").alias("whole"))
     meets = cut.join(whole, ["size", "v"]).join(candidates, "h1").select(
         "cut", "whole", F.struct(*LINE, "first", "line").alias("long"))
-    # the later of the two is the redundant one
-    longer = meets.where(F.col("whole.first") < F.col("long.first")).select(
+    # the later of the two is the redundant one; the line itself decides between lines of one place
+    longer = meets.where(earlier("whole.first", "whole.line", "long.first", "long.line")).select(
         "long.h1", "long.h2", "long.line", "cut", "long.first", F.col("whole.first").alias("of"),
         F.col("whole.line").alias("other"), F.lit(-1).alias("other_cut"))
-    shorter = meets.where(F.col("long.first") < F.col("whole.first")).select(
+    shorter = meets.where(earlier("long.first", "long.line", "whole.first", "whole.line")).select(
         "whole.h1", "whole.h2", "whole.line", F.lit(-1).alias("cut"), "whole.first", F.col("long.first").alias("of"),
         F.col("long.line").alias("other"), F.col("cut").alias("other_cut"))
     pairs = replaced.unionByName(longer).unionByName(shorter)
     equal = less(F.col("line"), F.col("cut")) == less(F.col("other"), F.col("other_cut"))
-    return pairs.where((F.col("of") < F.col("first")) & equal).select(*LINE).distinct()
+    return pairs.where(earlier("of", "other", "first", "line") & equal).select(*LINE).distinct()
 
 
 def removed_places(lines: DataFrame) -> DataFrame:
@@ -161,13 +180,14 @@ def removed_places(lines: DataFrame) -> DataFrame:
     distinct = stored(distinct_lines(lines), "lines-distinct")
     picked = stored(near_candidates(distinct), "lines-picked")
     # an inner join, as a semi join would be moved below the bitmap; the hashes are distinct
-    candidates = stored(in_bitmap(lines.select(*LINE, "place", "line"), picked).join(picked, "h1")
+    candidates = stored(in_bitmap(lines.select(*LINE, place_of().alias("place"), "line"), picked).join(picked, "h1")
                         .groupBy(*LINE, "line").agg(F.min("place").alias("first"))
                         .where(F.size(words_of(F.col("line"))) >= MIN_WORDS), "lines-candidates")
     near = near_lines(candidates, stored(variants(candidates), "lines-variants")).withColumn("near", F.lit(True))
-    decided = distinct.select(*LINE, "first").join(near, [*LINE], "left")
-    return (lines.select(*ROW, "pos", *LINE, "place").join(decided, [*LINE])
-            .where((F.col("first") != F.col("place")) | F.col("near")).select(*ROW, "pos"))
+    decided = distinct.select(*LINE, "first", "rest").join(near, [*LINE], "left")
+    later = (F.col("first") != place_of()) | (F.col("rest") != lower_key())
+    return (lines.select(*ROW, "pos", *LINE).join(decided, [*LINE])
+            .where(later | F.col("near")).select(*ROW, "pos"))
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

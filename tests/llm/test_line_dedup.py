@@ -86,6 +86,21 @@ def test_large_group_of_near_lines_keeps_the_earliest(spark, docs_of):
     assert [i for i, t in got.items() if t] == [0]
 
 
+def test_one_of_many_texts_without_or_with_one_id_keeps_a_line(spark, docs_of):
+    w = LONG.split()
+    rows = [(i, f"license\n{LONG}\nbody {i} {k}") for k in range(40) for i in (None, 7)]
+    rows += [(None, "license\n" + " ".join(w[:4] + [f"X{k}"] + w[5:]) + f"\nnear {k}") for k in range(20)]
+    docs = docs_of(rows + rows[:3])
+    once = sorted((r.doc_id or 0, r.text, r.n_kept) for r in X.dedup_lines(docs).collect())
+    # copies of a row keep the same lines
+    kept = [x for x in set(once) if x[2] > 1]
+    assert len(once) == len(rows) + 3 and all(i == 0 for i, _, _ in kept)
+    lines = [line for _, t, _ in set(once) for line in t.split("\n")]
+    assert lines.count("license") == 1 and sum(line.startswith("one two three") for line in lines) == 1
+    assert len(lines) == len(rows) + 2
+    assert sorted((r.doc_id or 0, r.text, r.n_kept) for r in X.dedup_lines(docs.repartition(7, "text")).collect()) == once
+
+
 def test_repeated_rows_clashing_columns_and_empty_table(spark, docs_of):
     docs = docs_of([(1, "a b"), (1, "a b"), (2, "a b\nc")]).withColumnRenamed("source", "n_lines")
     got = sorted((r.doc_id, r.text, r.n_lines, r.n_kept) for r in X.dedup_lines(docs).collect())
