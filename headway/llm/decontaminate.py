@@ -4,10 +4,13 @@ The benchmark's passages are TF-IDF vectors, with document frequencies counted
 over the whole corpus; a distributed randomised SVD (range finder with power
 iterations, partial products summed by Spark) gives their latent space. Every
 document is cut into half-overlapping windows, each window is projected, and its
-cosine with every benchmark passage picks candidates. A candidate is decided on
-the words around its best window: the longest common subsequence must hold
+cosine with every benchmark passage picks candidates. Each of them is decided on
+the words around its own window: the longest common subsequence must hold
 ``SURE`` of the passage's words, or ``PARAPHRASE`` of them if the answer (the
-passage's own answer column, else its last third) is there as well.
+passage's own answer column, else its last third) is there as well. Windows after
+the one of highest cosine must hold that within a window's and the passage's length
+together: over more words, common ones make short passages up by chance. A document
+and passage are reported once, with the window of the longest subsequence.
 
 A benchmark over ``BLOCK_ITEMS`` passages is worked off in blocks, each with its
 own space, so what is broadcast is bounded by a block, not by the corpus.
@@ -23,6 +26,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from functools import reduce
+from itertools import groupby
 
 import numpy as np
 import pandas as pd
@@ -138,7 +142,7 @@ class Space:
         self.vector = (vectors / np.maximum(1e-12, np.linalg.norm(vectors, axis=1, keepdims=True))).astype(np.float32)
 
     def candidates(self, docs: list[np.ndarray]) -> Iterator[tuple[int, int, float, int]]:
-        """(document, passage, best cosine, first word of the best window)."""
+        """(document, passage, cosine, first word) of each window at the least cosine or above, by document."""
         half = WINDOW // 2
         blocks = [max(1, -(-len(d) // half)) for d in docs]
         first = np.cumsum([0, *blocks])
@@ -157,20 +161,51 @@ class Space:
         cosine = (window / np.maximum(length, 1e-12)) @ self.vector.T
         w, item = np.nonzero(cosine >= MIN_COSINE)
         doc = np.searchsorted(first, w, "right") - 1
-        best: dict[tuple[int, int], tuple[float, int]] = {}
-        for d, i, c, b in zip(doc.tolist(), item.tolist(), cosine[w, item].tolist(), w.tolist()):
-            if c > best.get((d, i), (0.0, 0))[0]:
-                best[d, i] = (c, (b - int(first[d])) * half)
-        for (d, i), (c, at_word) in best.items():
-            yield d, i, c, at_word
+        yield from zip(doc.tolist(), item.tolist(), cosine[w, item].tolist(), ((w - first[doc]) * half).tolist())
+
+    def found(self, docs: list[np.ndarray]) -> list[tuple[int, int, float, float, float]]:
+        """(document, passage, cosine, lcs, answer) of the best accepted window of each document and passage."""
+        out = []
+        for d, own in groupby(self.candidates(docs), key=lambda x: x[0]):
+            present, windows = set(docs[d].tolist()), {}
+            for _, i, cosine, at in own:
+                windows.setdefault(i, []).append((-cosine, at))
+            for i, at_cosine in windows.items():
+                # no window holds more of the passage's words than the document
+                if self.overlap(i, present) < PARAPHRASE * len(self.item[i]):
+                    continue
+                best = (0.0, 0.0, 0.0)
+                for k, (cosine, at) in enumerate(sorted(at_cosine)):
+                    lcs, answer, bad = self.decide(docs[d], i, at)
+                    if bad and k and (lcs, answer, -cosine) > best:
+                        bad, lcs, answer = self.decide_compact(docs[d], i, at)
+                    if bad:
+                        best = max(best, (lcs, answer, -cosine))
+                if best[0]:
+                    out.append((d, i, best[2], *best[:2]))
+        return out
+
+    def overlap(self, i: int, present: set[int]) -> int:
+        """Words of the passage that are among those present, each as often as it stands in the passage."""
+        return sum([k for x, k in self.count[i].items() if x in present])
 
     def decide(self, doc: np.ndarray, i: int, at: int) -> tuple[float, float, bool]:
         """Shares of the passage and of its answer found around the window, and the verdict."""
+        n = len(self.item[i])
+        return self.judge(i, doc[max(0, at - n):at + WINDOW + n])
+
+    def decide_compact(self, doc: np.ndarray, i: int, at: int) -> tuple[bool, float, float]:
+        """The best verdict and shares among the stretches of a window and a passage's length around the window."""
+        n = len(self.item[i])
+        first, size = max(0, at - n), WINDOW + n
+        last = max(first, min(len(doc), at + WINDOW + n) - size)
+        return max((bad, lcs, answer) for lcs, answer, bad in (self.judge(i, doc[s:s + size]) for s in range(first, last + 1)))
+
+    def judge(self, i: int, stretch: np.ndarray) -> tuple[float, float, bool]:
         item, n = self.item[i], len(self.item[i])
-        near = [x for x in doc[max(0, at - n):at + WINDOW + n].tolist() if x >= 0]
-        near_words = set(near)
+        near = [x for x in stretch.tolist() if x >= 0]
         # a subsequence has no more of the passage's words than stand there at all
-        if sum([k for x, k in self.count[i].items() if x in near_words]) < PARAPHRASE * n:
+        if self.overlap(i, set(near)) < PARAPHRASE * n:
             return 0.0, 0.0, False
         lcs = common_length(item, near) / n
         have = Counter(near)
@@ -198,11 +233,7 @@ def block_matches(docs: DataFrame, items: DataFrame, id_col: str, text_col: str,
                 part = batch.slice(at, DOCS_AT_ONCE)
                 get = space.ids.get
                 texts = [np.array([get(w, -1) for w in words(t.as_py())], np.int64) for t in part.column(1)]
-                out = []
-                for d, i, cosine, first in space.candidates(texts):
-                    lcs, answer, bad = space.decide(texts[d], i, first)
-                    if bad:
-                        out.append((part.column(0)[d].as_py(), space.item_id[i], cosine, lcs, answer))
+                out = [(part.column(0)[d].as_py(), space.item_id[i], *scores) for d, i, *scores in space.found(texts)]
                 cols = list(zip(*out)) if out else [[]] * 5
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(cols[0], part.schema.field(0).type), pa.array(cols[1], pa.int64()),

@@ -73,6 +73,23 @@ def test_candidates_hold_brute_force_pairs(spark, fixture):
     assert len(leaks & found) >= 0.9 * len(leaks)
 
 
+def test_leak_below_a_nearer_window_of_the_document_is_found(spark, docs_of, fixture):
+    """Another window has the higher cosine (the passage backwards) or none holds the passage in one stretch."""
+    rng = random.Random(4)
+    items = fixture[0]
+    w = items[0][1].split()
+    leak = [x if k % 4 else f"z{k}" for k, x in enumerate(w)]
+    decoy = w[::-1] * 2
+    far = prose(rng, 400)
+    spread = [x for word in w for x in (word, *prose(rng, 9))]
+    docs = [(1, decoy + far + leak), (2, leak + far + decoy + far + leak), (3, decoy + far), (4, spread),
+            (5, far + decoy + far + w + far + decoy)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = X.matches(docs_of([(i, " ".join(t)) for i, t in docs]), bench).collect()
+    assert sorted((r.doc_id, r.item_id) for r in got) == [(1, 0), (2, 0), (5, 0)]
+    assert {r.doc_id: r.lcs for r in got}[5] == 1.0
+
+
 def test_svd_equals_exact_svd_of_low_rank(spark, fixture):
     items, _, _ = fixture
     ids = {w: i for i, w in enumerate(sorted({w for _, t in items for w in X.words(t)}))}
