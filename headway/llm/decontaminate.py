@@ -38,7 +38,7 @@ WINDOW = 32                 # words of a window; windows start every half window
 RANK = 128                  # latent dimensions
 OVERSAMPLE = 8
 POWER = 2                   # power iterations
-MIN_COSINE = 0.45
+MIN_COSINE = 0.40
 SURE = 0.8
 PARAPHRASE = 0.6
 ANSWER = 0.5

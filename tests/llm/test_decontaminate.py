@@ -90,6 +90,16 @@ def test_leak_below_a_nearer_window_of_the_document_is_found(spark, docs_of, fix
     assert {r.doc_id: r.lcs for r in got}[5] == 1.0
 
 
+def test_window_with_other_passages_words_is_searched():
+    """A window of cosine 0.44: 8 of the passage's 12 words and 20 words of other passages."""
+    items = [(0, [f"a{k}" for k in range(12)], None)] + [(i, [f"b{i}x{k}" for k in range(12)], None) for i in range(1, 21)]
+    ids = {w: k for k, w in enumerate(w for _, t, _ in items for w in t)}
+    space = X.Space([(i, " ".join(t), a) for i, t, a in items], ids, np.ones(len(ids)), np.eye(len(ids)))
+    doc = [w if k % 3 else f"z{k}" for k, w in enumerate(items[0][1])] + [t[0] for _, t, _ in items[1:]]
+    got = space.found([np.array([ids.get(w, -1) for w in doc], np.int64)])
+    assert [(d, i) for d, i, *_ in got] == [(0, 0)] and 0.43 < got[0][2] < 0.44
+
+
 def test_svd_equals_exact_svd_of_low_rank(spark, fixture):
     items, _, _ = fixture
     ids = {w: i for i, w in enumerate(sorted({w for _, t in items for w in X.words(t)}))}
