@@ -9,6 +9,9 @@ the host's winning path. A page without that path uses its own best one.
 
 Boilerplate (menus, headers and footers of the page, sidebars, notices, adverts,
 forms, scripts, styles, reader comments) is left out by tag, role or class name.
+A class name or id alone leaves out no element that holds the article: a main
+element, an article at least as long as what articles and main hold outside such
+elements, or most of the page's unlinked text.
 
 Defined results: a NULL, empty or text-free page has the empty text; a URL
 without a host votes with the others that have none; the winning path of equal
@@ -46,29 +49,47 @@ NOISE = frozenset("ad ads advert advertisement adverts banner breadcrumb breadcr
                   "contentinfo cookie cookies copyright disclaimer disqus footer header masthead menu nav navbar navigation "
                   "newsletter notice notices pagination popup promo promoted related replies respond search share sharing "
                   "sidebar signup social sponsor sponsored subscribe toolbar widget".split())
+TALK = frozenset("comment comments commentlist disqus replies respond".split())
+MODIFIERS = frozenset("has no non with without".split())      # first parts of names that tell of a page's layout
 NAME = re.compile(r"[a-z]+")
+MOST = 0.5                  # share of a page's unlinked text that no class name alone leaves out
+MOST_TALK = 0.9             # the same for names of reader comments, which may be longer than the article
 
 
-def noisy(attrs: list[tuple[str, str | None]]) -> bool:
-    """Whether class, id or role names something that is not the article."""
+def named(attrs: list[tuple[str, str | None]], kinds: tuple[str, ...], names: frozenset[str]) -> bool:
+    """Whether an attribute of those kinds has a name that begins or ends with one of the words."""
     for name, value in attrs:
-        if name in ("class", "id", "role") and value:
+        if name in kinds and value:
             for word in value.lower().split():
                 parts = NAME.findall(word)
-                if parts and (word in NOISE or parts[0] in NOISE or parts[-1] in NOISE):
+                if parts and parts[0] not in MODIFIERS and (word in names or parts[0] in names or parts[-1] in names):
                     return True
-        elif name == "hidden" or (name == "aria-hidden" and value == "true"):
-            return True
     return False
 
 
+def hidden(attrs: list[tuple[str, str | None]]) -> bool:
+    return any(name == "hidden" or (name == "aria-hidden" and value == "true") for name, value in attrs)
+
+
+class Noise:
+    """An element whose class or id names what is not the article; its text decides in the end."""
+
+    def __init__(self, talk: bool, main: bool, article: bool) -> None:
+        self.talk, self.main, self.article, self.text = talk, main, article, 0
+
+
+def unlinked(text: str, linked: int) -> int:
+    return max(0, len(text) - linked)
+
+
 class Blocks(HTMLParser):
-    """Collects (container path, text, characters in links) of each block of a page."""
+    """Collects (container path, text, characters in links, named noise around, in an article) of each block of a page."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.open: list[tuple[str, str, bool]] = []        # tag, path, skipped
-        self.blocks: list[tuple[str, str, int]] = []
+        self.noise: list[tuple[Noise, ...]] = []           # named noise around each open element
+        self.found: list[tuple[str, str, int, tuple[Noise, ...], bool]] = []
         self.text: list[str] = []
         self.linked = 0
 
@@ -76,7 +97,11 @@ class Blocks(HTMLParser):
         text = " ".join("".join(self.text).split())
         if text:
             path = next((p for t, p, _ in reversed(self.open) if t in CONTAINER), "")
-            self.blocks.append((path, text, self.linked))
+            inside = any(t in ("article", "main") for t, _, _ in self.open)
+            around = self.noise[len(self.open) - 1] if self.open else ()
+            self.found.append((path, text, self.linked, around, inside))
+            for n in around:
+                n.text += unlinked(text, self.linked)
         self.text, self.linked = [], 0
 
     def pop(self, tags: tuple[str, ...], until: frozenset[str]) -> None:
@@ -84,7 +109,7 @@ class Blocks(HTMLParser):
         for i in range(len(self.open) - 1, -1, -1):
             if self.open[i][0] in tags:
                 self.flush()
-                del self.open[i:]
+                del self.open[i:], self.noise[i:]
                 return
             if self.open[i][0] in until:
                 return
@@ -102,12 +127,23 @@ class Blocks(HTMLParser):
             self.pop(CLOSES[tag], frozenset(("ul", "ol", "dl", "table")) if tag in ("li", "dt", "dd") else frozenset(("table",)))
         if tag in BLOCK:
             self.flush()
-        skipped = bool(self.open and self.open[-1][2]) or tag in SKIP or noisy(attrs) and tag not in ("html", "body")
+        skipped = bool(self.open and self.open[-1][2]) or tag in SKIP or tag not in ("html", "body") and (
+            hidden(attrs) or named(attrs, ("role",) if tag in BLOCK else ("class", "id", "role"), NOISE))
         if tag == "header" and not any(t in ("article", "main") for t, _, _ in self.open):
             skipped = True
         names = [re.sub(r"\d+", "", c) for n, v in attrs if n == "class" for c in (v or "").lower().split()]
         path = (self.open[-1][1] if self.open else "") + ">" + ".".join([tag, *sorted(n for n in names if n)])
+        around = self.noise[-1] if self.noise else ()
+        if not skipped:
+            talk = named(attrs, ("class", "id"), TALK)
+            outermost = tag == "article" and not any(t == "article" for t, _, _ in self.open)
+            for n in around:
+                n.main |= tag == "main"
+                n.article |= outermost and not talk
+            if tag not in ("html", "body") and named(attrs, ("class", "id"), NOISE):
+                around = (*around, Noise(talk, tag == "main", outermost))
         self.open.append((tag, path, skipped))
+        self.noise.append(around)
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)
@@ -116,8 +152,9 @@ class Blocks(HTMLParser):
         if any(t == tag for t, _, _ in self.open):
             if tag in BLOCK:
                 self.flush()
-            while self.open and self.open.pop()[0] != tag:
+            while self.open.pop()[0] != tag:
                 pass
+            del self.noise[len(self.open):]
 
     def handle_data(self, data: str) -> None:
         if not (self.open and self.open[-1][2]):
@@ -126,6 +163,18 @@ class Blocks(HTMLParser):
                 self.linked += len(data.strip())
 
 
+    def blocks(self) -> list[tuple[str, str, int]]:
+        """The blocks outside named noise, but for noise that holds the article."""
+        total = sum(unlinked(t, n) for _, t, n, _, _ in self.found)
+        clean = sum(unlinked(t, n) for _, t, n, around, inside in self.found if inside and all(x.main for x in around))
+
+        def kept(n: Noise) -> bool:
+            return (n.main or n.article and (not clean or n.text >= clean and not n.talk)
+                    or n.text > total * (MOST_TALK if n.talk else MOST))
+
+        return [(path, text, linked) for path, text, linked, around, _ in self.found if all(kept(n) for n in around)]
+
+
 def page_blocks(html: str | None) -> list[tuple[str, str, int]]:
     if not html:
         return []
@@ -133,7 +182,7 @@ def page_blocks(html: str | None) -> list[tuple[str, str, int]]:
     parser.feed(html)
     parser.close()
     parser.flush()
-    return parser.blocks
+    return parser.blocks()
 
 
 def container_scores(blocks: list[tuple[str, str, int]]) -> dict[str, float]:

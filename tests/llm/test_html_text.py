@@ -39,6 +39,20 @@ def test_link_lists_score_nothing():
     assert X.best_path(X.page_blocks(page))[0] == ">body>div.a"
 
 
+def test_layout_classes_leave_no_article_out():
+    body, menu = "<h1>Title</h1><p>" + "true text " * 30 + "</p>", "<div class='sidebar'><p>menu text</p></div>"
+    want = "Title\n\n" + ("true text " * 30).strip()
+    talk = "<div id=comments class=comments-area><ol><li class=comment><article class=comment-body>" + "<p>" + "reader " * 200
+    for page in (f"<main class='with-sidebar'>{body}</main>", f"<article class='post no-comments'>{body}</article>",
+                 f"<div class='layout has-sidebar'><article>{body}</article>{menu}</div>",
+                 f"<div class='layout sidebar-right'><main>{body}</main>{menu}</div>", f"<main class=sidebar-main>{body}{menu}</main>",
+                 f"<article class='post sidebar'>{body}{menu}</article>", f"<div id=content-sidebar>{body}{menu}</div>",
+                 f"<article class=post>{body}</article>{talk}", f"<main><article>{body}{talk}", f"<div class=post>{body}</div>{talk}",
+                 f"<article>{body}</article><section class=related><article><p>teaser</article></section>"):
+        assert X.extract("<body>" + page, None) == want, page
+    assert X.extract("<article><p>one <span class=ad>Buy</span> two", None) == "one two"
+
+
 def test_host_votes_decide(spark):
     def page(main, other):
         return f"<html><body><div class=main1><p>{main}</div><div class=extra><p>{other}</div></body></html>"
