@@ -5,7 +5,9 @@ below a container, whose generalised path lists the tags from the root with
 their class names less digits. A page's containers are scored by the text they
 hold outside links, half of it passed on to the container around; the pages of a
 host vote, in Spark, for their best path, and every page is extracted again from
-the host's winning path. A page without that path uses its own best one.
+the host's winning path, widened to the article or main element around, else to
+the widest container below the body whose other blocks are not links. A page
+without that path uses its own best one.
 
 Boilerplate (menus, headers and footers of the page, sidebars, notices, adverts,
 forms, scripts, styles, reader comments) is left out by tag, role or class name.
@@ -210,17 +212,44 @@ def best_path(blocks: list[tuple[str, str, int]]) -> tuple[str, float] | None:
     return min(scores.items(), key=lambda x: (-x[1], -x[0].count(">"), x[0])) if scores else None
 
 
+def is_below(own: str, path: str) -> bool:
+    return own == path or own.startswith(path + ">")
+
+
+def tag_of(path: str) -> str:
+    return path.rpartition(">")[2].split(".")[0]
+
+
+def widened(blocks: list[tuple[str, str, int]], path: str) -> str:
+    """The outermost article around the path, else main, else the widest container below the body that adds no links."""
+    around = [path]
+    while around[-1]:
+        around.append(parent(around[-1]))
+    for tag in ("article", "main"):
+        if found := [p for p in around if tag_of(p) == tag]:
+            return found[-1]
+    widest = path
+    for p in around[1:-1]:
+        added = [(text, linked) for own, text, linked in blocks if is_below(own, p) and not is_below(own, path)]
+        if tag_of(p) == "body" or any(2 * linked > len(text) for text, linked in added):
+            break
+        widest = p
+    return widest
+
+
 def extract(html: str | None, path: str | None) -> str:
-    """Text blocks below the path, or below the page's own best path if it has none there."""
+    """Text blocks below the widened path, or below the page's own best path if it has none below the path."""
     blocks = page_blocks(html)
 
     def below(p: str) -> list[str]:
-        return [t for own, t, _ in blocks if own == p or own.startswith(p + ">")]
+        return [t for own, t, _ in blocks if is_below(own, p)]
 
     found = below(path) if path else []
-    if not found and blocks:
+    if found:
+        found = below(widened(blocks, path))
+    elif blocks:
         best = best_path(blocks)
-        found = below(best[0]) if best else [t for _, t, _ in blocks]
+        found = below(widened(blocks, best[0])) if best else [t for _, t, _ in blocks]
     return "\n\n".join(found)
 
 

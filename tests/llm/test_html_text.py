@@ -53,6 +53,20 @@ def test_layout_classes_leave_no_article_out():
     assert X.extract("<article><p>one <span class=ad>Buy</span> two", None) == "one two"
 
 
+def test_winning_path_is_widened_to_the_article():
+    text = ("words of it " * 40).strip()
+    inner = f"<h1>Title</h1><p>Lead</p><div class=body1><p>{text}</p></div><div class=more2><p>Second</p></div>"
+    links = "<div class=tags><p><a href=x>One</a> <a href=y>Two</a></div>"
+    want = f"Title\n\nLead\n\n{text}\n\nSecond"
+    for page, path in ((f"<article>{inner}</article>{links}", ">body>article>div.body"),
+                       (f"<main><section>{inner}</section></main>{links}", ">body>main>section>div.body"),
+                       (f"<main><article class=post>{inner}</article>{links}</main>", ">body>main>article.post>div.body"),
+                       (f"<div class=wrap><div class=post>{inner}</div>{links}</div>", ">body>div.wrap>div.post>div.body")):
+        page = "<body>" + page
+        assert X.best_path(X.page_blocks(page))[0] == path
+        assert X.extract(page, path) == X.extract(page, None) == want
+
+
 def test_host_votes_decide(spark):
     def page(main, other):
         return f"<html><body><div class=main1><p>{main}</div><div class=extra><p>{other}</div></body></html>"
