@@ -36,7 +36,6 @@ from pyspark.sql.pandas.types import to_arrow_type
 from headway.llm.common import stored, text_key
 
 FIT_ROWS = 500_000          # bound on the labelled rows a model is fitted on (smallest hashes of the id)
-LEXICON = 50_000            # bound on the lexicon (highest z-scores)
 PRIOR_WEIGHT = 0.1          # tokens of the corpus prior for each token of the toxic texts
 MIN_Z = 2.0
 MIN_ODDS = 2.0              # least log-odds of the lexicon
@@ -197,8 +196,8 @@ def fit_lexicon(docs: DataFrame, known: DataFrame) -> Model:
     scored = counts.where((F.col("toxic") > 0) & (F.col("docs") >= MIN_DOCS)).select(
         "f", "toxic", "clean", (odds("toxic") - odds("clean")).alias("delta"),
         F.sqrt(1 / (F.col("toxic") + prior) + 1 / (F.col("clean") + prior)).alias("sd"))
-    found = (scored.where((F.col("delta") >= MIN_ODDS) & (F.col("delta") >= MIN_Z * F.col("sd")))
-             .orderBy(F.desc(F.col("delta") / F.col("sd")), "f").limit(LEXICON).collect())
+    # bounded by the labelled sample: beginnings of at least MIN_DOCS of its toxic texts
+    found = scored.where((F.col("delta") >= MIN_ODDS) & (F.col("delta") >= MIN_Z * F.col("sd"))).collect()
     if not found:
         return Model({}, 0.0)
     # tokens of the lexicon, each once: a beginning that another one begins adds nothing

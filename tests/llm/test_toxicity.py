@@ -71,6 +71,16 @@ def test_held_out_accuracy_nulls_repeats_and_clashing_columns(spark, docs_of):
     assert any(w in passage.text[s.start:s.end].lower() for w in ("vilest", "scummy"))
 
 
+def test_every_significant_beginning_is_kept(spark, docs_of):
+    """20,000 toxic words of 60,000 beginnings."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    words = ["".join(letters[k // 26 ** j % 26] for j in range(4)) + "xxxx" for k in range(20_000)]
+    rows = [(i, " ".join(words[i:] + words[:i])) for i in range(20)] + [(20, "0000 1111 " * 200_000)]
+    known = spark.createDataFrame([(i, int(i < 20)) for i, _ in rows], "doc_id long, toxic int")
+    model = X.fit_lexicon(docs_of(rows), known)
+    assert set(model.lexicon) == {w[:k] for w in words for k in X.BEGINNINGS}
+
+
 def test_no_labels_and_empty_tables(spark, docs_of):
     docs, lab = docs_of([(1, "a b c")]), spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert [r.score for r in X.score(docs, X.fit(docs, lab)).collect()] == [0.0]
