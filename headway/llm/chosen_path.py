@@ -5,8 +5,9 @@ each run a node follows the shingles whose hash under the run is below
 1 / (b * size): two sets of similarity b or more share one on average, so after
 ``RUNS`` runs a pair is missed with probability exp(-RUNS). Nodes with a path in
 common are a bucket. A bucket over ``LIMIT`` nodes is split once more on sampled
-shared shingles (two expected in common); what is still large is compared in
-pairs of chunks, so no task holds more than two of them.
+shared shingles (``CHILDREN`` expected in common), where a pair is missed with up to
+exp(-RUNS * (1 - exp(-CHILDREN))); what is still large is compared in pairs of
+chunks, so no task holds more than two of them.
 
 A bucket compares its nodes by brute force: sizes, then sketches (one-permutation
 minima, whose bound lies six standard deviations below the threshold), then the
@@ -37,7 +38,7 @@ from headway.llm.common import stored, text_key, text_of
 
 WORDS = 5
 SIMILARITY = 0.8
-RUNS = 10                   # a pair at the threshold is missed with probability exp(-10)
+RUNS = 10                   # a pair at the threshold is missed with probability exp(-10) in buckets that are not split
 CHILDREN = 2.0              # expected common paths of the second level
 LIMIT = 256                 # nodes of a bucket that is not split further
 CHUNK = 512                 # nodes of a large bucket compared at a time

@@ -73,6 +73,28 @@ def test_candidates_hold_brute_force_pairs(spark, fixture):
     assert len(leaks & found) >= 0.9 * len(leaks)
 
 
+def test_search_of_more_passages_than_dimensions_holds_brute_force_pairs(spark):
+    """Recall of the planted leaks that the rule for all windows accepts somewhere, in a truncated space."""
+    rng = random.Random(3)
+    items = [(i, prose(rng, rng.randint(15, 59))) for i in range(2 * X.RANK + 44)]
+    docs, planted = [], set()
+    for d in range(80):
+        text, (i, item) = prose(rng, rng.randint(200, 400)), rng.choice(items)
+        at, share = rng.randint(0, len(text)), (0, 0.15, 0.3, 0.38)[d % 4]
+        text[at:at] = [f"z{k}" if rng.random() < share else w for k, w in enumerate(item)]
+        docs.append(text)
+        planted.add((d, i))
+    ids = {w: k for k, w in enumerate(sorted({w for _, t in items for w in t}))}
+    idf = np.array([np.log(81 / (1 + sum(w in t for t in map(set, docs)))) + 0.01 for w in ids])
+    bench = spark.createDataFrame([(i, " ".join(t)) for i, t in items], "item_id long, text string").repartition(4)
+    space = X.Space([(i, " ".join(t), None) for i, t in items], ids, idf, X.randomised_svd(bench, ids, idf, X.RANK))
+    texts = [np.array([ids.get(w, -1) for w in t], np.int64) for t in docs]
+    want = {(d, i) for d, i in planted for at in range(0, len(texts[d]), X.WINDOW // 2)
+            if space.decide(texts[d], i, at)[2] and space.decide_compact(texts[d], i, at)[0]}
+    found = {(d, i) for d, i, *_ in space.found(texts)}
+    assert len(want) > 60 and len(want & found) >= 0.9 * len(want)
+
+
 def test_leak_below_a_nearer_window_of_the_document_is_found(spark, docs_of, fixture):
     """Another window has the higher cosine (the passage backwards) or none holds the passage in one stretch."""
     rng = random.Random(4)
