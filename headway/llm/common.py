@@ -32,3 +32,29 @@ def text_of(col: str = "text") -> Column:
 def text_key(col: str = "text") -> Column:
     """64-bit key of a text; with the document id it identifies a row's content."""
     return F.xxhash64(F.lit(7), text_of(col))
+
+
+#: Largest component after scaling: squared distances of 64 of them still fit 64 bits.
+MAX_COMPONENT = 2 ** 26
+
+
+def scaled_vectors(df: DataFrame, vector_col: str, scale: int, to: str = "v") -> DataFrame:
+    """Rows whose vector holds neither NULL nor non-finite components; ``to`` is floor(scale * x) of each.
+
+    A component beyond MAX_COMPONENT after scaling ends the job with a message, as
+    64-bit distances could not hold its square.
+    """
+    x = F.col(vector_col)
+    bad = F.exists(x, lambda e: e.isNull() | F.isnan(e) | (F.abs(e) == F.lit(float("inf"))))
+    v = F.transform(x, lambda e: F.floor(F.lit(scale) * e.cast("double")).cast("long"))
+    far = F.exists(v, lambda e: (e > MAX_COMPONENT) | (e < -MAX_COMPONENT))
+    return df.where(x.isNotNull() & ~F.coalesce(bad, F.lit(True))).withColumn(
+        to, F.when(far, F.raise_error(F.lit(f"a component exceeds {MAX_COMPONENT} after scaling")))
+        .otherwise(v).cast("array<int>"))
+
+
+def vector_rows(column, width: int):
+    """(rows, width) int64 array of an Arrow list column without NULLs."""
+    import numpy as np
+
+    return column.flatten().to_numpy(zero_copy_only=False).astype(np.int64).reshape(len(column), width)

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from headway.llm import (
-    bpe, chosen_path, decontaminate, html_text, line_dedup, revisits, secret_scan, surrogates, topk, toxicity,
+    bpe, chosen_path, decontaminate, html_text, licenses, line_dedup, revisits, secret_scan, shallot, surrogates, topk,
+    toxicity, vector_codes,
 )
-from headway.llm.common import table
+from headway.llm.common import stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -90,6 +92,40 @@ def op10_revisit_resolution(spark, sf_dir):
     return found.withColumn("headers", revisits.header_text(F.col("headers")))
 
 
+def op11_shallot_clusters(spark, sf_dir):
+    rows, centroids = shallot.cluster(table(spark, sf_dir, "embeddings"), "vec_id", "embedding",
+                                      width=64, k=16, rounds=3, scale=64)
+    # a row for each of the 16 clusters
+    total = {r["cluster"]: r["total"] for r in rows.groupBy("cluster").agg(F.sum("distance").alias("total")).collect()}
+    names = [hashlib.sha256(",".join(map(str, c)).encode()).hexdigest() for c in centroids.tolist()]
+    own = spark.createDataFrame([(c, t, sum(total.values()), names[c]) for c, t in total.items()],
+                                "cluster int, cluster_inertia long, inertia long, centroid_sha256 string")
+    return rows.join(F.broadcast(own), "cluster").select(
+        F.col("id").alias("vec_id"), "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
+def op12_license_templates(spark, sf_dir):
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+#: Rows of a label meet its total in so many groups where the totals are too many to be broadcast.
+LABEL_SALTS = 16
+
+
+def op13_hadamard_codes(spark, sf_dir):
+    coded, entries = vector_codes.compress(table(spark, sf_dir, "embeddings"), "vec_id", "embedding",
+                                           parts=8, entries=16, rounds=6, scale=4096, keep=("label",))
+    coded = stored(coded.withColumn("salt", F.pmod(F.xxhash64("id", "codes"), F.lit(LABEL_SALTS)).cast("int")), "codes")
+    total = (coded.groupBy("label").agg(F.sum("error").alias("label_error"))
+             .select(F.col("label").alias("of"), "label_error",
+                     F.explode(F.sequence(F.lit(0), F.lit(LABEL_SALTS - 1))).alias("part")))
+    name = "" if entries is None else ",".join(map(str, entries.reshape(-1).tolist()))
+    return coded.join(total, F.col("label").eqNullSafe(F.col("of")) & (F.col("salt") == F.col("part"))).select(
+        F.col("id").alias("vec_id"),
+        F.array_join(F.transform("codes", lambda c: F.lpad(F.lower(F.hex(c)), 2, "0")), "").alias("code"),
+        "error", "label_error", F.lit(hashlib.sha256(name.encode()).hexdigest()).alias("codebooks_sha256"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_pii_surrogates": op1_pii_surrogates,
     "op2_bpe_forced_boundary": op2_bpe_forced_boundary,
@@ -101,9 +137,109 @@ QUERIES: dict[str, Query] = {
     "op8_chosen_path_join": op8_chosen_path_join,
     "op9_line_dedup": op9_line_dedup,
     "op10_revisit_resolution": op10_revisit_resolution,
+    "op11_shallot_clusters": op11_shallot_clusters,
+    "op12_license_templates": op12_license_templates,
+    "op13_hadamard_codes": op13_hadamard_codes,
 }
 
+def finite_sql(scale: int) -> str:
+    """Rows that take part, with their integer components."""
+    return f"""SELECT vec_id, label, [cast(floor({scale} * cast(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v
+  FROM embeddings WHERE embedding IS NOT NULL AND len(embedding) > 0
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0"""
+
+
+def floor_sql(total: str, n: str) -> str:
+    """Exact floor of a quotient with a positive divisor."""
+    return f"cast(({total} - (({total} % {n}) + {n}) % {n}) // {n} AS BIGINT)"
+
+
+SQUARED = "list_sum([(a[1] - a[2]) * (a[1] - a[2]) FOR a IN list_zip({0}, {1})])"
+
+
+def clusters_sql(width: int, k: int, rounds: int, scale: int) -> str:
+    """The rounds of op11, unrolled."""
+    steps = [f"""WITH w AS ({finite_sql(scale)}),
+r AS (SELECT row_number() OVER () AS i, vec_id, v FROM w WHERE len(v) = {width}),
+c0 AS (SELECT cast(row_number() OVER (ORDER BY h, v) - 1 AS INTEGER) AS c, v
+       FROM (SELECT sha256('1:' || vec_id) AS h, v FROM r WHERE vec_id IS NOT NULL ORDER BY h, v LIMIT {k}))"""]
+    for n in range(rounds + 1):
+        distance = SQUARED.format("r.v", f"c{n}.v")
+        steps.append(f"""a{n} AS (SELECT i, min_by(c, d * {k} + c) AS c, min(d) AS d
+  FROM (SELECT r.i, c, cast({distance} AS HUGEINT) AS d FROM r, c{n}) GROUP BY i)""")
+        if n < rounds:
+            steps.append(f"""s{n} AS (SELECT c, p, sum(x) AS s, count(*) AS n
+  FROM (SELECT c, unnest(v) AS x, unnest(range({width})) AS p FROM r JOIN a{n} USING (i)) GROUP BY c, p)""")
+            steps.append(f"""c{n + 1} AS (SELECT c, coalesce(m, c{n}.v) AS v FROM c{n}
+  LEFT JOIN (SELECT c, list({floor_sql('s', 'n')} ORDER BY p) AS m FROM s{n} GROUP BY c) USING (c))""")
+    return ",\n".join(steps) + f"""
+SELECT vec_id, c AS cluster, cast(d AS BIGINT) AS distance, cast(sum(d) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia,
+       cast(sum(d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c{rounds}.v, ',')) AS centroid_sha256
+FROM a{rounds} JOIN r USING (i) JOIN c{rounds} USING (c)
+"""
+
+
+def codes_sql(parts: int, entries: int, rounds: int, scale: int) -> str:
+    """The rounds of op13, unrolled."""
+    steps = [f"""WITH w AS ({finite_sql(scale)}),
+size AS (SELECT len(v) AS n FROM w WHERE vec_id IS NOT NULL ORDER BY vec_id, v LIMIT 1),
+r AS (SELECT row_number() OVER () AS i, vec_id, label, v, n // {parts} AS width FROM w, size
+      WHERE len(v) = n AND n % {parts} = 0),
+p AS (SELECT i, p, v[p * width + 1:(p + 1) * width] AS x FROM r, (SELECT unnest(range({parts})) AS p)),
+first AS (SELECT i, row_number() OVER (ORDER BY vec_id, v) - 1 AS e FROM r WHERE vec_id IS NOT NULL
+          ORDER BY vec_id, v LIMIT {entries}),
+b0 AS (SELECT p, e, x FROM p JOIN first USING (i))"""]
+    for n in range(rounds + 1):
+        steps.append(f"""a{n} AS (SELECT i, p, min_by(e, d * {entries} + e) AS e, min(d) AS d
+  FROM (SELECT i, p.p, e, cast({SQUARED.format('p.x', f'b{n}.x')} AS HUGEINT) AS d FROM p JOIN b{n} ON p.p = b{n}.p)
+  GROUP BY i, p)""")
+        if n < rounds:
+            steps.append(f"""s{n} AS (SELECT p, e, k, sum(x) AS s, count(*) AS n
+  FROM (SELECT p, e, unnest(x) AS x, unnest(range(len(x))) AS k FROM p JOIN a{n} USING (i, p)) GROUP BY p, e, k)""")
+            steps.append(f"""b{n + 1} AS (SELECT p, e, coalesce(m, b{n}.x) AS x FROM b{n}
+  LEFT JOIN (SELECT p, e, list({floor_sql('s', 'n')} ORDER BY k) AS m FROM s{n} GROUP BY p, e) USING (p, e))""")
+    return ",\n".join(steps) + f""",
+o AS (SELECT i, string_agg(lpad(lower(hex(e)), 2, '0'), '' ORDER BY p) AS code, cast(sum(d) AS BIGINT) AS error
+      FROM a{rounds} GROUP BY i)
+SELECT vec_id, code, error, cast(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       (SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY p, e)) FROM b{rounds}) AS codebooks_sha256
+FROM o JOIN r USING (i)
+"""
+
+
+def licenses_sql() -> str:
+    """All blocks against all templates."""
+    rows = ", ".join(f"({t.block}, '{t.label}', {t.words!r}, {t.least}, {t.marks.split()!r}::VARCHAR[])" for t in licenses.TEMPLATES)
+    spoken = " ".join(f"WHEN '{p}' THEN '{label}'" for p, label in licenses.PHRASES)
+    phrases = ", ".join(f"({p.split()!r})" for p, _ in licenses.PHRASES)
+    return rf"""
+WITH t(size, label, sought, least, marks) AS (VALUES {rows}),
+d AS (SELECT row_number() OVER () AS i, doc_id,
+             regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+ph(words) AS (VALUES {phrases}),
+spot AS (SELECT i, words, unnest(list_filter(range(len(w)), lambda x: w[x + 1:x + len(words)] = words)) AS k FROM d, ph
+       WHERE list_has_all(w, words)),
+base AS (SELECT i, count(*) AS n_base, min(k) AS first_word, max(k) AS last_word,
+                list(DISTINCT CASE array_to_string(words, ' ') {spoken} END) AS own FROM spot GROUP BY i),
+b AS (SELECT i, size, list_distinct(w[k * size + 1:(k + 2) * size]) AS held
+      FROM (SELECT i, w, size, unnest(range((len(w) + size - 1) // size)) AS k
+            FROM d, (SELECT DISTINCT size FROM t))),
+m AS (SELECT i, label, len(list_intersect(held, sought)) / len(sought) AS share FROM b JOIN t USING (size)
+      WHERE len(list_intersect(held, sought)) >= least AND list_has_all(held, marks)),
+f AS (SELECT i, list(DISTINCT label) AS labels, max(share) AS share FROM m GROUP BY i)
+SELECT doc_id, cast(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+       coalesce(array_to_string(list_sort(own), ','), '') AS base_labels,
+       coalesce(array_to_string(list_sort(list_distinct(list_concat(own, labels))), ','), '') AS labels,
+       CASE WHEN n_base > 0 THEN 1.0::DOUBLE ELSE coalesce(share, 0.0)::DOUBLE END AS score
+FROM d LEFT JOIN base USING (i) LEFT JOIN f USING (i)
+"""
+
+
 ORACLE: dict[str, str] = {
+    "op11_shallot_clusters": clusters_sql(width=64, k=16, rounds=3, scale=64),
+    "op12_license_templates": licenses_sql(),
+    "op13_hadamard_codes": codes_sql(parts=8, entries=16, rounds=6, scale=4096),
     "op7_threshold_top_k": """
 WITH v AS (
   SELECT vec_id, [cast(floor(1024 * cast(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v FROM embeddings
