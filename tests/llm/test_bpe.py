@@ -1,3 +1,5 @@
+import random
+
 import pytest
 
 from headway.llm import bpe
@@ -43,13 +45,42 @@ def test_cuts_are_certain():
 
 
 def test_full_cache_starts_anew(library, monkeypatch):
-    monkeypatch.setattr(bpe, "CACHE_CHUNKS", 3)
+    monkeypatch.setattr(bpe, "CACHE_BYTES", 3)
     enc = bpe.Encoder(default_vocabulary())
     for text in ["one two three four five", "six two one", "<|endoftext|> one"]:
         ids = enc.encode([text])
         assert (ids.to_pylist()[0], enc.decode(ids).to_pylist()[0]) == expected(library, text)
 
 
+def test_random_texts_equal_library(library):
+    rng = random.Random(3)
+    alphabets = ["".join(map(chr, range(256))), "aàéîõüßÿªº²½'sStTrReEvVmMlLdD 1.", "the \n\x85\xa0\x1c\u2003 İ\u0307\u0328\u0301iéKÅ",
+                 "".join(map(chr, range(0x100, 0x500))) + " ", "日本語😀 a'll\u200d", "abcde  <|endoftext|>"]
+    texts = ["".join(rng.choices(rng.choice(alphabets), k=rng.randrange(60))) for _ in range(6000)]
+    texts += [a + b for a, b in zip(texts, reversed(texts))]
+    enc = bpe.Encoder(default_vocabulary())
+    for at in range(0, len(texts), 1500):
+        part = texts[at:at + 1500]
+        ids = enc.encode(part)
+        for text, i, decoded in zip(part, ids.to_pylist(), enc.decode(ids).to_pylist()):
+            assert (i, decoded) == expected(library, text), repr(text)
+
+
+def test_memory_is_bounded_and_given_back(library, monkeypatch):
+    enc = bpe.Encoder(default_vocabulary())
+    least = enc.size
+    monkeypatch.setattr(bpe, "CACHE_BYTES", 60_000)
+    for k in range(40):
+        words = [f"w{k * j}é" for j in range(100)] + ["der", "日本" * (k + 1)]
+        ids = enc.encode([" ".join(words), "plain"])
+        assert ids.to_pylist()[0] == expected(library, " ".join(words))[0]
+        assert enc.size == sum(map(len, enc.ids)) + sum(map(len, enc.ids.values())) + bpe.ENTRY_BYTES * len(enc.ids)
+        assert enc.size < 120_000
+    assert "plain" in enc.ids
+    enc.forget()
+    assert enc.size == least
+
+
 def test_table_with_nulls_repeats_and_clashing_columns(spark, library, docs_of):
     docs = docs_of([(1, None), (2, ""), (3, "The THE the"), (3, "The THE the"), (None, CASES[2])])
     got = bpe.encode_decode(docs.withColumnRenamed("source", "ids"), default_vocabulary()).collect()
