@@ -29,6 +29,8 @@ are replaced.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -47,9 +49,11 @@ def row_key(id_col: str, text_col: str) -> list[Column]:
     return [F.coalesce(F.col(id_col), F.lit(-2 ** 63)).alias("id0"), text_key(text_col).alias("t")]
 
 
-def squeezed(text: Column) -> Column:
-    """The text with each run of white space in a line as one space."""
-    return F.regexp_replace(text, r" [^\S\n]+|[^\S \n][^\S\n]*", " ")     # single spaces are left as they are
+def squeezed(line: Column) -> Column:
+    """The line with each run of white space as one space."""
+    other = [F.contains(line, F.lit(c)) for c in ("\t", "\r", "\f", "\x0b")]
+    runs = reduce(lambda a, b: a | b, other, F.contains(line, F.lit("  ")))
+    return F.when(runs, F.regexp_replace(line, r"\s+", " ")).otherwise(line)
 
 
 def place_of() -> Column:
@@ -68,33 +72,28 @@ def lower_key() -> Column:
 
 def lines_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """One row for each non-blank line: row, position, text and key."""
-    return (docs.select(*row_key(id_col, text_col), F.posexplode(F.split(squeezed(text_of(text_col)), "\n")).alias("pos", "line"))
-            .withColumn("line", F.trim("line")).where("line <> ''")
+    return (docs.select(*row_key(id_col, text_col), F.posexplode(F.split(text_of(text_col), "\n")).alias("pos", "line"))
+            .withColumn("line", F.trim(squeezed(F.col("line")))).where("line <> ''")
             .select(*ROW, "pos", "line", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2")))
 
 
-def part_of(line: Column, words: Column) -> Column:
-    """The first words of a line, or the last ones if the number is negative."""
-    return F.call_function("substring_index", line, F.lit(" "), words)
-
-
-def half_keys(line: Column, n: Column) -> list[Column]:
+def half_keys(words: Column) -> list[Column]:
     """Keys of the halves that a neighbour shares, for pairs whose shorter line has n, then n - 1 words."""
-    out = []
+    n, out = F.size(words), []
     for shorter in (n, n - 1):
         first = F.floor(shorter / 2).cast("int")
         able = shorter >= MIN_WORDS
-        out += [F.when(able, F.xxhash64(shorter, F.lit(0), part_of(line, first))),
-                F.when(able, F.xxhash64(shorter, F.lit(1), part_of(line, first - shorter)))]
+        out += [F.when(able, F.xxhash64(shorter, F.lit(0), F.slice(words, F.lit(1), first))),
+                F.when(able, F.xxhash64(shorter, F.lit(1), F.slice(words, n - shorter + first + 1, shorter - first)))]
     return [c.alias(name) for c, name in zip(out, HALVES)]
 
 
 def distinct_lines(lines: DataFrame) -> DataFrame:
-    """(h1, h2, first, rest, halves): one row for each different line, with the place and lower text key of its earliest."""
-    n = F.length("line") - F.length(F.replace("line", F.lit(" "))) + 1
-    return (lines.select(*LINE, place_of().alias("place"), lower_key().alias("rest"), "line", n.alias("n"))
-            .select(*LINE, "place", "rest", *half_keys(F.col("line"), F.col("n")))
-            .groupBy(*LINE).agg(F.min("place").alias("first"), F.min_by("rest", "place").alias("rest"), *[F.min(c).alias(c) for c in HALVES]))
+    """(h1, h2, first, rest, n, halves): one row for each different line, with the place and lower text key of its earliest."""
+    return (lines.select(*LINE, place_of().alias("place"), lower_key().alias("rest"), words_of(F.col("line")).alias("words"))
+            .select(*LINE, "place", "rest", *half_keys(F.col("words")))
+            .groupBy(*LINE).agg(F.min("place").alias("first"), F.min_by("rest", "place").alias("rest"),
+                                F.count("*").alias("n"), *[F.min(c).alias(c) for c in HALVES]))
 
 
 def near_candidates(distinct: DataFrame) -> DataFrame:
@@ -179,15 +178,20 @@ def removed_places(lines: DataFrame) -> DataFrame:
     """(id0, t, pos) of all lines that an earlier line makes redundant."""
     distinct = stored(distinct_lines(lines), "lines-distinct")
     picked = stored(near_candidates(distinct), "lines-picked")
-    # an inner join, as a semi join would be moved below the bitmap; the hashes are distinct
-    candidates = stored(in_bitmap(lines.select(*LINE, place_of().alias("place"), "line"), picked).join(picked, "h1")
-                        .groupBy(*LINE, "line").agg(F.min("place").alias("first"))
-                        .where(F.size(words_of(F.col("line"))) >= MIN_WORDS), "lines-candidates")
-    near = near_lines(candidates, stored(variants(candidates), "lines-variants")).withColumn("near", F.lit(True))
-    decided = distinct.select(*LINE, "first", "rest").join(near, [*LINE], "left")
+    # copies of a line meet before the join; an inner one, as a semi join would be moved below the bitmap
+    candidates = stored(in_bitmap(lines.select(*LINE, place_of().alias("place"), "line"), picked)
+                        .groupBy(*LINE, "line").agg(F.min("place").alias("first")).join(picked, "h1")
+                        .where(F.size(words_of(F.col("line"))) >= MIN_WORDS)
+                        .select(*LINE, "line", "first"), "lines-candidates")
+    near = near_lines(candidates, stored(variants(candidates), "lines-variants"))
+    # lines that stand somewhere else, earlier or nearly alike; the others stay unseen
+    repeated = distinct.where("n > 1").select(*LINE, "first", "rest", F.lit(False).alias("near"))
+    decided = stored(repeated.unionByName(near.withColumn("near", F.lit(True)), allowMissingColumns=True)
+                     .groupBy(*LINE).agg(F.max("first").alias("first"), F.max("rest").alias("rest"), F.max("near").alias("near")),
+                     "lines-decided")
     later = (F.col("first") != place_of()) | (F.col("rest") != lower_key())
-    return (lines.select(*ROW, "pos", *LINE).join(decided, [*LINE])
-            .where(later | F.col("near")).select(*ROW, "pos"))
+    return (in_bitmap(lines.select(*ROW, "pos", *LINE), decided.select("h1")).join(decided, [*LINE])
+            .where(F.col("near") | later).select(*ROW, "pos"))
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
