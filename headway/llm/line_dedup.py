@@ -17,7 +17,8 @@ any other is left out without loss. Such lines are fetched through a bitmap of
 their hashes of at most ``MAX_BITS`` bits; it only spares moving other lines.
 
 No group is gathered and no pairs of a group are listed: each key keeps its
-earliest line, and the others are compared with that one.
+earliest line, and the others are compared with that one. The texts are cut into
+lines twice: for the table of all lines' keys, and for the words of the candidates.
 
 Defined results: blank lines are never removed; a NULL or empty text stays as it
 is; a document all of whose non-blank lines are removed gets an empty text and
@@ -37,9 +38,10 @@ from pyspark.sql import functions as F
 from headway.llm.common import stored, text_key, text_of
 
 MIN_WORDS = 8
-MAX_BITS = 2 ** 27          # 16 MB: bound on the broadcast bitmap
+WHITE = " \t\r\f\x0b"       # white space within a line
+MAX_BITS = 2 ** 26          # bound on the broadcast bitmap: a million words of 16 bytes
 BITS_A_LINE = 16
-BITMAP_BITS = 32_768        # bits of one row of bitmap_construct_agg
+WORD_BITS = 64
 ROW = ("id0", "t")          # a document's id (never NULL) and text key
 LINE = ("h1", "h2")         # 128-bit key of a line
 HALVES = ("a1", "a2", "b1", "b2")
@@ -51,8 +53,7 @@ def row_key(id_col: str, text_col: str) -> list[Column]:
 
 def squeezed(line: Column) -> Column:
     """The line with each run of white space as one space."""
-    other = [F.contains(line, F.lit(c)) for c in ("\t", "\r", "\f", "\x0b")]
-    runs = reduce(lambda a, b: a | b, other, F.contains(line, F.lit("  ")))
+    runs = reduce(lambda a, b: a | b, [F.contains(line, F.lit(c)) for c in ("  ", *WHITE[1:])])
     return F.when(runs, F.regexp_replace(line, r"\s+", " ")).otherwise(line)
 
 
@@ -73,7 +74,8 @@ def lower_key() -> Column:
 def lines_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """One row for each non-blank line: row, position, text and key."""
     return (docs.select(*row_key(id_col, text_col), F.posexplode(F.split(text_of(text_col), "\n")).alias("pos", "line"))
-            .withColumn("line", F.trim(squeezed(F.col("line")))).where("line <> ''")
+            .where(F.call_function("btrim", F.col("line"), F.lit(WHITE)) != "")   # cheaper than the line's words
+            .withColumn("line", F.trim(squeezed(F.col("line"))))
             .select(*ROW, "pos", "line", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2")))
 
 
@@ -88,34 +90,29 @@ def half_keys(words: Column) -> list[Column]:
     return [c.alias(name) for c, name in zip(out, HALVES)]
 
 
-def distinct_lines(lines: DataFrame) -> DataFrame:
-    """(h1, h2, first, rest, n, halves): one row for each different line, with the place and lower text key of its earliest."""
-    return (lines.select(*LINE, place_of().alias("place"), lower_key().alias("rest"), words_of(F.col("line")).alias("words"))
-            .select(*LINE, "place", "rest", *half_keys(F.col("words")))
-            .groupBy(*LINE).agg(F.min("place").alias("first"), F.min_by("rest", "place").alias("rest"),
-                                F.count("*").alias("n"), *[F.min(c).alias(c) for c in HALVES]))
+def repeated_lines(keys: DataFrame) -> DataFrame:
+    """(h1, h2, first, rest): the lines that stand at several places, with the place and lower text key of the earliest."""
+    return (keys.select(*LINE, place_of().alias("place"), lower_key().alias("rest")).groupBy(*LINE)
+            .agg(F.min("place").alias("first"), F.min_by("rest", "place").alias("rest"), F.count("*").alias("n"))
+            .where("n > 1").drop("n"))
 
 
-def near_candidates(distinct: DataFrame) -> DataFrame:
+def near_candidates(keys: DataFrame) -> DataFrame:
     """(h1): hashes of the lines that share a half with another line."""
-    half = distinct.select("h1", F.explode(F.array_compact(F.array(*HALVES))).alias("half"))
-    shared = half.groupBy("half").agg(F.count("*").alias("n")).where("n > 1").select("half")
-    return half.join(shared, "half").select("h1").distinct()
+    half = keys.select("h1", F.explode(F.array_compact(F.array(*HALVES))).alias("half"))
+    shared = stored(half.groupBy("half").agg(F.min("h1").alias("a"), F.max("h1").alias("b")).where("a < b").select("half"),
+                    "lines-shared")
+    return in_bitmap(half, shared, "half").distinct().join(shared, "half").select("h1").distinct()
 
 
-def in_bitmap(lines: DataFrame, hashes: DataFrame) -> DataFrame:
-    """Lines whose hash may be among ``hashes``: a bitmap of bounded size drops most of the others."""
-    bits = min(MAX_BITS, max(BITMAP_BITS, 1 << (BITS_A_LINE * hashes.count()).bit_length()))
-
-    def bit(h: str) -> Column:
-        return F.pmod(F.col(h), F.lit(bits))
-
-    rows = (hashes.groupBy(F.bitmap_bucket_number(bit("h1")).alias("bucket"))
-            .agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit("h1"))).alias("bitmap")))
-    at = F.bitmap_bit_position(bit("h1")).cast("int")
-    byte = F.conv(F.hex(F.substring(F.col("bitmap"), F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    return (lines.withColumn("bucket", F.bitmap_bucket_number(bit("h1"))).join(F.broadcast(rows), "bucket")
-            .where(byte.bitwiseAND(F.call_function("shiftleft", F.lit(1), (at % 8).cast("int"))) != 0).drop("bucket", "bitmap"))
+def in_bitmap(rows: DataFrame, hashes: DataFrame, key: str = "h1") -> DataFrame:
+    """Rows whose ``key`` may be among ``hashes``: a bitmap of bounded size drops most of the others."""
+    bits = min(MAX_BITS, max(WORD_BITS, 1 << (BITS_A_LINE * hashes.count()).bit_length()))
+    at = F.pmod(F.col(key), F.lit(bits))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), (at % WORD_BITS).cast("int"))
+    words = hashes.groupBy(F.floor(at / WORD_BITS).alias("place_of_word")).agg(F.bit_or(bit).alias("word"))
+    return (rows.withColumn("place_of_word", F.floor(at / WORD_BITS)).join(F.broadcast(words), "place_of_word")
+            .where(F.col("word").bitwiseAND(bit) != 0).drop("place_of_word", "word"))
 
 
 def words_of(line: Column) -> Column:
@@ -176,8 +173,9 @@ def near_lines(candidates: DataFrame, cut: DataFrame) -> DataFrame:
 
 def removed_places(lines: DataFrame) -> DataFrame:
     """(id0, t, pos) of all lines that an earlier line makes redundant."""
-    distinct = stored(distinct_lines(lines), "lines-distinct")
-    picked = stored(near_candidates(distinct), "lines-picked")
+    keys = stored(lines.select(*ROW, "pos", *LINE, words_of(F.col("line")).alias("words"))
+                  .select(*ROW, "pos", *LINE, *half_keys(F.col("words"))), "lines-keys")
+    picked = stored(near_candidates(keys), "lines-picked")
     # copies of a line meet before the join; an inner one, as a semi join would be moved below the bitmap
     candidates = stored(in_bitmap(lines.select(*LINE, place_of().alias("place"), "line"), picked)
                         .groupBy(*LINE, "line").agg(F.min("place").alias("first")).join(picked, "h1")
@@ -185,12 +183,11 @@ def removed_places(lines: DataFrame) -> DataFrame:
                         .select(*LINE, "line", "first"), "lines-candidates")
     near = near_lines(candidates, stored(variants(candidates), "lines-variants"))
     # lines that stand somewhere else, earlier or nearly alike; the others stay unseen
-    repeated = distinct.where("n > 1").select(*LINE, "first", "rest", F.lit(False).alias("near"))
-    decided = stored(repeated.unionByName(near.withColumn("near", F.lit(True)), allowMissingColumns=True)
-                     .groupBy(*LINE).agg(F.max("first").alias("first"), F.max("rest").alias("rest"), F.max("near").alias("near")),
-                     "lines-decided")
+    found = repeated_lines(keys).withColumn("near", F.lit(False)).unionByName(
+        near.withColumn("near", F.lit(True)), allowMissingColumns=True)
+    decided = stored(found.groupBy(*LINE).agg(*[F.max(c).alias(c) for c in ("first", "rest", "near")]), "lines-decided")
     later = (F.col("first") != place_of()) | (F.col("rest") != lower_key())
-    return (in_bitmap(lines.select(*ROW, "pos", *LINE), decided.select("h1")).join(decided, [*LINE])
+    return (in_bitmap(keys.select(*ROW, "pos", *LINE), decided.select("h1")).join(decided, [*LINE])
             .where(F.col("near") | later).select(*ROW, "pos"))
 
 
