@@ -25,6 +25,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from headway.llm.common import in_text_batches
+
 CACHE_BYTES = 48 << 20      # remembered pieces and chunks of a task; beyond it those of the last texts stay
 CHUNK = "\n"                # marks chunks, which may be spelt like a piece that is normalised in another way
 ENTRY_BYTES = 200           # of a remembered one, besides its characters and ids
@@ -203,4 +205,4 @@ def encode_decode(df: DataFrame, vocab_path: str, text_col: str = "text",
                 at = end
         enc.forget()                            # the worker may serve other stages next
 
-    return df.mapInArrow(run, schema)
+    return in_text_batches(df).mapInArrow(run, schema)

@@ -24,6 +24,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Rows of whole texts that one Arrow batch holds at most.
+TEXT_ROWS = 1_000
+
+
+def in_text_batches(df: DataFrame) -> DataFrame:
+    """``df``, for Arrow functions on whole texts: lowers the session's batch size to TEXT_ROWS."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(df.sparkSession.conf.get(name)) <= TEXT_ROWS:
+        df.sparkSession.conf.set(name, str(TEXT_ROWS))
+    return df
+
+
 def text_of(col: str = "text") -> Column:
     """The text column with NULL as the empty text."""
     return F.coalesce(F.col(col).cast("string"), F.lit(""))

@@ -25,6 +25,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import pandas as pd
 import pyarrow as pa
@@ -33,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from headway.llm.common import stored, text_key
+from headway.llm.common import in_text_batches, stored, text_key
 
 FIT_ROWS = 500_000          # bound on the labelled rows a model is fitted on (smallest hashes of the id)
 PRIOR_WEIGHT = 0.1          # tokens of the corpus prior for each token of the toxic texts
@@ -43,7 +44,9 @@ MIN_DOCS = 3                # distinct toxic texts a beginning must occur in
 MIN_CLEAN = 30              # chance segments needed to fit lambda; else it is 1
 BEGINNINGS = (4, 5, 6)
 LEVEL_STEPS = 4             # steps of log E, for each unit, among which the level is chosen
-FLUSH_WORDS = 400_000       # distinct words a task holds before it passes its counts on
+FLUSH_BYTES = 96 << 20      # of distinct words a task holds before it passes its counts on
+WORD_BYTES = 250            # of a word of at most 100 characters in a counter
+OUT_ROWS = 50_000           # counts passed on at a time
 FOLDS = 5
 
 WORD = re.compile(r"\w+")
@@ -139,14 +142,14 @@ def labelled(docs: DataFrame, labels: DataFrame, fold: int = 0) -> DataFrame:
 
 def with_labels(docs: DataFrame, known: DataFrame, how: str) -> DataFrame:
     """The known labels are at most FIT_ROWS rows of 12 bytes, hence the broadcast."""
-    return docs.select("doc_id", "text").join(F.broadcast(known), "doc_id", how)
+    return in_text_batches(docs).select("doc_id", "text").join(F.broadcast(known), "doc_id", how)
 
 
 def count_beginnings(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Partial counts of the beginnings in a task's texts."""
     corpus, toxic, clean, in_docs = Counter(), Counter(), Counter(), Counter()
 
-    def flush() -> pd.DataFrame:
+    def flush() -> Iterator[pd.DataFrame]:
         counts = []
         for words in (corpus, toxic, clean):
             own: Counter = Counter()
@@ -155,24 +158,29 @@ def count_beginnings(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     own[f] += n
             counts.append(own)
             words.clear()
-        rows = [(f, n, counts[1][f], counts[2][f], in_docs[f]) for f, n in counts[0].items()]
+        rows = ((f, n, counts[1][f], counts[2][f], in_docs[f]) for f, n in counts[0].items())
+        while part := list(islice(rows, OUT_ROWS)):
+            yield pd.DataFrame(part, columns=["f", "corpus", "toxic", "clean", "docs"])
         in_docs.clear()
-        return pd.DataFrame(rows, columns=["f", "corpus", "toxic", "clean", "docs"])
 
+    held = 0
     for batch in batches:
         for text, label in zip(batch["text"], batch["toxic"]):
             if not text:
                 continue
             found = WORD.findall(text.lower())
+            held -= WORD_BYTES * len(corpus)
             corpus.update(found)
+            held += WORD_BYTES * len(corpus) + sum(n for n in map(len, found) if n > 100)
             if label == 1:
                 toxic.update(found)
                 in_docs.update({f for w in set(found) for f in beginnings(w)})
             elif label == 0:
                 clean.update(found)
-            if len(corpus) > FLUSH_WORDS:
-                yield flush()
-    yield flush()
+            if held > FLUSH_BYTES:
+                yield from flush()
+                held = 0
+    yield from flush()
 
 
 def fit_lexicon(docs: DataFrame, known: DataFrame) -> Model:
@@ -287,4 +295,4 @@ def score(df: DataFrame, model: Model, text_col: str = "text", score_col: str =
                        pa.array([g[1] for g in got], to_arrow_type(SEGMENTS))]
             yield pa.RecordBatch.from_arrays(arrays, names=[*names, score_col, segments_col])
 
-    return df.mapInArrow(run, schema)
+    return in_text_batches(df).mapInArrow(run, schema)
