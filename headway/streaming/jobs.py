@@ -6,27 +6,30 @@ driver) resumes where its last committed batch ended:
 
 * window statistics: event-time windows with a watermark; append mode emits a
   window once the watermark passes its end; late rows are dropped by Spark.
-* speed view: pane state in update mode + ``foreachBatch``; each batch's
-  rows are written under ``dt=/batch_id=`` with dynamic partition overwrite,
-  so a retried batch replaces its own output; readers keep the newest batch
-  per key.
-* top-N snapshot: windows touched by a batch are recomputed for all routes
-  from the stored panes (a batch holds only the changed groups, so ranking
-  the batch alone would be wrong).
+* speed view, top-N snapshot, open windows: each batch's events become panes, and the
+  windows that hold one are recomputed for all routes from the pane table,
+  the only state. Tables are upserted by batch number (``upsert``), so a
+  retried batch replaces its own rows.
+* fan-out: one read of the source feeds several sinks, each with a ledger of batches.
 """
 
 from __future__ import annotations
 
 import os
 from collections.abc import Callable
+from datetime import datetime, timedelta, timezone
+from typing import Protocol
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from headway.functions import columns as C
 from headway.operators import speed as S
+from headway.sources import files
 from headway.sources import raw as RW
+from headway.streaming.upsert import UpsertTable
 
 Trigger = dict
 
@@ -117,135 +120,250 @@ TOP_COLUMNS = ("window_end", "rank", "route_id", "avg_delay_seconds", "max_delay
                "event_count")
 
 
-def _write_batch(df: DataFrame, path: str, batch_id: int, time_col: str = "window_end") -> None:
-    """Write one micro-batch under ``dt=/batch_id=``; a retry overwrites only its own folders."""
-    (df.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-       .withColumn("dt", F.to_date(time_col))
-       .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-       .partitionBy("dt", "batch_id").parquet(path))
+VIEW = T.StructType([
+    T.StructField("window_start", T.TimestampNTZType()), T.StructField("window_end", T.TimestampNTZType()),
+    T.StructField("route_id", T.StringType()), T.StructField("time_bucket", T.StringType()),
+    T.StructField("event_count", T.LongType()), T.StructField("avg_delay_seconds", T.DoubleType()),
+    T.StructField("max_delay_seconds", T.IntegerType()), T.StructField("late_count", T.LongType()),
+    T.StructField("batch_baseline_seconds", T.DoubleType()), T.StructField("anomaly_ratio", T.DoubleType()),
+    T.StructField("is_anomaly", T.BooleanType()), T.StructField("window_size_minutes", T.DoubleType()),
+    T.StructField("ttl", T.LongType())])
+SNAPSHOT = T.StructType([
+    T.StructField("window_end", T.TimestampNTZType()), T.StructField("top_routes", T.ArrayType(T.StructType([
+        T.StructField("rank", T.IntegerType()), T.StructField("route_id", T.StringType()),
+        T.StructField("avg_delay_seconds", T.DoubleType()), T.StructField("max_delay_seconds", T.IntegerType()),
+        T.StructField("event_count", T.LongType())])))])
+PANES = T.StructType([
+    T.StructField("route_id", T.StringType()), T.StructField("pane_start", T.TimestampType()),
+    T.StructField("n", T.LongType()), T.StructField("s", T.LongType()), T.StructField("m", T.IntegerType()),
+    T.StructField("l", T.LongType())])
 
 
-def read_speed_view(spark: SparkSession, path: str, alive_at: Column | None = None) -> DataFrame:
+def add_panes(rows: DataFrame) -> DataFrame:
+    """Panes of several batches as one: every statistic is a sum or a maximum."""
+    return rows.groupBy("route_id", "pane_start").agg(
+        F.sum("n").alias("n"), F.sum("s").alias("s"), F.max("m").alias("m"), F.sum("l").alias("l"))
+
+
+def view_table(path: str) -> UpsertTable:
+    return UpsertTable(path, VIEW, ("route_id", "window_end"), "window_end")
+
+
+def snapshot_table(path: str) -> UpsertTable:
+    return UpsertTable(path, SNAPSHOT, ("window_end",), "window_end")
+
+
+def pane_table(path: str) -> UpsertTable:
+    return UpsertTable(path, PANES, ("route_id", "pane_start"), "pane_start", add_panes)
+
+
+def read_speed_view(spark: SparkSession, path: str, alive_at: Column | None = None,
+                    columns: tuple[str, ...] = VIEW_COLUMNS) -> DataFrame:
     """Current speed view: the newest written row of every (route_id, window_end).
 
-    ``max_by`` over batch ids is a map-side-combined aggregate. With
-    ``alive_at`` (a timestamp) rows whose TTL has passed are left out, and
+    With ``alive_at`` (a timestamp) rows whose TTL has passed are left out, and
     the filter on ``dt`` prunes date folders older than the TTL.
     """
-    rows = spark.read.parquet(path)
-    if alive_at is not None:
-        rows = rows.filter((F.col("ttl") > F.unix_timestamp(alive_at))
-                           & (F.col("dt") >= F.to_date(alive_at - F.expr(f"INTERVAL {C.TTL_SECONDS} SECONDS"))))
-    newest = rows.groupBy("route_id", "window_end").agg(
-        F.max_by(F.struct(*[c for c in VIEW_COLUMNS if c not in ("route_id", "window_end")]),
-                 "batch_id").alias("r"))
-    return newest.select(*[F.col(c) if c in ("route_id", "window_end") else F.col(f"r.{c}").alias(c)
-                           for c in VIEW_COLUMNS])
+    alive = None if alive_at is None else (
+        (F.col("ttl") > F.unix_timestamp(alive_at))
+        & (F.col("dt") >= F.to_date(alive_at - F.expr(f"INTERVAL {C.TTL_SECONDS} SECONDS"))))
+    return view_table(path).read(spark, alive).select(*columns)
 
 
 def read_snapshots(spark: SparkSession, path: str) -> DataFrame:
     """Current top-N list of every window: rows of its newest snapshot batch."""
-    rows = spark.read.parquet(path)
-    newest = rows.groupBy("window_end").agg(F.max("batch_id").alias("batch_id"))
-    return rows.join(newest, ["window_end", "batch_id"]).select(*TOP_COLUMNS)
+    return snapshot_table(path).read(spark).select("window_end", F.inline("top_routes")).select(*TOP_COLUMNS)
 
 
-def pane_state(events: DataFrame, slide: str = C.WINDOW_SLIDE, watermark: str = "10 minutes") -> DataFrame:
-    """Streaming per-(route, pane) statistics: the only state the speed layer keeps.
+class Sink(Protocol):
+    """What a micro-batch is handed to."""
 
-    One state row per route and slide-long pane, instead of one per route and
-    window (``size / slide`` times more) with every event expanded into each
-    window it belongs to. The window struct stays the grouping key so the
-    watermark can evict closed panes.
-    """
-    return (
-        S.speed_events(events)
-        .withWatermark("event_ts", watermark)
-        .groupBy("route_id", F.window("event_ts", slide).alias("p"))
-        .agg(*S.pane_columns())
-        .select("route_id", F.col("p.start").alias("pane_start"), "n", "s", "m", "l")
-    )
+    def __call__(self, batch: DataFrame, batch_id: int) -> None: ...
 
 
-class SpeedViewWriter:
-    """``foreachBatch`` sink of the speed layer (input: the updated panes of a batch).
-
-    1. the batch's panes are appended to the pane table (``dt=/batch_id=``);
-    2. every window containing an updated pane is recomputed, for all routes,
-       from the newest stored panes within ``size - slide`` of the batch's
-       panes; that range is bounded by the watermark and reaches the Parquet
-       scan as partition and min/max filters;
-    3. the recomputed windows are joined with the baseline and upserted into
-       the speed view, and ranked into the top-N snapshot; they hold every
-       route of their window, so ranking needs no re-read of the view.
-
-    ``baseline`` is called once per batch, so a rewritten batch view is picked
-    up by the next micro-batch (the live process cached it for ten minutes).
+class PaneWindows:
+    """Windows of a stream from one table of panes, which is all the state there is.
+
+    A batch's events are reduced to panes (count, sum, maximum, late count), written
+    under the batch's number and added up with those of other batches when read.
+    :meth:`add` returns the windows that hold an updated pane, open ones
+    too, for all routes; only their panes are read.
+
+    The watermark trails the newest event of the batches before by ``delay``. Panes
+    that ended by then are late: they go to the ``late`` table and, with
+    ``correct_late``, into their windows too.
     """
 
-    def __init__(self, view_path: str, snapshot_path: str, pane_path: str,
-                 baseline: Callable[[SparkSession], DataFrame], size: str = C.WINDOW_SIZE,
-                 slide: str = C.WINDOW_SLIDE, n: int = C.TOP_N, threshold: float = C.ANOMALY_RATIO):
-        self.view_path, self.snapshot_path, self.pane_path = view_path, snapshot_path, pane_path
-        self.baseline, self.size, self.slide = baseline, size, slide
-        self.n, self.threshold = n, threshold
-
-    def __call__(self, panes: DataFrame, batch_id: int) -> None:
-        spark = panes.sparkSession
-        # cached first: the stateful plan behind ``panes`` then runs once per partition
-        panes = panes.persist()
-        windows = None
+    def __init__(self, path: str, size: str, slide: str, delay: str, correct_late: bool = False):
+        if S.duration_seconds(size) % S.duration_seconds(slide):
+            raise ValueError("window size must be a multiple of the slide")
+        self.path, self.size, self.slide, self.correct_late = path, size, slide, correct_late
+        self.delay = timedelta(seconds=S.duration_seconds(delay))
+        self.panes, self.late = pane_table(os.path.join(path, "panes")), pane_table(os.path.join(path, "late"))
+
+    def _watermark(self, spark: SparkSession, batch_id: int, newest: datetime) -> datetime | None:
+        """The watermark that holds for a batch; a retried batch gets the same one."""
+        at = os.path.join(self.path, "NEWEST")
+        known = files.read_pointer(spark, at)
+        before = None if known is None else known["before" if known["batch"] == batch_id else "newest"]
+        files.write_pointer(spark, at, {"batch": batch_id, "before": before,
+                                        "newest": max(before or "", newest.isoformat(timespec="microseconds"))})
+        return datetime.fromisoformat(before) - self.delay if before else None
+
+    def add(self, events: DataFrame, batch_id: int) -> DataFrame | None:
+        """Windows (all columns of the batch twin) that hold a pane of this batch; None without any."""
+        spark = events.sparkSession
+        pane = F.window("event_ts", self.slide)
+        own = (S.speed_events(events).groupBy("route_id", pane.start.alias("pane_start"), pane.end.alias("pane_end"))
+               .agg(*S.pane_columns(), F.max("event_ts").alias("newest")).persist())
         try:
-            if panes.isEmpty():          # update mode also fires for empty batches
-                return
-            _write_batch(panes, self.pane_path, batch_id, "pane_start")
-            lo, hi = panes.agg(F.min(F.unix_micros("pane_start")), F.max(F.unix_micros("pane_start"))).first()
-            span = (S.duration_seconds(self.size) - S.duration_seconds(self.slide)) * 1_000_000
-            r_lo = F.timestamp_micros(F.lit(lo - span).cast("bigint"))
-            r_hi = F.timestamp_micros(F.lit(hi + span).cast("bigint"))
-            stored = spark.read.parquet(self.pane_path).filter(
-                F.col("dt").between(F.to_date(r_lo), F.to_date(r_hi))
-                & F.col("pane_start").between(r_lo, r_hi))
-            newest = stored.groupBy("route_id", "pane_start").agg(
-                F.max_by(F.struct("n", "s", "m", "l"), "batch_id").alias("x")
-            ).select("route_id", "pane_start", "x.*")
-            touched = panes.select(
-                F.explode(S.pane_window_starts(F.col("pane_start"), self.size, self.slide)).alias("window_start")
-            ).distinct()
-            windows = (
-                S.windows_from_panes(newest, self.size, self.slide)
-                .join(touched, "window_start", "left_semi")
-                .select(C.to_ntz("window_start").alias("window_start"),
-                        C.to_ntz("window_end").alias("window_end"), "route_id", "event_count",
-                        "avg_delay_seconds", "max_delay_seconds", "late_count")
-                .persist()
-            )
-            rows = S.speed_with_baseline(windows, self.baseline(spark), self.threshold)
-            _write_batch(rows.select(*VIEW_COLUMNS,
-                                     C.ttl_of(F.col("window_end").cast("timestamp")).alias("ttl")),
-                         self.view_path, batch_id)
-            _write_batch(S.top_n_snapshot(windows, self.n), self.snapshot_path, batch_id)
+            newest = own.agg(F.date_format(F.max("newest"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")).first()[0]
+            if newest is None:
+                return None
+            mark = self._watermark(spark, batch_id, datetime.fromisoformat(newest))
+            fresh = own
+            if mark is not None:
+                late = F.col("pane_end") <= C.ts_literal(mark)
+                self.late.write(own.where(late), batch_id)
+                fresh = own if self.correct_late else own.where(~late)
+            self.panes.write(fresh, batch_id)
+            touched = fresh.select("pane_start").distinct().persist()
+            return self.windows(spark, touched)
         finally:
-            if windows is not None:
+            own.unpersist()
+
+    def windows(self, spark: SparkSession, touched: DataFrame | None = None) -> DataFrame:
+        """The windows of the stored panes, or of those that hold a touched pane."""
+        rows = self.panes.rows(spark)
+        if touched is not None:
+            starts = touched.select(F.explode(S.pane_window_starts(F.col("pane_start"), self.size, self.slide))
+                                    .alias("window_start")).distinct()
+            step, k = S.duration_seconds(self.slide), S.duration_seconds(self.size) // S.duration_seconds(self.slide)
+            needed = starts.select(F.explode(F.transform(
+                F.sequence(F.lit(0), F.lit(k - 1)),
+                lambda i: F.timestamp_micros(F.unix_micros("window_start") + i.cast("bigint") * (step * 1_000_000))))
+                .alias("pane_start")).distinct().withColumn("dt", F.to_date("pane_start"))
+            # one row for each date of the batch
+            dates = [r.dt for r in needed.select("dt").distinct().collect()]
+            rows = rows.where(F.col("dt").isin(dates)).join(needed.drop("dt"), "pane_start", "left_semi")
+        out = S.windows_from_panes(add_panes(rows), self.size, self.slide)
+        if touched is not None:
+            out = out.join(starts, "window_start", "left_semi")
+        return out.select(C.to_ntz("window_start").alias("window_start"), C.to_ntz("window_end").alias("window_end"),
+                          "route_id", "event_count", "avg_delay_seconds", "max_delay_seconds", "late_count")
+
+    def compact(self, spark: SparkSession, upto: int) -> None:
+        """Combine the panes of batches up to ``upto``; those that no later event can reach are dropped."""
+        known = files.read_pointer(spark, os.path.join(self.path, "NEWEST"))
+        oldest = None
+        if known is not None and not self.correct_late:
+            least = datetime.fromisoformat(known["newest"]) - self.delay - timedelta(seconds=S.duration_seconds(self.size))
+            oldest = F.col("pane_start") > C.ts_literal(least)
+        self.panes.compact(spark, upto, oldest)
+        if files.exists(spark, self.late.path):
+            self.late.compact(spark, upto)
+
+
+class SpeedViewWriter:
+    """Sink of the speed layer: upserts the windows of a batch and ranks them.
+
+    The windows hold every route, so ranking needs no re-read of the view. They are
+    joined with the baseline and written to the speed view and the top-N snapshot, each
+    under the batch's number. ``baseline`` is called once per batch, so a
+    newly published batch view is picked up by the next micro-batch (the live process
+    cached it for ten minutes), all of one version. Every ``compact_every`` batches the tables are
+    compacted; with ``expire`` rows whose TTL has passed go then.
+    """
+
+    def __init__(self, view_path: str, snapshot_path: str, panes: PaneWindows,
+                 baseline: Callable[[SparkSession], DataFrame], n: int = C.TOP_N, threshold: float = C.ANOMALY_RATIO,
+                 compact_every: int = 50, expire: bool = False):
+        self.view, self.snapshots, self.panes = view_table(view_path), snapshot_table(snapshot_path), panes
+        self.baseline, self.n, self.threshold = baseline, n, threshold
+        self.compact_every, self.expire = compact_every, expire
+
+    def __call__(self, events: DataFrame, batch_id: int) -> None:
+        spark = events.sparkSession
+        windows = self.panes.add(events, batch_id)
+        if windows is not None:
+            windows = windows.persist()
+            try:
+                rows = S.speed_with_baseline(windows, self.baseline(spark), self.threshold)
+                minutes = S.duration_seconds(self.panes.size) / 60
+                self.view.write(rows.withColumns({
+                    "window_size_minutes": F.lit(minutes), "ttl": C.ttl_of(F.col("window_end").cast("timestamp"))}), batch_id)
+                self.snapshots.write(S.top_n_lists(S.top_n_snapshot(windows, self.n)), batch_id)
+            finally:
                 windows.unpersist()
-            panes.unpersist()
+        if self.compact_every and batch_id % self.compact_every == self.compact_every - 1:
+            self.compact(spark, batch_id)
+
+    def compact(self, spark: SparkSession, upto: int) -> None:
+        alive = F.col("ttl") > F.unix_timestamp(F.current_timestamp())
+        end = F.col("window_end").cast("timestamp")
+        self.view.compact(spark, upto, alive if self.expire else None)
+        self.snapshots.compact(spark, upto, C.ttl_of(end) > F.unix_timestamp(F.current_timestamp()) if self.expire else None)
+        self.panes.compact(spark, upto)
 
 
 def start_speed_layer(events: DataFrame, view_path: str, snapshot_path: str, checkpoint: str,
                       baseline: Callable[[SparkSession], DataFrame], size: str = C.WINDOW_SIZE,
                       slide: str = C.WINDOW_SLIDE, watermark: str = "10 minutes",
                       trigger: Trigger | None = None, n: int = C.TOP_N,
-                      threshold: float = C.ANOMALY_RATIO, pane_path: str | None = None) -> StreamingQuery:
-    """Pane state -> windows of the updated panes -> speed view upsert + top-N snapshot.
+                      threshold: float = C.ANOMALY_RATIO, pane_path: str | None = None,
+                      correct_late: bool = False, compact_every: int = 50, expire: bool = False) -> StreamingQuery:
+    """Events -> panes -> windows of the updated panes -> speed view upsert + top-N snapshot.
 
     ``size`` must be a multiple of ``slide``. The pane table defaults to a
     folder next to the checkpoint (it is state the job owns).
     """
-    if S.duration_seconds(size) % S.duration_seconds(slide):
-        raise ValueError("window size must be a multiple of the slide")
-    writer = SpeedViewWriter(view_path, snapshot_path, pane_path or os.path.join(checkpoint, "panes"),
-                             baseline, size, slide, n, threshold)
-    return (pane_state(events, slide, watermark).writeStream.outputMode("update").foreachBatch(writer)
+    panes = PaneWindows(pane_path or os.path.join(checkpoint, "state"), size, slide, watermark, correct_late)
+    writer = SpeedViewWriter(view_path, snapshot_path, panes, baseline, n, threshold, compact_every, expire)
+    return (events.writeStream.foreachBatch(writer)
+            .option("checkpointLocation", os.path.join(checkpoint, "query"))
+            .trigger(**(trigger or production_trigger())).start())
+
+
+class WindowWriter:
+    """Sink that keeps the statistics of all windows with data, open ones too, by upsert."""
+
+    def __init__(self, path: str, panes: PaneWindows, compact_every: int = 50):
+        self.table, self.panes, self.compact_every = window_table(path), panes, compact_every
+
+    def __call__(self, events: DataFrame, batch_id: int) -> None:
+        spark = events.sparkSession
+        windows = self.panes.add(events, batch_id)
+        if windows is not None:
+            self.table.write(windows, batch_id)
+        if self.compact_every and batch_id % self.compact_every == self.compact_every - 1:
+            self.table.compact(spark, batch_id)
+            self.panes.compact(spark, batch_id)
+
+
+WINDOW_COLUMNS = ("window_start", "window_end", "route_id", "event_count", "avg_delay_seconds", "max_delay_seconds",
+                  "late_count")
+
+
+def window_table(path: str) -> UpsertTable:
+    return UpsertTable(path, T.StructType([VIEW[c] for c in WINDOW_COLUMNS]), ("route_id", "window_end"), "window_end")
+
+
+def read_windows(spark: SparkSession, path: str, state_path: str, watermark: str) -> DataFrame:
+    """Newest statistics of every window; ``is_final`` once the watermark has passed its end."""
+    known = files.read_pointer(spark, os.path.join(state_path, "NEWEST"))
+    rows = window_table(path).read(spark)
+    if known is None:
+        return rows.withColumn("is_final", F.lit(False))
+    mark = datetime.fromisoformat(known["newest"]) - timedelta(seconds=S.duration_seconds(watermark))
+    return rows.withColumn("is_final", F.col("window_end") <= C.to_ntz(C.ts_literal(mark)))
+
+
+def start_windows(events: DataFrame, path: str, checkpoint: str, size: str = C.WINDOW_SIZE, slide: str | None = C.WINDOW_SLIDE,
+                  watermark: str = "10 minutes", trigger: Trigger | None = None, correct_late: bool = False,
+                  compact_every: int = 50) -> StreamingQuery:
+    """Statistics of every window with data at each trigger (``slide=None``: tumbling windows)."""
+    panes = PaneWindows(os.path.join(checkpoint, "state"), size, slide or size, watermark, correct_late)
+    return (events.writeStream.foreachBatch(WindowWriter(path, panes, compact_every))
             .option("checkpointLocation", os.path.join(checkpoint, "query"))
             .trigger(**(trigger or production_trigger())).start())
 
@@ -302,23 +420,41 @@ def start_microbatch(lines: DataFrame, stats_path: str, counters_path: str, chec
 
 # -- raw archive --------------------------------------------------------------------
 
-def archive_lines(lines: DataFrame) -> DataFrame:
+LOG_COLUMNS = ("partition", "offset", "timestamp")
+FILE_COLUMNS = ("file_name", "file_block_start", "file_modification_time")
+
+
+def with_arrival(lines: DataFrame) -> DataFrame:
+    """``value`` and what names its arrival: a log's own columns, or the file's name, block and modification time."""
+    if set(LOG_COLUMNS) <= set(lines.columns):
+        return lines.select(F.col("value").cast("string").alias("value"), *LOG_COLUMNS)
+    return lines.select("value", *[F.col(f"_metadata.{c}").alias(c) for c in FILE_COLUMNS])
+
+
+def arrival_of(arrived: DataFrame) -> tuple[Column, Column]:
+    """(sequence, arrival time) of lines with their arrival.
+
+    A file's lines are numbered by a generator that depends on the block's place in
+    the read only: a replayed batch, which reads the same blocks, gives the same
+    sequences, and equal lines of a file get different ones.
+    """
+    if set(LOG_COLUMNS) <= set(arrived.columns):
+        return F.concat_ws(":", F.col("partition").cast("string"), F.col("offset").cast("string")), F.col("timestamp")
+    return (F.concat_ws(":", "file_name", F.col("file_block_start").cast("string"), F.uuid(F.lit(0))),
+            F.col("file_modification_time"))
+
+
+def archive_lines(lines: DataFrame, flushed: Column | None = None) -> DataFrame:
     """Decodable records (JSON objects) with arrival metadata and the flush-time partition columns.
 
     A log source carries ``partition``, ``offset`` and ``timestamp``: they name the
     record and its arrival. For a file source arrival is the file's modification
-    time, and a record's sequence is the file's name and a unique part, as equal
-    lines of a file are different records. The partition is the flush (processing)
-    time, as the archive is laid out.
+    time. The partition is the flush (processing) time, as the archive is laid out.
     """
-    flushed = F.current_timestamp()
-    if {"partition", "offset", "timestamp"} <= set(lines.columns):
-        arrival = F.col("timestamp")
-        seq = F.concat_ws(":", F.col("partition").cast("string"), F.col("offset").cast("string"))
-        lines = lines.withColumn("value", F.col("value").cast("string"))
-    else:
-        arrival = F.col("_metadata.file_modification_time")
-        seq = F.concat(F.col("_metadata.file_name"), F.lit(":"), F.uuid())
+    flushed = F.current_timestamp() if flushed is None else flushed
+    if not set(FILE_COLUMNS) <= set(lines.columns):
+        lines = with_arrival(lines)
+    seq, arrival = arrival_of(lines)
     fields = F.concat(
         F.lit('"_kinesis_sequence":"'), seq, F.lit('","_kinesis_arrival":"'),
         F.date_format(arrival, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit('"}'),
@@ -349,6 +485,93 @@ def start_archive(lines: DataFrame, archive_path: str, checkpoint: str,
             .trigger(**(trigger or production_trigger(60))).start())
 
 
+class ArchiveWriter:
+    """Sink of lines with their arrival: the archive, and the lines that are no records.
+
+    Archive files lie in ``year=/month=/day=/hour=/batch_id=`` and bad lines, with the
+    reason and their place, in ``<bad_path>/batch_id=``; a retried batch replaces both. The
+    flush time of a batch is kept in ``state_path``, so a retry goes to the same hour.
+    """
+
+    def __init__(self, path: str, state_path: str, bad_path: str | None = None):
+        self.path, self.state_path, self.bad_path = path, state_path, bad_path
+
+    def __call__(self, lines: DataFrame, batch_id: int) -> None:
+        spark, at = lines.sparkSession, os.path.join(self.state_path, "FLUSHED")
+        known = files.read_pointer(spark, at)
+        if known is None or known["batch"] != batch_id:
+            known = {"batch": batch_id, "at": datetime.now(timezone.utc).replace(tzinfo=None).isoformat()}
+            files.write_pointer(spark, at, known)
+        good = archive_lines(lines, C.ts_literal(datetime.fromisoformat(known["at"])))
+        _replace(good.withColumn("batch_id", F.lit(batch_id)), "text", self.path, "year", "month", "day", "hour", "batch_id")
+        if self.bad_path:
+            bad = quarantined(lines).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+            _replace(bad, "parquet", self.bad_path, "batch_id")
+
+
+def _replace(rows: DataFrame, fmt: str, path: str, *by: str) -> None:
+    """Write the folders that ``rows`` have, replacing what they held."""
+    (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).format(fmt).save(path))
+
+
+def quarantined(lines: DataFrame) -> DataFrame:
+    """(value, reason, sequence, arrived): lines with their arrival that are no records."""
+    seq, arrival = arrival_of(lines)
+    parsed = F.try_parse_json("value")
+    reason = (F.when(F.col("value").isNull(), "no payload").when(F.trim("value") == "", "empty line")
+              .when(parsed.isNull(), "not JSON").otherwise("not an object"))
+    return lines.where(~RW.is_record("value")).select("value", reason.alias("reason"), seq.alias("sequence"),
+                                                      arrival.alias("arrived"))
+
+
+def quarantine_counts(spark: SparkSession, bad_path: str) -> DataFrame:
+    """(batch_id, reason, malformed) of the quarantined lines."""
+    return (spark.read.parquet(bad_path).groupBy(F.col("batch_id").cast("bigint").alias("batch_id"), "reason")
+            .agg(F.count(F.lit(1)).alias("malformed")))
+
+
+class FanOut:
+    """One read of the source for several sinks, each with its own ledger of finished batches.
+
+    The batch is kept while the sinks take it one after another. If one fails, the
+    query stops; when it is started again the batch comes again, and sinks that had
+    finished it pass it over. A sink that failed half way replaces what it wrote.
+    """
+
+    def __init__(self, sinks: dict[str, Sink], ledger_path: str):
+        self.sinks, self.ledger_path = sinks, ledger_path
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        done = {name: files.read_pointer(spark, self._at(name)) for name in self.sinks}
+        open_ = [name for name in self.sinks if done[name] is None or done[name]["batch"] < batch_id]
+        batch = batch.persist()
+        try:
+            for name in open_:
+                self.sinks[name](batch, batch_id)
+                files.write_pointer(spark, self._at(name), {"batch": batch_id})
+        finally:
+            batch.unpersist()
+
+    def _at(self, name: str) -> str:
+        return os.path.join(self.ledger_path, name)
+
+
+def start_fan_out_once(lines: DataFrame, archive_path: str, view_path: str, snapshot_path: str, checkpoint_root: str,
+                       baseline: Callable[[SparkSession], DataFrame], trigger: Trigger | None = None,
+                       now: Column | None = None, size: str = C.WINDOW_SIZE, slide: str = C.WINDOW_SLIDE,
+                       watermark: str = "10 minutes", bad_path: str | None = None,
+                       sinks: dict[str, Sink] | None = None, **writer_args) -> StreamingQuery:
+    """The raw archive and the speed layer from one read of the log, and any further ``sinks`` of its lines."""
+    panes = PaneWindows(os.path.join(checkpoint_root, "speed", "state"), size, slide, watermark)
+    speed = SpeedViewWriter(view_path, snapshot_path, panes, baseline, **writer_args)
+    own = {"archive": ArchiveWriter(archive_path, os.path.join(checkpoint_root, "archive"), bad_path),
+           "speed": lambda batch, batch_id: speed(RW.parse_speed_records(batch, now=now), batch_id)}
+    return (with_arrival(lines).writeStream.foreachBatch(FanOut(own | (sinks or {}), os.path.join(checkpoint_root, "ledger")))
+            .option("checkpointLocation", os.path.join(checkpoint_root, "query"))
+            .trigger(**(trigger or production_trigger())).start())
+
+
 def start_fan_out(lines: DataFrame, archive_path: str, view_path: str, snapshot_path: str,
                   checkpoint_root: str, baseline: Callable[[SparkSession], DataFrame],
                   trigger: Trigger | None = None, now: Column | None = None,
