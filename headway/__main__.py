@@ -20,6 +20,9 @@ def main(argv: list[str] | None = None) -> int:
     b.add_argument("--output", required=True)
     b.add_argument("--since")
     b.add_argument("--until")
+    b.add_argument("--incremental", action="store_true",
+                   help="read only hour folders that no incremental run has read, up to the last full hour")
+    b.add_argument("--ranges", help="keep event-time ranges of hour folders here, and prune --since/--until by them")
 
     s = sub.add_parser("speed", help="speed layer over a directory of JSON-line files")
     s.add_argument("--input", required=True)
@@ -31,9 +34,11 @@ def main(argv: list[str] | None = None) -> int:
     s.add_argument("--slide", default="30 seconds")
     s.add_argument("--watermark", default="10 minutes")
     s.add_argument("--every", type=int, default=30, help="trigger interval, seconds")
-    s.add_argument("--max-files", type=int, default=100)
-    s.add_argument("--once", action="store_true", help="process what is there, then stop")
-
+    s.add_argument("--correct-late", action="store_true", help="add late events to their windows, too")
+    s.add_argument("--expire", action="store_true", help="drop rows past their TTL when tables are compacted")
+    s.add_argument("--compact-every", type=int, default=50, help="micro-batches between compactions")
+    s.add_argument("--archive", help="also archive the same read of the input here")
+    s.add_argument("--bad", help="with --archive: keep lines that are no records here")
     s.add_argument("--envelopes", action="store_true",
                    help="input lines are delivered batches (Records[].kinesis.data, base64)")
 
@@ -44,16 +49,22 @@ def main(argv: list[str] | None = None) -> int:
     mb.add_argument("--counters", required=True)
     mb.add_argument("--checkpoint", required=True)
     mb.add_argument("--every", type=int, default=60)
-    mb.add_argument("--max-files", type=int, default=100)
-    mb.add_argument("--once", action="store_true", help="process what is there, then stop")
 
     a = sub.add_parser("archive", help="archive JSON-line files by flush hour")
     a.add_argument("--input", required=True)
     a.add_argument("--output", required=True)
     a.add_argument("--checkpoint", required=True)
     a.add_argument("--every", type=int, default=60)
-    a.add_argument("--max-files", type=int, default=100)
-    a.add_argument("--once", action="store_true", help="process what is there, then stop")
+    for stream in (s, mb, a):
+        stream.add_argument("--format", default="text", help="text (a folder of files), kafka (a topic), or any other")
+        stream.add_argument("--option", action="append", default=[], metavar="NAME=VALUE", help="option of the source")
+        stream.add_argument("--start", default="earliest", help="latest, earliest, or an ISO time")
+        stream.add_argument("--skip-missed", action="store_true",
+                            help="a folder: resolve --start anew at a restart instead of going on")
+        stream.add_argument("--max-files", type=int, default=100, help="files of one read of a folder")
+        stream.add_argument("--max-records", type=int, help="records of one read of a topic "
+                            "(default 500, archive 100)")
+        stream.add_argument("--once", action="store_true", help="process what is there, then stop")
 
     m = sub.add_parser("merge", help="verdict per route from the published batch and speed views")
     m.add_argument("--batch-view", required=True)
@@ -74,9 +85,18 @@ def main(argv: list[str] | None = None) -> int:
     spark = build_session(f"headway-{args.cmd}")
 
     if args.cmd == "batch":
-        from headway.plans.batch_job import run_batch_job
-
-        paths = run_batch_job(spark, args.input, args.output, _ts(args.since), _ts(args.until))
+        from headway.plans.batch_job import run_batch_job, run_incremental_job
+        from headway.sources import hours
+
+        if args.incremental:
+            paths = run_incremental_job(spark, args.input, args.output)
+            print("no new hour folders" if paths is None else paths)
+            return 0
+        raw = None
+        if args.ranges:
+            hours.update_ranges(spark, args.input, args.ranges)
+            raw = hours.read_between(spark, args.input, args.ranges, _ts(args.since), _ts(args.until))
+        paths = run_batch_job(spark, args.input, args.output, _ts(args.since), _ts(args.until), raw)
         print("no input records" if paths is None else paths)
         return 0 if paths is not None else 1
 
@@ -102,27 +122,36 @@ def main(argv: list[str] | None = None) -> int:
         return 0
 
     from headway.sources import raw as RW
+    from headway.sources.published import read_view
     from headway.streaming import jobs as J
+    from headway.streaming import positions as P
 
-    lines = spark.readStream.format("text").option("maxFilesPerTrigger", args.max_files).load(args.input)
+    records = args.max_records or (P.ARCHIVE_READ if args.cmd == "archive" else P.SPEED_READ)
+    per_read = args.max_files if args.format == "text" else records
+    lines = P.lines_from(spark, args.input, args.format, args.start, args.checkpoint, not args.skip_missed, per_read,
+                         dict(o.split("=", 1) for o in args.option))
 
     def trigger(seconds: int):
         return J.REPLAY if args.once else J.production_trigger(seconds)
 
+    def baseline(sp):
+        return read_view(sp, args.batch_view)           # the version of now, once for each batch
+
     if args.cmd == "archive":
         query = J.start_archive(lines, args.output, args.checkpoint, trigger(args.every))
     elif args.cmd == "microbatch":
-        view_path = args.batch_view
         query = J.start_microbatch(RW.decode_envelope(lines), args.stats, args.counters, args.checkpoint,
-                                   lambda sp: sp.read.parquet(view_path), trigger=trigger(args.every))
+                                   baseline, trigger=trigger(args.every))
+    elif args.archive:
+        query = J.start_fan_out_once(lines, args.archive, args.view, args.snapshots, args.checkpoint, baseline,
+                                     trigger(args.every), None, args.size, args.slide, args.watermark, args.bad,
+                                     compact_every=args.compact_every, expire=args.expire)
     else:
         if args.envelopes:
             lines = RW.decode_envelope(lines)
-        records = RW.parse_speed_records(lines)       # 'now' for a missing time
-        view_path = args.batch_view
-        query = J.start_speed_layer(records, args.view, args.snapshots, args.checkpoint,
-                                    lambda sp: sp.read.parquet(view_path), args.size, args.slide,
-                                    args.watermark, trigger(args.every))
+        query = J.start_speed_layer(RW.parse_speed_records(lines), args.view, args.snapshots, args.checkpoint,
+                                    baseline, args.size, args.slide, args.watermark, trigger(args.every),
+                                    correct_late=args.correct_late, compact_every=args.compact_every, expire=args.expire)
     query.awaitTermination()            # runs until stopped, or until done with --once
     if query.exception() is not None:
         raise RuntimeError(str(query.exception()))

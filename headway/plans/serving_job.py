@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from headway.functions.columns import ts_literal
 from headway.operators import serving as V
+from headway.sources.published import read_view
 from headway.streaming.jobs import read_speed_view
 
 
@@ -28,7 +29,7 @@ def route_verdicts(spark: SparkSession, speed_view_path: str, batch_view_path: s
     """
     alive = ts_literal(as_of) if apply_ttl else None
     speed = read_speed_view(spark, speed_view_path, alive_at=alive)
-    base = spark.read.parquet(batch_view_path)
+    base = read_view(spark, batch_view_path)
     if route_id is not None:
         speed = speed.filter(F.col("route_id") == route_id)
         base = base.filter(F.col("route_id") == route_id)

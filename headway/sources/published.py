@@ -11,7 +11,6 @@ from __future__ import annotations
 
 import os
 import uuid
-from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,23 +26,41 @@ def version_root(spark: SparkSession, root: str) -> str | None:
     return None if current is None else os.path.join(root, current["version"])
 
 
-def publish(spark: SparkSession, root: str, views: dict[str, Callable[[], DataFrame]]) -> dict[str, str]:
-    """Write every view under a new version, make it current, drop old versions; the views' paths."""
-    pointer = os.path.join(root, POINTER)
-    before = files.read_pointer(spark, pointer) or {"number": 0, "kept": []}
-    number = before["number"] + 1
-    name = f"version={number:012d}-{uuid.uuid4().hex[:8]}"
-    paths = {}
-    for view, make in views.items():
-        paths[view] = os.path.join(root, name, view)
-        make().write.parquet(paths[view])
-    kept = [*before["kept"], name][-KEEP:]
-    files.write_pointer(spark, pointer, {"number": number, "version": name, "kept": kept})
-    # an unfinished run's folder goes with the old versions once its number has passed
-    for old in files.folders(spark, root):
-        if old.startswith("version=") and old not in kept and old < name:
-            files.drop_folder(spark, os.path.join(root, old))
-    return paths
+class Version:
+    """The next version of a root's views: write each at its path, then commit all of them."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, root.rstrip("/")
+        self.before = files.read_pointer(spark, os.path.join(self.root, POINTER)) or {"number": 0, "kept": []}
+        self.number = self.before["number"] + 1
+        self.name = f"version={self.number:012d}-{uuid.uuid4().hex[:8]}"
+
+    def path(self, view: str) -> str:
+        return os.path.join(self.root, self.name, view)
+
+    def previous(self, view: str) -> DataFrame | None:
+        """The view as the version before has it."""
+        old = self.before.get("version")
+        path = os.path.join(self.root, old, view) if old else ""
+        return self.spark.read.parquet(path) if old and files.exists(self.spark, path) else None
+
+    def write(self, view: str, rows: DataFrame) -> DataFrame:
+        """Write a view and read it back."""
+        rows.write.parquet(self.path(view))
+        return self.spark.read.parquet(self.path(view))
+
+    def abandon(self) -> None:
+        files.drop_folder(self.spark, os.path.join(self.root, self.name))
+
+    def commit(self) -> None:
+        """Make this version current, and drop those that are no longer kept."""
+        kept = [*self.before["kept"], self.name][-KEEP:]
+        files.write_pointer(self.spark, os.path.join(self.root, POINTER),
+                            {"number": self.number, "version": self.name, "kept": kept})
+        # an unfinished run's folder goes with the old versions once its number has passed
+        for old in files.folders(self.spark, self.root):
+            if old.startswith("version=") and old not in kept and old < self.name:
+                files.drop_folder(self.spark, os.path.join(self.root, old))
 
 
 def view_path(spark: SparkSession, path: str) -> str:

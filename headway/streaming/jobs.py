@@ -227,8 +227,7 @@ class PaneWindows:
                 self.late.write(own.where(late), batch_id)
                 fresh = own if self.correct_late else own.where(~late)
             self.panes.write(fresh, batch_id)
-            touched = fresh.select("pane_start").distinct().persist()
-            return self.windows(spark, touched)
+            return self.windows(spark, self.panes.rows(spark).where(F.col("batch_id") == batch_id))
         finally:
             own.unpersist()
 

@@ -9,6 +9,7 @@ from headway.operators import batch as B
 from headway.plans.batch_job import create_history_table, run_batch_job
 from headway.sources import fixtures as X
 from headway.sources import raw as RW
+from headway.sources.published import read_view
 from headway.streaming import replay as SR
 from tests.conftest import SF_SMALL
 
@@ -106,7 +107,7 @@ def test_command_line_batch_and_query(spark, capsys):
     d = tempfile.mkdtemp(prefix="hw-cli-")
     lines.write.text(f"{d}/raw")
     assert main(["batch", "--input", f"{d}/raw", "--output", f"{d}/views"]) == 0
-    stats = spark.read.parquet(f"{d}/views/route_statistics")
+    stats = read_view(spark, f"{d}/views/route_statistics")
     assert _same(stats.drop("generated_at"), B.route_statistics(B.clean_events(RW.parse_raw_lines(lines))))
     assert main(["query", "top_delayed_live", "--data", SF_SMALL, "--rows", "5"]) == 0
     assert "R01" in capsys.readouterr().out
