@@ -83,10 +83,12 @@ def latency_report(requests: DataFrame, group: str = "concurrency") -> DataFrame
     )
 
 
-def throughput_report(runs: DataFrame) -> DataFrame:
+def throughput_report(runs: DataFrame, spans: DataFrame | None = None) -> DataFrame:
     """Per target rate: records, successes, success rate (% 2 dp), achieved records/s.
 
-    A run's elapsed time is the span between its first and last record.
+    ``spans`` (target_rate, started_at, ended_at) is the log of whole runs, whose time
+    includes the waits before the first and after the last record. Without it a
+    run's elapsed time is the span between its first and last record.
     """
     span = (F.unix_micros(F.max("sent_at")) - F.unix_micros(F.min("sent_at"))) / 1e6
     agg = runs.groupBy("target_rate").agg(
@@ -94,6 +96,10 @@ def throughput_report(runs: DataFrame) -> DataFrame:
         F.count_if("success").alias("success"),
         span.alias("elapsed_s"),
     )
+    if spans is not None:
+        whole = (F.unix_micros("ended_at") - F.unix_micros("started_at")) / 1e6
+        agg = agg.drop("elapsed_s").join(
+            spans.groupBy("target_rate").agg(F.sum(whole).alias("elapsed_s")), "target_rate", "left")
     return agg.select(
         "target_rate", "total_records", "success",
         C.half_even(F.col("success") / F.col("total_records") * 100, 2).alias("success_rate"),

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from headway.functions import columns as C
 from headway.functions.columns import ts_literal
-from headway.operators.speed import latest_snapshot
+from headway.operators.speed import duration_seconds, latest_snapshot
 
 SPEED_FIELDS = (
     "window_start", "window_end", "event_count", "avg_delay_seconds", "max_delay_seconds",
@@ -102,6 +102,31 @@ def serving_merge_history(speed_rows: DataFrame, baseline: DataFrame) -> DataFra
     )
 
 
+def served_rows(speed_rows: DataFrame, baseline: DataFrame, as_of: datetime, size: str = C.WINDOW_SIZE) -> DataFrame:
+    """The merged row as it is served: all fields of both sides, and the time of the merge."""
+    bucket = C.time_bucket(ts_literal(as_of))
+    live = latest_per_route(speed_rows, as_of)
+    live = live.select("route_id", bucket.alias("time_bucket"),
+                       *[F.col(f).alias(f"live_{f}") for f in SPEED_FIELDS if f in live.columns],
+                       F.lit(duration_seconds(size) / 60).alias("live_window_size_minutes"))
+    hist = baseline.filter(F.col("time_bucket") == bucket).select(
+        "route_id", "time_bucket", F.col("avg_delay_seconds").alias("historical_avg_delay_seconds"))
+    return _merge(live, hist, ["route_id", "time_bucket"]).withColumn("merged_at", C.to_ntz(ts_literal(as_of)))
+
+
+def summary(window: DataFrame, as_of: datetime, n: int = C.TOP_N) -> DataFrame:
+    """One row: the time, the length of the current top list, and its first element in full."""
+    first = F.struct("route_id", "avg_delay_seconds", "max_delay_seconds", "event_count")
+    row = window.agg(F.least(F.count(F.lit(1)), F.lit(n)).cast("int").alias("live_routes_tracked"),
+                     F.min_by(first, _top_of()).alias("top"))
+    return row.select(
+        C.to_ntz(ts_literal(as_of)).alias("as_of"), "live_routes_tracked",
+        F.when(F.col("top").isNotNull(), F.lit(1)).alias("top_rank"), F.col("top.route_id").alias("top_route_id"),
+        C.half_even("top.avg_delay_seconds", 1).alias("top_avg_delay_seconds"),
+        F.col("top.max_delay_seconds").alias("top_max_delay_seconds"), F.col("top.event_count").alias("top_event_count"),
+        F.lit("operational").alias("system_status"))
+
+
 def route_detail(speed_rows: DataFrame, baseline: DataFrame, as_of: datetime,
                  route_id: str) -> DataFrame:
     """Merged row of one route; the route filter is pushed into both inputs."""

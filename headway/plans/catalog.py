@@ -10,6 +10,7 @@ rows meet a baseline are they split in time into history and live part. Paramete
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +25,7 @@ from headway.session import ensure_utc
 from headway.sources import feed as FD
 from headway.sources import fixtures as X
 from headway.sources import raw as RW
+from headway.sources.published import read_view
 from headway.streaming import replay as SR
 
 AS_OF = X.AS_OF
@@ -36,6 +38,9 @@ TUMBLE = "1 minute"
 TOP_N = 5
 DETAIL_ROUTE = "R05"
 PREFIX_N = 3
+BETWEEN = (datetime(2024, 1, 10, 6), datetime(2024, 1, 12, 18))
+# an incremental run up to each of these hours; the last one is after every flush
+INCREMENTS = [datetime(2024, 1, 8), datetime(2024, 1, 8, 5), datetime(2024, 1, 20), datetime(2024, 1, 20), datetime(2025, 1, 1)]
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -212,18 +217,22 @@ def q_top_delayed_enriched(spark, sf_dir):
     return V.top_delayed_enriched(S.top_n_snapshot(windows, TOP_N), merged, AS_OF)
 
 
+def _labelled_windows(spark, sf_dir):
+    """Rounded means and maxima of every window of the whole table."""
+    windows = S.sliding_window_stats(X.delay_events(spark, sf_dir), SIZE, SLIDE)
+    return windows.select("window_end", "route_id", C.half_even("avg_delay_seconds", 2).alias("avg_delay_seconds"),
+                          "max_delay_seconds")
+
+
 def q_delay_label(spark, sf_dir):
-    rows = speed_rows(spark, sf_dir).select("window_end", "route_id", "avg_delay_seconds",
-                                              "max_delay_seconds")
-    return V.delay_labels(rows).select(
+    return V.delay_labels(_labelled_windows(spark, sf_dir)).select(
         "window_end", "route_id", "avg_delay_seconds", "delay_label",
         C.delay_label("max_delay_seconds").alias("max_delay_label"),
     )
 
 
 def q_delay_severity(spark, sf_dir):
-    rows = speed_rows(spark, sf_dir)
-    return rows.select(
+    return _labelled_windows(spark, sf_dir).select(
         "window_end", "route_id", "avg_delay_seconds", "max_delay_seconds",
         C.delay_severity("avg_delay_seconds").alias("avg_severity"),
         C.delay_severity("max_delay_seconds").alias("max_severity"),
@@ -301,13 +310,27 @@ STREAM_WATERMARK = "1 hour"
 TUMBLE_WATERMARK = "10 minutes"
 
 
+TUMBLE_COLUMNS = ("window_start", "window_end", "route_id", "avg_delay_seconds", "event_count")
+
+
 def q_stream_sliding_window(spark, sf_dir):
-    return SR.stream_windows(spark, sf_dir, SIZE, SLIDE, STREAM_WATERMARK)
+    return SR.all_windows(spark, sf_dir, SIZE, SLIDE, STREAM_WATERMARK).drop("is_final")
 
 
 def q_stream_tumbling_window(spark, sf_dir):
-    out = SR.stream_windows(spark, sf_dir, TUMBLE, None, TUMBLE_WATERMARK)
-    return out.select("window_start", "window_end", "route_id", "avg_delay_seconds", "event_count")
+    return SR.all_windows(spark, sf_dir, TUMBLE, None, TUMBLE_WATERMARK).select(*TUMBLE_COLUMNS)
+
+
+def q_stream_open_windows(spark, sf_dir):
+    return SR.all_windows(spark, sf_dir, SIZE, SLIDE, STREAM_WATERMARK).filter(~F.col("is_final")).drop("is_final")
+
+
+def q_stream_closed_windows(spark, sf_dir):
+    return SR.stream_windows(spark, sf_dir, SIZE, SLIDE, STREAM_WATERMARK)
+
+
+def q_stream_closed_tumbling(spark, sf_dir):
+    return SR.stream_windows(spark, sf_dir, TUMBLE, None, TUMBLE_WATERMARK).select(*TUMBLE_COLUMNS)
 
 
 def q_stream_top_n(spark, sf_dir):
@@ -327,7 +350,71 @@ def q_batch_counters(spark, sf_dir):
 
 
 def q_stream_late_data(spark, sf_dir):
-    return SR.late_arrivals(spark, sf_dir, SIZE, SLIDE, STREAM_WATERMARK)
+    return SR.late_arrivals(spark, sf_dir, SIZE, SLIDE, STREAM_WATERMARK)[0].filter("is_final").drop("is_final")
+
+
+def q_stream_late_report(spark, sf_dir):
+    late = SR.late_arrivals(spark, sf_dir, SIZE, SLIDE, STREAM_WATERMARK)[1]
+    return late.select("route_id", C.to_ntz("pane_start").alias("pane_start"), F.col("n").alias("events"),
+                       F.col("s").alias("sum_delay"), F.col("m").alias("max_delay"), F.col("l").alias("late_count"))
+
+
+def q_stream_late_corrected(spark, sf_dir):
+    return SR.late_arrivals(spark, sf_dir, SIZE, SLIDE, STREAM_WATERMARK, corrected=True)[0].drop("is_final")
+
+
+def _fan_out(spark, sf_dir):
+    return SR.fan_out(spark, sf_dir, AS_OF, SIZE, SLIDE, STREAM_WATERMARK)
+
+
+def q_fan_out_archive(spark, sf_dir):
+    return _fan_out(spark, sf_dir)[0].select(
+        *[f.name for f in RAW_SCHEMA.fields], F.col("_kinesis_sequence").isNotNull().alias("has_sequence"),
+        F.col("_kinesis_arrival").isNotNull().alias("has_arrival"))
+
+
+def q_fan_out_quarantine(spark, sf_dir):
+    return _fan_out(spark, sf_dir)[1]
+
+
+def q_fan_out_speed_view(spark, sf_dir):
+    return _fan_out(spark, sf_dir)[2].select("window_start", "window_end", "route_id", "event_count", "avg_delay_seconds",
+                                             "max_delay_seconds", "late_count")
+
+
+def q_archive_between(spark, sf_dir):
+    return SR.between(spark, sf_dir, BETWEEN[0], BETWEEN[1]).select(*[f.name for f in RAW_SCHEMA.fields])
+
+
+def q_published_route_statistics(spark, sf_dir):
+    rows = read_view(spark, f"{SR.published(spark, sf_dir)}/route_statistics")
+    return rows.withColumn("generated_at", F.try_to_timestamp("generated_at").isNotNull()).withColumnRenamed(
+        "generated_at", "has_generated_at")
+
+
+def q_published_top_routes(spark, sf_dir):
+    return read_view(spark, f"{SR.published(spark, sf_dir)}/top_delayed_routes")
+
+
+def q_incremental_batch_view(spark, sf_dir):
+    return read_view(spark, f"{SR.incremental(spark, sf_dir, INCREMENTS)}/batch_view")
+
+
+def q_event_time_fallback(spark, sf_dir):
+    return _speed_records(X.untimed_lines(spark, sf_dir))
+
+
+def q_served_rows(spark, sf_dir):
+    base = baseline(spark, sf_dir)
+    return V.served_rows(newest_rows(spark, sf_dir, base), base, AS_OF, SIZE)
+
+
+def q_summary(spark, sf_dir):
+    return V.summary(S.window_stats(X.delay_events(spark, sf_dir), AS_OF, SIZE), AS_OF, TOP_N)
+
+
+def q_throughput_elapsed(spark, sf_dir):
+    return RP.throughput_report(X.ingest_runs(spark, sf_dir), X.ingest_spans(spark, sf_dir))
 
 
 def q_archive_raw(spark, sf_dir):
@@ -385,6 +472,22 @@ _QUERIES: dict[str, Query] = {
     "microbatch_stats": q_microbatch_stats,
     "batch_counters": q_batch_counters,
     "stream_late_data": q_stream_late_data,
+    "stream_late_report": q_stream_late_report,
+    "stream_late_corrected": q_stream_late_corrected,
+    "stream_open_windows": q_stream_open_windows,
+    "stream_closed_windows": q_stream_closed_windows,
+    "stream_closed_tumbling": q_stream_closed_tumbling,
+    "fan_out_archive": q_fan_out_archive,
+    "fan_out_quarantine": q_fan_out_quarantine,
+    "fan_out_speed_view": q_fan_out_speed_view,
+    "archive_between": q_archive_between,
+    "published_route_statistics": q_published_route_statistics,
+    "published_top_routes": q_published_top_routes,
+    "incremental_batch_view": q_incremental_batch_view,
+    "event_time_fallback": q_event_time_fallback,
+    "served_rows": q_served_rows,
+    "summary": q_summary,
+    "throughput_elapsed": q_throughput_elapsed,
     "archive_raw": q_archive_raw,
 }
 

@@ -198,6 +198,9 @@ def w(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
 
 
+ROUNDED = f"""rounded AS (
+  SELECT window_end, route_id, {rb("avg_delay_seconds", 2)} AS avg_delay_seconds, max_delay_seconds FROM lw)"""
+
 BASE = (EV, CLEAN, HIST, STATS, BVIEW)
 SPEED = (EV, CLEAN, HIST, STATS, BVIEW, SPD, LIVE, LW, SR)
 
@@ -260,12 +263,12 @@ ORACLE: dict[str, str] = {
        s.route_id, s.avg_delay_seconds, s.max_delay_seconds, s.event_count, m.delta_vs_historical,
        m.verdict, {delta_text('m.delta_vs_historical')} AS delta_label
        FROM latestsnap s LEFT JOIN ({MERGE_OUT}) m ON s.route_id = m.route_id""",
-    "delay_label": w(*SPEED) + f"""SELECT window_end, route_id, avg_delay_seconds,
+    "delay_label": w(EV, SPD, ALLW, ROUNDED) + f"""SELECT window_end, route_id, avg_delay_seconds,
        {label('avg_delay_seconds')} AS delay_label, {label('max_delay_seconds')} AS max_delay_label
-       FROM sr""",
-    "delay_severity": w(*SPEED) + f"""SELECT window_end, route_id, avg_delay_seconds, max_delay_seconds,
+       FROM rounded""",
+    "delay_severity": w(EV, SPD, ALLW, ROUNDED) + f"""SELECT window_end, route_id, avg_delay_seconds, max_delay_seconds,
        {severity('avg_delay_seconds')} AS avg_severity, {severity('max_delay_seconds')} AS max_severity
-       FROM sr""",
+       FROM rounded""",
     "delta_label": w(*SPEED, HISTMERGE) + f"""SELECT route_id, time_bucket, window_end, delta_vs_historical,
        {delta_text('delta_vs_historical')} AS delta_label FROM hmo""",
     "relative_delay": w(EV, SPD, ALLW, SNAP) + """SELECT window_end, "rank", route_id, avg_delay_seconds,
@@ -401,7 +404,8 @@ ORACLE.update({
 
 # -- streaming replays (batch twins; append mode emits closed windows only) -------
 
-MICRO = f"""SELECT cast(0 AS BIGINT) AS batch_id, m.route_id, m.event_count,
+MICRO = f"""SELECT cast(0 AS BIGINT) AS batch_id, m.route_id, {AS_OF} AS window_end,
+       cast(epoch({AS_OF}) AS BIGINT) + 3600 AS ttl, m.event_count,
        {rb('m.avg_delay_seconds', 2)} AS avg_delay_seconds, m.max_delay_seconds, m.late_count,
        {rb('b.avg_delay_seconds', 2)} AS batch_baseline_seconds,
        {rb('CASE WHEN b.avg_delay_seconds > 0 THEN m.avg_delay_seconds / b.avg_delay_seconds END', 2)}
@@ -415,9 +419,13 @@ FROM (SELECT route_id, count(*) AS event_count, avg(delay_seconds) AS avg_delay_
 LEFT JOIN (SELECT * FROM bview WHERE time_bucket = {bucket(AS_OF)}) b ON m.route_id = b.route_id"""
 
 ORACLE.update({
-    "stream_sliding_window": w(EV, SPD) + f"""SELECT * FROM ({sliding('spd')})
+    "stream_sliding_window": w(EV, SPD) + sliding("spd"),
+    "stream_tumbling_window": ORACLE["tumbling_window_avg"],
+    "stream_open_windows": w(EV, SPD) + f"""SELECT * FROM ({sliding('spd')})
+       WHERE window_end > (SELECT max(event_ts) FROM spd) - INTERVAL 1 HOUR""",
+    "stream_closed_windows": w(EV, SPD) + f"""SELECT * FROM ({sliding('spd')})
        WHERE window_end <= (SELECT max(event_ts) FROM spd) - INTERVAL 1 HOUR""",
-    "stream_tumbling_window": w(EV, SPD) + """SELECT * FROM (
+    "stream_closed_tumbling": w(EV, SPD) + """SELECT * FROM (
          SELECT make_timestamp(epoch_us(event_ts) // 60000000 * 60000000) AS window_start,
                 make_timestamp(epoch_us(event_ts) // 60000000 * 60000000 + 60000000) AS window_end,
                 route_id, avg(delay_seconds) AS avg_delay_seconds, count(*) AS event_count
@@ -431,6 +439,49 @@ ORACLE.update({
          AS routes_updated FROM src""",
     "stream_late_data": w(EV, SPD, LIVE) + f"""SELECT * FROM ({sliding('livespd')})
        WHERE window_end <= (SELECT max(event_ts) FROM livespd) - INTERVAL 1 HOUR""",
+    "stream_late_report": w(EV, SPD) + f"""SELECT route_id, date_trunc('hour', event_ts) AS pane_start, count(*) AS events,
+       cast(sum(delay_seconds) AS BIGINT) AS sum_delay, max(delay_seconds) AS max_delay,
+       cast(count_if(delay_seconds > 60) AS BIGINT) AS late_count
+       FROM spd WHERE event_ts < {HISTORY_UNTIL} GROUP BY ALL""",
+    "stream_late_corrected": w(EV, SPD) + sliding("spd"),
+    "fan_out_archive": w(SRC, RAWSCAN) + """SELECT *, true AS has_sequence, true AS has_arrival FROM rawscan
+       WHERE event_id IS NOT NULL""",
+    "fan_out_quarantine": w(SRC) + """SELECT cast(0 AS BIGINT) AS batch_id, 'not JSON' AS reason, count(*) AS malformed
+       FROM src WHERE event_type = 'signup' GROUP BY ALL""",
+    "fan_out_speed_view": w(SRC, f"rec AS ({SPEEDREC})") + f"""SELECT window_start, window_end, route_id, event_count,
+       {rb('avg_delay_seconds', 2)} AS avg_delay_seconds, max_delay_seconds, late_count FROM ({sliding('rec')})""",
+    "archive_between": w(SRC, RAWSCAN) + """SELECT * FROM rawscan WHERE event_id IS NOT NULL
+       AND cast(ingestion_time AS TIMESTAMP) >= TIMESTAMP '2024-01-10 06:00:00'
+       AND cast(ingestion_time AS TIMESTAMP) < TIMESTAMP '2024-01-12 18:00:00'""",
+    "published_route_statistics": w(EV, CLEAN, WHOLE, STATS) + "SELECT *, true AS has_generated_at FROM stats",
+    "published_top_routes": ORACLE["top_delayed_routes"],
+    "incremental_batch_view": f"""WITH s AS ({ORACLE["archive_route_statistics"]})
+       SELECT route_id, day_of_week || '_' || lpad(cast(hour_of_day AS VARCHAR), 2, '0') AS time_bucket,
+              avg_delay AS avg_delay_seconds FROM s""",
+    "event_time_fallback": w(SRC) + f"""SELECT event_id, route_id, delay_seconds,
+       CASE WHEN cast(event_id AS BIGINT) % 3 = 0 THEN {AS_OF} ELSE event_ts END AS event_ts FROM ({SPEEDREC})""",
+    "served_rows": w(*SPEED, LATEST) + f"""SELECT m.route_id, {bucket(AS_OF)} AS time_bucket, {AS_OF} AS merged_at,
+       m.window_start AS live_window_start, m.window_end AS live_window_end, m.event_count AS live_event_count,
+       m.live_avg_delay_seconds, m.max_delay_seconds AS live_max_delay_seconds, m.late_count AS live_late_count,
+       m.batch_baseline_seconds AS live_batch_baseline_seconds, m.anomaly_ratio AS live_anomaly_ratio,
+       m.is_anomaly AS live_is_anomaly, CASE WHEN hs THEN 360.0::DOUBLE END AS live_window_size_minutes,
+       m.historical_avg_delay_seconds, {merge_select()}
+       FROM (SELECT coalesce(l.route_id, h.route_id) AS route_id, l.* EXCLUDE (route_id, avg_delay_seconds),
+                    l.avg_delay_seconds AS live_avg_delay_seconds, h.avg_delay_seconds AS historical_avg_delay_seconds,
+                    l.route_id IS NOT NULL AS hs, h.route_id IS NOT NULL AS hb
+             FROM latest l FULL OUTER JOIN (SELECT * FROM bview WHERE time_bucket = {bucket(AS_OF)}) h
+               ON l.route_id = h.route_id) m""",
+    "summary": w(EV, SPD, WS, TOPLIVE) + f"""SELECT {AS_OF} AS as_of, cast(count(*) AS INTEGER) AS live_routes_tracked,
+       max(CASE WHEN "rank" = 1 THEN 1 END) AS top_rank, max(CASE WHEN "rank" = 1 THEN route_id END) AS top_route_id,
+       max(CASE WHEN "rank" = 1 THEN avg_delay_seconds END) AS top_avg_delay_seconds,
+       max(CASE WHEN "rank" = 1 THEN max_delay_seconds END) AS top_max_delay_seconds,
+       max(CASE WHEN "rank" = 1 THEN event_count END) AS top_event_count, 'operational' AS system_status FROM toplive""",
+    "throughput_elapsed": f"""SELECT target_rate, count(*) AS total_records, cast(count_if(success) AS BIGINT) AS success,
+       {rb('count_if(success) / count(*) * 100', 2)} AS success_rate,
+       {rb("count_if(success) / ((epoch_us(max(date_trunc('hour', ts))) + 3600000000 - epoch_us(min(date_trunc('hour', ts)))) / 1e6)", 2)} AS actual_rps
+FROM (SELECT cast([10, 50, 100, 200, 500][user_id % 5 + 1] AS INTEGER) AS target_rate,
+             event_type <> 'error' AS success, ts FROM events)
+GROUP BY target_rate""",
     "archive_raw": w(SRC, RAWSCAN) + """SELECT r.* FROM rawscan r
        WHERE r.event_id IS NOT NULL""",
 })

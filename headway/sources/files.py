@@ -8,15 +8,21 @@ from __future__ import annotations
 
 import json
 
+from py4j.java_gateway import is_instance_of
 from pyspark.sql import SparkSession
 
+_PACKAGE = "org.apache.hadoop.fs."
+
 
 def _path(spark: SparkSession, path: str):
     return spark._jvm.org.apache.hadoop.fs.Path(path)
 
 
 def _system(spark: SparkSession, path: str):
-    return _path(spark, path).getFileSystem(spark._jsc.hadoopConfiguration())
+    """The path's file system; a local one without checksum files, which are not replaced with their file."""
+    fs = _path(spark, path).getFileSystem(spark._jsc.hadoopConfiguration())
+    gateway = spark.sparkContext._gateway
+    return fs.getRawFileSystem() if is_instance_of(gateway, fs, _PACKAGE + "ChecksumFileSystem") else fs
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -44,6 +50,10 @@ def write_pointer(spark: SparkSession, path: str, value: dict) -> None:
     finally:
         out.close()
     jvm, gateway = spark._jvm, spark.sparkContext._gateway
+    if is_instance_of(gateway, fs, _PACKAGE + "RawLocalFileSystem"):
+        if not fs.rename(part, whole):                  # replaces the file, as POSIX does
+            raise OSError(f"cannot replace {path}")
+        return
     option = jvm.org.apache.hadoop.fs.Options.Rename
     overwrite = gateway.new_array(option, 1)
     overwrite[0] = option.OVERWRITE
@@ -57,7 +67,7 @@ def read_pointer(spark: SparkSession, path: str) -> dict | None:
         return None
     stream = _system(spark, path).open(_path(spark, path))
     try:
-        text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")       # a few hundred bytes
     finally:
         stream.close()
     return json.loads(text)

@@ -235,6 +235,20 @@ def ingest_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def ingest_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log of whole ingest runs: from the hour of the first record to the end of the hour of the last."""
+    hour = F.date_trunc("hour", "sent_at")
+    return ingest_runs(spark, sf_dir).groupBy("target_rate").agg(
+        F.min(hour).alias("started_at"), F.timestamp_add("HOUR", F.lit(1), F.max(hour)).alias("ended_at"))
+
+
+def untimed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The JSON lines; those whose event id is divisible by 3 have a time that cannot be read."""
+    number = F.get_json_object("value", "$.event_id").try_cast("bigint")
+    broken = F.regexp_replace("value", '"ingestion_time":"[^"]*"', '"ingestion_time":"soon"')
+    return raw_lines(spark, sf_dir).select(F.when(number % 3 == 0, broken).otherwise(F.col("value")).alias("value"))
+
+
 def batch_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Batch-run log: one run per day (job) and partition count 1/2/4/8.
 

@@ -231,9 +231,27 @@ class PaneWindows:
         finally:
             own.unpersist()
 
-    def windows(self, spark: SparkSession, touched: DataFrame | None = None) -> DataFrame:
-        """The windows of the stored panes, or of those that hold a touched pane."""
-        rows = self.panes.rows(spark)
+    def uncorrected(self, spark: SparkSession) -> DataFrame:
+        """Late panes that are in no window yet."""
+        upto = self.panes.pointer(spark).get("corrected", -1)
+        return add_panes(self.late.rows(spark).where(F.col("batch_id") > upto))
+
+    def correct(self, spark: SparkSession, windows: UpsertTable) -> None:
+        """Add the late panes to their windows while the query is stopped.
+
+        The windows are upserted first, which may be repeated; then the panes take the
+        late ones in the step that marks them as taken.
+        """
+        last = files.read_pointer(spark, os.path.join(self.path, "NEWEST"))["batch"]
+        late = self.uncorrected(spark)
+        windows.compact(spark, last, more=self.windows(spark, late, late))
+        self.panes.compact(spark, last, more=late, mark={"corrected": last})
+
+    def windows(self, spark: SparkSession, touched: DataFrame | None = None, more: DataFrame | None = None) -> DataFrame:
+        """The windows of the stored panes (and ``more`` of them), or of those that hold a touched pane."""
+        rows = self.panes.rows(spark).drop("batch_id")
+        if more is not None:
+            rows = rows.unionByName(more.withColumn("dt", F.to_date("pane_start")))
         if touched is not None:
             starts = touched.select(F.explode(S.pane_window_starts(F.col("pane_start"), self.size, self.slide))
                                     .alias("window_start")).distinct()
@@ -276,13 +294,14 @@ class SpeedViewWriter:
 
     def __init__(self, view_path: str, snapshot_path: str, panes: PaneWindows,
                  baseline: Callable[[SparkSession], DataFrame], n: int = C.TOP_N, threshold: float = C.ANOMALY_RATIO,
-                 compact_every: int = 50, expire: bool = False):
+                 compact_every: int = 50, expire: bool = False, first: int = 0):
+        self.first = first
         self.view, self.snapshots, self.panes = view_table(view_path), snapshot_table(snapshot_path), panes
         self.baseline, self.n, self.threshold = baseline, n, threshold
         self.compact_every, self.expire = compact_every, expire
 
     def __call__(self, events: DataFrame, batch_id: int) -> None:
-        spark = events.sparkSession
+        spark, batch_id = events.sparkSession, self.first + batch_id
         windows = self.panes.add(events, batch_id)
         if windows is not None:
             windows = windows.persist()
@@ -317,20 +336,36 @@ def start_speed_layer(events: DataFrame, view_path: str, snapshot_path: str, che
     folder next to the checkpoint (it is state the job owns).
     """
     panes = PaneWindows(pane_path or os.path.join(checkpoint, "state"), size, slide, watermark, correct_late)
-    writer = SpeedViewWriter(view_path, snapshot_path, panes, baseline, n, threshold, compact_every, expire)
+    writer = SpeedViewWriter(view_path, snapshot_path, panes, baseline, n, threshold, compact_every, expire,
+                             first_batch(events.sparkSession, panes, checkpoint))
     return (events.writeStream.foreachBatch(writer)
             .option("checkpointLocation", os.path.join(checkpoint, "query"))
             .trigger(**(trigger or production_trigger())).start())
 
 
+def first_batch(spark: SparkSession, panes: PaneWindows, checkpoint: str) -> int:
+    """Number of a query's first batch: after the last one that its state has seen.
+
+    Kept with the checkpoint, as a query that starts from a new position has a new
+    checkpoint over an old state, and both count from 0.
+    """
+    at = os.path.join(checkpoint, "FIRST")
+    known = files.read_pointer(spark, at)
+    if known is None:
+        seen = files.read_pointer(spark, os.path.join(panes.path, "NEWEST"))
+        known = {"batch": 0 if seen is None else seen["batch"] + 1}
+        files.write_pointer(spark, at, known)
+    return known["batch"]
+
+
 class WindowWriter:
     """Sink that keeps the statistics of all windows with data, open ones too, by upsert."""
 
-    def __init__(self, path: str, panes: PaneWindows, compact_every: int = 50):
-        self.table, self.panes, self.compact_every = window_table(path), panes, compact_every
+    def __init__(self, path: str, panes: PaneWindows, compact_every: int = 50, first: int = 0):
+        self.table, self.panes, self.compact_every, self.first = window_table(path), panes, compact_every, first
 
     def __call__(self, events: DataFrame, batch_id: int) -> None:
-        spark = events.sparkSession
+        spark, batch_id = events.sparkSession, self.first + batch_id
         windows = self.panes.add(events, batch_id)
         if windows is not None:
             self.table.write(windows, batch_id)
@@ -359,10 +394,11 @@ def read_windows(spark: SparkSession, path: str, state_path: str, watermark: str
 
 def start_windows(events: DataFrame, path: str, checkpoint: str, size: str = C.WINDOW_SIZE, slide: str | None = C.WINDOW_SLIDE,
                   watermark: str = "10 minutes", trigger: Trigger | None = None, correct_late: bool = False,
-                  compact_every: int = 50) -> StreamingQuery:
+                  compact_every: int = 50, state_path: str | None = None) -> StreamingQuery:
     """Statistics of every window with data at each trigger (``slide=None``: tumbling windows)."""
-    panes = PaneWindows(os.path.join(checkpoint, "state"), size, slide or size, watermark, correct_late)
-    return (events.writeStream.foreachBatch(WindowWriter(path, panes, compact_every))
+    panes = PaneWindows(state_path or os.path.join(checkpoint, "state"), size, slide or size, watermark, correct_late)
+    first = first_batch(events.sparkSession, panes, checkpoint)
+    return (events.writeStream.foreachBatch(WindowWriter(path, panes, compact_every, first))
             .option("checkpointLocation", os.path.join(checkpoint, "query"))
             .trigger(**(trigger or production_trigger())).start())
 
@@ -389,7 +425,8 @@ class MicroBatchWriter:
             ratio = C.anomaly_ratio("avg_delay_seconds", "baseline")
             out = stats.join(base.select("route_id", F.col("avg_delay_seconds").alias("baseline")),
                              "route_id", "left").select(
-                F.lit(batch_id).cast("bigint").alias("batch_id"), "route_id", "event_count",
+                F.lit(batch_id).cast("bigint").alias("batch_id"), "route_id",
+                C.to_ntz(now).alias("window_end"), C.ttl_of(now).alias("ttl"), "event_count",
                 C.half_even("avg_delay_seconds", 2).alias("avg_delay_seconds"),
                 "max_delay_seconds", "late_count",
                 C.half_even("baseline", 2).alias("batch_baseline_seconds"),
@@ -433,13 +470,13 @@ def with_arrival(lines: DataFrame) -> DataFrame:
 def arrival_of(arrived: DataFrame) -> tuple[Column, Column]:
     """(sequence, arrival time) of lines with their arrival.
 
-    A file's lines are numbered by a generator that depends on the block's place in
-    the read only: a replayed batch, which reads the same blocks, gives the same
-    sequences, and equal lines of a file get different ones.
+    A file's lines are numbered in the order of their read: a replayed batch, which reads
+    the same blocks, gives the same sequences, and equal lines get different ones.
     """
     if set(LOG_COLUMNS) <= set(arrived.columns):
         return F.concat_ws(":", F.col("partition").cast("string"), F.col("offset").cast("string")), F.col("timestamp")
-    return (F.concat_ws(":", "file_name", F.col("file_block_start").cast("string"), F.uuid(F.lit(0))),
+    number = F.monotonically_increasing_id().bitwiseAND(F.lit(2 ** 33 - 1))       # within a task
+    return (F.concat_ws(":", "file_name", F.col("file_block_start").cast("string"), number.cast("string")),
             F.col("file_modification_time"))
 
 
@@ -472,24 +509,20 @@ def archive_lines(lines: DataFrame, flushed: Column | None = None) -> DataFrame:
 
 
 def start_archive(lines: DataFrame, archive_path: str, checkpoint: str,
-                  trigger: Trigger | None = None) -> StreamingQuery:
-    """JSON-lines archive partitioned ``year=/month=/day=/hour=`` by flush time.
-
-    The file sink commits files per batch in its log, so a replayed batch
-    never duplicates archive rows.
-    """
-    return (archive_lines(lines).writeStream.format("text")
-            .partitionBy("year", "month", "day", "hour")
-            .option("path", archive_path).option("checkpointLocation", checkpoint)
+                  trigger: Trigger | None = None, bad_path: str | None = None) -> StreamingQuery:
+    """JSON-lines archive partitioned ``year=/month=/day=/hour=`` by flush time; see ``ArchiveWriter``."""
+    writer = ArchiveWriter(archive_path, os.path.join(checkpoint, "archive"), bad_path)
+    return (with_arrival(lines).writeStream.foreachBatch(writer)
+            .option("checkpointLocation", os.path.join(checkpoint, "query"))
             .trigger(**(trigger or production_trigger(60))).start())
 
 
 class ArchiveWriter:
     """Sink of lines with their arrival: the archive, and the lines that are no records.
 
-    Archive files lie in ``year=/month=/day=/hour=/batch_id=`` and bad lines, with the
-    reason and their place, in ``<bad_path>/batch_id=``; a retried batch replaces both. The
-    flush time of a batch is kept in ``state_path``, so a retry goes to the same hour.
+    A batch is flushed at one time, kept in ``state_path``, into a folder of its own
+    below that hour, and its bad lines, with the reason and their place, go to
+    ``<bad_path>/batch_id=``; a retried batch replaces both.
     """
 
     def __init__(self, path: str, state_path: str, bad_path: str | None = None):
@@ -501,16 +534,13 @@ class ArchiveWriter:
         if known is None or known["batch"] != batch_id:
             known = {"batch": batch_id, "at": datetime.now(timezone.utc).replace(tzinfo=None).isoformat()}
             files.write_pointer(spark, at, known)
-        good = archive_lines(lines, C.ts_literal(datetime.fromisoformat(known["at"])))
-        _replace(good.withColumn("batch_id", F.lit(batch_id)), "text", self.path, "year", "month", "day", "hour", "batch_id")
+        t = datetime.fromisoformat(known["at"])
+        hour = os.path.join(self.path, t.strftime("year=%Y/month=%m/day=%d/hour=%H"))
+        # the batch's folder is no partition column to readers
+        archive_lines(lines, C.ts_literal(t)).select("value").write.mode("overwrite").text(
+            os.path.join(hour, f"{t:%Y%m%d_%H%M%S}_batch-{batch_id}"))
         if self.bad_path:
-            bad = quarantined(lines).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-            _replace(bad, "parquet", self.bad_path, "batch_id")
-
-
-def _replace(rows: DataFrame, fmt: str, path: str, *by: str) -> None:
-    """Write the folders that ``rows`` have, replacing what they held."""
-    (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).format(fmt).save(path))
+            quarantined(lines).write.mode("overwrite").parquet(os.path.join(self.bad_path, f"batch_id={batch_id}"))
 
 
 def quarantined(lines: DataFrame) -> DataFrame:

@@ -3,9 +3,8 @@
 ``latest`` reads what arrives from now on, ``earliest`` all that is there, and an
 instant what arrived from then on. A log (``kafka``) takes the position and the
 bound as options of its source; its checkpoint decides once there is one. A folder
-of files has no positions: an arrival is a file's modification time, folders are
-listed from the instant on (``modifiedAfter``) and the exact instant is
-compared with each file's. The resolved instant is kept beside the checkpoint, so a
+of files has no positions: an arrival is a file's modification time, and the scan
+leaves out the files before the instant by it, unread. The resolved instant is kept beside the checkpoint, so a
 restarted query goes on where it was; ``resume=False`` resolves it anew, which
 skips the files that came while the query was down, as a process that always starts
 from the newest record does.
@@ -14,7 +13,7 @@ from the newest record does.
 from __future__ import annotations
 
 import os
-from datetime import datetime, timedelta, timezone
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -70,10 +69,7 @@ def folder_stream(spark: SparkSession, path: str, start: str = EARLIEST, checkpo
     t = first_instant(spark, start, checkpoint, resume)
     if t is None:
         return r.load(path)
-    # the option counts whole seconds, and leaves out that second's files
-    listed = (t - timedelta(seconds=2)).strftime("%Y-%m-%dT%H:%M:%S")
-    rows = r.option("modifiedAfter", listed).option("timeZone", "UTC").load(path)
-    return rows.where(F.col("_metadata.file_modification_time") >= ts_literal(t))
+    return r.load(path).where(F.col("_metadata.file_modification_time") >= ts_literal(t))
 
 
 def lines_from(spark: SparkSession, source: str, fmt: str = "text", start: str = EARLIEST, checkpoint: str | None = None,
@@ -85,10 +81,10 @@ def lines_from(spark: SparkSession, source: str, fmt: str = "text", start: str =
     """
     if fmt == "text":
         return folder_stream(spark, source, start, checkpoint, resume, per_read or FILES_READ)
+    if fmt == "kafka" and not resume:
+        raise ValueError("a topic starts anew with a new checkpoint folder")
     r = spark.readStream.format(fmt)
     if fmt == "kafka":
-        if not resume:
-            raise ValueError("a topic starts anew with a new checkpoint folder")
         given = {"subscribe": source} | log_options(start, per_read) | (options or {})
         rows = r.options(**given).load()
         return rows.select(F.col("value").cast("string").alias("value"), "partition", "offset", "timestamp")

@@ -18,6 +18,7 @@ its number is not after the base.
 from __future__ import annotations
 
 import os
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -77,19 +78,28 @@ class UpsertTable:
         rows = self.rows(spark)
         return self.combine(rows if where is None else rows.where(where)).select(*self.columns)
 
-    def compact(self, spark: SparkSession, upto: int, alive: Column | None = None) -> None:
-        """One folder for each date with the rows up to batch ``upto`` for which ``alive`` holds."""
+    def compact(self, spark: SparkSession, upto: int, alive: Column | None = None, more: DataFrame | None = None,
+                mark: dict | None = None) -> None:
+        """One folder for each date with the rows up to batch ``upto`` for which ``alive`` holds.
+
+        ``more`` are rows to be combined as if they came right after that batch, and ``mark`` is
+        kept with the pointer, so both take effect in the same step.
+        """
         at = self.pointer(spark)
-        if upto <= at["upto"]:
+        if upto < at["upto"] or (upto == at["upto"] and more is None):
             return
-        rows = self.combine(self.rows(spark).where(F.col("batch_id") <= upto)).select(*self.columns)
+        rows = self.rows(spark).where(F.col("batch_id") <= upto)
+        if more is not None:
+            rows = rows.unionByName(more.select(*self.columns, F.to_date(self.time_col).alias("dt"),
+                                                F.lit(upto + 1).cast("long").alias("batch_id")))
+        rows = self.combine(rows).select(*self.columns)
         if alive is not None:
             rows = rows.where(alive)
-        base = f"upto={upto}"
+        base = f"upto={upto}-{uuid.uuid4().hex[:8]}"
         part = F.pmod(F.xxhash64(*self.key), F.lit(FILE_PARTS))
         (rows.withColumn("dt", F.to_date(self.time_col)).repartition("dt", part)
-             .write.mode("overwrite").partitionBy("dt").parquet(os.path.join(self.path, "_base", base)))
-        files.write_pointer(spark, os.path.join(self.path, "_CURRENT"), {"upto": upto, "base": base, "before": at})
+             .write.partitionBy("dt").parquet(os.path.join(self.path, "_base", base)))
+        files.write_pointer(spark, os.path.join(self.path, "_CURRENT"), at | {"upto": upto, "base": base} | (mark or {}))
         # readers may still be on the pointer before, never on the one before that
         for old in files.folders(spark, os.path.join(self.path, "_base")):
             if old not in (base, at["base"]):

@@ -69,7 +69,7 @@ def test_append_windows_closed_by_watermark(spark, size, slide, delay):
 
 
 def test_late_history_is_dropped(spark):
-    out = SR.late_arrivals(spark, SF_SMALL, "6 hours", "1 hour", "1 hour")
+    out = SR.late_arrivals(spark, SF_SMALL, "6 hours", "1 hour", "1 hour")[0]
     assert out.count() > 0
     assert out.filter(F.col("window_start") < F.lit("2024-01-23 18:00:00").cast("timestamp_ntz")).count() == 0
 
