@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Callable
-from datetime import datetime, timedelta, timezone
+from datetime import date, datetime, timedelta, timezone
 from typing import Protocol
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -217,17 +217,20 @@ class PaneWindows:
         own = (S.speed_events(events).groupBy("route_id", pane.start.alias("pane_start"), pane.end.alias("pane_end"))
                .agg(*S.pane_columns(), F.max("event_ts").alias("newest")).persist())
         try:
-            newest = own.agg(F.date_format(F.max("newest"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")).first()[0]
-            if newest is None:
+            text = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+            at = own.agg(F.date_format(F.max("newest"), text).alias("newest"), F.to_date(F.min("pane_start")).alias("first"),
+                         F.to_date(F.max("pane_start")).alias("last")).first()
+            if at.newest is None:
                 return None
-            mark = self._watermark(spark, batch_id, datetime.fromisoformat(newest))
+            mark = self._watermark(spark, batch_id, datetime.fromisoformat(at.newest))
             fresh = own
             if mark is not None:
                 late = F.col("pane_end") <= C.ts_literal(mark)
                 self.late.write(own.where(late), batch_id)
                 fresh = own if self.correct_late else own.where(~late)
             self.panes.write(fresh, batch_id)
-            return self.windows(spark, self.panes.rows(spark).where(F.col("batch_id") == batch_id))
+            touched = self.panes.rows(spark).where((F.col("batch_id") == batch_id) & F.col("dt").between(at.first, at.last))
+            return self.windows(spark, touched, days=(at.first, at.last))
         finally:
             own.unpersist()
 
@@ -247,9 +250,16 @@ class PaneWindows:
         windows.compact(spark, last, more=self.windows(spark, late, late))
         self.panes.compact(spark, last, more=late, mark={"corrected": last})
 
-    def windows(self, spark: SparkSession, touched: DataFrame | None = None, more: DataFrame | None = None) -> DataFrame:
-        """The windows of the stored panes (and ``more`` of them), or of those that hold a touched pane."""
+    def windows(self, spark: SparkSession, touched: DataFrame | None = None, more: DataFrame | None = None,
+                days: tuple[date, date] | None = None) -> DataFrame:
+        """The windows of the stored panes (and ``more`` of them), or of those that hold a touched pane.
+
+        ``days`` are the first and last date of the touched panes; other folders are not read.
+        """
         rows = self.panes.rows(spark).drop("batch_id")
+        if days is not None:
+            span = timedelta(days=1 + S.duration_seconds(self.size) // 86400)
+            rows = rows.where(F.col("dt").between(days[0] - span, days[1] + span))
         if more is not None:
             rows = rows.unionByName(more.withColumn("dt", F.to_date("pane_start")))
         if touched is not None:
@@ -259,10 +269,8 @@ class PaneWindows:
             needed = starts.select(F.explode(F.transform(
                 F.sequence(F.lit(0), F.lit(k - 1)),
                 lambda i: F.timestamp_micros(F.unix_micros("window_start") + i.cast("bigint") * (step * 1_000_000))))
-                .alias("pane_start")).distinct().withColumn("dt", F.to_date("pane_start"))
-            # one row for each date of the batch
-            dates = [r.dt for r in needed.select("dt").distinct().collect()]
-            rows = rows.where(F.col("dt").isin(dates)).join(needed.drop("dt"), "pane_start", "left_semi")
+                .alias("pane_start")).distinct()
+            rows = rows.join(needed, "pane_start", "left_semi")
         out = S.windows_from_panes(add_panes(rows), self.size, self.slide)
         if touched is not None:
             out = out.join(starts, "window_start", "left_semi")

@@ -27,8 +27,6 @@ from pyspark.sql import types as T
 
 from headway.sources import files
 
-FILE_PARTS = 16             # most files of a date in the compacted table, if it is large
-
 
 def newest(key: tuple[str, ...], values: list[str]) -> Callable[[DataFrame], DataFrame]:
     """Combine: the row of the newest batch, a map-side-combined aggregate."""
@@ -55,8 +53,9 @@ class UpsertTable:
 
     def write(self, rows: DataFrame, batch_id: int) -> None:
         """Rows of one micro-batch, one for each key; a retry overwrites them."""
+        # few files for each date: small parts are put together, large ones split
         (rows.select(*self.columns, F.to_date(self.time_col).alias("dt"), F.lit(batch_id).cast("long").alias("batch_id"))
-             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .hint("rebalance", "dt").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy("dt", "batch_id").parquet(self.path))
 
     def rows(self, spark: SparkSession) -> DataFrame:
@@ -96,8 +95,7 @@ class UpsertTable:
         if alive is not None:
             rows = rows.where(alive)
         base = f"upto={upto}-{uuid.uuid4().hex[:8]}"
-        part = F.pmod(F.xxhash64(*self.key), F.lit(FILE_PARTS))
-        (rows.withColumn("dt", F.to_date(self.time_col)).repartition("dt", part)
+        (rows.withColumn("dt", F.to_date(self.time_col)).hint("rebalance", "dt")
              .write.partitionBy("dt").parquet(os.path.join(self.path, "_base", base)))
         files.write_pointer(spark, os.path.join(self.path, "_CURRENT"), at | {"upto": upto, "base": base} | (mark or {}))
         # readers may still be on the pointer before, never on the one before that
