@@ -273,7 +273,8 @@ u AS (
     SELECT record_id, uri, date, etag, lm, size, digest, NULL AS k FROM resp
     UNION ALL SELECT record_id, uri, date, etag, lm, NULL, NULL, k FROM rev)),
 c AS (
-  SELECT *, regexp_replace(regexp_replace(lower(regexp_extract(plain, '^[A-Za-z]+://([^/?]*)', 1)), '^(www|m)\.', ''), ':(80|443)$', '')
+  SELECT *, regexp_replace(regexp_replace(lower(regexp_extract(plain, '^[A-Za-z]+://([^/?]*)', 1)), '^(www|m)\.', ''),
+                          CASE WHEN lower(plain) LIKE 'https:%' THEN ':443$' ELSE ':80$' END, '')
          || regexp_replace(regexp_extract(plain, '^[A-Za-z]+://[^/?]*([^?]*)', 1), '/+$', '')
          || CASE WHEN len(q) > 0 THEN '?' || array_to_string(list_sort(q), '&') ELSE '' END AS url
   FROM (SELECT *, [p FOR p IN string_split(regexp_extract(plain, '\?(.*)$', 1), '&')

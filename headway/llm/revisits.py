@@ -14,7 +14,7 @@ Outcomes: ``resolved``; ``unvalidated`` (a response, but no validator on both
 sides: merged all the same); ``mismatch`` (validators differ) and ``no_response``
 keep the revisit's own headers and have no payload.
 
-Defined results: a NULL URL has no response; records without a date or an id
+Defined results: a NULL or empty URL has no response; records without a date or an id
 sort first and are no one's earlier response if they have no date; full responses
 are responses of status 200; header names are in lower case; repeated revisits are
 resolved alike; extra columns take no part.
@@ -34,14 +34,23 @@ RECORD = "record_id long, uri string, type string, status int, date long, header
 
 
 def canonical_url(url: Column) -> Column:
-    """Host without www. or m. and default port, path without a closing slash, sorted query without tracking."""
+    """Host without www. or m. and its scheme's port, path without a closing slash, sorted query without tracking.
+
+    http and https are one; any other scheme stays in front. A text without a
+    scheme and host is itself, less its fragment.
+    """
     plain = F.regexp_replace(url, "#.*$", "")
-    host = F.lower(F.regexp_extract(plain, "^[A-Za-z]+://([^/?]*)", 1))
-    host = F.regexp_replace(F.regexp_replace(host, r"^(www|m)\.", ""), ":(80|443)$", "")
-    path = F.regexp_replace(F.regexp_extract(plain, "^[A-Za-z]+://[^/?]*([^?]*)", 1), "/+$", "")
+    scheme = F.lower(F.regexp_extract(plain, "^([A-Za-z][A-Za-z0-9+.-]*)://", 1))
+    host = F.lower(F.regexp_extract(plain, "^[A-Za-z][A-Za-z0-9+.-]*://([^/?]*)", 1))
+    host = F.regexp_replace(host, r"^(www|m)\.", "")
+    host = (F.when(scheme == "http", F.regexp_replace(host, ":80$", ""))
+            .when(scheme == "https", F.regexp_replace(host, ":443$", "")).otherwise(host))
+    path = F.regexp_replace(F.regexp_extract(plain, "^[A-Za-z][A-Za-z0-9+.-]*://[^/?]*([^?]*)", 1), "/+$", "")
     query = F.filter(F.split(F.regexp_extract(plain, r"\?(.*)$", 1), "&"), lambda p: (p != "") & ~p.rlike(TRACKING))
-    return F.concat(host, path, F.when(F.size(query) > 0, F.concat(F.lit("?"), F.array_join(F.sort_array(query), "&")))
-                    .otherwise(F.lit("")))
+    front = F.when(scheme.isin("http", "https"), "").otherwise(F.concat(scheme, F.lit("://")))
+    whole = F.concat(front, host, path, F.when(F.size(query) > 0, F.concat(F.lit("?"), F.array_join(F.sort_array(query), "&")))
+                     .otherwise(F.lit("")))
+    return F.when(scheme == "", plain).otherwise(whole)
 
 
 def validators(own: Column, full: Column) -> Column:
@@ -60,7 +69,7 @@ def resolve(records: DataFrame, bucket_seconds: int = BUCKET_SECONDS) -> DataFra
         canonical_url(F.col("uri")).alias("url"),
         F.when(full, F.struct("date", "record_id", "headers", "payload_digest")).alias("full"))
     # records without a URL never meet: each is a group of its own
-    rows = rows.withColumn("group", F.coalesce("url", F.concat(F.lit("?"), F.monotonically_increasing_id().cast("string"))))
+    rows = rows.withColumn("group", F.coalesce(F.nullif("url", F.lit("")), F.concat(F.lit("?"), F.monotonically_increasing_id().cast("string"))))
     rows = rows.withColumn("bucket", F.coalesce(F.floor(F.col("date") / bucket_seconds), F.lit(-1)))
     last = rows.where("full is not null").groupBy("group", "bucket").agg(F.max_by("full", F.struct("date", "record_id")).alias("last"))
     seen = rows.select("group", "bucket").distinct().join(last, ["group", "bucket"], "left")

@@ -62,9 +62,19 @@ def test_equals_brute_force_with_hot_url_ties_nulls_and_repeats(spark):
 
 
 def test_canonical_urls(spark):
-    urls = ["http://WWW.h.example:80/a/?b=2&a=1&utm_source=x#f", "https://m.h.example/a?a=1&b=2", "https://h.example", "x", None, ""]
+    urls = ["http://WWW.h.example:80/a/?b=2&a=1&utm_source=x#f", "https://m.h.example/a?a=1&b=2", "https://h.example", "x", None, "",
+            "https://h.example:80/a", "http://h.example:443", "two.example/b#c", "one.example/a", "dns:h.example", "ftp://www.h.example/a/"]
     got = [r[0] for r in spark.createDataFrame([(u,) for u in urls], "u string").select(X.canonical_url(F.col("u"))).collect()]
-    assert got == ["h.example/a?a=1&b=2", "h.example/a?a=1&b=2", "h.example", "", None, ""]
+    assert got == ["h.example/a?a=1&b=2", "h.example/a?a=1&b=2", "h.example", "x", None, "",
+                   "h.example:80/a", "h.example:443", "two.example/b", "one.example/a", "dns:h.example", "ftp://h.example/a"]
+
+
+def test_uris_without_a_scheme_or_empty_ones_do_not_meet(spark):
+    rows = [(1, "one.example/a", "response", 200, 10, {"etag": "1"}, "digest"), (2, "two.example/b", "revisit", 304, 20, {"etag": "1"}, None),
+            (3, "one.example/a#x", "revisit", 304, 30, {"etag": "1"}, None), (4, "", "response", 200, 1, {"etag": "1"}, "empty"),
+            (5, "", "revisit", 304, 9, {"etag": "1"}, None)]
+    got = {r.record_id: (r.outcome, r.response_id) for r in X.resolve(spark.createDataFrame(rows, X.RECORD)).collect()}
+    assert got == {2: ("no_response", None), 3: ("resolved", 1), 5: ("no_response", None)}
 
 
 def test_registered_query_equals_sql(spark):
