@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from headway.llm.common import text_key, text_of
 
 MAX_ALTERNATIVES = 64       # of literal strings; beyond them a part of a regex counts as unknown
+RUN = 256                   # matches of a text whose spans are gathered in one array
 BREAK = "\0"                # stands for unknown text between literal parts
 
 
@@ -124,16 +125,19 @@ def regex_of(rule: Rule) -> str:
 
 
 def rule_matches(text: Column, rule: Rule) -> Column:
-    """The matches, the group that counts, and the text between the matches."""
+    """The matches, the text between them and, if it is a part of the match, the group that counts."""
     regex = regex_of(rule)
-    return F.struct(F.regexp_extract_all(text, F.lit(regex), F.lit(0)).alias("whole"),
-                    F.regexp_extract_all(text, F.lit(regex), F.lit(rule.group)).alias("group"),
-                    F.split(text, regex, -1).alias("gaps"))
+    group = [F.regexp_extract_all(text, F.lit(regex), F.lit(rule.group)).alias("group")] if rule.group else []
+    return F.struct(F.regexp_extract_all(text, F.lit(regex), F.lit(0)).alias("whole"), F.split(text, regex, -1).alias("gaps"), *group)
 
 
 def rule_spans(matched: str, rule: Rule, order: int) -> Column:
-    """Spans (start, order, end, kind) of the matches in a column; the lengths of matches and gaps add up to places."""
-    whole, group, gaps = (F.col(f"{matched}.{c}") for c in ("whole", "group", "gaps"))
+    """Spans (start, order, end, kind) of the matches in a column; the lengths of matches and gaps add up to places.
+
+    Adding to an array copies it, so the matches are taken in runs of RUN: spans
+    within each run first, then the place of each run.
+    """
+    whole, group, gaps = (F.col(f"{matched}.{c}") for c in ("whole", "group" if rule.group else "whole", "gaps"))
     none = F.array().cast("array<struct<start:int,order:int,end:int,kind:string>>")
 
     def step(acc: Column, i: Column) -> Column:
@@ -144,9 +148,18 @@ def rule_spans(matched: str, rule: Rule, order: int) -> Column:
         return F.struct(end.alias("at"), F.when(F.length(group[i]) >= rule.least, F.concat(acc["out"], span))
                         .otherwise(acc["out"]).alias("out"))
 
-    summed = F.aggregate(F.sequence(F.lit(0), F.size(whole) - 1),
-                         F.struct(F.lit(0).alias("at"), none.alias("out")), step, lambda acc: acc["out"])
-    return F.when(F.size(whole) > 0, summed).otherwise(none)
+    def run_of(first: Column) -> Column:
+        return F.aggregate(F.sequence(first, F.least(first + (RUN - 1), F.size(whole) - 1)),
+                           F.struct(F.lit(0).alias("at"), none.alias("out")), step)
+
+    runs = F.transform(F.sequence(F.lit(0), F.size(whole) - 1, F.lit(RUN)), run_of)
+    places = F.aggregate(
+        runs, F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out")),
+        lambda acc, r: F.struct((acc["at"] + r["at"]).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")),
+        lambda acc: acc["out"])
+    moved = F.zip_with(runs, places, lambda r, place: F.transform(r["out"], lambda x: F.struct(
+        (x["start"] + place).alias("start"), x["order"].alias("order"), (x["end"] + place).alias("end"), x["kind"].alias("kind"))))
+    return F.when(F.size(whole) > 0, F.flatten(moved)).otherwise(none)
 
 
 def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

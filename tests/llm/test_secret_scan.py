@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 
 from headway.llm import secret_scan as X
@@ -78,3 +79,15 @@ def test_registered_query_equals_full_scan(spark):
     assert len(got) == len(docs)
     assert all(got[d.doc_id] == expected(d.text) for d in docs)
     assert sum(g[0] for g in got.values()) > 0
+
+
+def test_many_matches_in_one_text(spark):
+    rng = random.Random(5)
+    parts = ["AKIA" + "B" * 16, "0123456789abcdef01234567", "token=abcdefgh", "é😀", "secret: x1y2z3", "plain", "f" * 30]
+    for n in (X.RUN - 1, X.RUN, X.RUN + 1, 2 * X.RUN, 5000):
+        text = " ".join(rng.choices(parts, k=n))
+        row = X.scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+        assert [f"{s.kind}:{s.start}:{s.end}" for s in row.spans] == brute(text)
+    only = "0123456789abcdef01234567 " * (3 * X.RUN)
+    row = X.scan(spark.createDataFrame([(1, only)], "doc_id long, text string")).first()
+    assert [s.start for s in row.spans] == list(range(0, len(only), 25))
