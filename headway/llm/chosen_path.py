@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from headway.llm.common import stored, text_key, text_of
+from headway.llm.common import stored, text_key, text_of, unused
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -368,9 +368,10 @@ def class_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one row of each class: the one of the smallest id (of several, the smallest text key)."""
+    names = unused(docs, "_id0", "_t")
     stay = (jaccard_classes(docs, id_col, text_col)
             .where((F.col("id0") == F.col("class_id0")) & (F.col("t") == F.col("class_t")))
-            .select(F.col("id0").alias("_id0"), F.col("t").alias("_t")).distinct())
+            .select(F.col("id0").alias(names[0]), F.col("t").alias(names[1])).distinct())
     id0, t = row_key(id_col, text_col)
-    return (docs.select("*", id0.alias("_id0"), t.alias("_t")).join(stay, ["_id0", "_t"], "left_semi")
-            .dropDuplicates(["_id0", "_t"]).drop("_id0", "_t"))
+    return (docs.select("*", id0.alias(names[0]), t.alias(names[1])).join(stay, names, "left_semi")
+            .dropDuplicates(names).drop(*names))

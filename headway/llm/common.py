@@ -36,6 +36,17 @@ def in_text_batches(df: DataFrame) -> DataFrame:
     return df
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, each made longer until no column of ``df`` has it."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def text_of(col: str = "text") -> Column:
     """The text column with NULL as the empty text."""
     return F.coalesce(F.col(col).cast("string"), F.lit(""))

@@ -34,6 +34,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from headway.llm.common import unused
+
 WINDOW = 32                 # words of a window; windows start every half window
 RANK = 128                  # latent dimensions
 OVERSAMPLE = 8
@@ -262,6 +264,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
     """``docs`` without the contaminated ones; each row is judged by its own text."""
-    keyed = docs.withColumn("_t", F.xxhash64(F.lit(7), F.coalesce(text_col, F.lit(""))))
-    bad = matches(keyed, benchmark, "_t", text_col).select("_t").distinct()
-    return keyed.join(bad, "_t", "left_anti").select(*docs.columns)
+    key, = unused(docs, "_t")
+    keyed = docs.withColumn(key, F.xxhash64(F.lit(7), F.coalesce(text_col, F.lit(""))))
+    bad = matches(keyed, benchmark, key, text_col).select(key).distinct()
+    return keyed.join(bad, key, "left_anti").select(*docs.columns)

@@ -35,7 +35,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from headway.llm.common import stored, text_key, text_of
+from headway.llm.common import stored, text_key, text_of, unused
 
 MIN_WORDS = 8
 WHITE = " \t\r\f\x0b"       # white space within a line
@@ -193,16 +193,18 @@ def removed_places(lines: DataFrame) -> DataFrame:
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without redundant lines, with n_lines (non-blank ones before) and n_kept (after)."""
-    gone = (removed_places(lines_of(docs, id_col, text_col)).groupBy(*ROW)
-            .agg(F.collect_set("pos").alias("_gone"))       # at most a document's lines
-            .withColumnsRenamed({"id0": "_id0", "t": "_t"}))
     old = [c for c in docs.columns if c not in ("n_lines", "n_kept")]
+    docs = docs.select(*old)
+    id_name, key, gone = unused(docs, "_id0", "_t", "_gone")
+    removed = (removed_places(lines_of(docs, id_col, text_col)).groupBy(*ROW)
+               .agg(F.collect_set("pos").alias(gone))       # at most a document's lines
+               .withColumnsRenamed({"id0": id_name, "t": key}))
     id0, t = row_key(id_col, text_col)
-    both = docs.select(*old, id0.alias("_id0"), t.alias("_t")).join(gone, ["_id0", "_t"], "left")
+    both = docs.select(*old, id0.alias(id_name), t.alias(key)).join(removed, [id_name, key], "left")
     full = F.size(F.filter(F.split(text_of(text_col), "\n"), lambda x: x.rlike(r"\S"))).cast("long")
     both = (both.withColumn("n_lines", full)
-            .withColumn("n_kept", F.col("n_lines") - F.coalesce(F.size("_gone"), F.lit(0))))
-    left = F.array_join(F.filter(F.split(F.col(text_col), "\n"), lambda x, i: ~F.array_contains("_gone", i)), "\n")
-    out = [F.when(F.col("_gone").isNull(), F.col(c)).when(F.col("n_kept") == 0, F.lit("")).otherwise(left).alias(c)
+            .withColumn("n_kept", F.col("n_lines") - F.coalesce(F.size(gone), F.lit(0))))
+    left = F.array_join(F.filter(F.split(F.col(text_col), "\n"), lambda x, i: ~F.array_contains(gone, i)), "\n")
+    out = [F.when(F.col(gone).isNull(), F.col(c)).when(F.col("n_kept") == 0, F.lit("")).otherwise(left).alias(c)
            if c == text_col else F.col(c) for c in old]
     return both.select(*out, "n_lines", "n_kept")

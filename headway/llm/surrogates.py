@@ -23,6 +23,7 @@ from __future__ import annotations
 import hashlib
 import hmac
 import re
+import unicodedata
 from collections.abc import Callable, Iterator
 from functools import reduce
 
@@ -31,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from headway.llm.common import stored, text_key
+from headway.llm.common import stored, text_key, unused
 
 ATTEMPTS = 200
 WIDER = 20                  # draws after which a name grows by a syllable
@@ -54,7 +55,7 @@ GENDER = {t: g for g, ts in TITLES.items() for t in ts}
 NAME_WORD = r"[^\W\d_a-zà-ÿ][^\W\d_]+"
 ENTITY = re.compile(
     r"(?P<email>(?<![\w.+-])[\w.+-]+@[\w-]+(?:\.[\w-]+)*\.[^\W\d_]{2,})"
-    r"|(?P<iban>(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w))"
+    r"|(?P<iban>(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z\d]{4}){2,7}(?: ?[A-Z\d]{1,3})?(?!\w))"
     r"|(?P<ip>(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?!\w|\.\d))"
     r"|(?P<ssn>(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-]))"
     r"|(?P<card>(?<![\w.+-])\d(?:[ -]?\d){12,18}(?!\w))"
@@ -62,7 +63,7 @@ ENTITY = re.compile(
     r"|\(\d{2,4}\)[ .-]?\d{2,4}(?:[ .-]\d{2,5}){1,3}|\d{3}[ .-]\d{3}[ .-]\d{4})(?!\w))"
     rf"|(?P<name>(?<!\w)(?P<title>{_TITLE})\.?[ \xa0]+(?P<words>{NAME_WORD}(?:[ -]{NAME_WORD}){{0,2}}))")
 #: Java regex that every text with an entity matches.
-COARSE = rf"@|[0-9](?:[ .()-]{{0,2}}[0-9]){{3,}}|[A-Z]{{2}}[0-9]{{2}} ?[A-Z0-9]{{4}}|(?<!\p{{L}})(?:{_TITLE})\.?[  ]"
+COARSE = rf"@|\p{{Nd}}(?:[ .()-]{{0,2}}\p{{Nd}}){{3,}}|[A-Z]{{2}}\p{{Nd}}{{2}} ?[A-Z\p{{Nd}}]{{4}}|(?<!\p{{L}})(?:{_TITLE})\.?[  ]"
 
 
 def luhn(digits: str) -> bool:
@@ -132,10 +133,16 @@ def script_of(char: str) -> tuple[str, str]:
     return next((s for s in SCRIPTS if s[0] <= low <= s[1]), SCRIPTS[0])
 
 
+def digits_like(text: str, sample: str) -> str:
+    """The text with its digits in the script of the sample's first one."""
+    zero = next((ord(c) - unicodedata.decimal(c) for c in sample if c.isdecimal()), 48)
+    return text if zero == 48 else "".join(chr(zero + int(c)) if "0" <= c <= "9" else c for c in text)
+
+
 def like(char: str, s: Stream) -> str:
     """A character of the same kind: a digit, or a letter of the script and case; punctuation stays."""
-    if char.isdigit():
-        return str(s.below(10))
+    if char.isdecimal():
+        return digits_like(str(s.below(10)), char)
     if not char.isalpha():
         return char
     a, b = map(ord, script_of(char))
@@ -168,18 +175,19 @@ def surrogate(kind: str, value: str, key: bytes, attempt: int = 0) -> str:
     if kind == "ip":
         private = {"10": 1, "127": 1, "192": 2, "172": 2}.get(value.split(".")[0], 0)
         parts = value.split(".")
-        return ".".join(parts[:private] + [str(1 + s.below(223 if i == 0 else 254)) for i in range(private, 4)])
+        return ".".join(parts[:private] + [digits_like(str(1 + s.below(223 if i == 0 else 254)), value)
+                                           for i in range(private, 4)])
     if kind == "iban":
         flat = value.replace(" ", "")
-        body = "".join(str(s.below(10)) if c.isdigit() else chr(65 + s.below(26)) for c in flat[4:])
-        flat = flat[:2] + f"{98 - mod97(flat[:2] + '00' + body):02d}" + body
+        body = "".join(like(c, s) if c.isdecimal() else chr(65 + s.below(26)) for c in flat[4:])
+        flat = flat[:2] + digits_like(f"{98 - mod97(flat[:2] + '00' + body):02d}", flat[2:4]) + body
         out = iter(flat)
         return "".join(" " if c == " " else next(out) for c in value)
     keep = len(re.match(r"\+?", value).group()) and len(re.match(r"\+\d{1,3}(?=[ .(-])|\+\d", value).group())
     keep = 1 if kind == "card" else keep
     out = value[:keep] + "".join(like(c, s) for c in value[keep:])
     if kind == "card" and luhn(re.sub(r"\D", "", value)):
-        out = next(out[:-1] + d for d in "0123456789" if luhn(re.sub(r"\D", "", out[:-1] + d)))
+        out = next(out[:-1] + d for d in digits_like("0123456789", out) if luhn(re.sub(r"\D", "", out[:-1] + d)))
     return out
 
 
@@ -223,20 +231,21 @@ def assign(entities: DataFrame, key: bytes) -> DataFrame:
 
 
 def row_key(id_col: str, text_col: str) -> list[Column]:
-    return [F.coalesce(F.col(id_col), F.lit(-2 ** 63)).alias("_id0"), text_key(text_col).alias("_t")]
+    return [F.coalesce(F.col(id_col), F.lit(-2 ** 63)), text_key(text_col)]
 
 
 def replace_entities(docs: DataFrame, key: bytes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with surrogates in the text; ``replaced`` has the number of replacements."""
     docs = docs.drop("replaced")
     may = F.coalesce(F.col(text_col).rlike(COARSE), F.lit(False))
-    some = docs.where(may).select("*", *row_key(id_col, text_col))
-    found = stored(detect(some.select(F.col("_id0").alias("id0"), F.col("_t").alias("t"), text_col)
+    id0, t, places = unused(docs, "_id0", "_t", "_spans")
+    some = docs.where(may).select("*", *[k.alias(c) for k, c in zip(row_key(id_col, text_col), (id0, t))])
+    found = stored(detect(some.select(F.col(id0).alias("id0"), F.col(t).alias("t"), F.col(text_col).alias("text"))
                           .dropDuplicates(["id0", "t"])), "pii-mentions")
     named = found.join(assign(found.select("type", "value"), key), ["type", "value"])
-    spans = named.groupBy(F.col("id0").alias("_id0"), F.col("t").alias("_t")).agg(
-        F.sort_array(F.collect_list(F.struct("start", "end", "surrogate"))).alias("_spans"))     # one document's
-    joined = some.join(spans, ["_id0", "_t"], "left").drop("_id0", "_t")
+    spans = named.groupBy(F.col("id0").alias(id0), F.col("t").alias(t)).agg(
+        F.sort_array(F.collect_list(F.struct("start", "end", "surrogate"))).alias(places))     # one document's
+    joined = some.join(spans, [id0, t], "left").drop(id0, t)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields) + ", replaced int"
     names = [*docs.columns, "replaced"]
 
@@ -255,5 +264,5 @@ def replace_entities(docs: DataFrame, key: bytes, id_col: str = "doc_id", text_c
             arrays[at] = pa.array(texts, pa.string())
             yield pa.RecordBatch.from_arrays([*arrays, pa.array(counts, pa.int32())], names=names)
 
-    return (joined.select(*docs.columns, "_spans").mapInArrow(run, schema)
+    return (joined.select(*docs.columns, places).mapInArrow(run, schema)
             .unionByName(docs.where(~may).withColumn("replaced", F.lit(0))))

@@ -89,3 +89,13 @@ def test_nulls_empty_texts_repeated_rows_and_empty_table(spark, docs_of):
 def test_registered_query(spark):
     rows = [(r.doc_id, r.text) for r in table(spark, SF, "documents").collect()]
     assert got(QUERIES["op8_chosen_path_join"](spark, SF)) == brute(rows)
+
+
+def test_internal_names_clash_with_no_column(spark):
+    extra = ("_t", "_id0", "id0", "t", "node", "least", "links", "class_id0")
+    text = "one two three four five six seven"
+    df = spark.createDataFrame([(1, text, *extra), (2, text, *extra), (3, "other words that stand here alone", *extra)],
+                               "doc_id long, text string, " + ", ".join(f"{c} string" for c in extra))
+    got = X.keep_first(df)
+    assert got.columns == df.columns
+    assert sorted((r.doc_id, *[r[c] for c in extra]) for r in got.collect()) == [(1, *extra), (3, *extra)]

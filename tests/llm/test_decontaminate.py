@@ -163,3 +163,12 @@ def test_registered_query_equals_search_for_whole_passages(spark):
     want = {(d.doc_id, i) for d in docs for i, t in flat.items() if t in " ".join(X.words(d.text))}
     got = {(r.doc_id, r.item_id) for r in QUERIES["op4_latent_decontamination"](spark, SF).collect()}
     assert want and got == want
+
+
+def test_clean_documents_keeps_columns_named_like_its_own(spark, fixture):
+    items, docs, leaks = fixture
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    bad = {d for d, _ in leaks}
+    rows = [(i, t, f"mine {i}", "id") for i, t in docs[:20]]
+    got = X.clean_documents(spark.createDataFrame(rows, "doc_id long, text string, _t string, item_id string"), bench).collect()
+    assert sorted((r.doc_id, r._t, r.item_id) for r in got) == sorted((i, f"mine {i}", "id") for i, _, _, _ in rows if i not in bad)

@@ -114,3 +114,11 @@ def test_registered_query_equals_brute_force_and_runs_no_python(spark):
     assert {r.doc_id: r.text for r in df.collect()} == brute([(r.doc_id, r.text) for r in docs.collect()])
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
+
+
+def test_internal_names_clash_with_no_column(spark):
+    extra = ("_gone", "_t", "_id0", "id0", "t", "pos", "line", "h1", "place", "near", "first")
+    df = spark.createDataFrame([(1, "a b", *extra), (2, "a b\nc", *extra)],
+                               "doc_id long, text string, " + ", ".join(f"{c} string" for c in extra))
+    got = sorted((r.doc_id, r.text, *[r[c] for c in extra]) for r in X.dedup_lines(df).collect())
+    assert got == [(1, "a b", *extra), (2, "c", *extra)]

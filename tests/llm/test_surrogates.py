@@ -94,3 +94,23 @@ def test_registered_query_equals_entity_by_entity_replacement(spark):
     assert len(new) == len(set(new)) and not set(new) & set(pairs)
     assert len(pairs) > 10
     assert spark.read.parquet(f"{SF}/documents.parquet").where(F.col("text").rlike(X.COARSE)).count() < len(docs)
+
+
+def test_digits_of_any_script_are_found_and_stay_in_it(spark):
+    wide = "４１１１ １１１１ １１１１ １１１１"
+    rows = [(1, "ring +٤٩ ١٢٣٤٥٦٧٨ now"), (2, f"card {wide}"), (3, "ip ١٠.٢٣.٤٥.٦٧ up"), (4, "IBAN DE٨٩ ٣٧٠٤ ٠٠٤٤ ٠٥٣٢ ٠١٣٠ ٠٠")]
+    got = {r.doc_id: r for r in X.replace_entities(spark.createDataFrame(rows, "doc_id long, text string"), KEY).collect()}
+    for i, text in rows:
+        found = X.mentions(text)
+        assert len(found) == 1 and got[i].replaced == 1 and found[0][3] not in got[i].text
+        assert sorted(c for c in got[i].text if c.isdecimal() and c.isascii()) == []
+    assert X.luhn("".join(str(int(c)) for c in got[2].text if c.isdecimal()))
+    assert X.mod97(got[4].text.removeprefix("IBAN ").replace(" ", "")) == 1
+
+
+def test_internal_names_clash_with_no_column(spark):
+    df = spark.createDataFrame([(1, "a@b.example", "t", 7, "s", "x", "y", "z")],
+                               "doc_id long, text string, _t string, _id0 int, _spans string, type string, value string, surrogate string")
+    r = X.replace_entities(df, KEY).first()
+    assert r.replaced == 1 and "a@b.example" not in r.text
+    assert (r._t, r._id0, r._spans, r.type, r.value, r.surrogate) == ("t", 7, "s", "x", "y", "z")
