@@ -13,7 +13,12 @@ Boilerplate (menus, headers and footers of the page, sidebars, notices, adverts,
 forms, scripts, styles, reader comments) is left out by tag, role or class name.
 A class name or id alone leaves out no element that holds the article: a main
 element, an article at least as long as what articles and main hold outside such
-elements, or most of the page's unlinked text.
+elements, or most of the page's unlinked text. Within an article or main element only whole names
+count (``related-posts``, not ``related-work``).
+
+A page is parsed in one pass: an open element carries what its children need, paths
+are numbered as a tree, and scores and flags are summed over it once, so deep or unclosed
+nesting costs no more than its length.
 
 Defined results: a NULL, empty or text-free page has the empty text; a URL
 without a host votes with the others that have none; the winning path of equal
@@ -24,15 +29,18 @@ votes is the deepest, then the first by name; repeated rows are alike; only
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SALTS = 64                  # parts that the pages of one host are dealt into
+from headway.llm.common import in_text_batches, stored
+
+PATHS_BYTES = 8 << 20       # of hosts and paths that are broadcast
+PAGES_A_PART = 20_000       # pages of a host that meet its path in one place, if they are too many to broadcast
 PASS_ON = 0.5               # share of a container's score that the one around it gets
 
 # Element names of HTML.
@@ -46,6 +54,7 @@ SKIP = frozenset("aside button dialog embed footer form head iframe menu nav nos
 CLOSES_P = BLOCK - {"caption", "tbody", "td", "tfoot", "th", "thead", "tr", "option", "legend", "summary", "html", "body"}
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"),
           "th": ("td", "th"), "option": ("option",)}
+LISTS, LISTED, CELLS = frozenset(("ul", "ol", "dl", "table")), ("li", "dt", "dd"), ("tr", "td", "th", "option")
 # Class, id and role names of what is not the article.
 NOISE = frozenset("ad ads advert advertisement adverts banner breadcrumb breadcrumbs comment comments commentlist consent "
                   "contentinfo cookie cookies copyright disclaimer disqus footer header masthead menu nav navbar navigation "
@@ -53,18 +62,32 @@ NOISE = frozenset("ad ads advert advertisement adverts banner breadcrumb breadcr
                   "sidebar signup social sponsor sponsored subscribe toolbar widget".split())
 TALK = frozenset("comment comments commentlist disqus replies respond".split())
 MODIFIERS = frozenset("has no non with without".split())      # first parts of names that tell of a page's layout
+#: Parts of names that only tell of layout; with a word above they still name what is not the article.
+LAYOUT = frozenset("area article articles bar block body bottom box button buttons column container content form group "
+                   "icon icons inner item items left link links list main module outer overlay panel post posts primary row "
+                   "section slot stories story this title top unit widget wrap wrapper".split())
+FOREIGN = frozenset(("svg", "math"))
 NAME = re.compile(r"[a-z]+")
 MOST = 0.5                  # share of a page's unlinked text that no class name alone leaves out
 MOST_TALK = 0.9             # the same for names of reader comments, which may be longer than the article
 
 
-def named(attrs: list[tuple[str, str | None]], kinds: tuple[str, ...], names: frozenset[str]) -> bool:
-    """Whether an attribute of those kinds has a name that begins or ends with one of the words."""
+def named(attrs: list[tuple[str, str | None]], kinds: tuple[str, ...], names: frozenset[str], whole: bool = False) -> bool:
+    """Whether an attribute of those kinds has a name that begins or ends with one of the words.
+
+    With ``whole``, as within an article, all parts of the name must be such words or tell of
+    layout: ``related-posts``, but not ``related-work``.
+    """
     for name, value in attrs:
         if name in kinds and value:
             for word in value.lower().split():
                 parts = NAME.findall(word)
-                if parts and parts[0] not in MODIFIERS and (word in names or parts[0] in names or parts[-1] in names):
+                if not parts or parts[0] in MODIFIERS:
+                    continue
+                if whole:
+                    if any(x in names for x in parts) and all(x in NOISE or x in LAYOUT for x in parts):
+                        return True
+                elif word in names or parts[0] in names or parts[-1] in names:
                     return True
     return False
 
@@ -76,181 +99,280 @@ def hidden(attrs: list[tuple[str, str | None]]) -> bool:
 class Noise:
     """An element whose class or id names what is not the article; its text decides in the end."""
 
-    def __init__(self, talk: bool, main: bool, article: bool) -> None:
-        self.talk, self.main, self.article, self.text = talk, main, article, 0
+    __slots__ = ("around", "talk", "main", "article", "holds", "text")
+
+    def __init__(self, around: Noise | None, talk: bool, main: bool, article: bool) -> None:
+        self.around, self.talk, self.main, self.article, self.text = around, talk, main, article, 0
+        self.holds = article and not talk                   # an article that those around it hold, too
 
 
 def unlinked(text: str, linked: int) -> int:
     return max(0, len(text) - linked)
 
 
+class Open:
+    """An open element with what its children need to know, so that none looks up the others."""
+
+    __slots__ = ("tag", "path", "container", "skipped", "noise", "inside", "article", "link", "foreign", "near")
+
+    def __init__(self, tag: str, path: int, container: int, skipped: bool, noise: Noise | None, inside: bool, article: bool,
+                 link: bool, foreign: bool, near: dict[str, int]) -> None:
+        self.tag, self.path, self.container, self.skipped, self.noise = tag, path, container, skipped, noise
+        self.inside, self.article, self.link, self.foreign, self.near = inside, article, link, foreign, near
+
+
+ROOT = Open("", 0, 0, False, None, False, False, False, False, {})
+
+
+class Paths:
+    """Generalised paths as a tree: each has a number, its parent's number, and its last step."""
+
+    def __init__(self) -> None:
+        self.number: dict[tuple[int, str], int] = {}
+        self.parent, self.step, self.container, self.depth = [0], [""], [0], [0]
+
+    def below(self, parent: int, step: str, container: int) -> int:
+        got = self.number.get((parent, step))
+        if got is None:
+            got = self.number[parent, step] = len(self.parent)
+            self.parent.append(parent)
+            self.step.append(step)
+            self.container.append(got if tag_of(step) in CONTAINER else container)
+            self.depth.append(self.depth[parent] + 1)
+        return got
+
+    def find(self, text: str) -> int | None:
+        """Number of a path given as text."""
+        at = 0
+        for step in text.split(">")[1:]:
+            at = self.number.get((at, step), -1)
+            if at < 0:
+                return None
+        return at
+
+    def text(self, path: int) -> str:
+        steps = []
+        while path:
+            steps.append(self.step[path])
+            path = self.parent[path]
+        return "".join(">" + x for x in reversed(steps))
+
+    def nearest(self, chosen: list[int]) -> list[int]:
+        """For each path, the chosen one that it is or lies below (0: none); parents have smaller numbers."""
+        out = [0] * len(self.parent)
+        for c in chosen:
+            out[c] = c
+        for p in range(1, len(out)):
+            out[p] = out[p] or out[self.parent[p]]
+        return out
+
+
 class Blocks(HTMLParser):
-    """Collects (container path, text, characters in links, named noise around, in an article) of each block of a page."""
+    """Collects (container's path, text, characters in links) of each block of a page, in time linear in its length."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, str, bool]] = []        # tag, path, skipped
-        self.noise: list[tuple[Noise, ...]] = []           # named noise around each open element
-        self.found: list[tuple[str, str, int, tuple[Noise, ...], bool]] = []
-        self.text: list[str] = []
+        self.paths = Paths()
+        self.open: list[Open] = []
+        self.tags: Counter[str] = Counter()                # of the open elements
+        self.noises: list[Noise] = []
+        self.found: list[tuple[int, str, int, Noise | None, bool]] = []
+        self.buffer: list[str] = []
         self.linked = 0
 
+    @property
+    def last(self) -> Open:
+        return self.open[-1] if self.open else ROOT
+
     def flush(self) -> None:
-        text = " ".join("".join(self.text).split())
+        text = " ".join("".join(self.buffer).split())
         if text:
-            path = next((p for t, p, _ in reversed(self.open) if t in CONTAINER), "")
-            inside = any(t in ("article", "main") for t, _, _ in self.open)
-            around = self.noise[len(self.open) - 1] if self.open else ()
-            self.found.append((path, text, self.linked, around, inside))
-            for n in around:
-                n.text += unlinked(text, self.linked)
-        self.text, self.linked = [], 0
-
-    def pop(self, tags: tuple[str, ...], until: frozenset[str]) -> None:
-        """Close the innermost of the tags, if it is open within ``until``."""
-        for i in range(len(self.open) - 1, -1, -1):
-            if self.open[i][0] in tags:
-                self.flush()
-                del self.open[i:], self.noise[i:]
-                return
-            if self.open[i][0] in until:
-                return
+            at = self.last
+            self.found.append((at.container, text, self.linked, at.noise, at.inside))
+            if at.noise is not None:
+                at.noise.text += unlinked(text, self.linked)
+        self.buffer, self.linked = [], 0
+
+    def cut(self, length: int) -> None:
+        for e in self.open[length:]:
+            self.tags[e.tag] -= 1
+        del self.open[length:]
+
+    def pop(self, tags: tuple[str, ...]) -> None:
+        """Close the innermost of the tags within its bounds."""
+        near = self.last.near
+        at = max((near[t] for t in tags if t in near), default=-1)
+        if at >= 0:
+            self.flush()
+            self.cut(at)
+
+    def near_of(self, tag: str) -> dict[str, int]:
+        """Places of the innermost open elements that a later tag closes; a container or list bounds them."""
+        near = self.last.near
+        gone = (("p",) if tag in CONTAINER else ()) + (LISTED if tag in LISTS else ()) + (CELLS if tag == "table" else ())
+        if any(t in near for t in gone):
+            near = {t: i for t, i in near.items() if t not in gone}
+        if tag == "p" or tag in CLOSES:
+            near = near | {tag: len(self.open)}
+        return near
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag in VOID:
             if tag == "hr":
                 self.flush()
             elif tag in ("br", "wbr"):
-                self.text.append(" " if tag == "br" else "")
+                self.buffer.append(" " if tag == "br" else "")
             return
         if tag in CLOSES_P:
-            self.pop(("p",), CONTAINER)
+            self.pop(("p",))
         if tag in CLOSES:
-            self.pop(CLOSES[tag], frozenset(("ul", "ol", "dl", "table")) if tag in ("li", "dt", "dd") else frozenset(("table",)))
+            self.pop(CLOSES[tag])
         if tag in BLOCK:
             self.flush()
-        skipped = bool(self.open and self.open[-1][2]) or tag in SKIP or tag not in ("html", "body") and (
-            hidden(attrs) or named(attrs, ("role",) if tag in BLOCK else ("class", "id", "role"), NOISE))
-        if tag == "header" and not any(t in ("article", "main") for t, _, _ in self.open):
+        around = self.last
+        skipped = around.skipped or tag in SKIP or tag not in ("html", "body") and (
+            hidden(attrs) or named(attrs, ("role",) if tag in BLOCK else ("class", "id", "role"), NOISE, around.inside))
+        if tag == "header" and not around.inside:
             skipped = True
-        names = [re.sub(r"\d+", "", c) for n, v in attrs if n == "class" for c in (v or "").lower().split()]
-        path = (self.open[-1][1] if self.open else "") + ">" + ".".join([tag, *sorted(n for n in names if n)])
-        around = self.noise[-1] if self.noise else ()
+        names = [re.sub(r"\d+", "", c).replace(">", "") for n, v in attrs if n == "class" for c in (v or "").lower().split()]
+        path = self.paths.below(around.path, ".".join([tag, *sorted(n for n in names if n)]), around.container)
+        noise = around.noise
         if not skipped:
-            talk = named(attrs, ("class", "id"), TALK)
-            outermost = tag == "article" and not any(t == "article" for t, _, _ in self.open)
-            for n in around:
-                n.main |= tag == "main"
-                n.article |= outermost and not talk
-            if tag not in ("html", "body") and named(attrs, ("class", "id"), NOISE):
-                around = (*around, Noise(talk, tag == "main", outermost))
-        self.open.append((tag, path, skipped))
-        self.noise.append(around)
+            talk = named(attrs, ("class", "id"), TALK, around.inside)
+            outermost = tag == "article" and not around.article
+            if noise is not None:                           # it holds them; so do those around it, see blocks()
+                noise.main |= tag == "main"
+                noise.article |= outermost and not talk
+                noise.holds |= outermost and not talk
+            if tag not in ("html", "body") and named(attrs, ("class", "id"), NOISE, around.inside):
+                noise = Noise(noise, talk, tag == "main", outermost)
+                self.noises.append(noise)
+        self.open.append(Open(
+            tag, path, self.paths.container[path], skipped, noise, around.inside or tag in ("article", "main"),
+            around.article or tag == "article", around.link or tag == "a", around.foreign or tag in FOREIGN, self.near_of(tag)))
+        self.tags[tag] += 1
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
-        self.handle_starttag(tag, attrs)
+        # only drawings and formulas have elements that end at once; elsewhere the slash means nothing
+        if not (tag in FOREIGN or self.last.foreign):
+            self.handle_starttag(tag, attrs)
 
     def handle_endtag(self, tag: str) -> None:
-        if any(t == tag for t, _, _ in self.open):
+        if self.tags[tag]:
             if tag in BLOCK:
                 self.flush()
-            while self.open.pop()[0] != tag:
-                pass
-            del self.noise[len(self.open):]
+            at = len(self.open) - 1
+            while self.open[at].tag != tag:
+                at -= 1
+            self.cut(at)
 
     def handle_data(self, data: str) -> None:
-        if not (self.open and self.open[-1][2]):
-            self.text.append(data)
-            if any(t == "a" for t, _, _ in self.open):
+        at = self.last
+        if not at.skipped:
+            self.buffer.append(data)
+            if at.link:
                 self.linked += len(data.strip())
 
-
-    def blocks(self) -> list[tuple[str, str, int]]:
+    def blocks(self) -> list[tuple[int, str, int]]:
         """The blocks outside named noise, but for noise that holds the article."""
+        for n in reversed(self.noises):                     # inner ones first: what they hold, those around hold too
+            if n.around is not None:
+                n.around.text += n.text
+                n.around.main |= n.main
+                n.around.article |= n.holds
+                n.around.holds |= n.holds
+        only_main = {None: True}                            # whether all around hold a main element
+        for n in self.noises:
+            only_main[n] = n.main and only_main[n.around]
         total = sum(unlinked(t, n) for _, t, n, _, _ in self.found)
-        clean = sum(unlinked(t, n) for _, t, n, around, inside in self.found if inside and all(x.main for x in around))
-
-        def kept(n: Noise) -> bool:
-            return (n.main or n.article and (not clean or n.text >= clean and not n.talk)
-                    or n.text > total * (MOST_TALK if n.talk else MOST))
-
-        return [(path, text, linked) for path, text, linked, around, _ in self.found if all(kept(n) for n in around)]
-
-
-def page_blocks(html: str | None) -> list[tuple[str, str, int]]:
-    if not html:
-        return []
-    parser = Blocks()
-    parser.feed(html)
-    parser.close()
-    parser.flush()
-    return parser.blocks()
-
-
-def container_scores(blocks: list[tuple[str, str, int]]) -> dict[str, float]:
-    """Score of each container path: its text outside links, and half of what its containers pass on."""
-    own: dict[str, float] = {}
-    for path, text, linked in blocks:
-        gain = float(max(0, len(text) - 2 * linked))
-        while path:
-            own[path] = own.get(path, 0.0) + gain
-            gain *= PASS_ON
-            path = parent(path)
-    return own
-
-
-def parent(path: str) -> str:
-    """The path of the container around, empty for none."""
-    path = path.rpartition(">")[0]
-    while path and path.rpartition(">")[2].split(".")[0] not in CONTAINER:
-        path = path.rpartition(">")[0]
-    return path
-
-
-def best_path(blocks: list[tuple[str, str, int]]) -> tuple[str, float] | None:
-    scores = container_scores(blocks)
-    return min(scores.items(), key=lambda x: (-x[1], -x[0].count(">"), x[0])) if scores else None
-
-
-def is_below(own: str, path: str) -> bool:
-    return own == path or own.startswith(path + ">")
-
-
-def tag_of(path: str) -> str:
-    return path.rpartition(">")[2].split(".")[0]
-
-
-def widened(blocks: list[tuple[str, str, int]], path: str) -> str:
-    """The outermost article around the path, else main, else the widest container below the body that adds no links."""
-    around = [path]
-    while around[-1]:
-        around.append(parent(around[-1]))
-    for tag in ("article", "main"):
-        if found := [p for p in around if tag_of(p) == tag]:
-            return found[-1]
-    widest = path
-    for p in around[1:-1]:
-        added = [(text, linked) for own, text, linked in blocks if is_below(own, p) and not is_below(own, path)]
-        if tag_of(p) == "body" or any(2 * linked > len(text) for text, linked in added):
-            break
-        widest = p
-    return widest
+        clean = sum(unlinked(t, n) for _, t, n, around, inside in self.found if inside and only_main[around])
+        kept = {None: True}
+        for n in self.noises:
+            kept[n] = kept[n.around] and (
+                n.main or n.article and (not clean or n.text >= clean and not n.talk)
+                or n.text > total * (MOST_TALK if n.talk else MOST))
+        return [(path, text, linked) for path, text, linked, around, _ in self.found if kept[around]]
+
+
+class Page:
+    """The blocks of a page and the tree of their paths."""
+
+    def __init__(self, html: str | None):
+        parser = Blocks()
+        if html:
+            parser.feed(html)
+            parser.close()
+            parser.flush()
+        self.paths, self.blocks = parser.paths, parser.blocks()
+
+    def scores(self) -> list[float]:
+        """Score of each container's path: its text outside links, and half of what its containers pass on."""
+        own = [0.0] * len(self.paths.parent)
+        for path, text, linked in self.blocks:
+            own[path] += max(0, len(text) - 2 * linked)
+        for p in range(len(own) - 1, 0, -1):
+            if own[p] and self.paths.container[p] == p:
+                own[self.around(p)] += PASS_ON * own[p]
+        return own
+
+    def around(self, path: int) -> int:
+        """The container around a path, 0 for none."""
+        return self.paths.container[self.paths.parent[path]]
+
+    def best(self) -> int | None:
+        """The path of the highest score, then the deepest, then the first by name; None without any container."""
+        own, held = self.scores(), set()
+        for path, _, _ in self.blocks:
+            while path and path not in held:
+                held.add(path)
+                path = self.around(path)
+        most = max((own[p] for p in held), default=None)
+        if most is None:
+            return None
+        ties = [p for p in held if own[p] == most]
+        deepest = max(self.paths.depth[p] for p in ties)
+        return min((p for p in ties if self.paths.depth[p] == deepest), key=self.paths.text)
+
+    def below(self, path: int) -> list[str]:
+        nearest = self.paths.nearest([path])
+        return [text for own, text, _ in self.blocks if nearest[own]]
+
+    def widened(self, path: int) -> int:
+        """The outermost article around the path, else main, else the widest container below the body that adds no links."""
+        chain = [path]
+        while chain[-1]:
+            chain.append(self.around(chain[-1]))
+        for tag in ("article", "main"):
+            if found := [p for p in chain if tag_of(self.paths.step[p]) == tag]:
+                return found[-1]
+        nearest = self.paths.nearest(chain[:-1])
+        # the innermost container of the chain around each list of links
+        linked = {nearest[own] for own, text, n in self.blocks if 2 * n > len(text)}
+        widest = path
+        for p in chain[1:-1]:
+            if tag_of(self.paths.step[p]) == "body" or p in linked:
+                break
+            widest = p
+        return widest
+
+
+def tag_of(step: str) -> str:
+    return step.split(".")[0]
+
+
+def best_path(page: Page) -> tuple[str, float] | None:
+    """Text and score of a page's best path."""
+    best = page.best()
+    return None if best is None else (page.paths.text(best), page.scores()[best])
 
 
 def extract(html: str | None, path: str | None) -> str:
     """Text blocks below the widened path, or below the page's own best path if it has none below the path."""
-    blocks = page_blocks(html)
-
-    def below(p: str) -> list[str]:
-        return [t for own, t, _ in blocks if is_below(own, p)]
-
-    found = below(path) if path else []
-    if found:
-        found = below(widened(blocks, path))
-    elif blocks:
-        best = best_path(blocks)
-        found = below(widened(blocks, best[0])) if best else [t for _, t, _ in blocks]
-    return "\n\n".join(found)
+    page = Page(html)
+    at = page.paths.find(path) if path else None
+    if not at or not page.below(at):
+        at = page.best()
+    return "\n\n".join(page.below(page.widened(at)) if at else [t for _, t, _ in page.blocks])
 
 
 def host_of(url: Column) -> Column:
@@ -260,28 +382,40 @@ def host_of(url: Column) -> Column:
 def votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(host, path, score) of each page's best container."""
     for batch in batches:
-        rows = [(h, best_path(page_blocks(p.as_py()))) for h, p in zip(batch.column(0).to_pylist(), batch.column(1))]
+        rows = [(h, best_path(Page(p.as_py()))) for h, p in zip(batch.column(0).to_pylist(), batch.column(1))]
         rows = [(h, *b) for h, b in rows if b]
-        yield pa.RecordBatch.from_pandas(pd.DataFrame(rows, columns=["host", "path", "score"]).astype(
-            {"host": str, "path": str, "score": float}), preserve_index=False,
-            schema=pa.schema([("host", pa.string()), ("path", pa.string()), ("score", pa.float64())]))
+        yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(
+            list(zip(*rows)) or [()] * 3, (pa.string(), pa.string(), pa.float64()))], names=["host", "path", "score"])
 
 
 def host_paths(pages: DataFrame) -> DataFrame:
-    """(host, path): the container path with the most pages' votes, then the most text, of each host."""
+    """(host, path, n): the container path with the most pages' votes, then the most text, of each host; all its votes."""
     counted = (pages.select(host_of(F.col("url")).alias("host"), "html").mapInArrow(votes, "host string, path string, score double")
                .groupBy("host", "path").agg(F.count("*").alias("n"), F.sum(F.floor("score")).alias("score")))
     depth = F.size(F.split("path", ">"))
     return counted.groupBy("host").agg(
-        F.min(F.struct(-F.col("n"), -F.col("score"), -depth, "path")).alias("best")).select("host", F.col("best.path").alias("path"))
+        F.min(F.struct(-F.col("n"), -F.col("score"), -depth, "path")).alias("best"), F.sum("n").alias("n")).select(
+        "host", F.col("best.path").alias("path"), "n")
 
 
 def main_text(pages: DataFrame) -> DataFrame:
-    """(page_id, url, text) of each page."""
-    # the pages of a large host are dealt into salts, each with its own copy of the host's path
-    paths = host_paths(pages).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    salted = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host"),
-                          F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS)).cast("int").alias("salt"))
+    """(page_id, url, text) of each page.
+
+    The hosts' paths are measured first: up to PATHS_BYTES they are broadcast and no page is moved;
+    more are joined, with the pages of each host dealt into as many parts as the largest host asks for.
+    """
+    pages = in_text_batches(pages)
+    paths = stored(host_paths(pages), "html-paths")
+    size, most = paths.agg(F.coalesce(F.sum(F.length("host") + F.length("path") + 64), F.lit(0)),
+                           F.coalesce(F.max("n"), F.lit(0))).first()
+    hosts = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host"))
+    if size <= PATHS_BYTES:
+        joined = hosts.join(F.broadcast(paths.select("host", "path")), "host", "left")
+    else:
+        parts = -(-most // PAGES_A_PART)
+        dealt = paths.select("host", "path", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"))
+        joined = hosts.withColumn("part", F.pmod(F.xxhash64("page_id", "url"), F.lit(parts)).cast("int")).join(
+            dealt, ["host", "part"], "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -290,5 +424,4 @@ def main_text(pages: DataFrame) -> DataFrame:
                                              names=["page_id", "url", "text"])
 
     kind = pages.schema["page_id"].dataType.simpleString()
-    return (salted.join(paths, ["host", "salt"], "left").select("page_id", "url", "html", "path")
-            .mapInArrow(run, f"page_id {kind}, url string, text string"))
+    return joined.select("page_id", "url", "html", "path").mapInArrow(run, f"page_id {kind}, url string, text string")

@@ -1,5 +1,6 @@
 import html
 import re
+import time
 
 from headway.llm import html_text as X
 from headway.llm.common import table
@@ -36,7 +37,7 @@ def test_own_best_path_is_used_without_the_hosts_path():
 
 def test_link_lists_score_nothing():
     page = "<body><div class=a><p>" + "words " * 40 + "</div><div class=b>" + "<p><a href=x>" + "words " * 90 + "</a></div>"
-    assert X.best_path(X.page_blocks(page))[0] == ">body>div.a"
+    assert X.best_path(X.Page(page))[0] == ">body>div.a"
 
 
 def test_layout_classes_leave_no_article_out():
@@ -63,7 +64,7 @@ def test_winning_path_is_widened_to_the_article():
                        (f"<main><article class=post>{inner}</article>{links}</main>", ">body>main>article.post>div.body"),
                        (f"<div class=wrap><div class=post>{inner}</div>{links}</div>", ">body>div.wrap>div.post>div.body")):
         page = "<body>" + page
-        assert X.best_path(X.page_blocks(page))[0] == path
+        assert X.best_path(X.Page(page))[0] == path
         assert X.extract(page, path) == X.extract(page, None) == want
 
 
@@ -94,3 +95,39 @@ def test_registered_query(spark):
     for p in pages:
         assert got[p.page_id].text == plain(p.html) and got[p.page_id].n_chars == len(plain(p.html))
         assert got[p.page_id].url == p.url
+
+
+def test_names_within_an_article_count_whole():
+    page = ("<body><article><h1>T</h1><h2 id=related-work>Related work</h2><p>One</p><section class='notice-of-appeal'><p>Two</p>"
+            "</section><p class='social-proof'>Three</p><div class='related-posts'><p>teaser</p></div><div id=ad-slot-3>Buy</div>"
+            "<div class='share-buttons'>Share</div><div class='comment-list'><p>First!</div><aside>x</aside></article>")
+    assert X.extract(page, None) == "T\n\nRelated work\n\nOne\n\nTwo\n\nThree"
+
+
+def test_drawings_that_end_at_once():
+    assert X.extract("<article><p>a<svg/>b <svg class=x><path d=1 /><text>no</text></svg>c<math/>d</p><p>e</article>", None) == \
+        "ab cd\n\ne"
+
+
+def test_deep_unclosed_and_stray_tags_take_linear_time():
+    def seconds(page):
+        t = time.process_time()
+        X.extract(page, ">html>body>div.c")
+        return time.process_time() - t
+
+    shapes = [lambda n: "<div class=c><p>word" * n, lambda n: "<div>" * n, lambda n: "<span class=ad>" * n + "x",
+              lambda n: "<b>" * n + "<p>x</p>" * n, lambda n: "<div>" * n + "</x></p></li>" * n,
+              lambda n: "<ul><li>" * n + "x</ul>" * n, lambda n: "<div class=sidebar><p>t" * n, lambda n: "<table><tr><td>x" * n,
+              lambda n: "".join(f"<div class=c{'x' * (i % 7)}><p>w" for i in range(n)), lambda n: "<section class=related><article>x" * n]
+    for shape in shapes:
+        assert seconds(shape(20_000)) < 4, shape(2)
+    assert X.extract("<div class=c><p>word" * 3000, None).count("word") == 3000
+
+
+def test_paths_too_large_to_broadcast_are_joined(spark, monkeypatch):
+    rows = [(i, f"https://h{i % 3}.example/{i}", f"<body><div class=main><p>text {i} " + "x " * 30) for i in range(60)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    want = sorted(map(tuple, X.main_text(pages).collect()))
+    monkeypatch.setattr(X, "PATHS_BYTES", 0)
+    monkeypatch.setattr(X, "PAGES_A_PART", 4)
+    assert sorted(map(tuple, X.main_text(pages).collect())) == want and len(want) == 60
