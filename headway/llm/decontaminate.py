@@ -5,18 +5,20 @@ over the whole corpus; a distributed randomised SVD (range finder with power
 iterations, partial products summed by Spark) gives their latent space. Every
 document is cut into half-overlapping windows, each window is projected, and its
 cosine with every benchmark passage picks candidates. Each of them is decided on
-the words around its own window: the longest common subsequence must hold
-``SURE`` of the passage's words, or ``PARAPHRASE`` of them if the answer (the
-passage's own answer column, else its last third) is there as well. Windows after
-the one of highest cosine must hold that within a window's and the passage's length
-together: over more words, common ones make short passages up by chance. A document
-and passage are reported once, with the window of the longest subsequence.
+the stretches of a window's and the passage's length around its own window: in one of
+them the longest common subsequence must hold ``SURE`` of the passage's words, or
+``PARAPHRASE`` of them if the answer (the passage's own answer column, else its last
+third) is there as well. Over more words, common ones make short passages up by
+chance. The same rule holds for every window; a document and passage are reported once, with the
+window of the longest subsequence.
 
 A benchmark over ``BLOCK_ITEMS`` passages is worked off in blocks, each with its
-own space, so what is broadcast is bounded by a block, not by the corpus.
+own space, and ``GROUP_BLOCKS`` of them are searched in one pass over the documents, so what a
+task holds is bounded, and the words of all are counted in one pass.
 
-Defined results: a NULL or empty text is never contaminated, nor does a passage
-of fewer than ``MIN_WORDS`` words match anything; repeated rows are judged alike;
+Defined results: a NULL or empty text is never contaminated; a passage
+of fewer than ``MIN_WORDS`` words matches where its words stand in a row (as a common
+word does nearly everywhere), one without words nowhere; repeated rows are judged alike;
 a NULL id is kept as such; extra columns take no part.
 """
 
@@ -46,6 +48,7 @@ PARAPHRASE = 0.6
 ANSWER = 0.5
 MIN_WORDS = 8
 BLOCK_ITEMS = 2_000
+GROUP_BLOCKS = 8            # blocks that one pass over the documents searches
 DOCS_AT_ONCE = 200
 
 WORD = re.compile(r"\w+")
@@ -177,12 +180,12 @@ class Space:
                 if self.overlap(i, present) < PARAPHRASE * len(self.item[i]):
                     continue
                 best = (0.0, 0.0, 0.0)
-                for k, (cosine, at) in enumerate(sorted(at_cosine)):
+                for cosine, at in at_cosine:
                     lcs, answer, bad = self.decide(docs[d], i, at)
-                    if bad and k and (lcs, answer, -cosine) > best:
+                    if bad and (lcs, answer, -cosine) > best:
                         bad, lcs, answer = self.decide_compact(docs[d], i, at)
-                    if bad:
-                        best = max(best, (lcs, answer, -cosine))
+                        if bad:
+                            best = max(best, (lcs, answer, -cosine))
                 if best[0]:
                     out.append((d, i, best[2], *best[:2]))
         return out
@@ -192,7 +195,7 @@ class Space:
         return sum([k for x, k in self.count[i].items() if x in present])
 
     def decide(self, doc: np.ndarray, i: int, at: int) -> tuple[float, float, bool]:
-        """Shares of the passage and of its answer found around the window, and the verdict."""
+        """Shares of the passage and of its answer found anywhere near the window: at least those of any stretch."""
         n = len(self.item[i])
         return self.judge(i, doc[max(0, at - n):at + WINDOW + n])
 
@@ -216,50 +219,84 @@ class Space:
         return lcs, answer, n >= MIN_WORDS and (lcs >= SURE or (lcs >= PARAPHRASE and answer >= ANSWER))
 
 
-def block_matches(docs: DataFrame, items: DataFrame, id_col: str, text_col: str, item_col: str) -> DataFrame:
-    """(document id, item id, cosine, lcs, answer) for one block of the benchmark."""
-    rows = [(r.item_id, r.text, r.answer) for r in items.collect()]       # at most BLOCK_ITEMS rows
-    vocabulary = frozenset(w for _, t, _ in rows for w in words(t))
-    frequency, n = document_frequencies(docs, text_col, vocabulary)
-    ids = {w: i for i, w in enumerate(sorted(vocabulary))}
-    idf = np.array([np.log((n + 1) / (frequency.get(w, 0) + 1)) + 0.01 for w in sorted(vocabulary)])
-    terms = randomised_svd(items, ids, idf, min(RANK, len(rows), len(ids)))
-    known = docs.sparkSession.sparkContext.broadcast(Space(rows, ids, idf, terms))
+class Runs:
+    """Passages of fewer than MIN_WORDS words, which count as found where their words stand in a row."""
+
+    def __init__(self, items: list[tuple[int, str]]):
+        self.item_id: dict[tuple[str, ...], list[int]] = {}
+        for i, text in items:
+            self.item_id.setdefault(tuple(words(text)), []).append(i)
+        self.sizes = sorted({len(run) for run in self.item_id})
+
+    def found(self, text: list[str]) -> list[int]:
+        hit: set[tuple[str, ...]] = set()
+        for n in self.sizes:
+            hit.update(run for run in zip(*[text[k:] for k in range(n)]) if run in self.item_id)
+        return [i for run in hit for i in self.item_id[run]]
+
+
+def block_space(items: DataFrame, frequency: dict[str, int], n: int) -> Space:
+    """The latent space of one block of the benchmark."""
+    rows = [(r.item_id, r.text, r.answer) for r in items.collect()]       # about BLOCK_ITEMS rows
+    vocabulary = sorted({w for _, t, _ in rows for w in words(t)})
+    ids = {w: i for i, w in enumerate(vocabulary)}
+    idf = np.array([np.log((n + 1) / (frequency.get(w, 0) + 1)) + 0.01 for w in vocabulary])
+    return Space(rows, ids, idf, randomised_svd(items, ids, idf, min(RANK, len(rows), len(ids))))
+
+
+def search(docs: DataFrame, spaces: list[Space], runs: Runs, id_col: str, text_col: str, item_col: str) -> DataFrame:
+    """(document id, item id, cosine, lcs, answer): one pass over the documents for several blocks."""
+    known = docs.sparkSession.sparkContext.broadcast((spaces, runs))
     id_type = docs.schema[id_col].dataType.simpleString()
-    item_type = items.schema["item_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        space = known.value
+        spaces, runs = known.value
         for batch in batches:
             for at in range(0, batch.num_rows, DOCS_AT_ONCE):
                 part = batch.slice(at, DOCS_AT_ONCE)
-                get = space.ids.get
-                texts = [np.array([get(w, -1) for w in words(t.as_py())], np.int64) for t in part.column(1)]
-                out = [(part.column(0)[d].as_py(), space.item_id[i], *scores) for d, i, *scores in space.found(texts)]
+                split = [words(t.as_py()) for t in part.column(1)]
+                out = []
+                for space in spaces:
+                    get = space.ids.get
+                    texts = [np.array([get(w, -1) for w in text], np.int64) for text in split]
+                    out += [(part.column(0)[d].as_py(), space.item_id[i], *scores) for d, i, *scores in space.found(texts)]
+                if runs.sizes:
+                    out += [(part.column(0)[d].as_py(), i, 1.0, 1.0, 1.0) for d, text in enumerate(split) for i in runs.found(text)]
                 cols = list(zip(*out)) if out else [[]] * 5
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(cols[0], part.schema.field(0).type), pa.array(cols[1], pa.int64()),
                      *[pa.array(c, pa.float64()) for c in cols[2:]]],
                     names=[id_col, item_col, "cosine", "lcs", "answer"])
 
-    return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {id_type}, `{item_col}` {item_type}, {FOUND}")
+    return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {id_type}, `{item_col}` long, {FOUND}")
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             item_col: str = "item_id", item_text: str = "text", answer_col: str | None = None) -> DataFrame:
-    """(document id, item id, cosine, lcs, answer) of every contaminated document and passage."""
+    """(document id, item id, cosine, lcs, answer) of every contaminated document and passage.
+
+    The words of all blocks are counted in one pass over the documents, and GROUP_BLOCKS blocks are
+    searched in one pass, which bounds what a task holds.
+    """
     items = benchmark.select(
         F.col(item_col).cast("long").alias("item_id"), F.col(item_text).alias("text"),
         (F.col(answer_col) if answer_col else F.lit(None)).cast("string").alias("answer"))
-    items = items.where(F.regexp_count("text", F.lit(r"[\p{L}\p{N}_]+")) >= MIN_WORDS)
+    size = F.regexp_count("text", F.lit(r"[\p{L}\p{N}_]+"))
+    short = Runs([(r.item_id, r.text) for r in items.where((size > 0) & (size < MIN_WORDS)).select("item_id", "text").collect()])
+    items = items.where(size >= MIN_WORDS)
     blocks = -(-items.count() // BLOCK_ITEMS)
-    if not blocks:
-        return docs.select(id_col, F.lit(None).cast("long").alias(item_col),
-                           *[F.lit(None).cast("double").alias(c) for c in ("cosine", "lcs", "answer")]).limit(0)
-    mine = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))
     # hashed blocks vary in size; a few more of them keep each near the bound
-    return reduce(DataFrame.unionByName, [block_matches(docs, items.where(mine == b), id_col, text_col, item_col)
-                                          for b in range(blocks)])
+    mine = F.pmod(F.xxhash64("item_id", "text"), F.lit(max(1, blocks)))
+    if blocks:
+        text_words = items.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}\p{N}_]+"), F.lit(0))).alias("w"))
+        vocabulary = frozenset(r.w for r in text_words.distinct().collect())      # of the benchmark
+        frequency, n = document_frequencies(docs, text_col, vocabulary)
+    out = []
+    for first in range(0, max(1, blocks), GROUP_BLOCKS):
+        spaces = [block_space(items.where(mine == b), frequency, n) for b in range(first, min(blocks, first + GROUP_BLOCKS))
+                  if not items.where(mine == b).isEmpty()]
+        out.append(search(docs, spaces, short if first == 0 else Runs([]), id_col, text_col, item_col))
+    return reduce(DataFrame.unionByName, out)
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:

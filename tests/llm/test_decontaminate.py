@@ -172,3 +172,39 @@ def test_clean_documents_keeps_columns_named_like_its_own(spark, fixture):
     rows = [(i, t, f"mine {i}", "id") for i, t in docs[:20]]
     got = X.clean_documents(spark.createDataFrame(rows, "doc_id long, text string, _t string, item_id string"), bench).collect()
     assert sorted((r.doc_id, r._t, r.item_id) for r in got) == sorted((i, f"mine {i}", "id") for i, _, _, _ in rows if i not in bad)
+
+
+def test_one_rule_holds_for_every_window(spark, docs_of, fixture):
+    """A leak's verdict does not depend on what else the document holds."""
+    rng = random.Random(9)
+    items = fixture[0]
+    w = items[0][1].split()
+    stretched = [x for k, word in enumerate(w) for x in ((word, *prose(rng, 2)) if k % 2 else (word,))]
+    far, nearer = prose(rng, 300), w[::-1] + w[::-1]
+    rows = [(1, stretched), (2, nearer + far + stretched), (3, stretched + far + nearer), (4, nearer + far)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {r.doc_id: r.lcs for r in X.matches(docs_of([(i, " ".join(t)) for i, t in rows]), bench).where("item_id = 0").collect()}
+    assert set(got) in ({1, 2, 3}, set()) and len(set(got.values())) <= 1
+
+
+def test_short_passages_are_found_as_runs(spark, docs_of):
+    bench = spark.createDataFrame([(1, "What is it?"), (2, "What is it?"), (3, "one"), (4, "!!"), (5, None), (6, "it what")],
+                                  "item_id long, text string")
+    docs = docs_of([(1, "so WHAT is, it"), (2, "what was is it"), (3, "One of them"), (4, None), (5, ""), (6, "is it what")])
+    got = sorted((r.doc_id, r.item_id, r.lcs) for r in X.matches(docs, bench).collect())
+    assert got == [(1, 1, 1.0), (1, 2, 1.0), (3, 3, 1.0), (6, 6, 1.0)]
+    assert sorted(r.doc_id for r in X.clean_documents(docs, bench).collect()) == [2, 4, 5]
+
+
+def test_many_blocks_are_searched_in_few_passes(spark, docs_of, fixture, monkeypatch):
+    items, docs, leaks = fixture
+    monkeypatch.setattr(X, "BLOCK_ITEMS", 5)
+    monkeypatch.setattr(X, "GROUP_BLOCKS", 3)
+    passes, one = [], X.search
+    monkeypatch.setattr(X, "search", lambda *a: passes.append(len(a[1])) or one(*a))
+    counted, count = [], X.document_frequencies
+    monkeypatch.setattr(X, "document_frequencies", lambda *a: counted.append(1) or count(*a))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = sorted((r.doc_id, r.item_id) for r in X.matches(docs_of(docs[:25]), bench).collect())
+    assert got == sorted(x for x in leaks if x[0] < 25)
+    assert len(counted) == 1 and len(passes) == -(-len(items) // 15) and max(passes) <= 3
