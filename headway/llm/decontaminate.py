@@ -28,7 +28,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from functools import reduce
-from itertools import groupby
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -50,6 +50,7 @@ MIN_WORDS = 8
 BLOCK_ITEMS = 2_000
 GROUP_BLOCKS = 8            # blocks that one pass over the documents searches
 DOCS_AT_ONCE = 200
+PAIRS_AT_ONCE = 20_000      # of documents and passages
 
 WORD = re.compile(r"\w+")
 FOUND = "cosine double, lcs double, answer double"
@@ -142,12 +143,18 @@ class Space:
         self.answer = [Counter([ids.get(w, -1) for w in words(a)]) if a and words(a) else Counter(x[-(-2 * len(x) // 3):])
                        for x, (_, _, a) in zip(self.item, items)]
         self.count = [Counter(x) for x in self.item]
+        self.size = np.array([len(x) for x in self.item])
+        # distinct words of each passage and how often it has them, filled up with the term of no word
+        self.own_word = np.full((len(items), max(map(len, self.count))), -1)
+        self.own_times = np.zeros(self.own_word.shape, np.float32)
+        for i, count in enumerate(self.count):
+            self.own_word[i, :len(count)], self.own_times[i, :len(count)] = list(count), list(count.values())
         self.term = np.vstack([terms * idf[:, None], np.zeros((1, terms.shape[1]))]).astype(np.float32)
         vectors = np.stack([weighted(t, ids, idf)[1] @ terms[weighted(t, ids, idf)[0]] for _, t, _ in items])
         self.vector = (vectors / np.maximum(1e-12, np.linalg.norm(vectors, axis=1, keepdims=True))).astype(np.float32)
 
-    def candidates(self, docs: list[np.ndarray]) -> Iterator[tuple[int, int, float, int]]:
-        """(document, passage, cosine, first word) of each window at the least cosine or above, by document."""
+    def candidates(self, docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Document, passage, cosine and first word of each window at the least cosine or above."""
         half = WINDOW // 2
         blocks = [max(1, -(-len(d) // half)) for d in docs]
         first = np.cumsum([0, *blocks])
@@ -166,29 +173,35 @@ class Space:
         cosine = (window / np.maximum(length, 1e-12)) @ self.vector.T
         w, item = np.nonzero(cosine >= MIN_COSINE)
         doc = np.searchsorted(first, w, "right") - 1
-        yield from zip(doc.tolist(), item.tolist(), cosine[w, item].tolist(), ((w - first[doc]) * half).tolist())
+        return doc, item, cosine[w, item], (w - first[doc]) * half
+
+    def possible(self, docs: list[np.ndarray], doc: np.ndarray, item: np.ndarray) -> np.ndarray:
+        """Whether each document holds enough of the passage's words at all, each as often as the passage does."""
+        present = np.zeros((len(docs), len(self.term)), np.float32)
+        for d, ids in enumerate(docs):
+            present[d, ids] = 1                         # the last term is no word of a passage
+        present[:, -1] = 0
+        out = np.empty(len(doc), bool)
+        for at in range(0, len(doc), PAIRS_AT_ONCE):
+            d, i = doc[at:at + PAIRS_AT_ONCE], item[at:at + PAIRS_AT_ONCE]
+            held = (present[d[:, None], self.own_word[i]] * self.own_times[i]).sum(1)
+            out[at:at + PAIRS_AT_ONCE] = held >= PARAPHRASE * self.size[i]
+        return out
 
     def found(self, docs: list[np.ndarray]) -> list[tuple[int, int, float, float, float]]:
         """(document, passage, cosine, lcs, answer) of the best accepted window of each document and passage."""
-        out = []
-        for d, own in groupby(self.candidates(docs), key=lambda x: x[0]):
-            present, windows = set(docs[d].tolist()), {}
-            for _, i, cosine, at in own:
-                windows.setdefault(i, []).append((-cosine, at))
-            for i, at_cosine in windows.items():
-                # no window holds more of the passage's words than the document
-                if self.overlap(i, present) < PARAPHRASE * len(self.item[i]):
-                    continue
-                best = (0.0, 0.0, 0.0)
-                for cosine, at in at_cosine:
-                    lcs, answer, bad = self.decide(docs[d], i, at)
-                    if bad and (lcs, answer, -cosine) > best:
-                        bad, lcs, answer = self.decide_compact(docs[d], i, at)
-                        if bad:
-                            best = max(best, (lcs, answer, -cosine))
-                if best[0]:
-                    out.append((d, i, best[2], *best[:2]))
-        return out
+        doc, item, cosine, at = self.candidates(docs)
+        pair, of = np.unique(doc * len(self.item) + item, return_inverse=True)
+        keep = self.possible(docs, pair // len(self.item), pair % len(self.item))[of]
+        best: dict[int, tuple[float, float, float]] = {}
+        for p, c, a in zip(pair[of[keep]].tolist(), cosine[keep].tolist(), at[keep].tolist()):
+            d, i = divmod(p, len(self.item))
+            lcs, answer, bad = self.decide(docs[d], i, a)
+            if bad and (lcs, answer, c) > best.get(p, (0.0, 0.0, 0.0)):
+                bad, lcs, answer = self.decide_compact(docs[d], i, a)
+                if bad:
+                    best[p] = max(best.get(p, (0.0, 0.0, 0.0)), (lcs, answer, c))
+        return [(*divmod(p, len(self.item)), c, lcs, answer) for p, (lcs, answer, c) in sorted(best.items()) if lcs]
 
     def overlap(self, i: int, present: set[int]) -> int:
         """Words of the passage that are among those present, each as often as it stands in the passage."""
@@ -258,7 +271,7 @@ def search(docs: DataFrame, spaces: list[Space], runs: Runs, id_col: str, text_c
                 out = []
                 for space in spaces:
                     get = space.ids.get
-                    texts = [np.array([get(w, -1) for w in text], np.int64) for text in split]
+                    texts = [np.fromiter(map(get, text, repeat(-1)), np.int64, len(text)) for text in split]
                     out += [(part.column(0)[d].as_py(), space.item_id[i], *scores) for d, i, *scores in space.found(texts)]
                 if runs.sizes:
                     out += [(part.column(0)[d].as_py(), i, 1.0, 1.0, 1.0) for d, text in enumerate(split) for i in runs.found(text)]
