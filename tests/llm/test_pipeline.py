@@ -64,4 +64,4 @@ def test_registered_without_sql():
     assert E.queries()["pipeline"] is P.run and P.ORACLE_SQL is None
     assert "pipeline" not in E.oracle_sql()
     ops = [n for n in E.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in ops) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in ops) == list(range(1, 14))
