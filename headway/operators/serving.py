@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from headway.functions import columns as C
@@ -33,26 +33,27 @@ def latest_per_route(speed_rows: DataFrame, as_of: datetime | None = None) -> Da
     return newest.select("route_id", *[F.col(f"r.{f}").alias(f) for f in fields])
 
 
-def _merge(speed: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
-    """Full outer merge with presence flags; verdict on the unrounded delta.
+def with_verdict(rows: DataFrame, has_speed: str = "has_speed", has_batch: str = "has_batch") -> DataFrame:
+    """Delta and verdict of rows with both sides' means and presence flags.
 
-    Presence is carried as a flag, not inferred from a NULL mean: a present
-    side whose mean is missing counts as 0, as in the reference.
+    Presence is a flag, not inferred from a NULL mean: a present side whose mean is
+    missing counts as 0, as in the reference. The verdict is on the unrounded delta.
     """
-    s = speed.withColumn("_has_speed", F.lit(True))
-    b = batch.withColumn("_has_batch", F.lit(True))
-    j = s.join(b, keys, "full")
-    has_s = F.coalesce(F.col("_has_speed"), F.lit(False))
-    has_b = F.coalesce(F.col("_has_batch"), F.lit(False))
+    has_s, has_b = F.coalesce(F.col(has_speed), F.lit(False)), F.coalesce(F.col(has_batch), F.lit(False))
     delta = F.coalesce(F.col("live_avg_delay_seconds"), F.lit(0.0)) - F.coalesce(
         F.col("historical_avg_delay_seconds"), F.lit(0.0)
     )
     delta = F.when(has_s & has_b, delta)
-    return j.withColumn("delta", delta).withColumn(
+    return rows.withColumn("delta", delta).withColumn(
         "verdict", C.verdict(has_s, has_b, F.col("delta"))
-    ).withColumn("delta_vs_historical", C.half_even("delta", 1)).drop(
-        "delta", "_has_speed", "_has_batch"
-    )
+    ).withColumn("delta_vs_historical", C.half_even("delta", 1)).drop("delta")
+
+
+def _merge(speed: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
+    """Full outer merge with presence flags."""
+    s = speed.withColumn("_has_speed", F.lit(True))
+    b = batch.withColumn("_has_batch", F.lit(True))
+    return with_verdict(s.join(b, keys, "full"), "_has_speed", "_has_batch").drop("_has_speed", "_has_batch")
 
 
 def serving_merge(speed_rows: DataFrame, baseline: DataFrame, as_of: datetime) -> DataFrame:
@@ -183,14 +184,18 @@ def kpis(window: DataFrame, anomalies: DataFrame, n: int = C.TOP_N) -> DataFrame
     w = window.select("route_id", "avg_delay_seconds", F.lit(False).alias("_anomaly"))
     a = anomalies.select("route_id", F.lit(None).cast("double").alias("avg_delay_seconds"),
                          F.lit(True).alias("_anomaly"))
-    live = ~F.col("_anomaly")
+    return kpi_tiles(w.unionByName(a), ~F.col("_anomaly"), F.col("_anomaly"), n)
+
+
+def kpi_tiles(rows: DataFrame, live: Column, anomaly: Column, n: int = C.TOP_N) -> DataFrame:
+    """The tiles of rows that are ``live`` (in the current window) or an ``anomaly``."""
     top_key = F.when(live, _top_of())
-    head = w.unionByName(a).agg(
+    head = rows.agg(
         F.min_by(F.when(live, F.col("route_id")), top_key).alias("top_route_id"),
         C.half_even(F.min_by(F.when(live, F.col("avg_delay_seconds")), top_key), 1)
         .alias("top_avg_delay_seconds"),
         F.least(F.count_if(live), F.lit(n)).alias("routes_tracked"),
-        F.count_if(F.col("_anomaly")).alias("active_anomalies"),
+        F.count_if(anomaly).alias("active_anomalies"),
     )
     return head.withColumn("top_delay_label", C.delay_label("top_avg_delay_seconds"))
 

@@ -256,6 +256,17 @@ def top_delayed_n(snapshot_rows: DataFrame, n: int, as_of: datetime | None = Non
     return latest_snapshot(snapshot_rows, as_of).filter(F.col("rank") <= n)
 
 
+def flagged_columns(mean: str, baseline: str, threshold: float = C.ANOMALY_RATIO) -> list[Column]:
+    """Rounded mean, baseline and ratio of a window, and whether it is anomalous."""
+    ratio = C.anomaly_ratio(mean, baseline)
+    return [
+        C.half_even(mean, 2).alias("avg_delay_seconds"),
+        C.half_even(baseline, 2).alias("batch_baseline_seconds"),
+        C.half_even(ratio, 2).alias("anomaly_ratio"),
+        C.is_anomaly(ratio, threshold).alias("is_anomaly"),
+    ]
+
+
 def speed_with_baseline(windows: DataFrame, baseline: DataFrame,
                         threshold: float = C.ANOMALY_RATIO) -> DataFrame:
     """Attach the historical mean of the bucket of ``window_end`` and flag anomalies.
@@ -272,15 +283,9 @@ def speed_with_baseline(windows: DataFrame, baseline: DataFrame,
         ["route_id", "time_bucket"],
         "left",
     )
-    ratio = C.anomaly_ratio("avg_delay_seconds", "baseline")
-    return joined.select(
-        "window_start", "window_end", "route_id", "time_bucket", "event_count",
-        C.half_even("avg_delay_seconds", 2).alias("avg_delay_seconds"),
-        "max_delay_seconds", "late_count",
-        C.half_even("baseline", 2).alias("batch_baseline_seconds"),
-        C.half_even(ratio, 2).alias("anomaly_ratio"),
-        C.is_anomaly(ratio, threshold).alias("is_anomaly"),
-    )
+    mean, *flags = flagged_columns("avg_delay_seconds", "baseline", threshold)
+    return joined.select("window_start", "window_end", "route_id", "time_bucket", "event_count", mean,
+                         "max_delay_seconds", "late_count", *flags)
 
 
 def anomaly_windows(speed_rows: DataFrame) -> DataFrame:

@@ -20,6 +20,7 @@ from headway.operators import batch as B
 from headway.operators import reports as RP
 from headway.operators import serving as V
 from headway.operators import speed as S
+from headway.operators import states as ST
 from headway.schemas import RAW_SCHEMA
 from headway.session import ensure_utc
 from headway.sources import feed as FD
@@ -65,15 +66,11 @@ def live_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.sliding_window_stats(X.live_events(spark, sf_dir), SIZE, SLIDE)
 
 
-def newest_rows(spark: SparkSession, sf_dir: str, base: DataFrame | None = None) -> DataFrame:
-    """Speed-view row of each route's newest window at AS_OF.
-
-    Events after AS_OF are not read, and the baseline meets one row for each route
-    instead of every window.
-    """
-    events = X.live_events(spark, sf_dir).filter(F.col("event_ts") < X.ts_literal(AS_OF))
-    newest = V.latest_per_route(S.sliding_window_stats(events, SIZE, SLIDE), AS_OF)
-    return S.speed_with_baseline(newest, base if base is not None else baseline(spark, sf_dir))
+def states(spark: SparkSession, sf_dir: str, route: str | None = None, closed: bool = False) -> DataFrame:
+    """Newest live window and baselines of each route at AS_OF, from one scan."""
+    events = X.delay_events(spark, sf_dir)
+    events = events if route is None else events.filter(F.col("route_id") == route)
+    return ST.route_states(events, X.HISTORY_UNTIL, AS_OF, SIZE, SLIDE, closed)
 
 
 def speed_rows(spark: SparkSession, sf_dir: str, base: DataFrame | None = None) -> DataFrame:
@@ -163,11 +160,11 @@ def q_anomaly_windows(spark, sf_dir):
 
 
 def q_anomalies(spark, sf_dir):
-    return V.current_anomalies(newest_rows(spark, sf_dir), AS_OF)
+    return V.current_anomalies(ST.newest_windows(states(spark, sf_dir)), AS_OF)
 
 
 def q_anomaly_alerts(spark, sf_dir):
-    return V.anomaly_alerts(V.current_anomalies(newest_rows(spark, sf_dir), AS_OF))
+    return V.anomaly_alerts(V.current_anomalies(ST.newest_windows(states(spark, sf_dir)), AS_OF))
 
 
 def q_speed_view_live(spark, sf_dir):
@@ -177,12 +174,11 @@ def q_speed_view_live(spark, sf_dir):
 # -- serving layer --------------------------------------------------------------
 
 def q_latest_per_route(spark, sf_dir):
-    return V.latest_per_route(newest_rows(spark, sf_dir), AS_OF)
+    return ST.newest_windows(states(spark, sf_dir))
 
 
 def q_serving_merge(spark, sf_dir):
-    base = baseline(spark, sf_dir)
-    return V.serving_merge(newest_rows(spark, sf_dir, base), base, AS_OF)
+    return ST.merged_states(states(spark, sf_dir))
 
 
 def q_serving_merge_history(spark, sf_dir):
@@ -197,8 +193,7 @@ def q_verdict(spark, sf_dir):
 
 
 def q_route_detail(spark, sf_dir):
-    base = baseline(spark, sf_dir)
-    return V.route_detail(newest_rows(spark, sf_dir, base), base, AS_OF, DETAIL_ROUTE)
+    return ST.merged_states(states(spark, sf_dir, DETAIL_ROUTE))
 
 
 def q_live_summary(spark, sf_dir):
@@ -206,15 +201,11 @@ def q_live_summary(spark, sf_dir):
 
 
 def q_kpis(spark, sf_dir):
-    window = S.window_stats(X.delay_events(spark, sf_dir), AS_OF, SIZE)
-    return V.kpis(window, V.current_anomalies(newest_rows(spark, sf_dir), AS_OF), TOP_N)
+    return ST.state_kpis(states(spark, sf_dir, closed=True), TOP_N)
 
 
 def q_top_delayed_enriched(spark, sf_dir):
-    windows = live_windows(spark, sf_dir)
-    base = baseline(spark, sf_dir)
-    merged = V.serving_merge(newest_rows(spark, sf_dir, base), base, AS_OF)
-    return V.top_delayed_enriched(S.top_n_snapshot(windows, TOP_N), merged, AS_OF)
+    return ST.enriched_top(states(spark, sf_dir), TOP_N)
 
 
 def _labelled_windows(spark, sf_dir):
@@ -405,8 +396,7 @@ def q_event_time_fallback(spark, sf_dir):
 
 
 def q_served_rows(spark, sf_dir):
-    base = baseline(spark, sf_dir)
-    return V.served_rows(newest_rows(spark, sf_dir, base), base, AS_OF, SIZE)
+    return ST.served_states(states(spark, sf_dir), AS_OF, SIZE)
 
 
 def q_summary(spark, sf_dir):

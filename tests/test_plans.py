@@ -46,7 +46,8 @@ def test_columns_pruned_at_the_scan(plans):
 
 @pytest.mark.parametrize("name,scans,exchanges", [
     ("route_statistics", 1, 1), ("window_stats", 1, 1), ("top_delayed_routes", 1, 1),
-    ("sliding_window_stats", 1, 2), ("latest_snapshot", 1, 4), ("serving_merge", 3, 8),
+    ("sliding_window_stats", 1, 2), ("latest_snapshot", 1, 4), ("serving_merge", 1, 2),
+    ("served_rows", 1, 2), ("route_detail", 1, 2), ("kpis", 1, 3), ("top_delayed_enriched", 1, 3), ("anomalies", 1, 2),
     ("ingest_union", 1, 0), ("coerce_delay", 1, 0),
 ])
 def test_scan_and_shuffle_budget(plans, name, scans, exchanges):
