@@ -114,3 +114,39 @@ def test_internal_names_clash_with_no_column(spark):
     r = X.replace_entities(df, KEY).first()
     assert r.replaced == 1 and "a@b.example" not in r.text
     assert (r._t, r._id0, r._spans, r.type, r.value, r.surrogate) == ("t", 7, "s", "x", "y", "z")
+
+
+def test_one_surrogate_and_gender_for_a_name_in_all_documents(spark):
+    texts = ["Dr. Anna Schmidt met Frau Anna Schmidt.", "Ms Anna was there, Mr ANNA SCHMIDT too.", "Mrs Kim Lee called.",
+             "Prof. Kim Lee and Dr Robin Lee", "Dr Sasha Ford", "My name is Kim Ford, said Dr. Elena Ford."]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.text for r in X.replace_entities(df, KEY).collect()}
+    anna, schmidt = re.fullmatch(r"Dr\. (\w+) (\w+) met Frau \1 \2\.", got[0]).groups()
+    assert re.fullmatch(rf"Ms {anna} was there, Mr {anna.upper()} {schmidt.upper()} too\.", got[1])
+    kim, lee = re.fullmatch(r"Mrs (\w+) (\w+) called\.", got[2]).groups()
+    robin = re.fullmatch(rf"Prof\. {kim} {lee} and Dr (\w+) {lee}", got[3]).group(1)
+    sasha, ford = re.fullmatch(r"Dr (\w+) (\w+)", got[4]).groups()
+    elena = re.fullmatch(rf"My name is {kim} {ford}, said Dr\. (\w+) {ford}\.", got[5]).group(1)
+    names = [anna, schmidt, kim, lee, robin, sasha, ford, elena]
+    assert len(set(names)) == len(names) and not set(names) & set(re.findall(r"\w+", " ".join(texts)))
+    assert all(x.endswith("a") for x in (anna, kim, sasha, elena)) and robin[-1] in "eiy"
+
+
+def test_more_formats(spark):
+    rows = [(1, "host 2001:db8:85a3:0:0:8a2e:370:7334 up"), (2, "via FE80::1FF:FE23:4567 and std::abs, a::b, abc::def"),
+            (3, "ring 030 1234567 or 0171/1234567, 020 7946 0958"), (4, "at 12:30:45 on 01-02-2024, 00:1a:2b:3c:4d:5e, 0001 2345")]
+    got = {r.doc_id: r for r in X.replace_entities(spark.createDataFrame(rows, "doc_id long, text string"), KEY).collect()}
+    assert [got[i].replaced for i in (1, 2, 3, 4)] == [1, 1, 3, 0] and got[4].text == rows[3][1]
+    assert re.fullmatch(r"host 2001(:[0-9a-f]{1,4}){7} up", got[1].text) and "85a3" not in got[1].text
+    assert re.fullmatch(r"via FE80::[0-9A-F]{3}:[0-9A-F]{4}:[0-9A-F]{4} and std::abs, a::b, abc::def", got[2].text)
+    assert re.fullmatch(r"ring 0\d\d \d{7} or 0\d{3}/\d{7}, 0\d\d \d{4} \d{4}", got[3].text) and "1234567" not in got[3].text
+
+
+def test_frequent_values_are_split_from_the_rest(spark, monkeypatch):
+    monkeypatch.setattr(X, "HOT", 3)
+    rows = [(i, f"mail a@b.example, b{i % 4}@b.example and {i}@c.example, Mr Tom Jones") for i in range(20)] + [(99, "Tom Jones")]
+    got = {r.doc_id: r for r in X.replace_entities(spark.createDataFrame(rows, "doc_id long, text string"), KEY).collect()}
+    assert got[99].replaced == 0 and all(got[i].replaced == 5 for i in range(20))
+    first = [re.findall(r"[\w.]+@\S+\w", got[i].text) for i in range(20)]
+    assert len({f[0] for f in first}) == 1 and len({f[1] for f in first}) == 4 and len({f[2] for f in first}) == 20
+    assert len({got[i].text.rsplit(" ", 2)[1] for i in range(20)}) == 1
