@@ -77,7 +77,7 @@ ENTITY = re.compile(
     r"|\(\d{2,4}\)[ .-]?\d{2,4}(?:[ .-]\d{2,5}){1,3}|0\d{2,4}[ /-]\d{3,4}[ -]?\d{2,4}(?:[ -]?\d{2,4})?|\d{3}[ .-]\d{3}[ .-]\d{4})(?!\w))"
     rf"|(?P<name>(?<!\w)(?P<title>{_TITLE})\.?[ \xa0]+(?P<words>{NAME_WORD}(?:[ -]{NAME_WORD}){{0,2}}))")
 #: Java regex that every text with an entity matches.
-COARSE = rf"@|\p{{Nd}}(?:[ .()/-]{{0,2}}\p{{Nd}}){{3,}}|[0-9A-Fa-f]::[0-9A-Fa-f]|(?:[0-9A-Fa-f]{{1,4}}:){{7}}|[A-Z]{{2}}\p{{Nd}}{{2}} ?[A-Z\p{{Nd}}]{{4}}|(?<!\p{{L}})(?:{_TITLE})\.?[  ]"
+COARSE = rf"@|\p{{Nd}}(?:[ .()/-]{{0,2}}\p{{Nd}}){{3,}}|:(?<=[0-9A-Fa-f]:)(?::|(?:[0-9A-Fa-f]{{1,4}}:){{6}})[0-9A-Fa-f]|[A-Z]{{2}}\p{{Nd}}{{2}} ?[A-Z\p{{Nd}}]{{4}}|(?<!\p{{L}})(?:{_TITLE})\.?[  ]"
 
 
 def luhn(digits: str) -> bool:
